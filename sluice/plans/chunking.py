@@ -7,6 +7,7 @@ only the staged buckets that hold its ranks.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,16 +90,20 @@ def run_chunking(
     ranked = global_rank(df, order_by, tiebreak=tiebreak, num_buckets=num_buckets,
                          workdir=new_workdir(spark, "chunk-rank"))
     bounds = slice_bounds(ranked.n, [t.percent for t in plan])
-    counts, paths, fmts = {}, {}, {}
+    counts, paths, fmts, writes = {}, {}, {}, []
     for i, target in enumerate(plan):
         start, end = bounds[i]
         rows = slice_frame(ranked, bounds, i).drop(ranked.rank_col)
         tagged = add_audit_columns(rows, target.format, f"{source_name}[rows {start}-{end}]", ctx)
         path = f"{out_dir}/{target.key}.{target.format}"
-        formats.write(tagged, path, target.format, mode="overwrite")
+        writes.append((tagged, path, target.format))
         counts[target.key] = max(0, end - start + 1)
         paths[target.key] = path
         fmts[target.key] = target.format
+    # Slices read disjoint staged buckets: submit the writes as concurrent jobs.
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for fut in [pool.submit(formats.write, d, p, f, "overwrite") for d, p, f in writes]:
+            fut.result()
     return ChunkResult(counts, bounds, paths, fmts, audited_schema(df.schema), ranked.n, ranked)
 
 
