@@ -29,6 +29,16 @@ def matched_pattern(text: Column, patterns: list[str]) -> Column:
     return out
 
 
+_DAY_US = 86_400_000_000
+
+
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` wall time (zone-independent)."""
-    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), ts)
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` wall time.
+
+    Built from wall-clock fields (day number, hour, minute, fractional second),
+    so no session time zone enters: a gap across a DST change stays exact.
+    """
+    day = F.unix_date(F.to_date(ts)).cast("long") * F.lit(_DAY_US)
+    clock = (F.hour(ts).cast("long") * F.lit(3_600_000_000) + F.minute(ts).cast("long") * F.lit(60_000_000)
+             + (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long"))
+    return day + clock

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.context import FIXED_CONTEXT, RunContext, basename, new_workdir
+from sluice.functions.dates import matched_pattern, parse_first
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns
 from sluice.operators.columns import sanitize_columns
 from sluice.operators.history import reconcile, scd2_apply, upsert
@@ -551,6 +552,35 @@ def key_overlap_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+# The date patterns a report may use, tried in this order.
+DATE_PATTERNS = ["yyyy-MM-dd", "dd/MM/yyyy", "MMM d, yyyy"]
+
+
+def render_dates(orders: DataFrame) -> DataFrame:
+    """Order dates written as free text the way reports arrive: three layouts and junk."""
+    k = F.col("o_orderkey") % 4
+    d = F.col("o_orderdate")
+    text = (F.when(k == 0, F.date_format(d, DATE_PATTERNS[0])).when(k == 1, F.date_format(d, DATE_PATTERNS[1]))
+            .when(k == 2, F.date_format(d, DATE_PATTERNS[2]))
+            .otherwise(F.concat(F.lit("unknown-"), F.col("o_orderkey").cast("string"))))
+    return orders.select("o_orderkey", text.alias("date_text"))
+
+
+@register("normalize_dates", """
+SELECT o_orderkey,
+       CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y')
+            WHEN 2 THEN strftime(o_orderdate, '%b %-d, %Y') ELSE 'unknown-' || CAST(o_orderkey AS VARCHAR) END AS date_text,
+       CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE o_orderdate END AS parsed_date,
+       CAST(CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 0 END AS INTEGER) AS pattern_no
+FROM orders
+""")
+def normalize_dates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-text dates parsed by the first pattern that fits; junk becomes NULL with pattern 0, never a guess."""
+    text = render_dates(table(spark, sf_dir, "orders"))
+    return text.select("o_orderkey", "date_text", parse_first(F.col("date_text"), DATE_PATTERNS).alias("parsed_date"),
+                       F.coalesce(matched_pattern(F.col("date_text"), DATE_PATTERNS), F.lit(0)).alias("pattern_no"))
+
+
 # -------------------------------------------------------------- history ---
 
 def _events_with(ts_shift: str, value: str) -> str:

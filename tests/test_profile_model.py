@@ -62,3 +62,17 @@ def test_entry_contract(spark):
     rows = {r["slice_id"]: r["n_rows"] for r in df.collect()}
     assert rows == {1: 600, 2: 450, 3: 300, 4: 150}
     pd.DataFrame()  # pandas available for brute-force checks
+
+
+def test_epoch_micros_ignores_session_zone(spark):
+    from sluice.functions.dates import epoch_micros
+
+    df = spark.createDataFrame([("2024-03-10 01:00:00.000001",), ("2024-03-10 04:00:00.5",), ("1969-12-31 23:59:59",)],
+                               "s string").select(F.col("s").cast("timestamp_ntz").alias("ts"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r[0] for r in df.select(epoch_micros(F.col("ts"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1710032400000001, 1710043200500000, -1000000]
