@@ -191,3 +191,231 @@ def slice_shares(df: DataFrame, slice_col: str = "slice_id") -> DataFrame:
         F.round(F.lit(100.0) * F.col("n_rows") / F.col("total_rows"), 1)
     )
     return out.select(slice_col, "n_rows", pct.alias("pct_of_total"), "total_rows")
+
+
+# ----------------------------------------------------------------------------------------------
+# Selective slicing: exact slices without ranking every row.
+#
+# Rows are bucketed by the leading order column alone, through literal cut values: a row's bucket
+# is a pure, monotone function of the row (NULLs in bucket 0), so the count pass and every slice
+# write agree without staging the data. Bucket counts fix each slice's size. Only rows of buckets
+# that a slice boundary cuts through need an exact rank on the full key; they go through the
+# staged range rank above, which stays balanced even when one timestamp (or NULL) holds a third of
+# all rows. Everything else is a filtered scan.
+# ----------------------------------------------------------------------------------------------
+
+DEFAULT_SLICE_BUCKETS = 256
+_SAMPLE_PER_BUCKET = 32
+# A split bucket up to this many rows is ranked in one window task; larger (hot) ones are range-ranked.
+WINDOW_RANK_MAX_ROWS = 4_000_000
+
+
+def _comparable(col: Column, dtype) -> tuple[Column, object]:
+    """A monotone numeric form of the lead column (timestamps → epoch micros), used to find cuts."""
+    from pyspark.sql.types import DateType, IntegerType, LongType, TimestampNTZType, TimestampType
+
+    from sluice.functions.dates import epoch_micros
+
+    if isinstance(dtype, TimestampNTZType):
+        return epoch_micros(col), LongType()
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(col), LongType()
+    if isinstance(dtype, DateType):
+        return F.unix_date(col), IntegerType()
+    return col, dtype
+
+
+def _raw_literal(value, dtype) -> Column:
+    """Literal of the lead column's own type for a cut value in comparable form (foldable, pushable)."""
+    import datetime as _dt
+    from decimal import Decimal
+
+    from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+
+    if isinstance(dtype, TimestampNTZType):
+        wall = _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(value))
+        return F.lit(wall.isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(dtype, TimestampType):
+        return F.timestamp_micros(F.lit(int(value)))
+    if isinstance(dtype, DateType):
+        return F.date_from_unix_date(F.lit(int(value)))
+    if isinstance(dtype, DecimalType):
+        return F.lit(Decimal(repr(value))).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def _search(value: Column, cuts: list[Column], lo: int, hi: int) -> Column:
+    """``lo`` + number of cuts in ``cuts[lo:hi]`` that are ``<= value`` — a balanced CASE tree."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(value >= cuts[mid], _search(value, cuts, mid + 1, hi)).otherwise(_search(value, cuts, lo, mid))
+
+
+def _as_ranges(ids: list[int]) -> list[tuple[int, int]]:
+    ranges: list[tuple[int, int]] = []
+    for b in sorted(ids):
+        if ranges and ranges[-1][1] == b - 1:
+            ranges[-1] = (ranges[-1][0], b)
+        else:
+            ranges.append((b, b))
+    return ranges
+
+
+@dataclass
+class SlicedFrame:
+    """``df`` split into percentage slices; ``frame(i)`` gives the rows of slice ``i`` (0-based).
+
+    Buckets: 0 holds NULL leads, bucket ``b >= 1`` holds ``cuts[b-2] <= lead < cuts[b-1]``.
+    """
+
+    source: DataFrame
+    keys: list[str]
+    n: int
+    bounds: list[tuple[int, int]]
+    bucket_counts: list[int]
+    split_buckets: list[int]
+    bucket: Column
+    cuts: list
+    lead_type: object
+    sub: DataFrame | None  # rows of split buckets with ``_sl_bucket`` and ``_sl_rank_in`` (1-based)
+
+    def _slice_of_rank(self, r: int) -> int:
+        return next(i for i, (s, e) in enumerate(self.bounds) if s <= r <= e)
+
+    def slice_of_bucket(self) -> list[int | None]:
+        """Slice index of every bucket wholly inside one slice (None when split or empty)."""
+        out, off = [], 0
+        for b, cnt in enumerate(self.bucket_counts):
+            out.append(None if cnt == 0 or b in self.split_buckets else self._slice_of_rank(off + 1))
+            off += cnt
+        return out
+
+    def _pushed(self, whole: list[int]) -> Column:
+        """A plain range on the lead column that contains every row of ``whole`` buckets."""
+        lead = F.col(f"`{self.keys[0]}`")
+        first, last = min(whole), max(whole)
+        cond = F.lit(True)
+        if first >= 2:
+            cond = cond & (lead >= _raw_literal(self.cuts[first - 2], self.lead_type))
+        if 1 <= last <= len(self.cuts):
+            hi = _raw_literal(self.cuts[last - 1], self.lead_type)
+            cond = cond & ((lead <= hi) if first >= 1 else (lead.isNull() | (lead <= hi)))
+        elif last == 0:
+            cond = cond & lead.isNull()
+        return cond
+
+    def frame(self, i: int) -> DataFrame:
+        start, end = self.bounds[i]
+        cols = [F.col(f"`{c}`") for c in self.source.columns]
+        whole = [b for b, s in enumerate(self.slice_of_bucket()) if s == i]
+        parts = []
+        if whole:
+            in_bucket = None
+            for a, b in _as_ranges(whole):
+                cond = self.bucket.between(a, b) if a != b else (self.bucket == a)
+                in_bucket = cond if in_bucket is None else (in_bucket | cond)
+            parts.append(self.source.filter(self._pushed(whole) & in_bucket).select(*cols))
+        if self.sub is not None and end >= start:
+            rank = F.col("_sl_rank_in") + F.element_at(F.array(*[F.lit(o) for o in self.offsets()]),
+                                                       F.col("_sl_bucket") + 1)
+            parts.append(self.sub.filter(rank.between(start, end)).select(*cols))
+        if not parts:
+            return self.source.limit(0).select(*cols)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def offsets(self) -> list[int]:
+        """Rows before each bucket."""
+        out, off = [], 0
+        for cnt in self.bucket_counts:
+            out.append(off)
+            off += cnt
+        return out
+
+
+def lead_cuts(df: DataFrame, value: Column, vtype, num_buckets: int, seed: int = 17) -> list:
+    """Sorted, distinct cut values splitting the non-NULL ``value`` into about ``num_buckets`` parts.
+
+    Numeric values: ``approxQuantile`` (one pass, mergeable sketch). Others: a bounded sample sorted
+    by Spark (at most ``num_buckets × 32`` values reach the driver). Accuracy only affects balance.
+    """
+    from pyspark.sql.types import NumericType
+
+    vals = df.select(value.alias("_v")).where(F.col("_v").isNotNull())
+    probs = [j / num_buckets for j in range(1, num_buckets)]
+    if isinstance(vtype, NumericType):
+        cuts = vals.approxQuantile("_v", probs, 1.0 / (4 * num_buckets))
+        integral = vtype.typeName() in ("long", "integer", "short", "byte")
+        cuts = [int(c) if integral else c for c in cuts]
+    else:
+        n = vals.count()
+        frac = min(1.0, num_buckets * _SAMPLE_PER_BUCKET / max(n, 1))
+        sample = [r[0] for r in vals.sample(False, frac, seed).orderBy(F.col("_v").asc()).collect()]
+        cuts = [sample[int(p * len(sample))] for p in probs] if sample else []
+    out = []
+    for c in cuts:
+        if c is not None and c == c and (not out or c > out[-1]):  # drop NaN, keep strictly increasing
+            out.append(c)
+    return out
+
+
+def plan_slices(
+    df: DataFrame,
+    order_by: str | list[str],
+    percents: list[int | float],
+    tiebreak: list[str] | None = None,
+    num_buckets: int = DEFAULT_SLICE_BUCKETS,
+    seed: int = 17,
+    workdir: str | None = None,
+) -> SlicedFrame:
+    """Exact percentage slices of ``df`` ordered by ``order_by ASC NULLS FIRST, tiebreak…``.
+
+    Jobs: one cut-value pass over the lead column, one bucket-count aggregation (one row per bucket
+    reaches the driver; it also yields n), and an exact rank of only the rows in buckets that a
+    slice boundary cuts through (about ``boundaries / num_buckets`` of the data). Split buckets whose
+    exact size is at most ``WINDOW_RANK_MAX_ROWS`` are ranked by a window per bucket; a larger one
+    (a very frequent lead value or NULL) goes through the skew-safe staged range rank instead.
+    """
+    spark = df.sparkSession
+    keys = order_keys(df, order_by, tiebreak)
+    lead_type = df.schema[keys[0]].dataType
+    value, vtype = _comparable(F.col(f"`{keys[0]}`"), lead_type)
+    cuts = lead_cuts(df, value, vtype, num_buckets, seed) if num_buckets > 1 else []
+    # Compare the raw column with literals of its own type: tiny, codegen-friendly comparisons.
+    lead = F.col(f"`{keys[0]}`")
+    cut_lits = [_raw_literal(c, lead_type) for c in cuts]
+    bucket = F.when(lead.isNull(), F.lit(0)).otherwise(_search(lead, cut_lits, 0, len(cut_lits)) + 1)
+    got = {r[0]: r[1] for r in df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1))).collect()}
+    counts = [int(got.get(b, 0)) for b in range(len(cuts) + 2)]
+    n = sum(counts)
+    bounds = slice_bounds(n, percents)
+    sliced = SlicedFrame(df, keys, n, bounds, counts, [], bucket, cuts, lead_type, None)
+    off = 0
+    for b, cnt in enumerate(counts):
+        if cnt and sliced._slice_of_rank(off + 1) != sliced._slice_of_rank(off + cnt):
+            sliced.split_buckets.append(b)
+        off += cnt
+    if sliced.split_buckets:
+        workdir = workdir or new_workdir(spark, "slice-rank")
+        split = sliced.split_buckets
+        rows = df.withColumn("_sl_bucket", bucket).filter(F.col("_sl_bucket").isin(split))
+        sizes = [counts[b] for b in split]
+        if max(sizes) <= WINDOW_RANK_MAX_ROWS:
+            w = Window.partitionBy("_sl_bucket").orderBy(*sort_columns(keys))
+            rows.withColumn("_sl_rank_in", F.row_number().over(w).cast("long")) \
+                .write.mode("overwrite").parquet(f"{workdir}/split")
+            sliced.sub = spark.read.parquet(f"{workdir}/split")
+        else:
+            ranked = global_rank(rows, keys, tiebreak=[], workdir=workdir,
+                                 num_buckets=choose_buckets(spark, sum(sizes)))
+            # rank within the split rows → rank within the row's own bucket
+            before, acc = [], 0
+            for b in range(len(counts)):
+                before.append(acc)
+                acc += counts[b] if b in split else 0
+            shift = F.element_at(F.array(*[F.lit(x) for x in before]), F.col("_sl_bucket") + 1)
+            sliced.sub = ranked.frame.withColumn("_sl_rank_in", F.col(ranked.rank_col) - shift)
+    return sliced

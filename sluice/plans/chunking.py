@@ -1,9 +1,10 @@
 """Chronological chunking: split a table by time into percentage slices, one file set each.
 
-One ranking pass (see :mod:`sluice.operators.rank`) replaces the reference
-design's repeated single-partition sort: slice sizes follow from the bucket
-counts, so no per-slice count action is needed, and each slice write reads
-only the staged buckets that hold its ranks.
+Slices come from :func:`sluice.operators.rank.plan_slices`: rows are bucketed by
+literal cut tuples on the full sort key, bucket counts give every slice's size
+(no per-slice count action), and only the few rows in buckets that a slice
+boundary cuts through are ranked exactly. Nothing is sorted globally and the
+bulk of the data is never shuffled: each slice write is a filtered scan.
 """
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ from pyspark.sql.types import StructField, StructType
 
 from sluice.context import RunContext, new_workdir
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns, strip_audit_columns
-from sluice.operators.rank import Ranked, global_rank, slice_bounds, slice_frame
+from sluice.operators.rank import DEFAULT_SLICE_BUCKETS, SlicedFrame, plan_slices
 from sluice.sources import formats
 
 
@@ -44,7 +45,7 @@ class ChunkResult:
     formats: dict[str, str]
     schema: StructType
     n: int
-    ranked: Ranked = field(repr=False, default=None)
+    sliced: SlicedFrame = field(repr=False, default=None)
 
 
 def validate_plan(plan) -> None:
@@ -76,7 +77,7 @@ def run_chunking(
     source_name: str = "source",
     ctx: RunContext | None = None,
     tiebreak: list[str] | None = None,
-    num_buckets: int | None = None,
+    num_buckets: int = DEFAULT_SLICE_BUCKETS,
 ) -> ChunkResult:
     """Rank ``df`` by ``order_by`` (ties broken by every other column) and write each slice.
 
@@ -87,13 +88,13 @@ def run_chunking(
     validate_plan(plan)
     spark = df.sparkSession
     df = strip_audit_columns(df)
-    ranked = global_rank(df, order_by, tiebreak=tiebreak, num_buckets=num_buckets,
+    sliced = plan_slices(df, order_by, [t.percent for t in plan], tiebreak=tiebreak, num_buckets=num_buckets,
                          workdir=new_workdir(spark, "chunk-rank"))
-    bounds = slice_bounds(ranked.n, [t.percent for t in plan])
+    bounds = sliced.bounds
     counts, paths, fmts, writes = {}, {}, {}, []
     for i, target in enumerate(plan):
         start, end = bounds[i]
-        rows = slice_frame(ranked, bounds, i).drop(ranked.rank_col)
+        rows = sliced.frame(i)
         tagged = add_audit_columns(rows, target.format, f"{source_name}[rows {start}-{end}]", ctx)
         path = f"{out_dir}/{target.key}.{target.format}"
         writes.append((tagged, path, target.format))
@@ -104,7 +105,7 @@ def run_chunking(
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
         for fut in [pool.submit(formats.write, d, p, f, "overwrite") for d, p, f in writes]:
             fut.result()
-    return ChunkResult(counts, bounds, paths, fmts, audited_schema(df.schema), ranked.n, ranked)
+    return ChunkResult(counts, bounds, paths, fmts, audited_schema(df.schema), sliced.n, sliced)
 
 
 def read_slices(spark: SparkSession, result: ChunkResult, slice_col: str = "slice_id") -> DataFrame:

@@ -114,3 +114,60 @@ def test_empty_input_gives_empty_slices_that_read_back(spark, cars, workdir):
     assert res.counts == {"chunk1": 0, "chunk2": 0, "chunk3": 0, "chunk4": 0}
     back = read_slices(spark, res)
     assert back.count() == 0 and "date" in back.columns
+
+
+def brute_slices(df, order_by, percents):
+    ranked = brute_rank(df, order_by)
+    n = df.count()
+    b = slice_bounds(n, percents)
+    expr = F.lit(len(b) - 1)
+    for i in range(len(b) - 2, -1, -1):
+        expr = F.when(F.col("rank") <= b[i][1], F.lit(i)).otherwise(expr)
+    return ranked.withColumn("sid", expr).drop("rank")
+
+
+@pytest.mark.parametrize("case", ["plain", "all_tied", "null_dates", "hot_identical", "tiny"])
+def test_selective_slices_match_brute_force(spark, events, case):
+    from sluice.operators.rank import plan_slices
+
+    df = events
+    if case == "all_tied":
+        df = events.withColumn("ts", F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
+    elif case == "null_dates":
+        df = events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")))
+    elif case == "hot_identical":
+        hot = events.limit(1).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(700)))).drop("x")
+        df = events.unionByName(hot)
+    elif case == "tiny":
+        df = events.limit(11)
+    sliced = plan_slices(df, "ts", [40, 30, 20, 10], num_buckets=16)
+    got = None
+    for i in range(4):
+        part = sliced.frame(i).withColumn("sid", F.lit(i))
+        got = part if got is None else got.unionByName(part)
+    want = brute_slices(df, "ts", [40, 30, 20, 10])
+    assert same_rows(got, want)
+
+
+def test_selective_slice_scan_is_not_shuffled(spark, events):
+    from sluice.operators.rank import plan_slices
+
+    sliced = plan_slices(events, "ts", [40, 30, 20, 10], num_buckets=16)
+    plan = sliced.frame(1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Union")[0] or "Union" in plan
+    assert "GreaterThanOrEqual(ts" in plan or "LessThanOrEqual(ts" in plan
+
+
+def test_hot_split_bucket_takes_the_range_rank_path(spark, events, monkeypatch):
+    import sluice.operators.rank as R
+
+    monkeypatch.setattr(R, "WINDOW_RANK_MAX_ROWS", 50)
+    df = events.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-10 00:00:00")
+                                        .cast("timestamp_ntz")).otherwise(F.col("ts")))
+    sliced = R.plan_slices(df, "ts", [40, 30, 20, 10], num_buckets=16)
+    assert max(sliced.bucket_counts[b] for b in sliced.split_buckets) > 50
+    got = None
+    for i in range(4):
+        part = sliced.frame(i).withColumn("sid", F.lit(i))
+        got = part if got is None else got.unionByName(part)
+    assert same_rows(got, brute_slices(df, "ts", [40, 30, 20, 10]))
