@@ -72,6 +72,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """File names directly under ``path`` (empty when it does not exist)."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Whole content of a small file, read on the driver through the Hadoop file system."""
+    fs, hpath = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; fails if it already exists (the caller lost a race)."""
+    fs, hpath = _fs(spark, path)
+    out = fs.create(hpath, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def basename(path: str) -> str:
     """Text after the last ``/`` (trailing slash ignored)."""
     return path.rstrip("/").rsplit("/", 1)[-1]

@@ -91,7 +91,7 @@ def copy_into(spark: SparkSession, spec: SourceSpec, target: str, ctx: RunContex
     if not files:
         return LoadResult(spec.key, target, 0, ctx.run_id, None, 0)
     ident = "\n".join(f"{f['path']}|{f['length']}|{f['mtime_ms']}" for f in files)
-    load_id = hashlib.sha1(ident.encode()).hexdigest()[:16]
+    load_id = "f" + hashlib.sha1(ident.encode()).hexdigest()[:16]  # letter first: never read back as a number
     if table.has_load(load_id):
         return LoadResult(spec.key, target, 0, ctx.run_id, load_id, 0)
     df = tag(read_spec(spark, spec, [f["path"] for f in files]), spec, ctx)

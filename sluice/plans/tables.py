@@ -12,6 +12,11 @@ earlier load: readers see the loads committed since the last overwrite. The
 table schema is kept in the log, widened additively per load; a type change is
 refused. Data is read with that schema, so columns missing in older loads read
 as NULL. One writer per table is assumed.
+
+A table may be *hash-bucketed* on key columns: every load is then written
+partitioned by ``_bkt = pmod(xxhash64(keys), num_buckets)`` and a commit with
+mode ``replace_buckets`` replaces only the buckets it lists — an upsert reads
+and rewrites just the buckets its keys fall into.
 """
 from __future__ import annotations
 
@@ -22,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sluice.context import path_exists
+from sluice.context import create_text, list_names, path_exists, read_text
 
 LOG_SCHEMA = StructType.fromJson({"type": "struct", "fields": [
     {"name": "seq", "type": "long", "nullable": False, "metadata": {}},
@@ -32,6 +37,9 @@ LOG_SCHEMA = StructType.fromJson({"type": "struct", "fields": [
     {"name": "run_id", "type": "string", "nullable": True, "metadata": {}},
     {"name": "committed_at", "type": "string", "nullable": True, "metadata": {}},
     {"name": "schema_json", "type": "string", "nullable": True, "metadata": {}},
+    {"name": "buckets", "type": {"type": "array", "elementType": "integer", "containsNull": False},
+     "nullable": True, "metadata": {}},
+    {"name": "bucketing", "type": "string", "nullable": True, "metadata": {}},
     {"name": "files", "type": {"type": "array", "containsNull": True, "elementType": {
         "type": "struct", "fields": [
             {"name": "path", "type": "string", "nullable": True, "metadata": {}},
@@ -45,6 +53,11 @@ class SchemaConflict(ValueError):
     pass
 
 
+def bucket_column(bucketing: dict):
+    """``pmod(xxhash64(keys), num_buckets)`` — the bucket a row's key belongs to."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in bucketing["keys"]]), F.lit(bucketing["num_buckets"]))
+
+
 def widen(current: StructType | None, incoming: StructType) -> StructType:
     """Additive merge: new columns are appended; a changed type raises."""
     if current is None:
@@ -67,31 +80,69 @@ class Table:
         self.path = path.rstrip("/")
         self.data_path = f"{self.path}/data"
         self.log_path = f"{self.path}/_log"
+        self._cache: tuple[list[str], list[dict]] | None = None
 
     # ---------------------------------------------------------------- log ---
+    # Commit records are small JSON files ``_log/<seq>.json`` read and written on the driver through
+    # the Hadoop file system (no Spark job per lookup). Creating a record never overwrites: two
+    # writers racing for one sequence number cannot both commit.
     def log(self) -> DataFrame:
+        """The commit log as a DataFrame (for the file ledger anti join)."""
         if not path_exists(self.spark, self.log_path):  # no commit yet
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
 
+    def _records(self) -> list[dict]:
+        names = [n for n in list_names(self.spark, self.log_path) if n.endswith(".json")]
+        if self._cache is not None and self._cache[0] == names:
+            return self._cache[1]
+        known = {} if self._cache is None else {r["_name"]: r for r in self._cache[1]}
+        out = []
+        for n in names:
+            rec = known.get(n) or {**json.loads(read_text(self.spark, f"{self.log_path}/{n}")), "_name": n}
+            out.append(rec)
+        out.sort(key=lambda r: r["seq"])
+        self._cache = (names, out)
+        return out
+
     def commits(self) -> list[dict]:
-        """Commit records without file lists (one small row per commit)."""
-        rows = self.log().select("seq", "load_id", "mode", "rows", "run_id", "schema_json").orderBy("seq").collect()
-        return [r.asDict() for r in rows]
+        """Commit records without file lists (one small dict per commit), in commit order."""
+        keep = ("seq", "load_id", "mode", "rows", "run_id", "schema_json", "buckets", "bucketing")
+        return [{k: r.get(k) for k in keep} for r in self._records()]
 
     def exists(self) -> bool:
         return bool(self.commits())
 
     def visible_loads(self, commits: list[dict] | None = None) -> list[str]:
+        return list(self.visible(commits))
+
+    def visible(self, commits: list[dict] | None = None) -> dict[str, set[int] | None]:
+        """Visible load → its visible buckets (``None``: all of it), replaying the commit log."""
         commits = self.commits() if commits is None else commits
-        visible: list[str] = []
+        spec = self.bucketing(commits)
+        visible: dict[str, set[int] | None] = {}
         for c in commits:
             if c["mode"] == "overwrite":
-                visible = []
-            if c["load_id"] not in visible:
-                visible.append(c["load_id"])
+                visible = {}
+            elif c["mode"] == "replace_buckets":
+                gone = set(c["buckets"] or [])
+                for lid, b in list(visible.items()):
+                    left = (set(range(spec["num_buckets"])) if b is None else b) - gone
+                    if left:
+                        visible[lid] = left
+                    else:
+                        del visible[lid]
+            visible.setdefault(c["load_id"], None)
         return visible
 
+    def bucketing(self, commits: list[dict] | None = None) -> dict | None:
+        """``{"keys": [...], "num_buckets": n}`` when the table is hash-bucketed."""
+        commits = self.commits() if commits is None else commits
+        for c in commits:
+            if c.get("bucketing"):
+                return json.loads(c["bucketing"])
+        return None
+
     def schema(self, commits: list[dict] | None = None) -> StructType | None:
         commits = self.commits() if commits is None else commits
         if not commits:
@@ -102,19 +153,22 @@ class Table:
         return any(c["load_id"] == load_id for c in self.commits())
 
     def _commit(self, load_id: str, mode: str, rows: int | None, run_id: str, schema: StructType,
-                files: list[dict] | None, seq: int) -> None:
+                files: list[dict] | None, seq: int, buckets: list[int] | None = None,
+                bucketing: str | None = None) -> None:
         record = {
             "seq": seq, "load_id": load_id, "mode": mode, "rows": rows, "run_id": run_id,
             "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
-            "schema_json": schema.json(), "files": files or [],
+            "schema_json": schema.json(), "buckets": sorted(buckets) if buckets is not None else None,
+            "bucketing": bucketing, "files": files or [],
         }
-        self.spark.createDataFrame([record], LOG_SCHEMA).coalesce(1).write.mode("append").json(self.log_path)
+        create_text(self.spark, f"{self.log_path}/{seq:020d}.json", json.dumps(record) + "\n")
 
     # -------------------------------------------------------------- write ---
     def load_path(self, load_id: str) -> str:
         return f"{self.data_path}/load_id={load_id}"
 
-    def stage_load(self, df: DataFrame, load_id: str, evolve: bool = True) -> tuple[int, StructType]:
+    def stage_load(self, df: DataFrame, load_id: str, evolve: bool = True,
+                   bucketing: dict | None = None) -> tuple[int, StructType]:
         """Write ``df`` as (invisible) load ``load_id``; returns rows written and the widened schema."""
         current = self.schema()
         if current is not None and not evolve:
@@ -124,25 +178,42 @@ class Table:
                 raise SchemaConflict(f"new columns without evolution: {extra}")
         merged = widen(current, df.schema)
         obs = Observation(f"load_{load_id}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.load_path(load_id))
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if bucketing:
+            # one writer per bucket: one file per bucket instead of one per (task, bucket)
+            observed = observed.withColumn("_bkt", bucket_column(bucketing)).repartition("_bkt")
+            observed.write.mode("overwrite").partitionBy("_bkt").parquet(self.load_path(load_id))
+        else:
+            observed.write.mode("overwrite").parquet(self.load_path(load_id))
         return int(obs.get.get("rows", 0)), merged
 
     def commit_load(self, load_id: str, rows: int, schema: StructType, mode: str = "append",
-                    run_id: str = "", files: list[dict] | None = None) -> None:
+                    run_id: str = "", files: list[dict] | None = None, buckets: list[int] | None = None,
+                    bucketing: dict | None = None) -> None:
         commits = self.commits()
         seq = (max(c["seq"] for c in commits) + 1) if commits else 1
-        self._commit(load_id, mode, rows, run_id, schema, files, seq)
+        self._commit(load_id, mode, rows, run_id, schema, files, seq, buckets, bucketing)
 
     def write_load(self, df: DataFrame, load_id: str, mode: str = "append", run_id: str = "",
-                   files: list[dict] | None = None, evolve: bool = True) -> int:
+                   files: list[dict] | None = None, evolve: bool = True, buckets: list[int] | None = None,
+                   bucket_by: tuple[list[str], int] | None = None) -> int:
         """Write ``df`` as load ``load_id`` and commit it. Returns rows written.
 
+        ``bucket_by=(keys, n)`` makes a new table hash-bucketed (later loads inherit it);
+        ``mode="replace_buckets"`` with ``buckets`` replaces only those buckets.
         Re-running an already committed ``load_id`` is a no-op returning 0.
         """
-        if self.has_load(load_id):
+        commits = self.commits()
+        if any(c["load_id"] == load_id for c in commits):
             return 0
-        rows, merged = self.stage_load(df, load_id, evolve)
-        self.commit_load(load_id, rows, merged, mode, run_id, files)
+        spec = self.bucketing(commits)
+        if spec is None and bucket_by is not None:
+            spec = {"keys": list(bucket_by[0]), "num_buckets": int(bucket_by[1])}
+        if mode == "replace_buckets" and (spec is None or buckets is None):
+            raise ValueError("replace_buckets needs a bucketed table and the bucket list")
+        rows, merged = self.stage_load(df, load_id, evolve, spec)
+        self.commit_load(load_id, rows, merged, mode, run_id, files, buckets,
+                         json.dumps(spec) if spec else None)
         return rows
 
     def create_empty(self, schema: StructType, run_id: str = "") -> bool:
@@ -153,15 +224,29 @@ class Table:
         return True
 
     # --------------------------------------------------------------- read ---
-    def read(self, with_load_id: bool = False) -> DataFrame:
+    def read(self, with_load_id: bool = False, buckets: list[int] | None = None) -> DataFrame:
+        """Visible rows; ``buckets`` restricts a bucketed table to those buckets (partition pruning)."""
         commits = self.commits()
         schema = self.schema(commits)
         if schema is None:
             raise FileNotFoundError(f"table {self.path} has no commits")
-        loads = self.visible_loads(commits)
-        paths = [f"{self.data_path}/load_id={lid}" for lid in loads]
+        visible = self.visible(commits)
+        spec = self.bucketing(commits)
+        paths = [f"{self.data_path}/load_id={lid}" for lid in visible]
         df = (self.spark.read.schema(schema).option("basePath", self.data_path).parquet(*paths)
               if paths else self.spark.createDataFrame([], schema))
+        if spec is not None and paths:
+            wanted = set(buckets) if buckets is not None else None
+            keep = None
+            for lid, bks in visible.items():
+                bks = bks if wanted is None else (wanted if bks is None else bks & wanted)
+                if bks is not None and not bks:
+                    continue
+                cond = F.col("load_id") == F.lit(lid)
+                if bks is not None:
+                    cond = cond & F.col("_bkt").isin(sorted(bks))
+                keep = cond if keep is None else (keep | cond)
+            df = df.filter(keep if keep is not None else F.lit(False))
         if with_load_id:
             if not paths:
                 df = df.withColumn("load_id", F.lit(None).cast("string"))

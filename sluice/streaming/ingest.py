@@ -86,7 +86,7 @@ def stream_ingest(spark: SparkSession, spec: SourceSpec, target: str, ctx: RunCo
         stream = strip_audit_columns(stream)
     tagged = add_audit_columns(stream, spec.format, spec.source_file, ctx)
     table = Table(spark, target)
-    stream_tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
+    stream_tag = "s" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
     loaded = {"rows": 0, "batches": 0}
 
     def land(batch: DataFrame, batch_id: int) -> None:

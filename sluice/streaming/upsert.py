@@ -1,9 +1,10 @@
 """Streaming upsert: late-arriving rows merged by key, newest event wins.
 
-Every micro-batch merges into the current table version and commits the result
-as a new overwrite load ``<stream>-<batch_id>`` — never overwriting the data it
-reads. A replayed batch finds its load committed and is skipped. Rows older than
-what the table holds for their key are ignored, whatever order files arrive in.
+Every micro-batch is merged with :func:`sluice.plans.merge.merge_into`: only the
+hash buckets holding the batch's keys are read and rewritten, as a new load
+``<stream>-<batch_id>`` — never overwriting the data it reads. A replayed batch
+finds its load committed and is skipped. Rows older than what the table holds
+for their key are ignored, whatever order files arrive in.
 """
 from __future__ import annotations
 
@@ -12,7 +13,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.context import RunContext
-from sluice.operators.history import latest_per_key, upsert
+from sluice.plans.merge import DEFAULT_MERGE_BUCKETS, merge_into
 from sluice.plans.tables import Table
 from sluice.sources.spec import SourceSpec
 from sluice.streaming.ingest import run_available_now, saved_schema, stream_source
@@ -20,22 +21,17 @@ from sluice.streaming.ingest import run_available_now, saved_schema, stream_sour
 
 def stream_upsert(spark: SparkSession, spec: SourceSpec, target: str, keys: list[str], order_by: list[str],
                   ctx: RunContext | None = None, checkpoint: str | None = None,
-                  max_files: int | None = None) -> dict:
+                  max_files: int | None = None, num_buckets: int = DEFAULT_MERGE_BUCKETS) -> dict:
     ctx = ctx or RunContext()
     checkpoint = checkpoint or f"{target}/_checkpoint"
     schema = saved_schema(spark, spec, f"{checkpoint}_schema")
     stream = stream_source(spark, spec, schema, max_files)
     table = Table(spark, target)
-    stream_tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
+    stream_tag = "s" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
     stats = {"batches": 0}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"{stream_tag}-{batch_id}"
-        if table.has_load(load_id):
-            return
-        fresh = latest_per_key(batch, keys, order_by)
-        merged = upsert(table.read(), fresh, keys, order_by) if table.exists() else fresh
-        table.write_load(merged, load_id, mode="overwrite", run_id=ctx.run_id)
+        merge_into(table, batch, keys, order_by, f"{stream_tag}-{batch_id}", ctx.run_id, num_buckets)
         stats["batches"] += 1
 
     run_available_now(stream, merge, checkpoint)

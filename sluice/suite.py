@@ -24,6 +24,7 @@ from sluice.operators.rank import global_rank, slice_shares
 from sluice.plans.chunking import read_slices, run_chunking
 from sluice.plans.comments import apply_comments, comments, register_table
 from sluice.plans.eventlog import EventLog
+from sluice.plans.merge import merge_into
 from sluice.plans.load import (LoadRejected, copy_into, create_empty_like, full_refresh, ingest,
                                refresh_with_expectations)
 from sluice.plans.model import LAYOUTS, date_span, dim_date, facts_by_date, read_layout, write_layouts
@@ -625,12 +626,11 @@ SELECT event_id, CASE WHEN event_type = 'view' THEN ts + INTERVAL 1 HOUR ELSE ts
 
 @register("upsert_latest", _UPSERTED)
 def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts into a table version by version: a newer correction wins, a late older row does not."""
+    """Two upserts into a bucketed table, each rewriting only touched buckets: newer wins, late older rows do not."""
     events = table(spark, sf_dir, "events")
     tbl = Table(spark, f"{new_workdir(spark, 'upsert')}/silver_events")
-    tbl.write_load(events, "v1", mode="overwrite")
-    for i, batch in enumerate(_upsert_batches(events), start=2):
-        tbl.write_load(upsert(tbl.read(), batch, ["event_id"], ["ts"]), f"v{i}", mode="overwrite")
+    for i, batch in enumerate([events, *_upsert_batches(events)], start=1):
+        merge_into(tbl, batch, ["event_id"], ["ts"], f"v{i}")
     return tbl.read()
 
 

@@ -45,7 +45,7 @@ def test_crash_between_write_and_commit_is_invisible_and_retried(spark, workdir,
     from sluice.plans import load as L
     files = [r.asDict() for r in L.list_files(spark, landed.path).orderBy("path").collect()]
     import hashlib
-    load_id = hashlib.sha1("\n".join(f"{f['path']}|{f['length']}|{f['mtime_ms']}" for f in files).encode()).hexdigest()[:16]
+    load_id = "f" + hashlib.sha1("\n".join(f"{f['path']}|{f['length']}|{f['mtime_ms']}" for f in files).encode()).hexdigest()[:16]
     table.stage_load(events.limit(5), load_id)
     assert not table.exists()
     result = copy_into(spark, landed, target, FIXED_CONTEXT)

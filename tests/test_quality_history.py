@@ -98,3 +98,26 @@ def test_scd2_invariants(spark):
         (4, "d", d(2024, 2, 1), None, True),
     ], key=key)
     assert h.groupBy("k").agg(F.sum(F.col("is_current").cast("int")).alias("c")).filter("c != 1").count() == 0
+
+
+def test_merge_into_rewrites_only_touched_buckets(spark, workdir, events):
+    from sluice.plans.merge import merge_into
+    from sluice.plans.tables import Table
+
+    t = Table(spark, f"{workdir}/silver")
+    merge_into(t, events, ["event_id"], ["ts"], "v1", num_buckets=16)
+    assert t.bucketing() == {"keys": ["event_id"], "num_buckets": 16}
+    few = events.filter("event_id < 5").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")) \
+        .withColumn("value", F.lit(-7.0))
+    merge_into(t, few, ["event_id"], ["ts"], "v2", num_buckets=16)
+    last = t.commits()[-1]
+    assert last["mode"] == "replace_buckets" and 1 <= len(last["buckets"]) <= 5
+    got = t.read()
+    assert got.count() == events.count()
+    assert got.filter("value = -7.0").count() == 5
+    assert merge_into(t, few, ["event_id"], ["ts"], "v2") == 0  # replay is a no-op
+    late = events.filter("event_id < 5").withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY")) \
+        .withColumn("value", F.lit(1e9))
+    merge_into(t, late, ["event_id"], ["ts"], "v3")
+    assert t.read().filter("value = 1e9").count() == 0
+    assert sorted(r[0] for r in t.read(with_load_id=True).select("load_id").distinct().collect()) == ["v1", "v3"]  # v3 replaced all of v2
