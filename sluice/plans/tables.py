@@ -86,25 +86,50 @@ class Table:
     # Commit records are small JSON files ``_log/<seq>.json`` read and written on the driver through
     # the Hadoop file system (no Spark job per lookup). Creating a record never overwrites: two
     # writers racing for one sequence number cannot both commit.
+    CHECKPOINT_EVERY = 50
+
+    def _live_names(self) -> list[str]:
+        """The newest checkpoint (if any) and the commit files after it."""
+        names = list_names(self.spark, self.log_path)
+        ckpts = [n for n in names if n.endswith(".checkpoint.jsonl")]
+        commits = [n for n in names if n.endswith(".json")]
+        if not ckpts:
+            return commits
+        last = max(ckpts)
+        upto = int(last.split(".")[0])
+        return [last] + [n for n in commits if int(n.split(".")[0]) > upto]
+
     def log(self) -> DataFrame:
         """The commit log as a DataFrame (for the file ledger anti join)."""
-        if not path_exists(self.spark, self.log_path):  # no commit yet
+        names = self._live_names()
+        if not names:  # no commit yet
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
+        return self.spark.read.schema(LOG_SCHEMA).json([f"{self.log_path}/{n}" for n in names])
 
     def _records(self) -> list[dict]:
-        names = [n for n in list_names(self.spark, self.log_path) if n.endswith(".json")]
+        names = self._live_names()
         if self._cache is not None and self._cache[0] == names:
             return self._cache[1]
         known = {} if self._cache is None else {r["_name"]: r for r in self._cache[1]}
         out = []
         for n in names:
-            rec = known.get(n) or {**json.loads(read_text(self.spark, f"{self.log_path}/{n}")), "_name": n}
-            out.append(rec)
+            if n in known:
+                out.append(known[n])
+            elif n.endswith(".checkpoint.jsonl"):
+                text = read_text(self.spark, f"{self.log_path}/{n}")
+                out += [{**json.loads(line), "_name": f"{n}#{i}"} for i, line in enumerate(text.splitlines()) if line]
+            else:
+                out.append({**json.loads(read_text(self.spark, f"{self.log_path}/{n}")), "_name": n})
         out.sort(key=lambda r: r["seq"])
         self._cache = (names, out)
         return out
 
+    def _checkpoint_log(self, seq: int) -> None:
+        """Fold every record up to ``seq`` into one file, so readers open two files, not thousands."""
+        records = [{k: v for k, v in r.items() if k != "_name"} for r in self._records() if r["seq"] <= seq]
+        text = "".join(json.dumps(r) + "\n" for r in records)
+        create_text(self.spark, f"{self.log_path}/{seq:020d}.checkpoint.jsonl", text)
+
     def commits(self) -> list[dict]:
         """Commit records without file lists (one small dict per commit), in commit order."""
         keep = ("seq", "load_id", "mode", "rows", "run_id", "schema_json", "buckets", "bucketing")
@@ -162,6 +187,8 @@ class Table:
             "bucketing": bucketing, "files": files or [],
         }
         create_text(self.spark, f"{self.log_path}/{seq:020d}.json", json.dumps(record) + "\n")
+        if seq % self.CHECKPOINT_EVERY == 0:
+            self._checkpoint_log(seq)
 
     # -------------------------------------------------------------- write ---
     def load_path(self, load_id: str) -> str:

@@ -109,3 +109,20 @@ def test_gate_blocks_bad_delivery(spark, workdir, events, landed):
     with pytest.raises(ValueError, match="unknown technique"):
         ingest(spark, Registry({"z": {"path": landed.path, "format": "csv", "technique": "magic"}}), "z",
                f"{workdir}/lake")
+
+
+def test_commit_log_checkpoints_keep_state(spark, workdir, events, monkeypatch):
+    monkeypatch.setattr(Table, "CHECKPOINT_EVERY", 3)
+    t = Table(spark, f"{workdir}/many")
+    small = events.limit(3)
+    for i in range(8):
+        t.write_load(small, f"l{i}", mode="overwrite" if i == 5 else "append", files=[
+            {"path": f"/src/f{i}", "length": i, "mtime_ms": i}])
+    fresh = Table(spark, t.path)  # no cache
+    assert [c["seq"] for c in fresh.commits()] == list(range(1, 9))
+    assert fresh.visible_loads() == ["l5", "l6", "l7"]
+    assert fresh.read().count() == 9
+    assert fresh.loaded_files().count() == 8
+    from sluice.context import list_names
+    assert [n for n in list_names(spark, t.log_path) if "checkpoint" in n] == [
+        "00000000000000000003.checkpoint.jsonl", "00000000000000000006.checkpoint.jsonl"]
