@@ -280,6 +280,26 @@ class Table:
             return df
         return df.select(*[F.col(f"`{c}`") for c in schema.names])
 
+    def compact(self, load_id: str | None = None, run_id: str = "", min_loads: int = 2) -> int:
+        """Rewrite the visible rows as one overwrite load (bucketing kept); returns rows written.
+
+        Many small loads (one per micro-batch or per delivery) become one, so readers list one
+        directory (or one per bucket) instead of thousands. Readers never see a mixed state: the
+        commit switches from the old loads to the new one. The file ledger is carried over, so a
+        bulk load after compaction still skips files loaded before it.
+        """
+        import uuid
+
+        commits = self.commits()
+        if len(self.visible(commits)) < min_loads:
+            return 0
+        files = [r.asDict() for r in self.loaded_files().collect()] if self._has_files() else None
+        return self.write_load(self.read(), load_id or f"compact-{uuid.uuid4().hex[:12]}", mode="overwrite",
+                               run_id=run_id, files=files)
+
+    def _has_files(self) -> bool:
+        return any(r.get("files") for r in self._records())
+
     def loaded_files(self) -> DataFrame:
-        """``(path, length, mtime_ms)`` of every source file committed so far."""
-        return self.log().select(F.explode("files").alias("f")).select("f.*")
+        """``(path, length, mtime_ms)`` of every source file committed so far (distinct)."""
+        return self.log().select(F.explode("files").alias("f")).select("f.*").distinct()

@@ -126,3 +126,31 @@ def test_commit_log_checkpoints_keep_state(spark, workdir, events, monkeypatch):
     from sluice.context import list_names
     assert [n for n in list_names(spark, t.log_path) if "checkpoint" in n] == [
         "00000000000000000003.checkpoint.jsonl", "00000000000000000006.checkpoint.jsonl"]
+
+
+def test_compact_keeps_rows_and_ledger(spark, workdir, events, landed):
+    target = f"{workdir}/bronze/events"
+    copy_into(spark, landed, target, FIXED_CONTEXT)
+    land(events.withColumn("event_id", F.col("event_id") + 10**9), landed.path, mode="append", files=1)
+    copy_into(spark, landed, target, FIXED_CONTEXT)
+    t = Table(spark, target)
+    before = t.read()
+    rows_before = sorted(map(tuple, before.collect()))
+    assert len(t.visible_loads()) == 2
+    assert t.compact() == 2 * events.count()
+    assert len(t.visible_loads()) == 1
+    assert sorted(map(tuple, t.read().collect())) == rows_before
+    assert copy_into(spark, landed, target, FIXED_CONTEXT).rows_loaded == 0  # ledger survived
+
+
+def test_compact_bucketed_table(spark, workdir, events):
+    from sluice.plans.merge import merge_into
+
+    t = Table(spark, f"{workdir}/silver")
+    merge_into(t, events, ["event_id"], ["ts"], "v1", num_buckets=8)
+    merge_into(t, events.filter("event_id < 3").withColumn("value", F.lit(0.5))
+               .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND")), ["event_id"], ["ts"], "v2")
+    n = t.read().count()
+    t.compact()
+    assert t.bucketing()["num_buckets"] == 8 and len(t.visible_loads()) == 1
+    assert t.read().count() == n and t.read().filter("value = 0.5").count() == 3
