@@ -74,8 +74,12 @@ def run_available_now(stream: DataFrame, batch_fn, checkpoint: str) -> None:
 
 
 def stream_ingest(spark: SparkSession, spec: SourceSpec, target: str, ctx: RunContext | None = None,
-                  checkpoint: str | None = None, max_files: int | None = None):
-    """Available-now load of files not seen before into ``target``; returns a ``LoadResult``."""
+                  checkpoint: str | None = None, max_files: int | None = None, per_file: bool = False):
+    """Available-now load of files not seen before into ``target``; returns a ``LoadResult``.
+
+    ``per_file`` tags each row with the name of the file it came from (scan metadata) instead of
+    the spec's source name.
+    """
     from sluice.plans.load import LoadResult
 
     ctx = ctx or RunContext()
@@ -84,7 +88,7 @@ def stream_ingest(spark: SparkSession, spec: SourceSpec, target: str, ctx: RunCo
     stream = stream_source(spark, spec, schema, max_files)
     if spec.has_audit_columns:
         stream = strip_audit_columns(stream)
-    tagged = add_audit_columns(stream, spec.format, spec.source_file, ctx)
+    tagged = add_audit_columns(stream, spec.format, None if per_file else spec.source_file, ctx)
     table = Table(spark, target)
     stream_tag = "s" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
     loaded = {"rows": 0, "batches": 0}

@@ -64,3 +64,13 @@ def test_stream_upsert_newest_wins_late_rows_ignored(spark, workdir, events):
     assert got.count() == events.count()
     assert got.filter("value = -1.0").count() == 0
     assert got.filter("value = 99.0").count() == events.filter("event_type = 'view'").count()
+
+
+def test_stream_ingest_per_file_source(spark, workdir, events):
+    path = f"{workdir}/incoming/pf.json"
+    formats.write(events.repartition(2), path, "json")
+    spec = SourceSpec("ev", path=path, format="json", schema=events.schema)
+    target = f"{workdir}/bronze/pf"
+    stream_ingest(spark, spec, target, FIXED_CONTEXT, checkpoint=f"{workdir}/_ck/pf", per_file=True)
+    names = {r[0] for r in Table(spark, target).read().select("source_file").distinct().collect()}
+    assert len(names) == 2 and all(n.startswith("part-") and n.endswith(".json") for n in names)
