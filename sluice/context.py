@@ -106,6 +106,16 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create or replace a small file on the driver through the Hadoop file system."""
+    fs, hpath = _fs(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def basename(path: str) -> str:
     """Text after the last ``/`` (trailing slash ignored)."""
     return path.rstrip("/").rsplit("/", 1)[-1]

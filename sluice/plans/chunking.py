@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sluice.context import RunContext, new_workdir
+import json
+
+from sluice.context import RunContext, new_workdir, path_exists, read_text, write_text
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns, strip_audit_columns
 from sluice.operators.rank import DEFAULT_SLICE_BUCKETS, SlicedFrame, plan_slices
 from sluice.sources import formats
@@ -46,6 +48,7 @@ class ChunkResult:
     schema: StructType
     n: int
     sliced: SlicedFrame = field(repr=False, default=None)
+    skipped: list[str] = field(default_factory=list)
 
 
 def validate_plan(plan) -> None:
@@ -78,12 +81,17 @@ def run_chunking(
     ctx: RunContext | None = None,
     tiebreak: list[str] | None = None,
     num_buckets: int = DEFAULT_SLICE_BUCKETS,
+    skip_unchanged: bool = True,
 ) -> ChunkResult:
     """Rank ``df`` by ``order_by`` (ties broken by every other column) and write each slice.
 
     Slice ``k`` holds ranks ``floor(n*c_{k-1}/100)+1 .. floor(n*c_k/100)``; it is
     written with mode overwrite to ``out_dir/<key>.<format>`` with audit columns
     whose ``source_file`` reads ``<source_name>[rows a-b]``.
+
+    With ``skip_unchanged`` a slice whose content fingerprint (rows, sum of row hashes, rank range,
+    format) equals the one saved beside its output is not rewritten: its files keep their names and
+    times, so file-tracking loaders downstream do not ingest the same rows twice on a re-run.
     """
     validate_plan(plan)
     spark = df.sparkSession
@@ -101,11 +109,41 @@ def run_chunking(
         counts[target.key] = max(0, end - start + 1)
         paths[target.key] = path
         fmts[target.key] = target.format
-    # Slices read disjoint staged buckets: submit the writes as concurrent jobs.
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        for fut in [pool.submit(formats.write, d, p, f, "overwrite") for d, p, f in writes]:
-            fut.result()
-    return ChunkResult(counts, bounds, paths, fmts, audited_schema(df.schema), sliced.n, sliced)
+    prints = slice_fingerprints(sliced, plan) if skip_unchanged else {}
+    fp_dir = f"{out_dir}/_fingerprints"
+    todo, skipped = [], []
+    for (d, p, f), target in zip(writes, plan):
+        old = f"{fp_dir}/{target.key}.json"
+        if prints and path_exists(spark, old) and path_exists(spark, p) and read_text(spark, old) == prints[target.key]:
+            skipped.append(target.key)
+        else:
+            todo.append((d, p, f, target.key))
+    # Slices read disjoint rows: submit the writes as concurrent jobs.
+    if todo:
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for fut in [pool.submit(formats.write, d, p, f, "overwrite") for d, p, f, _ in todo]:
+                fut.result()
+    for _, _, _, key in todo:  # only after the data is in place
+        if prints:
+            write_text(spark, f"{fp_dir}/{key}.json", prints[key])
+    return ChunkResult(counts, bounds, paths, fmts, audited_schema(df.schema), sliced.n, sliced, skipped)
+
+
+def slice_fingerprints(sliced: SlicedFrame, plan) -> dict[str, str]:
+    """Per slice: JSON of (rows, exact sum of 64-bit row hashes, rank range, format) — one job."""
+    parts = []
+    for i, target in enumerate(plan):
+        rows = sliced.frame(i)
+        h = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("decimal(38,0)")
+        parts.append(rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("h"))
+                     .select(F.lit(i).alias("i"), "n", "h"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    got = {r["i"]: (r["n"], r["h"]) for r in out.collect()}
+    return {t.key: json.dumps({"rows": got[i][0], "hash_sum": got[i][1], "ranks": list(sliced.bounds[i]),
+                               "format": t.format}, sort_keys=True)
+            for i, t in enumerate(plan)}
 
 
 def read_slices(spark: SparkSession, result: ChunkResult, slice_col: str = "slice_id") -> DataFrame:

@@ -171,3 +171,19 @@ def test_hot_split_bucket_takes_the_range_rank_path(spark, events, monkeypatch):
         part = sliced.frame(i).withColumn("sid", F.lit(i))
         got = part if got is None else got.unionByName(part)
     assert same_rows(got, brute_slices(df, "ts", [40, 30, 20, 10]))
+
+
+def test_rerun_skips_unchanged_slices_so_loaders_do_not_reload(spark, cars, workdir):
+    from sluice.plans.load import copy_into
+    from sluice.sources import SourceSpec
+
+    first = run_chunking(cars, "date", workdir + "/out", ctx=FIXED_CONTEXT)
+    assert first.skipped == []
+    spec = SourceSpec("c1", path=first.paths["chunk1"], format="csv", schema=first.schema, has_audit_columns=True)
+    assert copy_into(spark, spec, workdir + "/bronze", FIXED_CONTEXT).rows_loaded == 40
+    again = run_chunking(cars.orderBy(F.rand(1)), "date", workdir + "/out", ctx=FIXED_CONTEXT)
+    assert again.skipped == ["chunk1", "chunk2", "chunk3", "chunk4"]
+    assert copy_into(spark, spec, workdir + "/bronze", FIXED_CONTEXT).rows_loaded == 0
+    changed = cars.withColumn("enter", F.when(F.col("enter") == 0, F.lit(-1)).otherwise(F.col("enter")))
+    third = run_chunking(changed, "date", workdir + "/out", ctx=FIXED_CONTEXT)
+    assert third.skipped == ["chunk2", "chunk3", "chunk4"]
