@@ -196,41 +196,46 @@ def slice_shares(df: DataFrame, slice_col: str = "slice_id") -> DataFrame:
 # ----------------------------------------------------------------------------------------------
 # Selective slicing: exact slices without ranking every row.
 #
-# Rows are bucketed by the leading order column alone, through literal cut values: a row's bucket
-# is a pure, monotone function of the row (NULLs in bucket 0), so the count pass and every slice
-# write agree without staging the data. Bucket counts fix each slice's size. Only rows of buckets
-# that a slice boundary cuts through need an exact rank on the full key; they go through the
-# staged range rank above, which stays balanced even when one timestamp (or NULL) holds a third of
-# all rows. Everything else is a filtered scan.
+# The lead order column is read as an integer (epoch micros, day number, or the integer itself) and
+# cut into equal-width buckets between its min and max: a row's bucket is plain integer arithmetic,
+# so two cheap passes (count/min/max, then one count per bucket) fix every slice's size. Only rows of
+# the few buckets that a slice boundary cuts through get an exact rank on the full key and are
+# staged; every other row belongs to one slice by its lead value alone, so a slice's bulk is a single
+# range scan of the source (pushed to Parquet). A lead without an integer form (text, floating
+# point) falls back to ranking every row with the staged range rank above.
 # ----------------------------------------------------------------------------------------------
 
-DEFAULT_SLICE_BUCKETS = 256
-_SAMPLE_PER_BUCKET = 32
+SLICE_ROWS_PER_BUCKET = 50_000
+MIN_SLICE_BUCKETS = 64
+MAX_SLICE_BUCKETS = 65_536
 # A split bucket up to this many rows is ranked in one window task; larger (hot) ones are range-ranked.
 WINDOW_RANK_MAX_ROWS = 4_000_000
+_V, _LEAF, _RANK = "_sl_v", "_sl_leaf", "_sl_rank"
 
 
-def _comparable(col: Column, dtype) -> tuple[Column, object]:
-    """A monotone numeric form of the lead column (timestamps → epoch micros), used to find cuts."""
-    from pyspark.sql.types import DateType, IntegerType, LongType, TimestampNTZType, TimestampType
+def _integral(col: Column, dtype) -> Column | None:
+    """A monotone integer form of the lead column, or None when it has none."""
+    from pyspark.sql.types import (ByteType, DateType, IntegerType, LongType, ShortType, TimestampNTZType,
+                                   TimestampType)
 
     from sluice.functions.dates import epoch_micros
 
     if isinstance(dtype, TimestampNTZType):
-        return epoch_micros(col), LongType()
+        return epoch_micros(col)
     if isinstance(dtype, TimestampType):
-        return F.unix_micros(col), LongType()
+        return F.unix_micros(col)
     if isinstance(dtype, DateType):
-        return F.unix_date(col), IntegerType()
-    return col, dtype
+        return F.unix_date(col).cast("long")
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return col.cast("long")
+    return None
 
 
-def _raw_literal(value, dtype) -> Column:
-    """Literal of the lead column's own type for a cut value in comparable form (foldable, pushable)."""
+def _raw_literal(value: int, dtype) -> Column:
+    """Literal of the lead column's own type for a value in integer form (foldable, pushable)."""
     import datetime as _dt
-    from decimal import Decimal
 
-    from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+    from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
     if isinstance(dtype, TimestampNTZType):
         wall = _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(value))
@@ -239,9 +244,7 @@ def _raw_literal(value, dtype) -> Column:
         return F.timestamp_micros(F.lit(int(value)))
     if isinstance(dtype, DateType):
         return F.date_from_unix_date(F.lit(int(value)))
-    if isinstance(dtype, DecimalType):
-        return F.lit(Decimal(repr(value))).cast(dtype)
-    return F.lit(value).cast(dtype)
+    return F.lit(int(value)).cast(dtype)
 
 
 def _search(value: Column, cuts: list[Column], lo: int, hi: int) -> Column:
@@ -252,114 +255,107 @@ def _search(value: Column, cuts: list[Column], lo: int, hi: int) -> Column:
     return F.when(value >= cuts[mid], _search(value, cuts, mid + 1, hi)).otherwise(_search(value, cuts, lo, mid))
 
 
-def _as_ranges(ids: list[int]) -> list[tuple[int, int]]:
-    ranges: list[tuple[int, int]] = []
-    for b in sorted(ids):
-        if ranges and ranges[-1][1] == b - 1:
-            ranges[-1] = (ranges[-1][0], b)
-        else:
-            ranges.append((b, b))
-    return ranges
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of every column of a row, as an exact decimal so sums never overflow."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
 
 
 @dataclass
-class SlicedFrame:
-    """``df`` split into percentage slices; ``frame(i)`` gives the rows of slice ``i`` (0-based).
+class Segment:
+    """Rows whose lead value ``v`` (integer form) lies in ``lo <= v < hi``; ``lo is None``: NULL leads."""
 
-    Buckets: 0 holds NULL leads, bucket ``b >= 1`` holds ``cuts[b-2] <= lead < cuts[b-1]``.
-    """
+    lo: int | None
+    hi: int | None
+    n: int
+    h: int = 0  # exact sum of the rows' hashes (0 unless fingerprinting)
+    offset: int = 0  # rows before this segment in the global order
+
+
+@dataclass
+class SlicedFrame:
+    """``df`` split into percentage slices; ``frame(i)`` gives the rows of slice ``i`` (0-based)."""
 
     source: DataFrame
     keys: list[str]
     n: int
     bounds: list[tuple[int, int]]
-    bucket_counts: list[int]
-    split_buckets: list[int]
-    bucket: Column
-    cuts: list
+    segments: list[Segment]
+    split: list[int]  # indices of segments that a slice boundary cuts through
     lead_type: object
-    sub: DataFrame | None  # rows of split buckets with ``_sl_bucket`` and ``_sl_rank_in`` (1-based)
+    sub: DataFrame | None  # staged rows of the split segments with their global rank ``_sl_rank``
+    ranked: Ranked | None = None  # fallback: every row ranked
+
+    @property
+    def bucket_counts(self) -> list[int]:
+        return [s.n for s in self.segments]
+
+    @property
+    def split_buckets(self) -> list[int]:
+        return list(self.split)
 
-    def _slice_of_rank(self, r: int) -> int:
+    def slice_of_rank(self, r: int) -> int:
         return next(i for i, (s, e) in enumerate(self.bounds) if s <= r <= e)
 
-    def slice_of_bucket(self) -> list[int | None]:
-        """Slice index of every bucket wholly inside one slice (None when split or empty)."""
-        out, off = [], 0
-        for b, cnt in enumerate(self.bucket_counts):
-            out.append(None if cnt == 0 or b in self.split_buckets else self._slice_of_rank(off + 1))
-            off += cnt
-        return out
+    def whole_segments(self, i: int) -> list[Segment]:
+        """Segments lying wholly inside slice ``i``: contiguous in lead order, between split segments."""
+        return [s for j, s in enumerate(self.segments)
+                if s.n and j not in self.split and self.slice_of_rank(s.offset + 1) == i]
 
-    def _pushed(self, whole: list[int]) -> Column:
-        """A plain range on the lead column that contains every row of ``whole`` buckets."""
+    def _lead_filter(self, whole: list[Segment]) -> Column:
         lead = F.col(f"`{self.keys[0]}`")
-        first, last = min(whole), max(whole)
-        cond = F.lit(True)
-        if first >= 2:
-            cond = cond & (lead >= _raw_literal(self.cuts[first - 2], self.lead_type))
-        if 1 <= last <= len(self.cuts):
-            hi = _raw_literal(self.cuts[last - 1], self.lead_type)
-            cond = cond & ((lead <= hi) if first >= 1 else (lead.isNull() | (lead <= hi)))
-        elif last == 0:
-            cond = cond & lead.isNull()
+        vals = [s for s in whole if s.lo is not None]
+        cond = None
+        if vals:
+            lo, hi = min(s.lo for s in vals), max(s.hi for s in vals)
+            cond = (lead >= _raw_literal(lo, self.lead_type)) & (lead <= _raw_literal(hi - 1, self.lead_type))
+        if any(s.lo is None for s in whole):
+            cond = lead.isNull() if cond is None else (lead.isNull() | cond)
         return cond
 
     def frame(self, i: int) -> DataFrame:
-        start, end = self.bounds[i]
         cols = [F.col(f"`{c}`") for c in self.source.columns]
-        whole = [b for b, s in enumerate(self.slice_of_bucket()) if s == i]
+        if self.ranked is not None:
+            return slice_frame(self.ranked, self.bounds, i).select(*cols)
+        start, end = self.bounds[i]
         parts = []
+        whole = self.whole_segments(i)
         if whole:
-            in_bucket = None
-            for a, b in _as_ranges(whole):
-                cond = self.bucket.between(a, b) if a != b else (self.bucket == a)
-                in_bucket = cond if in_bucket is None else (in_bucket | cond)
-            parts.append(self.source.filter(self._pushed(whole) & in_bucket).select(*cols))
+            parts.append(self.source.filter(self._lead_filter(whole)).select(*cols))
         if self.sub is not None and end >= start:
-            rank = F.col("_sl_rank_in") + F.element_at(F.array(*[F.lit(o) for o in self.offsets()]),
-                                                       F.col("_sl_bucket") + 1)
-            parts.append(self.sub.filter(rank.between(start, end)).select(*cols))
+            parts.append(self.sub.filter(F.col(_RANK).between(start, end)).select(*cols))
         if not parts:
-            return self.source.limit(0).select(*cols)
+            return self.source.filter(F.lit(False)).select(*cols)
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
 
-    def offsets(self) -> list[int]:
-        """Rows before each bucket."""
-        out, off = [], 0
-        for cnt in self.bucket_counts:
-            out.append(off)
-            off += cnt
-        return out
-
-
-def lead_cuts(df: DataFrame, value: Column, vtype, num_buckets: int, seed: int = 17) -> list:
-    """Sorted, distinct cut values splitting the non-NULL ``value`` into about ``num_buckets`` parts.
-
-    Numeric values: ``approxQuantile`` (one pass, mergeable sketch). Others: a bounded sample sorted
-    by Spark (at most ``num_buckets × 32`` values reach the driver). Accuracy only affects balance.
-    """
-    from pyspark.sql.types import NumericType
-
-    vals = df.select(value.alias("_v")).where(F.col("_v").isNotNull())
-    probs = [j / num_buckets for j in range(1, num_buckets)]
-    if isinstance(vtype, NumericType):
-        cuts = vals.approxQuantile("_v", probs, 1.0 / (4 * num_buckets))
-        integral = vtype.typeName() in ("long", "integer", "short", "byte")
-        cuts = [int(c) if integral else c for c in cuts]
-    else:
-        n = vals.count()
-        frac = min(1.0, num_buckets * _SAMPLE_PER_BUCKET / max(n, 1))
-        sample = [r[0] for r in vals.sample(False, frac, seed).orderBy(F.col("_v").asc()).collect()]
-        cuts = [sample[int(p * len(sample))] for p in probs] if sample else []
-    out = []
-    for c in cuts:
-        if c is not None and c == c and (not out or c > out[-1]):  # drop NaN, keep strictly increasing
-            out.append(c)
-    return out
+    def slice_prints(self, whole_hashes: bool) -> list[tuple[int, int]]:
+        """Per slice: (rows, exact sum of row hashes). Whole segments add what the count pass already
+        summed (``whole_hashes``); the staged split rows (or the ranked fallback) take one small job."""
+        out = [[0, 0] for _ in self.bounds]
+        if whole_hashes:
+            for i in range(len(self.bounds)):
+                for s in self.whole_segments(i):
+                    out[i][0] += s.n
+                    out[i][1] += s.h
+        rest = self.ranked.frame if self.ranked is not None else self.sub
+        if rest is not None:
+            rank = F.col(self.ranked.rank_col if self.ranked is not None else _RANK)
+            rows = rest.select(*[F.col(f"`{c}`") for c in self.source.columns], rank.alias("_sl_r"))
+            h = row_hash(rows.drop("_sl_r"))
+            got = (rows.groupBy(slice_id_column(F.col("_sl_r"), self.bounds).alias("_sid"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0)).alias("h")).collect())
+            for r in got:
+                out[r["_sid"] - 1][0] += int(r["n"])
+                out[r["_sid"] - 1][1] += int(r["h"])
+        return [(a, b) for a, b in out]
+
+
+def _segment_range(lead: Column, seg: Segment, lead_type) -> Column:
+    if seg.lo is None:
+        return lead.isNull()
+    return (lead >= _raw_literal(seg.lo, lead_type)) & (lead <= _raw_literal(seg.hi - 1, lead_type))
 
 
 def plan_slices(
@@ -367,55 +363,86 @@ def plan_slices(
     order_by: str | list[str],
     percents: list[int | float],
     tiebreak: list[str] | None = None,
-    num_buckets: int = DEFAULT_SLICE_BUCKETS,
-    seed: int = 17,
+    num_buckets: int | None = None,
     workdir: str | None = None,
+    fingerprint: bool = False,
 ) -> SlicedFrame:
     """Exact percentage slices of ``df`` ordered by ``order_by ASC NULLS FIRST, tiebreak…``.
 
-    Jobs: one cut-value pass over the lead column, one bucket-count aggregation (one row per bucket
-    reaches the driver; it also yields n), and an exact rank of only the rows in buckets that a
-    slice boundary cuts through (about ``boundaries / num_buckets`` of the data). Split buckets whose
-    exact size is at most ``WINDOW_RANK_MAX_ROWS`` are ranked by a window per bucket; a larger one
-    (a very frequent lead value or NULL) goes through the skew-safe staged range rank instead.
+    Jobs: count/min/max of the lead column; one count per bucket (``num_buckets`` equal-width buckets,
+    by default ``n / 50,000`` clamped to 64..65,536; at most that many small rows reach the driver —
+    with ``fingerprint`` each bucket also sums its rows' hashes); an exact rank of the rows in the
+    buckets that a slice boundary cuts through (about ``3 / num_buckets`` of the data for three
+    boundaries), staged once. Split buckets up to ``WINDOW_RANK_MAX_ROWS`` rows each are ranked by a
+    window per bucket; a larger one (a very frequent lead value, or NULL) goes through the skew-safe
+    staged range rank instead.
     """
     spark = df.sparkSession
     keys = order_keys(df, order_by, tiebreak)
     lead_type = df.schema[keys[0]].dataType
-    value, vtype = _comparable(F.col(f"`{keys[0]}`"), lead_type)
-    cuts = lead_cuts(df, value, vtype, num_buckets, seed) if num_buckets > 1 else []
-    # Compare the raw column with literals of its own type: tiny, codegen-friendly comparisons.
     lead = F.col(f"`{keys[0]}`")
-    cut_lits = [_raw_literal(c, lead_type) for c in cuts]
-    bucket = F.when(lead.isNull(), F.lit(0)).otherwise(_search(lead, cut_lits, 0, len(cut_lits)) + 1)
-    got = {r[0]: r[1] for r in df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1))).collect()}
-    counts = [int(got.get(b, 0)) for b in range(len(cuts) + 2)]
-    n = sum(counts)
+    value = _integral(lead, lead_type)
+    workdir = workdir or new_workdir(spark, "slice-rank")
+    if value is not None:
+        # min/max of the raw column, then its integer form: monotone, so f(min) = min(f)
+        stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(lead).alias("nn"),
+                       _integral(F.min(lead), lead_type).alias("lo"),
+                       _integral(F.max(lead), lead_type).alias("hi")).first()
+        n, nn, lo, hi = int(stats["n"]), int(stats["nn"]), stats["lo"], stats["hi"]
+    if value is None or (nn and hi - lo >= 2 ** 62):
+        # no integer form (or a span that would overflow a long): rank every row
+        ranked = global_rank(df, keys, tiebreak=[], workdir=workdir)
+        bounds = slice_bounds(ranked.n, percents)
+        return SlicedFrame(df, keys, ranked.n, bounds, [], [], lead_type, None, ranked)
     bounds = slice_bounds(n, percents)
-    sliced = SlicedFrame(df, keys, n, bounds, counts, [], bucket, cuts, lead_type, None)
+    segments: list[Segment] = []
+    if n:
+        k = num_buckets or min(MAX_SLICE_BUCKETS, max(MIN_SLICE_BUCKETS, math.ceil(nn / SLICE_ROWS_PER_BUCKET)))
+        width = max(1, -(-(hi + 1 - lo) // k)) if nn else 1
+        base = df.select(value.alias(_V), *([row_hash(df).alias("_sl_h")] if fingerprint else []))
+        bucket = F.when(F.col(_V).isNull(), F.lit(-1)).otherwise(F.expr(f"({_V} - ({lo}L)) div {width}L")) \
+            if nn else F.lit(-1)
+        aggs = [F.count(F.lit(1)).alias("n")] + ([F.sum("_sl_h").alias("h")] if fingerprint else [])
+        # One row per non-empty bucket (at most k + 1) is all that reaches the driver.
+        for r in sorted(base.groupBy(bucket.alias("_b")).agg(*aggs).collect(), key=lambda r: r["_b"]):
+            b, cnt, h = int(r["_b"]), int(r["n"]), int(r["h"] or 0) if fingerprint else 0
+            if b < 0:
+                segments.append(Segment(None, None, cnt, h))
+            else:
+                segments.append(Segment(lo + b * width, min(hi + 1, lo + (b + 1) * width), cnt, h))
+    sliced = SlicedFrame(df, keys, n, bounds, segments, [], lead_type, None)
     off = 0
-    for b, cnt in enumerate(counts):
-        if cnt and sliced._slice_of_rank(off + 1) != sliced._slice_of_rank(off + cnt):
-            sliced.split_buckets.append(b)
-        off += cnt
-    if sliced.split_buckets:
-        workdir = workdir or new_workdir(spark, "slice-rank")
-        split = sliced.split_buckets
-        rows = df.withColumn("_sl_bucket", bucket).filter(F.col("_sl_bucket").isin(split))
-        sizes = [counts[b] for b in split]
-        if max(sizes) <= WINDOW_RANK_MAX_ROWS:
-            w = Window.partitionBy("_sl_bucket").orderBy(*sort_columns(keys))
-            rows.withColumn("_sl_rank_in", F.row_number().over(w).cast("long")) \
-                .write.mode("overwrite").parquet(f"{workdir}/split")
-            sliced.sub = spark.read.parquet(f"{workdir}/split")
-        else:
-            ranked = global_rank(rows, keys, tiebreak=[], workdir=workdir,
-                                 num_buckets=choose_buckets(spark, sum(sizes)))
-            # rank within the split rows → rank within the row's own bucket
-            before, acc = [], 0
-            for b in range(len(counts)):
-                before.append(acc)
-                acc += counts[b] if b in split else 0
-            shift = F.element_at(F.array(*[F.lit(x) for x in before]), F.col("_sl_bucket") + 1)
-            sliced.sub = ranked.frame.withColumn("_sl_rank_in", F.col(ranked.rank_col) - shift)
+    for j, s in enumerate(segments):
+        s.offset = off
+        off += s.n
+        if sliced.slice_of_rank(s.offset + 1) != sliced.slice_of_rank(s.offset + s.n):
+            sliced.split.append(j)
+    if not sliced.split:
+        return sliced
+    split = [segments[j] for j in sliced.split]
+    leaf = None
+    for i, s in enumerate(split):
+        cond = _segment_range(lead, s, lead_type)
+        leaf = F.when(cond, F.lit(i)) if leaf is None else leaf.when(cond, F.lit(i))
+    any_split = None
+    for s in split:
+        cond = _segment_range(lead, s, lead_type)
+        any_split = cond if any_split is None else (any_split | cond)
+    rows = df.filter(any_split).withColumn(_LEAF, leaf)
+    if max(s.n for s in split) <= WINDOW_RANK_MAX_ROWS:
+        offsets = F.array(*[F.lit(s.offset) for s in split])
+        w = Window.partitionBy(_LEAF).orderBy(*sort_columns(keys))
+        (rows.withColumn(_RANK, (F.element_at(offsets, F.col(_LEAF) + 1) + F.row_number().over(w)).cast("long"))
+         .write.mode("overwrite").parquet(f"{workdir}/split"))
+        sliced.sub = spark.read.parquet(f"{workdir}/split")
+    else:
+        ranked = global_rank(rows, keys, tiebreak=[], workdir=workdir,
+                             num_buckets=choose_buckets(spark, sum(s.n for s in split)))
+        # rank among the split rows → global rank: the segments are disjoint lead ranges in order
+        shift, before = [], 0
+        for s in split:
+            shift.append(s.offset - before)
+            before += s.n
+        sliced.sub = ranked.frame.withColumn(
+            _RANK, F.col(ranked.rank_col) + F.element_at(F.array(*[F.lit(x) for x in shift]), F.col(_LEAF) + 1))
     return sliced

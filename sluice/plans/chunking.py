@@ -1,10 +1,11 @@
 """Chronological chunking: split a table by time into percentage slices, one file set each.
 
 Slices come from :func:`sluice.operators.rank.plan_slices`: rows are bucketed by
-literal cut tuples on the full sort key, bucket counts give every slice's size
+equal-width ranges of the order column, bucket counts give every slice's size
 (no per-slice count action), and only the few rows in buckets that a slice
 boundary cuts through are ranked exactly. Nothing is sorted globally and the
-bulk of the data is never shuffled: each slice write is a filtered scan.
+bulk of the data is never shuffled: each slice write is a range scan of the
+source plus its share of the staged boundary rows.
 """
 from __future__ import annotations
 
@@ -19,7 +20,7 @@ import json
 
 from sluice.context import RunContext, new_workdir, path_exists, read_text, write_text
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns, strip_audit_columns
-from sluice.operators.rank import DEFAULT_SLICE_BUCKETS, SlicedFrame, plan_slices
+from sluice.operators.rank import SlicedFrame, plan_slices
 from sluice.sources import formats
 
 
@@ -80,7 +81,7 @@ def run_chunking(
     source_name: str = "source",
     ctx: RunContext | None = None,
     tiebreak: list[str] | None = None,
-    num_buckets: int = DEFAULT_SLICE_BUCKETS,
+    num_buckets: int | None = None,
     skip_unchanged: bool = True,
 ) -> ChunkResult:
     """Rank ``df`` by ``order_by`` (ties broken by every other column) and write each slice.
@@ -97,7 +98,7 @@ def run_chunking(
     spark = df.sparkSession
     df = strip_audit_columns(df)
     sliced = plan_slices(df, order_by, [t.percent for t in plan], tiebreak=tiebreak, num_buckets=num_buckets,
-                         workdir=new_workdir(spark, "chunk-rank"))
+                         workdir=new_workdir(spark, "chunk-rank"), fingerprint=skip_unchanged)
     bounds = sliced.bounds
     counts, paths, fmts, writes = {}, {}, {}, []
     for i, target in enumerate(plan):
@@ -130,18 +131,13 @@ def run_chunking(
 
 
 def slice_fingerprints(sliced: SlicedFrame, plan) -> dict[str, str]:
-    """Per slice: JSON of (rows, exact sum of 64-bit row hashes, rank range, format) — one job."""
-    parts = []
-    for i, target in enumerate(plan):
-        rows = sliced.frame(i)
-        h = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("decimal(38,0)")
-        parts.append(rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("h"))
-                     .select(F.lit(i).alias("i"), "n", "h"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    got = {r["i"]: (r["n"], r["h"]) for r in out.collect()}
-    return {t.key: json.dumps({"rows": got[i][0], "hash_sum": got[i][1], "ranks": list(sliced.bounds[i]),
+    """Per slice: JSON of (rows, exact sum of 64-bit row hashes, rank range, format).
+
+    Whole buckets take the sums the bucket-count pass already made (``fingerprint=True``); only the
+    staged boundary rows are aggregated again, in one small job.
+    """
+    got = sliced.slice_prints(whole_hashes=True)
+    return {t.key: json.dumps({"rows": got[i][0], "hash_sum": str(got[i][1]), "ranks": list(sliced.bounds[i]),
                                "format": t.format}, sort_keys=True)
             for i, t in enumerate(plan)}
 

@@ -187,3 +187,28 @@ def test_rerun_skips_unchanged_slices_so_loaders_do_not_reload(spark, cars, work
     changed = cars.withColumn("enter", F.when(F.col("enter") == 0, F.lit(-1)).otherwise(F.col("enter")))
     third = run_chunking(changed, "date", workdir + "/out", ctx=FIXED_CONTEXT)
     assert third.skipped == ["chunk2", "chunk3", "chunk4"]
+
+
+@pytest.mark.parametrize("lead", ["user_id", "event_type", "value"])
+def test_selective_slices_other_lead_types_match_brute_force(spark, events, lead):
+    """Integer leads take the bucketed path; text and floating-point leads rank every row."""
+    from sluice.operators.rank import plan_slices
+
+    sliced = plan_slices(events, lead, [40, 30, 20, 10])
+    assert (sliced.ranked is None) == (lead == "user_id")
+    got = None
+    for i in range(4):
+        part = sliced.frame(i).withColumn("sid", F.lit(i))
+        got = part if got is None else got.unionByName(part)
+    assert same_rows(got, brute_slices(events, lead, [40, 30, 20, 10]))
+
+
+def test_slice_prints_equal_a_direct_hash_of_each_slice(spark, events):
+    from sluice.operators.rank import plan_slices, row_hash
+
+    sliced = plan_slices(events, "ts", [40, 30, 20, 10], num_buckets=16, fingerprint=True)
+    prints = sliced.slice_prints(whole_hashes=True)
+    for i in range(4):
+        rows = sliced.frame(i)
+        want = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_hash(rows)), F.lit(0))).first()
+        assert prints[i] == (want[0], int(want[1]))
