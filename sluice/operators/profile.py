@@ -43,43 +43,48 @@ def _kind(dtype) -> str | None:
 
 
 def profile_table(df: DataFrame, approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Long-form profile ``(column_name, n_rows, n_nulls, n_distinct, min/max per kind)``.
+    """Long-form profile ``(n_rows, column_name, n_nulls, n_distinct, min/max per kind)``, one row per column.
 
-    One aggregation over the table; ``stack`` turns the single wide row into one
-    row per column. Exact distinct counts expand the input once per column;
-    ``approx_distinct`` switches to HyperLogLog++ sketches (one pass, mergeable).
+    One job with one branch per column. A branch scans that column alone, groups it by value (hash
+    aggregate, combined map-side, so a hot value costs one row per task) and derives every statistic
+    from the ``(value, count)`` pairs: rows, NULLs, distinct values, min and max. No ``Expand`` of
+    the input and no join between the branches. ``approx_distinct`` skips the grouping and uses a
+    HyperLogLog++ sketch per column instead (one pass, mergeable).
     """
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    kinds = {}
-    for i, f in enumerate(df.schema.fields):
+    parts = []
+    for f in df.schema.fields:
         kind = _kind(f.dataType)
         if kind is None:
             continue
-        kinds[f.name] = kind
         c = F.col(f"`{f.name}`")
-        dist = F.approx_count_distinct(c, rsd) if approx_distinct else F.count_distinct(c)
-        aggs += [F.count_if(c.isNull()).alias(f"_nn{i}"), dist.alias(f"_d{i}"),
-                 F.min(c).alias(f"_mn{i}"), F.max(c).alias(f"_mx{i}")]
-    wide = df.agg(*aggs)
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        kind = kinds.get(f.name)
-        if kind is None:
-            continue
+        if approx_distinct:
+            stats = df.select(c.alias("_v")).agg(
+                F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_v").isNull()).alias("_nn"),
+                F.approx_count_distinct("_v", rsd).alias("_d"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+        else:
+            per_value = df.groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+            stats = per_value.agg(
+                F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"),
+                F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_nn"),
+                F.count("_v").alias("_d"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
 
         def typed(k, col, kind=kind):
             target = _SLOT_TYPES[k]
             return col.cast(target) if kind == k else F.lit(None).cast(target)
 
-        rows.append(F.struct(
+        parts.append(stats.select(
+            F.col("_n").cast("long").alias("n_rows"),
             F.lit(f.name).alias("column_name"),
-            F.col(f"_nn{i}").cast("long").alias("n_nulls"),
-            F.col(f"_d{i}").cast("long").alias("n_distinct"),
-            typed("num", F.col(f"_mn{i}")).alias("min_num"), typed("num", F.col(f"_mx{i}")).alias("max_num"),
-            typed("str", F.col(f"_mn{i}")).alias("min_str"), typed("str", F.col(f"_mx{i}")).alias("max_str"),
-            typed("ts", F.col(f"_mn{i}")).alias("min_ts"), typed("ts", F.col(f"_mx{i}")).alias("max_ts"),
+            F.col("_nn").cast("long").alias("n_nulls"),
+            F.col("_d").cast("long").alias("n_distinct"),
+            typed("num", F.col("_mn")).alias("min_num"), typed("num", F.col("_mx")).alias("max_num"),
+            typed("str", F.col("_mn")).alias("min_str"), typed("str", F.col("_mx")).alias("max_str"),
+            typed("ts", F.col("_mn")).alias("min_ts"), typed("ts", F.col("_mx")).alias("max_ts"),
         ))
-    return wide.select(F.col("_n").cast("long").alias("n_rows"), F.inline(F.array(*rows)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def time_gaps(df: DataFrame, entity: str, ts: str, time_buckets: int = 64) -> DataFrame:
