@@ -7,7 +7,6 @@ from pyspark.sql.types import (DateType, NumericType, StringType, TimestampNTZTy
                                TimestampType)
 
 from sluice.functions.dates import epoch_micros
-from sluice.operators.rank import _search
 
 
 def entity_profile(df: DataFrame, entity: str, ts: str, place: str) -> DataFrame:
@@ -90,18 +89,18 @@ def profile_table(df: DataFrame, approx_distinct: bool = False, rsd: float = 0.0
 def time_gaps(df: DataFrame, entity: str, ts: str, time_buckets: int = 64) -> DataFrame:
     """Per entity: events and the min/max gap in seconds between consecutive timestamps.
 
-    Skew-safe: rows are windowed per (entity, time bucket) — bucket edges are
-    approximate quantiles of the timestamp, literal in the plan — so one entity
-    holding a third of all rows is spread over many tasks. The gap across two
-    buckets of one entity is recovered from the buckets' first/last times,
-    which is at most ``time_buckets`` small rows per entity.
+    Skew-safe: rows are windowed per (entity, time bucket) — ``time_buckets`` equal-width ranges
+    between the earliest and latest timestamp, plain integer arithmetic on epoch micros — so one
+    entity holding a third of all rows is spread over many tasks. The gap across two buckets of one
+    entity is recovered from the buckets' first/last times, which is at most ``time_buckets`` small
+    rows per entity.
     """
     us = "_gap_us"
     base = df.select(F.col(entity).alias("_e"), epoch_micros(F.col(ts)).alias(us)).where(F.col(us).isNotNull())
-    probs = [i / time_buckets for i in range(1, time_buckets)]
-    cuts = sorted({int(c) for c in base.approxQuantile(us, probs, 0.001)}) if time_buckets > 1 else []
-    # balanced CASE over literal edges: log2(time_buckets) comparisons per row
-    tb = _search(F.col(us), [F.lit(c) for c in cuts], 0, len(cuts))
+    # raw min/max, then epoch micros of the one result row (monotone: f(min) = min(f))
+    lo, hi = df.agg(epoch_micros(F.min(ts)), epoch_micros(F.max(ts))).first()
+    width = max(1, -(-(hi + 1 - lo) // max(1, time_buckets))) if lo is not None else 1
+    tb = F.expr(f"({us} - ({lo or 0}L)) div {width}L")
     w = Window.partitionBy("_e", "_tb").orderBy(us)
     inner = (base.withColumn("_tb", tb)
              .withColumn("_gap", F.col(us) - F.lag(us).over(w))
