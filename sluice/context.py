@@ -12,7 +12,6 @@ it as the checkpoint dir, so every executor and the driver agree on one root.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -59,8 +58,8 @@ def scratch_root(spark: SparkSession) -> str:
 def new_workdir(spark: SparkSession, tag: str) -> str:
     """A fresh, unique folder under the scratch root for one operator call."""
     path = f"{scratch_root(spark)}/sluice/{tag}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    fs, hpath = _fs(spark, path)  # the session's file system for this path (HDFS, object store or local)
+    fs.mkdirs(hpath)
     return path
 
 
