@@ -19,20 +19,23 @@ def merge_into(table: Table, updates: DataFrame, keys: list[str], order_by: list
     A new table is created hash-bucketed on ``keys``. Afterwards only the buckets holding an
     updated key are read, merged and committed as ``replace_buckets``; every other bucket is left
     as it is. The touched-bucket list (at most ``num_buckets`` ints) is the only thing collected.
-    Re-running the same ``load_id`` is a no-op.
+    Re-running the same ``load_id`` is a no-op. Sizing and the touched-bucket list read only the
+    raw update keys (the same buckets as the deduplicated rows); the newest-per-key aggregation
+    runs once, inside the write.
     """
     if table.has_load(load_id):
         return 0
     fresh = latest_per_key(updates, keys, order_by)
     if not table.exists():
         if num_buckets is None:
-            num_buckets = min(8192, max(8, math.ceil(fresh.count() / ROWS_PER_MERGE_BUCKET)))
+            # rows of the batch bound its distinct keys; a plain count reads no column data
+            num_buckets = min(8192, max(8, math.ceil(updates.count() / ROWS_PER_MERGE_BUCKET)))
         return table.write_load(fresh, load_id, mode="overwrite", run_id=run_id, bucket_by=(keys, num_buckets))
     spec = table.bucketing()
     if spec is None:  # an unbucketed table: whole rewrite
         return table.write_load(upsert(table.read(), fresh, keys, order_by), load_id, mode="overwrite",
                                 run_id=run_id)
-    touched = sorted(r[0] for r in fresh.select(bucket_column(spec).alias("b")).distinct().collect())
+    touched = sorted(r[0] for r in updates.select(bucket_column(spec).alias("b")).distinct().collect())
     if not touched:
         return 0
     current = table.read(buckets=touched)
