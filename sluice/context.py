@@ -63,6 +63,15 @@ def new_workdir(spark: SparkSession, tag: str) -> str:
     return path
 
 
+def scan_partitions(df) -> int:
+    """Partitions the input would be read in (planning only, no job); the shuffle setting where the
+    session offers no RDD view (Spark Connect)."""
+    try:
+        return int(df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - no RDD API on this session
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS or object store)."""
     jvm = spark.sparkContext._jvm

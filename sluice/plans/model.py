@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.context import scan_partitions
 from sluice.sources import formats
 
 
@@ -72,7 +73,7 @@ def write_layouts(df: DataFrame, date_col: str, out_dir: str, num_files: int | N
     each range file already covers a short run of months.
     """
     spark = df.sparkSession
-    n = num_files or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), df.rdd.getNumPartitions())
+    n = num_files or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), scan_partitions(df))
     paths = {k: f"{out_dir}/{k}" for k in LAYOUTS}
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     formats.write(df, paths["plain"], "parquet")

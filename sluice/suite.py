@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.context import FIXED_CONTEXT, RunContext, basename, list_names, new_workdir
+from sluice.context import FIXED_CONTEXT, RunContext, basename, list_names, new_workdir, scan_partitions
 from sluice.functions.dates import matched_pattern, parse_first
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns
 from sluice.operators.columns import sanitize_columns
@@ -231,7 +231,7 @@ def land(df: DataFrame, path: str, fmt: str, files: int | None = None, mode: str
     By default one file per input scan partition (at least 4), so the landing write stays as parallel
     as the scan at any size instead of funnelling the table through a fixed handful of tasks.
     """
-    files = files or max(4, df.rdd.getNumPartitions())
+    files = files or max(4, scan_partitions(df))
     formats.write(df.repartitionByRange(files, F.col(df.columns[0])), path, fmt, mode=mode)
 
 
