@@ -76,3 +76,36 @@ def test_epoch_micros_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1710032400000001, 1710043200500000, -1000000]
+
+
+def test_layouts_spread_a_hot_date_and_keep_every_row(spark):
+    import datetime as dt
+
+    from sluice.context import new_workdir
+    from sluice.plans.model import LAYOUTS, read_layout, write_layouts
+
+    hot = dt.date(2024, 3, 5)
+    rows = [(i, hot if i % 3 else dt.date(2024, 1, 1) + dt.timedelta(days=i % 90), float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, d date, v double")
+    paths = write_layouts(df, "d", new_workdir(spark, "layout-test"), num_files=6)
+    want = sorted(map(tuple, df.collect()))
+    for layout in LAYOUTS:
+        got = sorted(map(tuple, read_layout(spark, paths[layout], layout).select("id", "d", "v").collect()))
+        assert got == want, layout
+    # two thirds of the rows share one date: range partitioning with a row-hash tiebreak cuts it
+    per_file = (spark.read.parquet(paths["range_sorted"]).where(F.col("d") == F.lit(hot))
+                .groupBy(F.input_file_name()).count().collect())
+    assert len(per_file) > 1
+    assert max(r["count"] for r in per_file) < 2000
+
+
+def test_files_per_trigger_counts_data_files_only(spark):
+    from sluice.context import new_workdir
+    from sluice.suite import files_per_trigger, land
+
+    work = new_workdir(spark, "trigger-test")
+    df = spark.range(400).withColumnRenamed("id", "event_id")
+    land(df, f"{work}/in", "json", files=8)
+    assert files_per_trigger(spark, f"{work}/in", 4) == 2   # _SUCCESS and .crc files are not counted
+    assert files_per_trigger(spark, f"{work}/in", 3) == 3
+    assert files_per_trigger(spark, f"{work}/missing", 3) == 1
