@@ -121,3 +121,26 @@ def test_merge_into_rewrites_only_touched_buckets(spark, workdir, events):
     merge_into(t, late, ["event_id"], ["ts"], "v3")
     assert t.read().filter("value = 1e9").count() == 0
     assert sorted(r[0] for r in t.read(with_load_id=True).select("load_id").distinct().collect()) == ["v1", "v3"]  # v3 replaced all of v2
+
+
+def test_merge_into_dedups_versions_within_one_batch(spark, workdir, events):
+    from sluice.plans.merge import merge_into
+    from sluice.plans.tables import Table
+
+    t = Table(spark, f"{workdir}/silver_versions")
+    # the first load itself carries three versions of every key: only the newest lands
+    versions = events.unionByName(events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 HOURS"))
+                                  .withColumn("value", F.lit(2.0))) \
+        .unionByName(events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 2 HOURS")).withColumn("value", F.lit(-2.0)))
+    assert merge_into(t, versions, ["event_id"], ["ts"], "v1", num_buckets=8) == events.count()
+    got = t.read()
+    assert got.count() == events.count() and got.filter("value <> 2.0").count() == 0
+    # a later batch with two versions of a few keys, one newer and one older than the table
+    few = events.filter("event_id < 4")
+    batch = few.withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 HOURS")).withColumn("value", F.lit(3.0)) \
+        .unionByName(few.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).withColumn("value", F.lit(1.0)))
+    merge_into(t, batch, ["event_id"], ["ts"], "v2")
+    after = t.read()
+    assert after.count() == events.count()
+    assert after.filter("value = 3.0").count() == few.count()
+    assert after.filter("value = 1.0").count() == 0
