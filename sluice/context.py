@@ -86,12 +86,12 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """File names directly under ``path`` (empty when it does not exist)."""
+def list_names(spark: SparkSession, path: str, files_only: bool = False) -> list[str]:
+    """Names directly under ``path`` (empty when it does not exist); ``files_only`` skips folders."""
     fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if not files_only or st.isFile())
 
 
 def read_text(spark: SparkSession, path: str) -> str:

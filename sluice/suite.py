@@ -241,7 +241,7 @@ def files_per_trigger(spark: SparkSession, folder: str, batches: int) -> int:
     Counts data files through the Hadoop file system (names only, no Spark job). The batch count stays
     fixed as the folder grows; each micro-batch reads its files with full parallelism.
     """
-    n = sum(1 for name in list_names(spark, folder) if not name.startswith(("_", ".")))
+    n = sum(1 for name in list_names(spark, folder, files_only=True) if not name.startswith(("_", ".")))
     return max(1, -(-n // batches))
 
 
