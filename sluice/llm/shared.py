@@ -1,6 +1,11 @@
 """Small helpers of the corpus operators: written tables in the shared folder, column guards."""
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +19,28 @@ def written(df: DataFrame, workdir: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(sc: SparkContext) -> None:
+    """Send this package's sources to the executors' Python workers, once per application (as ``--py-files`` would)."""
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="sluice-src-"), "sluice_src.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def workdir(spark: SparkSession, tag: str) -> str:
+    """A fresh folder of the shared scratch space; the package's sources are with the executors afterwards."""
+    ship_package(spark.sparkContext)
     return new_workdir(spark, f"llm-{tag}")
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.ngram_join import ngram_components
+from sluice.llm.pii_surrogates import surrogate_pii
+from sluice.llm.quality_rules import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,3 +30,14 @@ def register(name: str, oracle: str | None = None):
 @register("op1_ngram_jaccard_join")
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), k=4, pct=85)
+
+
+@register("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@register("op10_pii_surrogates")
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogate_pii(docs).select("doc_id", "n_entities", "text")
