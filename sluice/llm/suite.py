@@ -3,9 +3,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm.mixing import mix_sources
 from sluice.llm.ngram_join import ngram_components
+from sluice.llm.packing import pack_documents
 from sluice.llm.pii_surrogates import surrogate_pii
 from sluice.llm.quality_rules import quality_rules
 
@@ -41,3 +44,78 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogate_pii(docs).select("doc_id", "n_entities", "text")
+
+
+# Targets of the mix: domains by the source's number, languages and sources by fixed weights.
+DOMAINS = ("web", "books", "code", "news")
+DOMAIN_WEIGHTS = {"web": 4, "books": 3, "code": 2, "news": 1}
+LANG_WEIGHTS = {"en": 6, "de": 2, "fr": 1}
+MIX = {"budget_pct": 60, "max_epochs": 4, "seed": 17}
+
+
+def source_number() -> Column:
+    return F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]{1,9})$', 1) AS INT)"), F.lit(0))
+
+
+def source_domain() -> Column:
+    return F.element_at(F.array(*[F.lit(d) for d in DOMAINS]), source_number() % len(DOMAINS) + 1)
+
+
+def mix_weights(docs: DataFrame) -> DataFrame:
+    """The target tree: a weight for each domain, language and source that the documents hold."""
+    pick = lambda c, weights: sum((F.when(F.col(c) == k, v).otherwise(0) for k, v in weights.items()), F.lit(0))
+    leaves = docs.select(source_domain().alias("domain"), "lang", "source").distinct()
+    return leaves.select("domain", "lang", "source", pick("domain", DOMAIN_WEIGHTS).alias("domain_weight"),
+                         F.greatest(pick("lang", LANG_WEIGHTS), F.lit(1)).alias("lang_weight"), (1 + source_number() % 3).alias("source_weight"))
+
+
+def _fill_sql(name: str, nodes: str, parents: str, order: str, weight: str) -> str:
+    """Water filling of one level, as CTEs that end in ``name`` (columns of ``nodes`` with ``given``)."""
+    part = f"PARTITION BY {parents}" if parents else ""
+    return f"""
+{name}_1 AS (SELECT *, CASE WHEN cap > 0 THEN {weight} ELSE 0 END AS w FROM {nodes}),
+{name}_2 AS (SELECT *, CASE WHEN w > 0 THEN cap::DOUBLE / w ELSE 'inf'::DOUBLE END AS ratio FROM {name}_1),
+{name}_3 AS (SELECT *, coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before,
+  coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w_before, sum(w) OVER ({part}) AS w_all
+  FROM {name}_2 WINDOW o AS ({part} ORDER BY ratio, {order})),
+{name}_4 AS (SELECT *, w > 0 AND cap * (w_all - w_before) <= w * (amount - cap_before) AS is_full FROM {name}_3),
+{name}_5 AS (SELECT *, sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({part}) AS cap_full,
+  sum(CASE WHEN is_full THEN w ELSE 0 END) OVER ({part}) AS w_full FROM {name}_4),
+{name} AS (SELECT *, CASE WHEN w = 0 THEN 0 WHEN is_full THEN cap ELSE (w * (amount - cap_full)) // (w_all - w_full) END AS given FROM {name}_5)"""
+
+
+def mix_sql(docs: str) -> str:
+    """DuckDB SQL of the mix over a relation ``docs``: CTEs up to ``mixed(doc_id, domain, lang, source, n_tokens, epoch)``."""
+    def cases(c: str, weights: dict[str, int], other: int) -> str:
+        return f"CASE {c} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {other} END"
+    number = r"coalesce(try_cast(regexp_extract(source, '([0-9]{1,9})$', 1) AS INTEGER), 0)"
+    domain = f"CASE {number} % {len(DOMAINS)} " + " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(DOMAINS)) + " END"
+    return rf"""
+tok AS (SELECT doc_id, {domain} AS domain, lang, source, {number} AS num,
+  CAST(length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM {docs}),
+leaf AS (SELECT domain, lang, source, any_value(num) AS num, CAST(sum(n_tokens) AS BIGINT) AS avail FROM tok GROUP BY ALL),
+tree AS (SELECT *, avail * {MIX['max_epochs']} AS cap, {cases('domain', DOMAIN_WEIGHTS, 0)} AS dw,
+  {cases('lang', LANG_WEIGHTS, 1)} AS lw, 1 + num % 3 AS sw FROM leaf),
+dom0 AS (SELECT domain, CAST(sum(cap) AS BIGINT) AS cap, max(dw) AS dw, (SELECT CAST(sum(avail) AS BIGINT) * {MIX['budget_pct']} // 100 FROM leaf) AS amount
+  FROM tree GROUP BY domain),{_fill_sql('dom', 'dom0', '', 'domain', 'dw')},
+lang0 AS (SELECT t.domain, t.lang, CAST(sum(t.cap) AS BIGINT) AS cap, max(t.lw) AS lw, any_value(d.given) AS amount
+  FROM tree t JOIN dom d ON t.domain IS NOT DISTINCT FROM d.domain GROUP BY t.domain, t.lang),{_fill_sql('lng', 'lang0', 'domain', 'lang', 'lw')},
+src0 AS (SELECT t.*, l.given AS amount FROM tree t JOIN lng l ON t.domain IS NOT DISTINCT FROM l.domain AND t.lang IS NOT DISTINCT FROM l.lang),
+{_fill_sql('src', 'src0', 'domain, lang', 'source', 'sw').lstrip()},
+quota AS (SELECT domain, lang, source, avail, given // avail AS epochs, given % avail AS rest FROM src WHERE avail > 0),
+placed AS (SELECT t.*, q.epochs, q.rest, md5('{MIX['seed']}:' || q.epochs || ':' || coalesce(CAST(t.doc_id AS VARCHAR), '')) AS ord_key
+  FROM tok t JOIN quota q ON t.domain IS NOT DISTINCT FROM q.domain AND t.lang IS NOT DISTINCT FROM q.lang AND t.source IS NOT DISTINCT FROM q.source),
+run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY ord_key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM placed),
+mixed AS (SELECT doc_id, domain, lang, source, n_tokens,
+  CAST(unnest(range(CAST(epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS BIGINT))) AS INTEGER) AS epoch FROM run)"""
+
+
+@register("op3_mix_sources", f"WITH {mix_sql('documents')} SELECT * FROM mixed")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mix_sources(docs, mix_weights(docs), source_domain(), **MIX)
+
+
+@register("op5_pack_documents")
+def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
