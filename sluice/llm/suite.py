@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice.llm.mixing import mix_sources
 from sluice.llm.ngram_join import ngram_components
 from sluice.llm.packing import pack_documents
+from sluice.llm.paragraph_sketch import fingerprints
 from sluice.llm.pii_surrogates import surrogate_pii
 from sluice.llm.quality_rules import quality_rules
 
@@ -119,3 +120,8 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_pack_documents")
 def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op4_paragraph_sketch")
+def op4_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
