@@ -12,6 +12,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.paragraph_sketch import fingerprints
 from sluice.llm.pii_surrogates import surrogate_pii
 from sluice.llm.quality_rules import quality_rules
+from sluice.llm.url_lists import filter_urls, host_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -125,3 +126,59 @@ def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_paragraph_sketch")
 def op4_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def fetch_day(page_id: Column) -> Column:
+    """Captures carry no time of their own: a day of 2024 by their id."""
+    return F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(page_id, F.lit(360)).cast("int"))
+
+
+def url_entries(pages: DataFrame) -> DataFrame:
+    """A dated log of three lists over the sites that the pages hold: additions, removals, additions again."""
+    site = F.regexp_extract(host_of(F.col("url")), r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    sites = pages.select(site.alias("site")).filter("site IS NOT NULL AND site <> ''").distinct()
+    number = F.conv(F.substring(F.md5("site"), 1, 6), 16, 10).cast("int")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    n = sites.withColumn("num", number)
+    entry = lambda where, name, pattern, action, since: n.filter(where).select(
+        F.lit(name).alias("list"), pattern.alias("pattern"), F.lit(action).alias("action"), day(since).alias("since"))
+    num = F.col("num")
+    logs = [entry("site RLIKE 'pills|casino|adult|porn|bet|spam'", "spam", F.col("site"), "add", F.lit(0)),
+            entry("num % 3 = 0", "ads", F.col("site"), "add", num % 200), entry("num % 3 = 0", "ads", F.col("site"), "remove", num % 200 + 60 + num % 50),
+            entry("num % 6 = 0", "ads", F.col("site"), "add", num % 200 + 200),
+            entry("num % 2 = 0", "paths", F.concat("site", F.lit("/de")), "add", num % 300),
+            entry("num % 4 = 0", "paths", F.concat("site", F.lit("/de")), "remove", num % 300 + 20)]
+    out = logs[0]
+    for log in logs[1:]:
+        out = out.unionByName(log)
+    return out
+
+
+@register("op7_url_lists", r"""
+WITH cap AS (SELECT page_id, DATE '2024-01-01' + CAST(page_id % 360 AS INTEGER) AS fetched,
+    nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+    coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]*)', 1), '') AS segment FROM pages),
+sites AS (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS site FROM cap WHERE host IS NOT NULL),
+num AS (SELECT site, CAST('0x' || substr(md5(site), 1, 6) AS INTEGER) AS num FROM sites WHERE site <> ''),
+entries AS (SELECT 'spam' AS list, site AS pattern, 'add' AS action, 0 AS d FROM num WHERE regexp_matches(site, 'pills|casino|adult|porn|bet|spam')
+  UNION ALL SELECT 'ads', site, 'add', num % 200 FROM num WHERE num % 3 = 0
+  UNION ALL SELECT 'ads', site, 'remove', num % 200 + 60 + num % 50 FROM num WHERE num % 3 = 0
+  UNION ALL SELECT 'ads', site, 'add', num % 200 + 200 FROM num WHERE num % 6 = 0
+  UNION ALL SELECT 'paths', site || '/de', 'add', num % 300 FROM num WHERE num % 2 = 0
+  UNION ALL SELECT 'paths', site || '/de', 'remove', num % 300 + 20 FROM num WHERE num % 4 = 0),
+dated AS (SELECT list, pattern, DATE '2024-01-01' + CAST(d AS INTEGER) AS since, max(action) AS action FROM entries GROUP BY ALL),
+spans AS (SELECT *, lead(since) OVER (PARTITION BY list, pattern ORDER BY since) AS until FROM dated),
+hit AS (SELECT c.host, c.segment, c.fetched, s.list, s.pattern
+  FROM (SELECT DISTINCT host, segment, fetched FROM cap WHERE host IS NOT NULL AND fetched IS NOT NULL) c JOIN spans s
+  ON (c.host = split_part(s.pattern, '/', 1) OR ends_with(c.host, '.' || split_part(s.pattern, '/', 1)))
+  AND (NOT contains(s.pattern, '/') OR lower(c.segment) = split_part(s.pattern, '/', 2))
+  AND s.action = 'add' AND s.since <= c.fetched AND (s.until IS NULL OR c.fetched < s.until)),
+verdict AS (SELECT host, segment, fetched, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+  min(CAST(1000 - length(pattern) AS VARCHAR) || pattern) AS best FROM hit GROUP BY ALL)
+SELECT c.page_id, c.host, c.fetched, v.n IS NOT NULL AS blocked, coalesce(v.n, 0) AS n_entries, coalesce(v.lists, '') AS lists,
+  substr(v.best, 4) AS pattern
+FROM cap c LEFT JOIN verdict v ON c.host = v.host AND c.segment = v.segment AND c.fetched = v.fetched
+""")
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("fetched", fetch_day(F.col("page_id")))
+    return filter_urls(pages, url_entries(pages))
