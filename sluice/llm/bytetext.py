@@ -48,14 +48,18 @@ def _grown(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range ``[start, end)`` of ``data`` (uint8)."""
+def running_sums(data: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(data) + 1, U64)
+    np.cumsum(_TABLE[data] * _grown(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of each byte range ``[start, end)`` of ``data`` (uint8); ``sums`` are its running sums where they are at hand."""
     if not len(starts):
         return np.zeros(0, U64)
-    pw, inv = _grown(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(_TABLE[data] * pw[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inv[starts]
+    sums = running_sums(data) if sums is None else sums
+    h = (sums[ends] - sums[starts]) * _grown(len(data) + 1)[1][starts]
     return mix(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 

@@ -12,6 +12,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.paragraph_sketch import fingerprints
 from sluice.llm.pii_surrogates import surrogate_pii
 from sluice.llm.quality_rules import quality_rules
+from sluice.llm.toxicity import toxicity
 from sluice.llm.url_lists import filter_urls, host_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +183,8 @@ FROM cap c LEFT JOIN verdict v ON c.host = v.host AND c.segment = v.segment AND
 def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("fetched", fetch_day(F.col("page_id")))
     return filter_urls(pages, url_entries(pages))
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
