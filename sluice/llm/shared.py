@@ -5,7 +5,10 @@ import os
 import tempfile
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +50,39 @@ def workdir(spark: SparkSession, tag: str) -> str:
 def columns(df: DataFrame, **cols: str) -> DataFrame:
     """Only the named columns under the operator's own names; whatever else the input carries can't clash."""
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in cols.items()])
+
+
+#: Bits of a scan filter: 4 MB however many keys there are. With very many keys it lets more rows pass, never fewer.
+FILTER_BITS = 1 << 25
+_SHIFTS = (0, 19, 38)
+
+
+def key_filter(keys: DataFrame) -> Broadcast:
+    """A Bloom filter of fixed size over hash keys (a single long column), to drop rows at the scan that no join would keep."""
+    name = keys.columns[0]
+    bits = F.array(*[F.shiftrightunsigned(F.col(name), s).bitwiseAND(F.lit(FILTER_BITS - 1)) for s in _SHIFTS])
+    words = (keys.select(F.explode(bits).alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, CAST(bit & 63 AS INT))").alias("one"))
+             .groupBy("word").agg(F.bit_or("one").alias("ones")).toPandas())
+    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    table[words["word"].to_numpy(np.int64)] = words["ones"].to_numpy(np.int64).view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(table)
+
+
+def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys (int64) the filter may hold."""
+    u, out = keys.view(np.uint64), np.ones(len(keys), bool)
+    for s in _SHIFTS:
+        bit = (u >> np.uint64(s)) & np.uint64(FILTER_BITS - 1)
+        out &= (table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
+
+
+def scan_filtered(df: DataFrame, key: str, held: Broadcast, wanted: bool = True) -> DataFrame:
+    """The rows of ``df`` whose key the filter may hold (or, not ``wanted``, those that it surely doesn't)."""
+
+    def run(batches):
+        for batch in batches:
+            some = may_hold(held.value, batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64))
+            yield batch.filter(pa.array(some if wanted else ~some))
+
+    return df.mapInArrow(run, df.schema)

@@ -12,6 +12,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.paragraph_sketch import fingerprints
 from sluice.llm.pii_surrogates import surrogate_pii
 from sluice.llm.quality_rules import quality_rules
+from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.toxicity import toxicity
 from sluice.llm.url_lists import filter_urls, host_of
 
@@ -188,3 +189,8 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
