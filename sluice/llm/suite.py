@@ -11,6 +11,7 @@ from sluice.llm.ngram_join import ngram_components
 from sluice.llm.packing import pack_documents
 from sluice.llm.paragraph_sketch import fingerprints
 from sluice.llm.pii_surrogates import surrogate_pii
+from sluice.llm.pitman_yor import language_scores
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.toxicity import toxicity
@@ -194,3 +195,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_suffix_dedup")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op9_pitman_yor")
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
