@@ -5,13 +5,14 @@ the same ``run_id``. ``load_dt`` defaults to ``current_timestamp()`` (one value
 per query / micro-batch) but can be pinned for reproducible output.
 
 Scratch space (staged intermediate tables, ledgers, checkpoints) always lives
-under the shared folder the cluster names in ``spark.checkpoint.dir``. Only
-when that is unset (local tests) do we create a temporary folder and register
-it as the checkpoint dir, so every executor and the driver agree on one root.
+under the shared folder the cluster names in ``spark.checkpoint.dir``. Only in
+local mode, where driver and executors are one process, may a temporary folder
+stand in for it; on a cluster an unset folder is an error.
 """
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -49,7 +50,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Only reached where nobody configured a shared folder (tests, laptops).
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set (master {master}): name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -64,12 +67,19 @@ def new_workdir(spark: SparkSession, tag: str) -> str:
 
 
 def scan_partitions(df) -> int:
-    """Partitions the input would be read in (planning only, no job); the shuffle setting where the
-    session offers no RDD view (Spark Connect)."""
-    try:
-        return int(df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001 - no RDD API on this session
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    """How many scan partitions the files under ``df`` fill, by the sizes Spark plans with (no job)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(1, -(-size // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose data has been written on."""
+    root = scratch_root(spark)
+    if not path.startswith(f"{root}/sluice/"):
+        raise ValueError(f"{path} is not a scratch folder of {root}")
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -105,23 +115,28 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it already exists (the caller lost a race)."""
+    """Create a small file; fails if it already exists (the caller lost a race).
+
+    It is written beside and renamed, so a reader finds the whole file or none.
+    """
     fs, hpath = _fs(spark, path)
-    out = fs.create(hpath, False)
+    beside, bpath = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = beside.create(bpath, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(hpath) or not fs.rename(bpath, hpath):
+        fs.delete(bpath, False)
+        raise FileExistsError(path)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Create or replace a small file on the driver through the Hadoop file system."""
     fs, hpath = _fs(spark, path)
-    out = fs.create(hpath, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
+    if fs.exists(hpath):
+        fs.delete(hpath, False)
+    create_text(spark, path, text)
 
 
 def basename(path: str) -> str:

@@ -28,22 +28,25 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
-from sluice.context import new_workdir
+from sluice.context import new_workdir, scan_partitions
 
 _SALT, _PART, _POS = "_sl_salt", "_sl_part", "_sl_pos"
-# Above this many buckets the offsets travel as a broadcast table, not a literal.
-_LITERAL_OFFSETS_MAX = 4096
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 
 
 def _orderable(dtype) -> bool:
-    return not isinstance(dtype, (MapType, VariantType, StructType, ArrayType, BinaryType))
+    """Spark orders every type but maps and variants, and what holds them."""
+    if isinstance(dtype, StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (MapType, VariantType))
 
 
 def order_keys(df: DataFrame, order_by: str | list[str], tiebreak: list[str] | None = None) -> list[str]:
-    """Order column(s) first, then the tiebreak (default: all other atomic columns in schema order)."""
+    """Order column(s) first, then the tiebreak (default: all other orderable columns in schema order)."""
     lead = [order_by] if isinstance(order_by, str) else list(order_by)
     if tiebreak is None:
         tiebreak = [f.name for f in df.schema.fields if f.name not in lead and _orderable(f.dataType)]
@@ -109,7 +112,7 @@ def global_rank(
     spark = df.sparkSession
     keys = order_keys(df, order_by, tiebreak)
     if num_buckets is None:
-        num_buckets = choose_buckets(spark, df.count(), rows_per_bucket)
+        num_buckets = max(choose_buckets(spark, 0, rows_per_bucket), scan_partitions(df))
     workdir = workdir or new_workdir(spark, "rank")
     staged_path = f"{workdir}/staged"
     order = sort_columns(keys) + [F.col(_SALT).asc()]
@@ -130,14 +133,9 @@ def global_rank(
     counts = [int(sizes.get(b, 0)) for b in range(num_buckets)]
     ranked = Ranked(staged, sum(counts), counts, staged_path, rank_col)
     offsets = ranked.offsets()
-    if num_buckets <= _LITERAL_OFFSETS_MAX:
-        offset_col = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col(_PART) + 1)
-        frame = staged.withColumn(rank_col, offset_col + F.col(_POS) + 1)
-    else:
-        # num_buckets rows of two longs: a size we chose, safe to broadcast.
-        off_df = spark.createDataFrame(list(enumerate(offsets)), f"{_PART} int, _sl_off long")
-        frame = staged.join(F.broadcast(off_df), _PART).withColumn(rank_col, F.col("_sl_off") + F.col(_POS) + 1)
-        frame = frame.drop("_sl_off")
+    # num_buckets rows of two longs: a size we chose, safe to broadcast.
+    off_df = spark.createDataFrame(list(enumerate(offsets)), f"{_PART} int, _sl_off long")
+    frame = staged.join(F.broadcast(off_df), _PART).withColumn(rank_col, F.col("_sl_off") + F.col(_POS) + 1).drop("_sl_off")
     ranked.with_bucket = frame.select(*[F.col(f"`{c}`") for c in df.columns], F.col(rank_col).cast("long").alias(rank_col),
                                 F.col(_PART))
     return ranked
@@ -169,11 +167,6 @@ def slice_id_column(rank: Column, bounds: list[tuple[int, int]]) -> Column:
     return expr.cast("int")
 
 
-def assign_slices(ranked: Ranked, percents: list[int | float], slice_col: str = "slice_id") -> DataFrame:
-    bounds = slice_bounds(ranked.n, percents)
-    return ranked.frame.withColumn(slice_col, slice_id_column(F.col(ranked.rank_col), bounds))
-
-
 def slice_frame(ranked: Ranked, bounds: list[tuple[int, int]], index: int) -> DataFrame:
     """Rows of one slice; the bucket-range filter lets the scan skip other buckets' files."""
     start, end = bounds[index]
@@ -196,20 +189,18 @@ def slice_shares(df: DataFrame, slice_col: str = "slice_id") -> DataFrame:
 # ----------------------------------------------------------------------------------------------
 # Selective slicing: exact slices without ranking every row.
 #
-# The lead order column is read as an integer (epoch micros, day number, or the integer itself) and
-# cut into equal-width buckets between its min and max: a row's bucket is plain integer arithmetic,
-# so two cheap passes (count/min/max, then one count per bucket) fix every slice's size. Only rows of
-# the few buckets that a slice boundary cuts through get an exact rank on the full key and are
-# staged; every other row belongs to one slice by its lead value alone, so a slice's bulk is a single
-# range scan of the source (pushed to Parquet). A lead without an integer form (text, floating
-# point) falls back to ranking every row with the staged range rank above.
+# The lead order column is read as an integer (epoch micros, day number, or the integer itself).
+# Approximate quantiles a little below and above each slice boundary cut it into a few segments; their
+# accuracy decides only how few rows lie between two cuts, not the result. One aggregation counts the
+# segments. Only rows of segments that a boundary cuts through get an exact rank on the full key (the
+# staged range rank above, which also splits one value held by a third of all rows); every other row
+# belongs to one slice by its lead value alone, so a slice's bulk is a range scan of the source (pushed
+# to Parquet). A lead without an integer form (text, floating point) ranks every row.
 # ----------------------------------------------------------------------------------------------
 
-SLICE_ROWS_PER_BUCKET = 50_000
-MIN_SLICE_BUCKETS = 64
-MAX_SLICE_BUCKETS = 65_536
-# A split bucket up to this many rows is ranked in one window task; larger (hot) ones are range-ranked.
-WINDOW_RANK_MAX_ROWS = 4_000_000
+# Cuts lie these shares of all rows below and above a boundary; the inner ones exceed the quantiles' error.
+CUT_SHARES = (0.0005, 0.005, 0.05)
+QUANTILE_ACCURACY = 10_000
 _V, _LEAF, _RANK = "_sl_v", "_sl_leaf", "_sl_rank"
 
 
@@ -256,8 +247,18 @@ def _search(value: Column, cuts: list[Column], lo: int, hi: int) -> Column:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """64-bit hash of every column of a row, as an exact decimal so sums never overflow."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    """64-bit hash of a row, as an exact decimal so sums never overflow.
+
+    Every column enters with its position, its name, whether it is null, and its value (nested ones as JSON),
+    so a value that moves to another column, or a null beside it, changes the hash.
+    """
+    parts = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StructType, ArrayType, MapType, VariantType)):
+            c = F.to_json(F.struct(c))
+        parts += [F.lit(f"{i}:{f.name}"), c.isNull(), c]
+    return F.xxhash64(*parts).cast("decimal(38,0)")
 
 
 @dataclass
@@ -358,6 +359,18 @@ def _segment_range(lead: Column, seg: Segment, lead_type) -> Column:
     return (lead >= _raw_literal(seg.lo, lead_type)) & (lead <= _raw_literal(seg.hi - 1, lead_type))
 
 
+def _cut_points(df: DataFrame, value: Column, n: int, nn: int, bounds: list[tuple[int, int]]) -> list[int]:
+    """Lead values a little below and above each slice boundary, ascending (approximate quantiles, one pass)."""
+    shares = set()
+    for _, end in bounds[:-1]:
+        at = (end - (n - nn)) / nn  # NULL leads come first
+        shares |= {s for d in CUT_SHARES for s in (at - d, at + d) if 0 < s < 1}
+    if not shares:
+        return []
+    found = df.agg(F.percentile_approx(value, sorted(shares), QUANTILE_ACCURACY)).first()[0]
+    return sorted({int(v) for v in found or []})
+
+
 def plan_slices(
     df: DataFrame,
     order_by: str | list[str],
@@ -369,13 +382,10 @@ def plan_slices(
 ) -> SlicedFrame:
     """Exact percentage slices of ``df`` ordered by ``order_by ASC NULLS FIRST, tiebreak…``.
 
-    Jobs: count/min/max of the lead column; one count per bucket (``num_buckets`` equal-width buckets,
-    by default ``n / 50,000`` clamped to 64..65,536; at most that many small rows reach the driver —
-    with ``fingerprint`` each bucket also sums its rows' hashes); an exact rank of the rows in the
-    buckets that a slice boundary cuts through (about ``3 / num_buckets`` of the data for three
-    boundaries), staged once. Split buckets up to ``WINDOW_RANK_MAX_ROWS`` rows each are ranked by a
-    window per bucket; a larger one (a very frequent lead value, or NULL) goes through the skew-safe
-    staged range rank instead.
+    Jobs: count/min/max of the lead column; its quantiles beside the slice boundaries; one count per segment between them (a few
+    rows per slice reach the driver; with ``fingerprint`` each segment also sums its rows' hashes); an exact range rank of the rows
+    in the segments that a boundary cuts through (about a thousandth of the data per boundary, or all rows of the lead value
+    there), staged once in ``num_buckets`` range buckets.
     """
     spark = df.sparkSession
     keys = order_keys(df, order_by, tiebreak)
@@ -383,33 +393,26 @@ def plan_slices(
     lead = F.col(f"`{keys[0]}`")
     value = _integral(lead, lead_type)
     workdir = workdir or new_workdir(spark, "slice-rank")
-    if value is not None:
-        # min/max of the raw column, then its integer form: monotone, so f(min) = min(f)
-        stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(lead).alias("nn"),
-                       _integral(F.min(lead), lead_type).alias("lo"),
-                       _integral(F.max(lead), lead_type).alias("hi")).first()
-        n, nn, lo, hi = int(stats["n"]), int(stats["nn"]), stats["lo"], stats["hi"]
-    if value is None or (nn and hi - lo >= 2 ** 62):
-        # no integer form (or a span that would overflow a long): rank every row
-        ranked = global_rank(df, keys, tiebreak=[], workdir=workdir)
+    if value is None:
+        ranked = global_rank(df, keys, tiebreak=[], workdir=workdir, num_buckets=num_buckets)
         bounds = slice_bounds(ranked.n, percents)
         return SlicedFrame(df, keys, ranked.n, bounds, [], [], lead_type, None, ranked)
+    # min/max of the raw column, then its integer form: monotone, so f(min) = min(f)
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(lead).alias("nn"),
+                   _integral(F.min(lead), lead_type).alias("lo"),
+                   _integral(F.max(lead), lead_type).alias("hi")).first()
+    n, nn, lo, hi = int(stats["n"]), int(stats["nn"]), stats["lo"], stats["hi"]
     bounds = slice_bounds(n, percents)
     segments: list[Segment] = []
     if n:
-        k = num_buckets or min(MAX_SLICE_BUCKETS, max(MIN_SLICE_BUCKETS, math.ceil(nn / SLICE_ROWS_PER_BUCKET)))
-        width = max(1, -(-(hi + 1 - lo) // k)) if nn else 1
+        edges = [lo, *[c for c in _cut_points(df, value, n, nn, bounds) if lo < c <= hi], hi + 1] if nn else []
         base = df.select(value.alias(_V), *([row_hash(df).alias("_sl_h")] if fingerprint else []))
-        bucket = F.when(F.col(_V).isNull(), F.lit(-1)).otherwise(F.expr(f"({_V} - ({lo}L)) div {width}L")) \
-            if nn else F.lit(-1)
+        inner = [F.lit(e) for e in edges[1:-1]]
+        segment = F.when(F.col(_V).isNull(), F.lit(-1)).otherwise(_search(F.col(_V), inner, 0, len(inner)))
         aggs = [F.count(F.lit(1)).alias("n")] + ([F.sum("_sl_h").alias("h")] if fingerprint else [])
-        # One row per non-empty bucket (at most k + 1) is all that reaches the driver.
-        for r in sorted(base.groupBy(bucket.alias("_b")).agg(*aggs).collect(), key=lambda r: r["_b"]):
+        for r in sorted(base.groupBy(segment.alias("_b")).agg(*aggs).collect(), key=lambda r: r["_b"]):
             b, cnt, h = int(r["_b"]), int(r["n"]), int(r["h"] or 0) if fingerprint else 0
-            if b < 0:
-                segments.append(Segment(None, None, cnt, h))
-            else:
-                segments.append(Segment(lo + b * width, min(hi + 1, lo + (b + 1) * width), cnt, h))
+            segments.append(Segment(None, None, cnt, h) if b < 0 else Segment(edges[b], edges[b + 1], cnt, h))
     sliced = SlicedFrame(df, keys, n, bounds, segments, [], lead_type, None)
     off = 0
     for j, s in enumerate(segments):
@@ -420,29 +423,18 @@ def plan_slices(
     if not sliced.split:
         return sliced
     split = [segments[j] for j in sliced.split]
-    leaf = None
+    leaf, any_split = None, None
     for i, s in enumerate(split):
         cond = _segment_range(lead, s, lead_type)
         leaf = F.when(cond, F.lit(i)) if leaf is None else leaf.when(cond, F.lit(i))
-    any_split = None
-    for s in split:
-        cond = _segment_range(lead, s, lead_type)
         any_split = cond if any_split is None else (any_split | cond)
-    rows = df.filter(any_split).withColumn(_LEAF, leaf)
-    if max(s.n for s in split) <= WINDOW_RANK_MAX_ROWS:
-        offsets = F.array(*[F.lit(s.offset) for s in split])
-        w = Window.partitionBy(_LEAF).orderBy(*sort_columns(keys))
-        (rows.withColumn(_RANK, (F.element_at(offsets, F.col(_LEAF) + 1) + F.row_number().over(w)).cast("long"))
-         .write.mode("overwrite").parquet(f"{workdir}/split"))
-        sliced.sub = spark.read.parquet(f"{workdir}/split")
-    else:
-        ranked = global_rank(rows, keys, tiebreak=[], workdir=workdir,
-                             num_buckets=choose_buckets(spark, sum(s.n for s in split)))
-        # rank among the split rows → global rank: the segments are disjoint lead ranges in order
-        shift, before = [], 0
-        for s in split:
-            shift.append(s.offset - before)
-            before += s.n
-        sliced.sub = ranked.frame.withColumn(
-            _RANK, F.col(ranked.rank_col) + F.element_at(F.array(*[F.lit(x) for x in shift]), F.col(_LEAF) + 1))
+    ranked = global_rank(df.filter(any_split).withColumn(_LEAF, leaf), keys, tiebreak=[], workdir=workdir,
+                         num_buckets=num_buckets or choose_buckets(spark, sum(s.n for s in split)))
+    # rank among the split rows → global rank: the segments are disjoint lead ranges in order
+    shift, before = [], 0
+    for s in split:
+        shift.append(s.offset - before)
+        before += s.n
+    sliced.sub = ranked.frame.withColumn(
+        _RANK, F.col(ranked.rank_col) + F.element_at(F.array(*[F.lit(x) for x in shift]), F.col(_LEAF) + 1))
     return sliced

@@ -1,11 +1,11 @@
 """Chronological chunking: split a table by time into percentage slices, one file set each.
 
-Slices come from :func:`sluice.operators.rank.plan_slices`: rows are bucketed by
-equal-width ranges of the order column, bucket counts give every slice's size
-(no per-slice count action), and only the few rows in buckets that a slice
-boundary cuts through are ranked exactly. Nothing is sorted globally and the
-bulk of the data is never shuffled: each slice write is a range scan of the
-source plus its share of the staged boundary rows.
+Slices come from :func:`sluice.operators.rank.plan_slices`: approximate quantiles beside the slice
+boundaries cut the order column into segments, one count per segment gives every slice's size, and
+only the few rows in segments that a boundary cuts through are ranked exactly. Nothing is sorted
+globally and the bulk of the data is never shuffled: each slice write is a range scan of the source
+plus its share of the staged boundary rows. A source that isn't Parquet is parsed once, into the
+shared folder, so that those scans don't parse it again.
 """
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 import json
 
-from sluice.context import RunContext, new_workdir, path_exists, read_text, write_text
+from sluice.context import RunContext, new_workdir, path_exists, read_text, release, write_text
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns, strip_audit_columns
 from sluice.operators.rank import SlicedFrame, plan_slices
 from sluice.sources import formats
@@ -52,12 +52,6 @@ class ChunkResult:
     skipped: list[str] = field(default_factory=list)
 
 
-def validate_plan(plan) -> None:
-    total = sum(t.percent for t in plan)
-    if total != 100:
-        raise ValueError(f"slice percentages must sum to 100, got {total}")
-
-
 def audited_schema(schema: StructType) -> StructType:
     from pyspark.sql.types import StringType, TimestampType
 
@@ -94,11 +88,14 @@ def run_chunking(
     format) equals the one saved beside its output is not rewritten: its files keep their names and
     times, so file-tracking loaders downstream do not ingest the same rows twice on a re-run.
     """
-    validate_plan(plan)
     spark = df.sparkSession
+    work = new_workdir(spark, "chunk-rank")
     df = strip_audit_columns(df)
+    if not reads_parquet(df):
+        df.write.parquet(f"{work}/source")
+        df = spark.read.schema(df.schema).parquet(f"{work}/source")
     sliced = plan_slices(df, order_by, [t.percent for t in plan], tiebreak=tiebreak, num_buckets=num_buckets,
-                         workdir=new_workdir(spark, "chunk-rank"), fingerprint=skip_unchanged)
+                         workdir=work, fingerprint=skip_unchanged)
     bounds = sliced.bounds
     counts, paths, fmts, writes = {}, {}, {}, []
     for i, target in enumerate(plan):
@@ -110,7 +107,7 @@ def run_chunking(
         counts[target.key] = max(0, end - start + 1)
         paths[target.key] = path
         fmts[target.key] = target.format
-    prints = slice_fingerprints(sliced, plan) if skip_unchanged else {}
+    prints = slice_fingerprints(sliced, plan, df.schema) if skip_unchanged else {}
     fp_dir = f"{out_dir}/_fingerprints"
     todo, skipped = [], []
     for (d, p, f), target in zip(writes, plan):
@@ -127,18 +124,28 @@ def run_chunking(
     for _, _, _, key in todo:  # only after the data is in place
         if prints:
             write_text(spark, f"{fp_dir}/{key}.json", prints[key])
-    return ChunkResult(counts, bounds, paths, fmts, audited_schema(df.schema), sliced.n, sliced, skipped)
+    schema = audited_schema(df.schema)
+    release(spark, work)  # the slices are written: nothing reads the staged rows any more
+    return ChunkResult(counts, bounds, paths, fmts, schema, sliced.n, sliced, skipped)
+
 
+def reads_parquet(df: DataFrame) -> bool:
+    """Whether ``df`` is a projection or filter of Parquet files, which a range scan can prune."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    kinds = {node.strip(" :+-").split(" ")[0] for node in plan.treeString().splitlines()}
+    return leaves.size() == 1 and "parquet" in leaves.apply(0).toString().lower() and kinds <= {"Project", "Filter", "Relation"}
 
-def slice_fingerprints(sliced: SlicedFrame, plan) -> dict[str, str]:
-    """Per slice: JSON of (rows, exact sum of 64-bit row hashes, rank range, format).
 
-    Whole buckets take the sums the bucket-count pass already made (``fingerprint=True``); only the
+def slice_fingerprints(sliced: SlicedFrame, plan, schema: StructType) -> dict[str, str]:
+    """Per slice: JSON of (rows, exact sum of 64-bit row hashes, rank range, format, schema).
+
+    Whole segments take the sums the count pass already made (``fingerprint=True``); only the
     staged boundary rows are aggregated again, in one small job.
     """
     got = sliced.slice_prints(whole_hashes=True)
     return {t.key: json.dumps({"rows": got[i][0], "hash_sum": str(got[i][1]), "ranks": list(sliced.bounds[i]),
-                               "format": t.format}, sort_keys=True)
+                               "format": t.format, "schema": schema.jsonValue()}, sort_keys=True)
             for i, t in enumerate(plan)}
 
 
@@ -153,8 +160,3 @@ def read_slices(spark: SparkSession, result: ChunkResult, slice_col: str = "slic
         out = out.unionByName(f)
     return out
 
-
-def slice_report(counts: dict[str, int]) -> list[tuple[str, int, float]]:
-    """Per slice: rows and share of the total (1 decimal, 0 when the total is 0)."""
-    total = sum(counts.values())
-    return [(k, v, round(100 * v / total, 1) if total else 0.0) for k, v in counts.items()]

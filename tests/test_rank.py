@@ -1,16 +1,15 @@
 """Global rank and chronological slicing: exact against a brute-force rank."""
 from __future__ import annotations
 
-import datetime as dt
-import random
-
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluice.context import FIXED_CONTEXT
-from sluice.operators.rank import global_rank, order_keys, slice_bounds, slice_shares
-from sluice.plans.chunking import DEFAULT_PLAN, SliceTarget, read_slices, run_chunking, validate_plan
+from sluice.operators.rank import global_rank, order_keys, plan_slices, row_hash, slice_bounds, slice_shares
+from sluice.plans.chunking import DEFAULT_PLAN, SliceTarget, read_slices, run_chunking
+
+SF = "/root/testdata/sf0.001"
 
 
 def brute_rank(df, order_by):
@@ -23,10 +22,10 @@ def same_rows(a, b):
     return sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_plan_percentages_sum_to_100():
-    assert sum(t.percent for t in DEFAULT_PLAN) == 100
+def test_a_plan_that_leaves_rows_out_is_refused(spark, parts, workdir):
+    assert slice_bounds(10, [t.percent for t in DEFAULT_PLAN])[-1] == (10, 10)
     with pytest.raises(ValueError):
-        validate_plan([SliceTarget("a", 50, "csv"), SliceTarget("b", 40, "csv")])
+        run_chunking(parts, "o_orderdate", workdir, plan=[SliceTarget("a", 50, "csv"), SliceTarget("b", 40, "csv")])
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 9, 10, 11, 100, 12345])
@@ -40,32 +39,28 @@ def test_slice_bounds_are_contiguous_and_complete(n):
         assert [e - s + 1 for s, e in b] == [40, 30, 20, 10]
 
 
-@pytest.fixture()
-def cars(spark):
-    """100 rows over 100 consecutive days, shuffled (seeded): the slicer must sort itself."""
-    base = dt.datetime(2023, 6, 2)
-    rows = [(i, i + 1, base + dt.timedelta(days=i), 500 + i % 10, i % 14) for i in range(100)]
-    random.Random(42).shuffle(rows)
-    return spark.createDataFrame(rows, "enter long, exit long, date timestamp_ntz, id long, location long")
+@pytest.fixture(scope="module")
+def parts(spark):
+    """The first 250 orders by key; several share a date."""
+    return spark.read.parquet(f"{SF}/orders.parquet").orderBy("o_orderkey").limit(250).cache()
 
 
-def test_slices_are_chronological_and_cover_all_rows(spark, cars, workdir):
-    res = run_chunking(cars, "date", workdir, source_name="cars.csv", ctx=FIXED_CONTEXT)
-    assert res.counts == {"chunk1": 40, "chunk2": 30, "chunk3": 20, "chunk4": 10}
+def test_slices_follow_the_order_date(spark, parts, workdir):
+    res = run_chunking(parts, "o_orderdate", workdir, source_name="orders", ctx=FIXED_CONTEXT)
     back = read_slices(spark, res)
-    stats = back.groupBy("slice_id").agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
-                                         F.count(F.lit(1)).alias("n")).orderBy("slice_id").collect()
-    assert [r["n"] for r in stats] == [40, 30, 20, 10]
-    for prev, nxt in zip(stats, stats[1:]):
-        assert prev["hi"] < nxt["lo"]
-    files = {r[0] for r in back.select("source_file").distinct().collect()}
-    assert files == {"cars.csv[rows 1-40]", "cars.csv[rows 41-70]", "cars.csv[rows 71-90]", "cars.csv[rows 91-100]"}
-    assert same_rows(back.select(*cars.columns), cars)
-
-
-def test_slicing_is_idempotent(spark, cars, workdir):
-    first = read_slices(spark, run_chunking(cars, "date", workdir + "/a", ctx=FIXED_CONTEXT))
-    second = read_slices(spark, run_chunking(cars.orderBy(F.rand(7)), "date", workdir + "/b", ctx=FIXED_CONTEXT))
+    dates = sorted(r[0] for r in parts.select("o_orderdate").collect())
+    got = {r["slice_id"]: r for r in back.groupBy("slice_id").agg(
+        F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"), F.count(F.lit(1)).alias("n")).collect()}
+    for i, (start, end) in enumerate(slice_bounds(250, [40, 30, 20, 10]), start=1):
+        assert (got[i]["lo"], got[i]["hi"], got[i]["n"]) == (dates[start - 1], dates[end - 1], end - start + 1)
+    names = {(r[0], r[1]) for r in back.select("slice_id", "source_file").distinct().collect()}
+    assert names == {(i, f"orders[rows {a}-{b}]") for i, (a, b) in enumerate(slice_bounds(250, [40, 30, 20, 10]), start=1)}
+    assert same_rows(back.select(*parts.columns), parts)
+
+
+def test_row_order_of_the_input_does_not_matter(spark, parts, workdir):
+    first = read_slices(spark, run_chunking(parts, "o_orderdate", workdir + "/a", ctx=FIXED_CONTEXT))
+    second = read_slices(spark, run_chunking(parts.orderBy(F.rand(7)), "o_orderdate", workdir + "/b", ctx=FIXED_CONTEXT))
     assert same_rows(first, second)
 
 
@@ -102,18 +97,18 @@ def test_rank_plan_has_no_single_partition_exchange(spark, events, workdir):
     assert "SinglePartition" not in plan
 
 
-def test_slice_shares(spark, cars, workdir):
-    res = run_chunking(cars, "date", workdir, ctx=FIXED_CONTEXT)
+def test_slice_shares(spark, parts, workdir):
+    res = run_chunking(parts, "o_orderdate", workdir, ctx=FIXED_CONTEXT)
     rows = {r["slice_id"]: (r["n_rows"], r["pct_of_total"], r["total_rows"])
             for r in slice_shares(read_slices(spark, res)).collect()}
-    assert rows == {1: (40, 40.0, 100), 2: (30, 30.0, 100), 3: (20, 20.0, 100), 4: (10, 10.0, 100)}
+    assert rows == {1: (100, 40.0, 250), 2: (75, 30.0, 250), 3: (50, 20.0, 250), 4: (25, 10.0, 250)}
 
 
-def test_empty_input_gives_empty_slices_that_read_back(spark, cars, workdir):
-    res = run_chunking(cars.limit(0), "date", workdir, ctx=FIXED_CONTEXT)
+def test_empty_input_gives_empty_slices_that_read_back(spark, parts, workdir):
+    res = run_chunking(parts.limit(0), "o_orderdate", workdir, ctx=FIXED_CONTEXT)
     assert res.counts == {"chunk1": 0, "chunk2": 0, "chunk3": 0, "chunk4": 0}
     back = read_slices(spark, res)
-    assert back.count() == 0 and "date" in back.columns
+    assert back.count() == 0 and "o_orderdate" in back.columns
 
 
 def brute_slices(df, order_by, percents):
@@ -128,8 +123,6 @@ def brute_slices(df, order_by, percents):
 
 @pytest.mark.parametrize("case", ["plain", "all_tied", "null_dates", "hot_identical", "tiny"])
 def test_selective_slices_match_brute_force(spark, events, case):
-    from sluice.operators.rank import plan_slices
-
     df = events
     if case == "all_tied":
         df = events.withColumn("ts", F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
@@ -149,23 +142,24 @@ def test_selective_slices_match_brute_force(spark, events, case):
     assert same_rows(got, want)
 
 
-def test_selective_slice_scan_is_not_shuffled(spark, events):
-    from sluice.operators.rank import plan_slices
-
-    sliced = plan_slices(events, "ts", [40, 30, 20, 10], num_buckets=16)
+def test_the_bulk_of_a_slice_is_a_pushed_range_scan(spark, events):
+    sliced = plan_slices(events, "ts", [40, 30, 20, 10])
     plan = sliced.frame(1)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan.split("Union")[0] or "Union" in plan
-    assert "GreaterThanOrEqual(ts" in plan or "LessThanOrEqual(ts" in plan
-
-
-def test_hot_split_bucket_takes_the_range_rank_path(spark, events, monkeypatch):
-    import sluice.operators.rank as R
-
-    monkeypatch.setattr(R, "WINDOW_RANK_MAX_ROWS", 50)
-    df = events.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-10 00:00:00")
-                                        .cast("timestamp_ntz")).otherwise(F.col("ts")))
-    sliced = R.plan_slices(df, "ts", [40, 30, 20, 10], num_buckets=16)
-    assert max(sliced.bucket_counts[b] for b in sliced.split_buckets) > 50
+    assert "Exchange" not in plan
+    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
+
+
+@pytest.mark.parametrize("case", ["outliers", "one_hot_time"])
+def test_few_rows_are_ranked(spark, events, case):
+    df, n = events, events.count()
+    if case == "outliers":
+        far = [events.limit(1).withColumn("ts", F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz")) for y in (1900, 2999)]
+        df = events.unionByName(far[0]).unionByName(far[1])
+    else:
+        df = events.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")))
+    sliced = plan_slices(df, "ts", [40, 30, 20, 10])
+    ranked = sum(sliced.bucket_counts[b] for b in sliced.split_buckets)
+    assert ranked < (0.1 * n if case == "outliers" else 0.45 * n)
     got = None
     for i in range(4):
         part = sliced.frame(i).withColumn("sid", F.lit(i))
@@ -173,27 +167,43 @@ def test_hot_split_bucket_takes_the_range_rank_path(spark, events, monkeypatch):
     assert same_rows(got, brute_slices(df, "ts", [40, 30, 20, 10]))
 
 
-def test_rerun_skips_unchanged_slices_so_loaders_do_not_reload(spark, cars, workdir):
+def test_ties_that_differ_in_binary_or_nested_columns(spark):
+    rows = [(1, bytes([i % 7, i % 3]), [i % 5, i], (i % 2, str(i))) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, b binary, a array<int>, s struct<x:int,y:string>")
+    assert order_keys(df, "k") == ["k", "b", "a", "s"]
+    runs = [{r["s"]["y"]: r["rank"] for r in global_rank(df.orderBy(F.rand(seed)), "k", num_buckets=3).frame.collect()} for seed in (1, 2)]
+    assert runs[0] == runs[1]
+
+
+def test_rerun_skips_unchanged_slices_so_loaders_do_not_reload(spark, parts, workdir):
     from sluice.plans.load import copy_into
     from sluice.sources import SourceSpec
 
-    first = run_chunking(cars, "date", workdir + "/out", ctx=FIXED_CONTEXT)
+    first = run_chunking(parts, "o_orderdate", workdir + "/out", ctx=FIXED_CONTEXT)
     assert first.skipped == []
     spec = SourceSpec("c1", path=first.paths["chunk1"], format="csv", schema=first.schema, has_audit_columns=True)
-    assert copy_into(spark, spec, workdir + "/bronze", FIXED_CONTEXT).rows_loaded == 40
-    again = run_chunking(cars.orderBy(F.rand(1)), "date", workdir + "/out", ctx=FIXED_CONTEXT)
+    assert copy_into(spark, spec, workdir + "/bronze", FIXED_CONTEXT).rows_loaded == 100
+    again = run_chunking(parts.orderBy(F.rand(1)), "o_orderdate", workdir + "/out", ctx=FIXED_CONTEXT)
     assert again.skipped == ["chunk1", "chunk2", "chunk3", "chunk4"]
     assert copy_into(spark, spec, workdir + "/bronze", FIXED_CONTEXT).rows_loaded == 0
-    changed = cars.withColumn("enter", F.when(F.col("enter") == 0, F.lit(-1)).otherwise(F.col("enter")))
-    third = run_chunking(changed, "date", workdir + "/out", ctx=FIXED_CONTEXT)
-    assert third.skipped == ["chunk2", "chunk3", "chunk4"]
+    least = parts.orderBy("o_orderdate", "o_orderkey").first()["o_orderkey"]
+    changed = parts.withColumn("o_totalprice", F.when(F.col("o_orderkey") == least, F.lit(-1.0)).otherwise(F.col("o_totalprice")))
+    assert run_chunking(changed, "o_orderdate", workdir + "/out", ctx=FIXED_CONTEXT).skipped == ["chunk2", "chunk3", "chunk4"]
+
+
+def test_a_moved_value_or_a_renamed_column_is_a_change(spark, workdir):
+    plan = [SliceTarget("a", 50, "json"), SliceTarget("b", 50, "json")]
+    start = spark.createDataFrame([(i, None, 7 + i) for i in range(20)], "t long, a long, b long")
+    moved = spark.createDataFrame([(i, 7 + i, None) for i in range(20)], "t long, a long, b long")
+    for df, skipped in ((start, []), (start, ["a", "b"]), (moved, []), (moved, ["a", "b"]), (moved.withColumnRenamed("a", "c"), [])):
+        res = run_chunking(df, "t", workdir, plan=plan, ctx=FIXED_CONTEXT)
+        assert res.skipped == skipped
+        assert same_rows(read_slices(spark, res).select(*df.columns), df)
 
 
 @pytest.mark.parametrize("lead", ["user_id", "event_type", "value"])
 def test_selective_slices_other_lead_types_match_brute_force(spark, events, lead):
     """Integer leads take the bucketed path; text and floating-point leads rank every row."""
-    from sluice.operators.rank import plan_slices
-
     sliced = plan_slices(events, lead, [40, 30, 20, 10])
     assert (sliced.ranked is None) == (lead == "user_id")
     got = None
@@ -204,8 +214,6 @@ def test_selective_slices_other_lead_types_match_brute_force(spark, events, lead
 
 
 def test_slice_prints_equal_a_direct_hash_of_each_slice(spark, events):
-    from sluice.operators.rank import plan_slices, row_hash
-
     sliced = plan_slices(events, "ts", [40, 30, 20, 10], num_buckets=16, fingerprint=True)
     prints = sliced.slice_prints(whole_hashes=True)
     for i in range(4):
