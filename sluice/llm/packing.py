@@ -8,6 +8,7 @@ within their length (by hash buckets, so that a frequent length is not one task)
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -17,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.llm import bytetext as B
 from sluice.llm.shared import columns, workdir, written
 
 SIZE = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 RANK_BUCKETS = 1024
-CACHED_WORDS = 300_000
+CACHED_UNITS = 1_500_000  # about 60 MB a worker
+BLOCK = 1 << 22
 
 
 @lru_cache(maxsize=2)
@@ -35,72 +38,107 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path if os.path.sep in path else public_tokenizers.path(path))
 
 
-class WordIds:
-    """Ids of texts, word by word: neither its normalizer nor its splitting rule joins what white space parts, so a text's
-    ids are those of its words. Words are remembered up to a fixed number."""
+class TextIds:
+    """Ids of whole texts from the ids of their units, each of which the tokenizer sees once.
+
+    Neither its normalizer nor its splitting rule joins what white space parts, nor a run of letters with a run of ASCII digits and signs, so a
+    text's ids are those of its units: runs of letters and runs of other ASCII characters. Words with an apostrophe (its rule knows
+    endings such as 's), a < (its special tokens begin so) or a character outside ASCII that is no letter are units as they are. Units are remembered up to a fixed number.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.lengths, self.starts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for w in words:
-            self.index[w] = len(self.index)
-        lengths = np.array([len(e.ids) for e in found], np.int64)
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
-        self.lengths, self.starts = np.concatenate([self.lengths, lengths]), np.concatenate([self.starts, starts])
-        self.flat = np.concatenate([self.flat, np.array([i for e in found for i in e.ids], np.uint32)])
-
-    def prepare(self, texts: list[bytes]) -> None:
-        new = set().union(*(t.split() for t in texts)) if texts else set()
-        if len(self.index) + len(new) > CACHED_WORDS:
+        self.keys, self.lengths, self.starts = np.zeros(0, B.U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.plain, self.flat = np.zeros(0, bool), np.zeros(0, np.uint32)
+
+    def _learn(self, keys: np.ndarray, units: list[bytes]) -> None:
+        if len(self.keys) + len(keys) > CACHED_UNITS:
             self._clear()
-        fresh = sorted(new - self.index.keys())
-        if fresh:
-            self._learn(fresh)
+        texts = [u.decode("utf-8", "replace") for u in units]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.array([len(i) for i in found], np.int64)
+        at = np.searchsorted(self.keys, keys)
+        self.starts = np.insert(self.starts, at, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths, self.keys = np.insert(self.lengths, at, lengths), np.insert(self.keys, at, keys)
+        self.plain = np.insert(self.plain, at, [u.isascii() or unicodedata.normalize("NFC", t).lower().isalpha() for u, t in zip(units, texts, strict=True)])
+        self.flat = np.concatenate([self.flat, np.array([i for ids in found for i in ids], np.uint32)])
+
+    def _slots(self, data: np.ndarray, folded: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where each unit is remembered; units not met before are learned."""
+        keys, first, at = np.unique(B.range_hashes(folded, starts, ends, sums), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        new[inside] = self.keys[place[inside]] != keys[inside]
+        if new.any():
+            raw, size = data.tobytes(), len(self.keys)
+            cut = lambda which: [raw[s:e] for s, e in zip(starts[first[which]].tolist(), ends[first[which]].tolist(), strict=True)]
+            if size + int(new.sum()) > CACHED_UNITS:
+                self._clear()
+                new[:] = True
+            self._learn(keys[new], cut(new))
+            place = np.searchsorted(self.keys, keys)
+        return place[at]
+
+    def of(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, limits)``: the ids of all texts, and where each text's begin."""
+        starts, ends, _ = B.word_spans(data, bounds)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
+        folded = B.LOWER[data]
+        sums = B.running_sums(folded)
+        signs = np.concatenate([[0], np.cumsum((data == 0x27) | (data == 0x3C))])
+        whole = signs[ends] > signs[starts]
+        for _ in range(2):
+            opens = np.zeros(len(data) + 1, bool)
+            letter = ~B.NON_LETTERS[data]
+            opens[1:-1] = letter[1:] != letter[:-1]
+            inside = np.zeros(len(data) + 1, np.int32)  # 1 within words that are split into units
+            np.add.at(inside, starts[~whole], 1)
+            np.add.at(inside, ends[~whole], -1)
+            opens &= np.cumsum(inside) > 0
+            opens[starts] = True
+            unit_starts = np.flatnonzero(opens)
+            word = np.searchsorted(starts, unit_starts, side="right") - 1
+            unit_ends = np.minimum(np.append(unit_starts[1:], len(data)), ends[word])
+            slots = self._slots(data, folded, sums, unit_starts, unit_ends)
+            odd = np.unique(word[~self.plain[slots] & ~whole[word]])
+            if not len(odd):
+                break
+            whole[odd] = True
+        lengths = self.lengths[slots]
+        to = np.cumsum(lengths)
+        ids = self.flat[np.arange(to[-1]) + np.repeat(self.starts[slots] - to + lengths, lengths)]
+        return ids, np.concatenate([[0], to])[np.searchsorted(unit_starts, bounds)]
 
-    def ids(self, text: bytes) -> np.ndarray:
-        """Ids of a text whose words are prepared."""
-        codes = np.array(list(map(self.index.__getitem__, text.split())), np.int64)
-        if not len(codes):
-            return np.zeros(0, np.uint32)
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1]) + np.repeat(self.starts[codes] - ends + lengths, lengths)
-        return self.flat[at]
+
+@lru_cache(maxsize=2)
+def _text_ids(path: str) -> TextIds:
+    """One memory of units for all tasks of a worker process."""
+    return TextIds(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens)``: every document's ids and ``end_id``, cut every ``size`` ids."""
 
     def run(batches):
-        words = WordIds(tokenizer)
+        known = _text_ids(tokenizer)
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary())
-            row = 0
-            while row < len(texts):
-                end, held = row, 0
-                while end < len(texts) and (held < 1 << 20 or end == row):
-                    held += len(texts[end].as_py() or b"") + 64
-                    end += 1
-                block = [t or b"" for t in texts[row:end].to_pylist()]
-                words.prepare(block)
+            for lo, hi, data, bounds in B.text_chunks(batch.column("text"), BLOCK):
+                ids, limits = known.of(data, bounds)
                 out: list[tuple] = []
-                for i, text in enumerate(block):
-                    ids = np.append(words.ids(text), np.uint32(end_id)).astype("<u4")
-                    for at in range(0, len(ids), size):
-                        part = ids[at: at + size]
-                        out.append((row + i, at, len(part), zlib.crc32(part.tobytes()), len(ids)))
+                for i in range(hi - lo):
+                    own = np.append(ids[limits[i]: limits[i + 1]], np.uint32(end_id)).astype("<u4")
+                    for at in range(0, len(own), size):
+                        part = own[at: at + size]
+                        out.append((lo + i, at, len(part), zlib.crc32(part), len(own)))
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(cols[0], pa.int64())), *[pa.array(c, pa.int64()) for c in cols[1:]]],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-                row = end
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
