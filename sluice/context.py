@@ -67,9 +67,13 @@ def new_workdir(spark: SparkSession, tag: str) -> str:
 
 
 def scan_partitions(df) -> int:
-    """How many scan partitions the files under ``df`` fill, by the sizes Spark plans with (no job)."""
+    """How many scan partitions the files under ``df`` fill, by the sizes Spark plans with (no job).
+
+    Leaves of unknown size (rows that are no files) count nothing.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(s for s in sizes if s < 1 << 60)
     return max(1, -(-size // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluice.plans.tables import widen
+
 
 def align(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` onto ``schema`` by name: cast present columns, NULL for missing ones."""
@@ -40,60 +42,56 @@ def reconcile(frames: list[DataFrame], schema: StructType, keys: list[str], orde
     return latest_per_key(union, keys, order_by)
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+def upsert(target: DataFrame | None, updates: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """Merge ``updates`` into ``target``: per key the newest ``order_by`` wins.
 
-    A late row older than what the target holds never overwrites it. Target rows
-    whose key is not in ``updates`` pass through untouched; only touched keys are
-    re-resolved (AQE turns the key joins into broadcasts when the update set is
-    small, and keeps a shuffle join when it is not).
+    A late row older than what the target holds never overwrites it. With the load time last in ``order_by`` a correction with
+    an equal event time wins over the row it corrects. Both sides are widened to all columns of either, put together
+    and reduced to one row per key: one shuffle, combined map-side, whatever share of the keys is touched.
     """
-    updates = updates.select(*target.columns)
-    touched = updates.select(*keys).distinct()
-    untouched = target.join(touched, keys, "left_anti")
-    contenders = target.join(touched, keys, "left_semi").unionByName(updates)
-    return untouched.unionByName(latest_per_key(contenders, keys, order_by))
+    if target is None:
+        return latest_per_key(updates, keys, order_by)
+    schema = widen(target.schema, updates.schema)
+    return latest_per_key(align(target, schema).unionByName(align(updates, schema)), keys, order_by)
 
 
 SCD_COLUMNS = ("valid_from", "valid_to", "is_current")
 
 
 def scd2_apply(
-    history: DataFrame | None,
+    current: DataFrame | None,
     snapshot: DataFrame,
     keys: list[str],
     tracked: list[str],
     as_of: Column,
 ) -> DataFrame:
-    """Apply a full snapshot to an SCD2 history as of ``as_of``.
+    """Rows that a full snapshot as of ``as_of`` leaves of the ``current`` (open) rows, and those it opens.
 
     * key unchanged (tracked columns equal, NULL-safe) → current row kept as is;
     * key changed → current row closed (``valid_to = as_of``), new row opened;
     * key new → row opened; key absent from the snapshot → stays open (no deletes);
-    * closed rows are never touched.
+    * a NULL key is a key like any other.
+
+    One join; every joined row gives its one or two results. Rows closed by earlier snapshots are not needed and not touched.
+    The caller sees to it that snapshots come in order (``Scd2Table`` refuses a late one).
     """
     attrs = [c for c in snapshot.columns if c not in keys]
-    opened = snapshot.select(*keys, *attrs, as_of.alias("valid_from"),
-                             F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
-    if history is None:
-        return opened
-    closed_before = history.filter(~F.col("is_current"))
-    current = history.filter(F.col("is_current"))
-    s = snapshot.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in attrs], F.lit(True).alias("_in_snap"))
-    j = current.join(s, keys, "full_outer")
-    in_cur = F.col("is_current").isNotNull()
-    in_snap = F.col("_in_snap").isNotNull()
+    none = F.lit(None).cast("timestamp_ntz")
+    if current is None:
+        return snapshot.select(*keys, *attrs, as_of.alias("valid_from"), none.alias("valid_to"), F.lit(True).alias("is_current"))
+    s = snapshot.select(*[F.col(f"`{c}`").alias(f"_s_{c}") for c in keys + attrs], F.lit(True).alias("_in_snap"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"`{k}`").eqNullSafe(F.col(f"`_s_{k}`"))
+    j = current.filter("is_current").join(s, on, "full_outer")
     same = F.lit(True)
     for c in tracked:
-        same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    changed = in_cur & in_snap & ~same
-    keep_or_close = j.filter(in_cur).select(
-        *keys, *attrs, "valid_from",
-        F.when(changed, as_of).otherwise(F.col("valid_to")).alias("valid_to"),
-        F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
-    )
-    new_rows = j.filter(in_snap & (~in_cur | changed)).select(
-        *keys, *[F.col(f"_s_{c}").alias(c) for c in attrs], as_of.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"),
-    )
-    return closed_before.unionByName(keep_or_close).unionByName(new_rows)
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`_s_{c}`"))
+    in_current, in_snap = F.col("is_current").isNotNull(), F.col("_in_snap").isNotNull()
+    changed = in_current & in_snap & ~same
+    row = lambda prefix, since, to, is_open: F.struct(
+        *[F.col(f"`{prefix}{c}`").alias(c) for c in keys + attrs], since.alias("valid_from"), to.alias("valid_to"), F.lit(is_open).alias("is_current"))
+    kept, closed = row("", F.col("valid_from"), none, True), row("", F.col("valid_from"), as_of.cast("timestamp_ntz"), False)
+    opened = row("_s_", as_of.cast("timestamp_ntz"), none, True)
+    results = F.when(changed, F.array(closed, opened)).when(in_current, F.array(kept)).otherwise(F.array(opened))
+    return j.select(F.inline(results))

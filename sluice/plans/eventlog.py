@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.context import RunContext
 
+# The log's column names.
 LOG_SCHEMA = "event_ts timestamp, run_id string, job_name string, module string, level string, message string"
 
 
@@ -22,7 +23,7 @@ class EventLog:
         self.path = path
         self.job_name = job_name
         self.ctx = ctx or RunContext()
-        self.clock = clock or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        self.clock = clock or (lambda: _dt.datetime.now(_dt.timezone.utc))  # aware: the instant, whatever the process's zone
         self.buffer: list[tuple] = []
         self.disabled = False
         self.log = logging.getLogger("sluice.eventlog")
@@ -37,6 +38,15 @@ class EventLog:
     def error(self, module: str, message: str) -> None:
         self.record(module, "ERROR", message)
 
+    def __enter__(self) -> EventLog:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        """What was recorded is kept, also of a job that fails."""
+        if error is not None:
+            self.error("job", f"{kind.__name__}: {error}")
+        self.flush()
+
     def flush(self) -> int:
         """Append buffered records in one write; returns how many were written."""
         if self.disabled or not self.buffer:
@@ -48,7 +58,7 @@ class EventLog:
             return len(rows)
         except Exception as exc:  # logging must never break the job
             self.disabled = True
-            self.log.debug("event log disabled after failed write to %s: %s", self.path, exc)
+            self.log.debug("no more events are written to %s: %s", self.path, exc)
             return 0
 
     def table(self) -> DataFrame:

@@ -1,43 +1,20 @@
-"""Merge (upsert) into a table, rewriting only the hash buckets the updates touch."""
+"""Merge (upsert) into a table: target and updates together, the newest row per key, one shuffle."""
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 
-from sluice.operators.history import latest_per_key, upsert
-from sluice.plans.tables import Table, bucket_column
-
-ROWS_PER_MERGE_BUCKET = 2_000_000
-DEFAULT_MERGE_BUCKETS = None  # sized from the first load: max(8, rows / 2M), at most 8192
+from sluice.operators.history import upsert
+from sluice.plans.tables import Table
 
 
 def merge_into(table: Table, updates: DataFrame, keys: list[str], order_by: list[str], load_id: str,
-               run_id: str = "", num_buckets: int | None = DEFAULT_MERGE_BUCKETS) -> int:
+               run_id: str = "", sources: list[str] | None = None) -> int:
     """Upsert ``updates`` into ``table``: per key the newest ``order_by`` wins; late rows never win.
 
-    A new table is created hash-bucketed on ``keys``. Afterwards only the buckets holding an
-    updated key are read, merged and committed as ``replace_buckets``; every other bucket is left
-    as it is. The touched-bucket list (at most ``num_buckets`` ints) is the only thing collected.
-    Re-running the same ``load_id`` is a no-op. Sizing and the touched-bucket list read only the
-    raw update keys (the same buckets as the deduplicated rows); the newest-per-key aggregation
-    runs once, inside the write.
+    The result replaces the table's content as one load. Columns that only the updates have are added (older rows
+    read them as NULL); columns that they lack stay. Re-running the same ``load_id`` is a no-op.
     """
     if table.has_load(load_id):
         return 0
-    fresh = latest_per_key(updates, keys, order_by)
-    if not table.exists():
-        if num_buckets is None:
-            # rows of the batch bound its distinct keys; a plain count reads no column data
-            num_buckets = min(8192, max(8, math.ceil(updates.count() / ROWS_PER_MERGE_BUCKET)))
-        return table.write_load(fresh, load_id, mode="overwrite", run_id=run_id, bucket_by=(keys, num_buckets))
-    spec = table.bucketing()
-    if spec is None:  # an unbucketed table: whole rewrite
-        return table.write_load(upsert(table.read(), fresh, keys, order_by), load_id, mode="overwrite",
-                                run_id=run_id)
-    touched = sorted(r[0] for r in updates.select(bucket_column(spec).alias("b")).distinct().collect())
-    if not touched:
-        return 0
-    current = table.read(buckets=touched)
-    merged = upsert(current, fresh, keys, order_by)
-    return table.write_load(merged, load_id, mode="replace_buckets", run_id=run_id, buckets=touched)
+    merged = upsert(table.read() if table.exists() else None, updates, keys, order_by)
+    return table.write_load(merged, load_id, mode="overwrite", run_id=run_id, sources=sources)

@@ -42,20 +42,28 @@ def dim_date(span: DataFrame) -> DataFrame:
     )
 
 
+#: The date key of facts without a date.
+UNKNOWN_DATE = -1
+
+
 def facts_by_date(facts: dict[str, tuple[DataFrame, str, dict[str, Column]]], dim: DataFrame) -> DataFrame:
     """Aggregate each fact per ``date_key`` on its own, then join the aggregates on the date.
 
     Facts are never joined row to row: each is reduced to one row per day first
     (partial aggregation map-side), so the join sees at most one row per day
-    per fact. The date dimension is keyed by day as well.
+    per fact. Facts without a date are kept under ``UNKNOWN_DATE`` (date NULL).
     """
+    spark = dim.sparkSession
     out = dim.select("date_key", "date")
+    out = out.unionByName(spark.range(1).select(F.lit(UNKNOWN_DATE).alias("date_key"), F.lit(None).cast(dim.schema["date"].dataType).alias("date")))
     for name, (df, date_col, measures) in facts.items():
-        agg = df.groupBy(date_key(F.col(date_col)).alias("date_key")).agg(
-            *[m.alias(f"{name}_{k}") for k, m in measures.items()])
+        key = F.coalesce(date_key(F.col(date_col)), F.lit(UNKNOWN_DATE)).alias("date_key")
+        agg = df.groupBy(key).agg(*[m.alias(f"{name}_{k}") for k, m in measures.items()])
         out = out.join(agg, "date_key", "left")
     value_cols = [c for c in out.columns if c not in ("date_key", "date")]
-    present = F.greatest(*[F.col(c).isNotNull() for c in value_cols])
+    present = F.lit(False)
+    for c in value_cols:
+        present = present | F.col(c).isNotNull()
     counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in value_cols if c.endswith("_n")}
     return out.where(present).withColumns(counts)
 
@@ -84,6 +92,17 @@ def write_layouts(df: DataFrame, date_col: str, out_dir: str, num_files: int | N
     return paths
 
 
-def read_layout(spark: SparkSession, path: str, layout: str) -> DataFrame:
+def read_layout(spark: SparkSession, path: str, layout: str, date_col: str, since: str, before: str) -> DataFrame:
+    """The rows with ``since <= date_col < before`` of one layout. In the month-partitioned one the range of months is part of
+    the filter, so only the folders of those months are listed and opened."""
     df = spark.read.parquet(path)
-    return df.drop("ship_month") if layout == "partitioned" else df
+    wanted = (F.col(date_col) >= F.lit(since).cast("timestamp_ntz")) & (F.col(date_col) < F.lit(before).cast("timestamp_ntz"))
+    if layout == "partitioned":
+        df = df.filter(F.col("ship_month").between(since[:7], before[:7]))
+    return df.filter(wanted)
+
+
+def files_read(df: DataFrame) -> DataFrame:
+    """``(n_files, n_bytes)`` of the files that rows of a filtered scan come from."""
+    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("n_bytes"))

@@ -1,63 +1,37 @@
-"""Path-based Parquet tables with an append-only commit log.
+"""Path-based Parquet tables: one directory per load and a small commit list.
 
 Layout under the table path::
 
     data/load_id=<id>/part-*.parquet    one directory per load (written with overwrite)
-    _log/                                JSON commit records, one small file per commit
-
-A load becomes visible only when its commit record is written, so a crash
-between the data write and the commit leaves nothing visible and the retry
-(same ``load_id``) overwrites the orphan. An ``overwrite`` commit hides every
-earlier load: readers see the loads committed since the last overwrite. The
-table schema is kept in the log, widened additively per load; a type change is
-refused. Data is read with that schema, so columns missing in older loads read
-as NULL. One writer per table is assumed.
-
-A table may be *hash-bucketed* on key columns: every load is then written
-partitioned by ``_bkt = pmod(xxhash64(keys), num_buckets)`` and a commit with
-mode ``replace_buckets`` replaces only the buckets it lists — an upsert reads
-and rewrites just the buckets its keys fall into.
+    _files/load_id=<id>/                the source files of a load (path, length, time), written by Spark
+    _log/<seq>.json                     one small record per commit, written beside and renamed
+    _comments.json                      descriptions of the table and its columns
+
+A load becomes visible only when its commit record is written, so a crash between the data write and
+the commit leaves nothing visible and the retry (same ``load_id``) overwrites the orphan. An
+``overwrite`` commit hides every earlier load; a ``reject`` commit is never visible, but its source
+files count as seen. The schema is kept in the records, widened additively per load; a type change is
+refused. Data is read with that schema, so columns missing in older loads read as NULL. One writer per
+table is assumed.
 """
 from __future__ import annotations
 
 import datetime as _dt
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sluice.context import create_text, list_names, path_exists, read_text
+from sluice.context import create_text, list_names, path_exists, read_text, write_text
 
-LOG_SCHEMA = StructType.fromJson({"type": "struct", "fields": [
-    {"name": "seq", "type": "long", "nullable": False, "metadata": {}},
-    {"name": "load_id", "type": "string", "nullable": False, "metadata": {}},
-    {"name": "mode", "type": "string", "nullable": False, "metadata": {}},
-    {"name": "rows", "type": "long", "nullable": True, "metadata": {}},
-    {"name": "run_id", "type": "string", "nullable": True, "metadata": {}},
-    {"name": "committed_at", "type": "string", "nullable": True, "metadata": {}},
-    {"name": "schema_json", "type": "string", "nullable": True, "metadata": {}},
-    {"name": "buckets", "type": {"type": "array", "elementType": "integer", "containsNull": False},
-     "nullable": True, "metadata": {}},
-    {"name": "bucketing", "type": "string", "nullable": True, "metadata": {}},
-    {"name": "files", "type": {"type": "array", "containsNull": True, "elementType": {
-        "type": "struct", "fields": [
-            {"name": "path", "type": "string", "nullable": True, "metadata": {}},
-            {"name": "length", "type": "long", "nullable": True, "metadata": {}},
-            {"name": "mtime_ms", "type": "long", "nullable": True, "metadata": {}}]}},
-     "nullable": True, "metadata": {}},
-]})
+FILE_SCHEMA = "path string, length long, mtime_ms long"
 
 
 class SchemaConflict(ValueError):
     pass
 
 
-def bucket_column(bucketing: dict):
-    """``pmod(xxhash64(keys), num_buckets)`` — the bucket a row's key belongs to."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in bucketing["keys"]]), F.lit(bucketing["num_buckets"]))
-
-
 def widen(current: StructType | None, incoming: StructType) -> StructType:
     """Additive merge: new columns are appended; a changed type raises."""
     if current is None:
@@ -79,124 +53,50 @@ class Table:
         self.spark = spark
         self.path = path.rstrip("/")
         self.data_path = f"{self.path}/data"
+        self.files_path = f"{self.path}/_files"
         self.log_path = f"{self.path}/_log"
-        self._cache: tuple[list[str], list[dict]] | None = None
+        self._known: dict[str, dict] = {}
 
     # ---------------------------------------------------------------- log ---
-    # Commit records are small JSON files ``_log/<seq>.json`` read and written on the driver through
-    # the Hadoop file system (no Spark job per lookup). Creating a record never overwrites: two
-    # writers racing for one sequence number cannot both commit.
-    CHECKPOINT_EVERY = 50
-
-    def _live_names(self) -> list[str]:
-        """The newest checkpoint (if any) and the commit files after it."""
-        names = list_names(self.spark, self.log_path)
-        ckpts = [n for n in names if n.endswith(".checkpoint.jsonl")]
-        commits = [n for n in names if n.endswith(".json")]
-        if not ckpts:
-            return commits
-        last = max(ckpts)
-        upto = int(last.split(".")[0])
-        return [last] + [n for n in commits if int(n.split(".")[0]) > upto]
-
-    def log(self) -> DataFrame:
-        """The commit log as a DataFrame (for the file ledger anti join)."""
-        names = self._live_names()
-        if not names:  # no commit yet
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).json([f"{self.log_path}/{n}" for n in names])
-
-    def _records(self) -> list[dict]:
-        names = self._live_names()
-        if self._cache is not None and self._cache[0] == names:
-            return self._cache[1]
-        known = {} if self._cache is None else {r["_name"]: r for r in self._cache[1]}
-        out = []
-        for n in names:
-            if n in known:
-                out.append(known[n])
-            elif n.endswith(".checkpoint.jsonl"):
-                text = read_text(self.spark, f"{self.log_path}/{n}")
-                out += [{**json.loads(line), "_name": f"{n}#{i}"} for i, line in enumerate(text.splitlines()) if line]
-            else:
-                out.append({**json.loads(read_text(self.spark, f"{self.log_path}/{n}")), "_name": n})
-        out.sort(key=lambda r: r["seq"])
-        self._cache = (names, out)
-        return out
-
-    def _checkpoint_log(self, seq: int) -> None:
-        """Fold every record up to ``seq`` into one file, so readers open two files, not thousands."""
-        records = [{k: v for k, v in r.items() if k != "_name"} for r in self._records() if r["seq"] <= seq]
-        text = "".join(json.dumps(r) + "\n" for r in records)
-        create_text(self.spark, f"{self.log_path}/{seq:020d}.checkpoint.jsonl", text)
-
     def commits(self) -> list[dict]:
-        """Commit records without file lists (one small dict per commit), in commit order."""
-        keep = ("seq", "load_id", "mode", "rows", "run_id", "schema_json", "buckets", "bucketing")
-        return [{k: r.get(k) for k in keep} for r in self._records()]
+        """Commit records in order: a small dict per load, each read once per ``Table``."""
+        names = [n for n in list_names(self.spark, self.log_path) if n.endswith(".json")]
+        for n in names:
+            if n not in self._known:
+                self._known[n] = json.loads(read_text(self.spark, f"{self.log_path}/{n}"))
+        return [self._known[n] for n in sorted(names)]
 
     def exists(self) -> bool:
-        return bool(self.commits())
-
-    def visible_loads(self, commits: list[dict] | None = None) -> list[str]:
-        return list(self.visible(commits))
+        return any(c["mode"] != "reject" for c in self.commits())
 
-    def visible(self, commits: list[dict] | None = None) -> dict[str, set[int] | None]:
-        """Visible load → its visible buckets (``None``: all of it), replaying the commit log."""
-        commits = self.commits() if commits is None else commits
-        spec = self.bucketing(commits)
-        visible: dict[str, set[int] | None] = {}
-        for c in commits:
+    def visible_loads(self) -> list[str]:
+        visible: list[str] = []
+        for c in self.commits():
             if c["mode"] == "overwrite":
-                visible = {}
-            elif c["mode"] == "replace_buckets":
-                gone = set(c["buckets"] or [])
-                for lid, b in list(visible.items()):
-                    left = (set(range(spec["num_buckets"])) if b is None else b) - gone
-                    if left:
-                        visible[lid] = left
-                    else:
-                        del visible[lid]
-            visible.setdefault(c["load_id"], None)
+                visible = []
+            if c["mode"] != "reject":
+                visible.append(c["load_id"])
         return visible
 
-    def bucketing(self, commits: list[dict] | None = None) -> dict | None:
-        """``{"keys": [...], "num_buckets": n}`` when the table is hash-bucketed."""
-        commits = self.commits() if commits is None else commits
-        for c in commits:
-            if c.get("bucketing"):
-                return json.loads(c["bucketing"])
-        return None
-
-    def schema(self, commits: list[dict] | None = None) -> StructType | None:
-        commits = self.commits() if commits is None else commits
-        if not commits:
-            return None
-        return StructType.fromJson(json.loads(commits[-1]["schema_json"]))
+    def schema(self) -> StructType | None:
+        kept = [c for c in self.commits() if c["mode"] != "reject"]
+        return StructType.fromJson(kept[-1]["schema"]) if kept else None
 
     def has_load(self, load_id: str) -> bool:
         return any(c["load_id"] == load_id for c in self.commits())
 
-    def _commit(self, load_id: str, mode: str, rows: int | None, run_id: str, schema: StructType,
-                files: list[dict] | None, seq: int, buckets: list[int] | None = None,
-                bucketing: str | None = None) -> None:
-        record = {
-            "seq": seq, "load_id": load_id, "mode": mode, "rows": rows, "run_id": run_id,
-            "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
-            "schema_json": schema.json(), "buckets": sorted(buckets) if buckets is not None else None,
-            "bucketing": bucketing, "files": files or [],
-        }
-        create_text(self.spark, f"{self.log_path}/{seq:020d}.json", json.dumps(record) + "\n")
-        if seq % self.CHECKPOINT_EVERY == 0:
-            self._checkpoint_log(seq)
+    def merged_sources(self) -> set[str]:
+        """Names of the staged inputs that commits of this table say they hold."""
+        return {s for c in self.commits() for s in c.get("sources") or ()}
 
     # -------------------------------------------------------------- write ---
     def load_path(self, load_id: str) -> str:
         return f"{self.data_path}/load_id={load_id}"
 
     def stage_load(self, df: DataFrame, load_id: str, evolve: bool = True,
-                   bucketing: dict | None = None) -> tuple[int, StructType]:
-        """Write ``df`` as (invisible) load ``load_id``; returns rows written and the widened schema."""
+                   observed: dict[str, Column] | None = None) -> tuple[dict[str, int], StructType]:
+        """Write ``df`` as (invisible) load ``load_id``; returns what the write counted (``rows`` and the
+        ``observed`` aggregates) and the widened schema."""
         current = self.schema()
         if current is not None and not evolve:
             known = {c.lower() for c in current.names}
@@ -205,43 +105,32 @@ class Table:
                 raise SchemaConflict(f"new columns without evolution: {extra}")
         merged = widen(current, df.schema)
         obs = Observation(f"load_{load_id}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if bucketing:
-            # one writer per bucket: one file per bucket instead of one per (task, bucket)
-            observed = observed.withColumn("_bkt", bucket_column(bucketing)).repartition("_bkt")
-            observed.write.mode("overwrite").partitionBy("_bkt").parquet(self.load_path(load_id))
-        else:
-            observed.write.mode("overwrite").parquet(self.load_path(load_id))
-        return int(obs.get.get("rows", 0)), merged
-
-    def commit_load(self, load_id: str, rows: int, schema: StructType, mode: str = "append",
-                    run_id: str = "", files: list[dict] | None = None, buckets: list[int] | None = None,
-                    bucketing: dict | None = None) -> None:
+        counters = {"rows": F.count(F.lit(1)), **(observed or {})}
+        df.observe(obs, *[c.alias(k) for k, c in counters.items()]).write.mode("overwrite").parquet(self.load_path(load_id))
+        got = obs.get
+        return {k: int(got.get(k) or 0) for k in counters}, merged
+
+    def commit_load(self, load_id: str, rows: int, schema: StructType, mode: str = "append", run_id: str = "",
+                    files: DataFrame | None = None, sources: list[str] | None = None) -> None:
+        if files is not None:
+            files.write.mode("overwrite").json(f"{self.files_path}/load_id={load_id}")
         commits = self.commits()
-        seq = (max(c["seq"] for c in commits) + 1) if commits else 1
-        self._commit(load_id, mode, rows, run_id, schema, files, seq, buckets, bucketing)
+        seq = commits[-1]["seq"] + 1 if commits else 1
+        record = {"seq": seq, "load_id": load_id, "mode": mode, "rows": rows, "run_id": run_id, "has_files": files is not None,
+                  "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat(), "schema": schema.jsonValue(), "sources": sources}
+        create_text(self.spark, f"{self.log_path}/{seq:020d}.json", json.dumps(record) + "\n")
 
     def write_load(self, df: DataFrame, load_id: str, mode: str = "append", run_id: str = "",
-                   files: list[dict] | None = None, evolve: bool = True, buckets: list[int] | None = None,
-                   bucket_by: tuple[list[str], int] | None = None) -> int:
-        """Write ``df`` as load ``load_id`` and commit it. Returns rows written.
+                   files: DataFrame | None = None, evolve: bool = True, sources: list[str] | None = None) -> int:
+        """Write ``df`` as load ``load_id`` and commit it; returns the rows written.
 
-        ``bucket_by=(keys, n)`` makes a new table hash-bucketed (later loads inherit it);
-        ``mode="replace_buckets"`` with ``buckets`` replaces only those buckets.
         Re-running an already committed ``load_id`` is a no-op returning 0.
         """
-        commits = self.commits()
-        if any(c["load_id"] == load_id for c in commits):
+        if self.has_load(load_id):
             return 0
-        spec = self.bucketing(commits)
-        if spec is None and bucket_by is not None:
-            spec = {"keys": list(bucket_by[0]), "num_buckets": int(bucket_by[1])}
-        if mode == "replace_buckets" and (spec is None or buckets is None):
-            raise ValueError("replace_buckets needs a bucketed table and the bucket list")
-        rows, merged = self.stage_load(df, load_id, evolve, spec)
-        self.commit_load(load_id, rows, merged, mode, run_id, files, buckets,
-                         json.dumps(spec) if spec else None)
-        return rows
+        got, merged = self.stage_load(df, load_id, evolve)
+        self.commit_load(load_id, got["rows"], merged, mode, run_id, files, sources)
+        return got["rows"]
 
     def create_empty(self, schema: StructType, run_id: str = "") -> bool:
         """Create the table with ``schema`` and no rows; no-op when it exists."""
@@ -251,55 +140,32 @@ class Table:
         return True
 
     # --------------------------------------------------------------- read ---
-    def read(self, with_load_id: bool = False, buckets: list[int] | None = None) -> DataFrame:
-        """Visible rows; ``buckets`` restricts a bucketed table to those buckets (partition pruning)."""
-        commits = self.commits()
-        schema = self.schema(commits)
+    def read(self, with_load_id: bool = False) -> DataFrame:
+        schema = self.schema()
         if schema is None:
             raise FileNotFoundError(f"table {self.path} has no commits")
-        visible = self.visible(commits)
-        spec = self.bucketing(commits)
-        paths = [f"{self.data_path}/load_id={lid}" for lid in visible]
-        df = (self.spark.read.schema(schema).option("basePath", self.data_path).parquet(*paths)
-              if paths else self.spark.createDataFrame([], schema))
-        if spec is not None and paths:
-            wanted = set(buckets) if buckets is not None else None
-            keep = None
-            for lid, bks in visible.items():
-                bks = bks if wanted is None else (wanted if bks is None else bks & wanted)
-                if bks is not None and not bks:
-                    continue
-                cond = F.col("load_id") == F.lit(lid)
-                if bks is not None:
-                    cond = cond & F.col("_bkt").isin(sorted(bks))
-                keep = cond if keep is None else (keep | cond)
-            df = df.filter(keep if keep is not None else F.lit(False))
-        if with_load_id:
-            if not paths:
-                df = df.withColumn("load_id", F.lit(None).cast("string"))
-            return df
-        return df.select(*[F.col(f"`{c}`") for c in schema.names])
-
-    def compact(self, load_id: str | None = None, run_id: str = "", min_loads: int = 2) -> int:
-        """Rewrite the visible rows as one overwrite load (bucketing kept); returns rows written.
-
-        Many small loads (one per micro-batch or per delivery) become one, so readers list one
-        directory (or one per bucket) instead of thousands. Readers never see a mixed state: the
-        commit switches from the old loads to the new one. The file ledger is carried over, so a
-        bulk load after compaction still skips files loaded before it.
-        """
-        import uuid
-
-        commits = self.commits()
-        if len(self.visible(commits)) < min_loads:
-            return 0
-        files = [r.asDict() for r in self.loaded_files().collect()] if self._has_files() else None
-        return self.write_load(self.read(), load_id or f"compact-{uuid.uuid4().hex[:12]}", mode="overwrite",
-                               run_id=run_id, files=files)
-
-    def _has_files(self) -> bool:
-        return any(r.get("files") for r in self._records())
+        paths = [self.load_path(lid) for lid in self.visible_loads()]
+        df = self.spark.read.schema(schema).option("basePath", self.data_path).parquet(*paths)
+        return df if with_load_id else df.select(*[F.col(f"`{c}`") for c in schema.names])
 
     def loaded_files(self) -> DataFrame:
-        """``(path, length, mtime_ms)`` of every source file committed so far (distinct)."""
-        return self.log().select(F.explode("files").alias("f")).select("f.*").distinct()
+        """``(path, length, mtime_ms)`` of every source file of the committed loads, read by Spark."""
+        paths = [f"{self.files_path}/load_id={c['load_id']}" for c in self.commits() if c.get("has_files")]
+        return self.spark.read.schema(FILE_SCHEMA).json(paths) if paths else self.spark.createDataFrame([], FILE_SCHEMA)
+
+    # ----------------------------------------------------------- comments ---
+    def comment(self, text: str, columns: dict[str, str] | None = None) -> None:
+        """Describe the table and some of its columns; what was said before of others stays."""
+        said = self.described()
+        said = {"table": text or said["table"], "columns": {**said["columns"], **(columns or {})}}
+        write_text(self.spark, f"{self.path}/_comments.json", json.dumps(said))
+
+    def described(self) -> dict:
+        path = f"{self.path}/_comments.json"
+        return json.loads(read_text(self.spark, path)) if path_exists(self.spark, path) else {"table": None, "columns": {}}
+
+    def comments(self) -> DataFrame:
+        """``(object_name, comment)``: of the table (as ``TABLE``) and of every column."""
+        said = self.described()
+        rows = [("TABLE", said["table"])] + [(c, said["columns"].get(c)) for c in (self.schema() or StructType()).names]
+        return self.spark.createDataFrame(rows, "object_name string, comment string")

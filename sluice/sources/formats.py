@@ -1,17 +1,20 @@
 """Format registry over ``spark.read`` / ``df.write``.
 
-Every text format is configured so that a write followed by a read with the
-same schema gives back exactly the rows that went in: nulls stay nulls, empty
-strings stay empty, embedded newlines/quotes survive, and timestamps keep
-their microseconds. Type inference is an opt-in (``schema=None``); at scale
-always pass the schema — inference is an extra full pass over the files.
+Text formats are configured so that a write followed by a read with the same schema gives back the rows that went in:
+nulls stay nulls, empty strings stay empty, quotes survive, and timestamps keep their microseconds.
+Type inference is an opt-in (``schema=None``); at scale always pass the schema — inference is an extra full pass.
+
+CSV files are read in parallel splits, so a value must not hold a line break unless both sides pass ``multiLine="true"``
+(``write`` refuses such values otherwise). Null is written as ``\\N``; a text that looks like that marker gets one more
+backslash on the way out and loses it on the way in. ``read_checked`` also tells which lines do not fit the schema.
 """
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Timestamp patterns that keep microseconds and the zone offset.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -25,7 +28,7 @@ _TS = {"timestampFormat": TIMESTAMP_FORMAT, "timestampNTZFormat": TIMESTAMP_NTZ_
 # Options applied on both sides of a text round trip.
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
+    "enforceSchema": "false",
     "escape": '"',
     "nullValue": CSV_NULL_TOKEN,
     "ignoreLeadingWhiteSpace": "false",
@@ -41,6 +44,24 @@ Reader = Callable[..., DataFrame]
 Writer = Callable[..., None]
 
 
+BAD, RAW = "_bad", "_raw"  # why a line doesn't fit the schema, and the line
+
+
+def _marked(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
+    """Texts that look like the null marker, with one backslash more or less."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[F.regexp_replace(F.col(f"`{c}`"), pattern, replacement).alias(c) if c in texts and c not in (BAD, RAW) else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+def mark_nulls(df: DataFrame) -> DataFrame:
+    return _marked(df, r"^(\\+N)$", r"\\$1")
+
+
+def unmark_nulls(df: DataFrame) -> DataFrame:
+    return _marked(df, r"^\\(\\+N)$", "$1")
+
+
 def _reader(fmt: str, base: Mapping[str, str], infer: Mapping[str, str] | None = None) -> Reader:
     def read_fmt(spark: SparkSession, path, schema: StructType | str | None = None, **options) -> DataFrame:
         r = spark.read.format(fmt).options(**base)
@@ -48,13 +69,19 @@ def _reader(fmt: str, base: Mapping[str, str], infer: Mapping[str, str] | None =
             r = r.options(**(infer or {}))
         else:
             r = r.schema(schema)
-        return r.options(**options).load(path)
+        df = r.options(**options).load(path)
+        return unmark_nulls(df) if fmt == "csv" else df
 
     return read_fmt
 
 
 def _writer(fmt: str, base: Mapping[str, str], write_only: Mapping[str, str] | None = None) -> Writer:
     def write_fmt(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None, **options) -> None:
+        if fmt == "csv":
+            df = mark_nulls(df)
+            if str(options.get("multiLine", "false")).lower() != "true":
+                df = _one_line(df)
+            options.pop("multiLine", None)
         w = df.write.format(fmt).mode(mode).options(**base).options(**(write_only or {})).options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -63,6 +90,17 @@ def _writer(fmt: str, base: Mapping[str, str], write_only: Mapping[str, str] | N
     return write_fmt
 
 
+def _one_line(df: DataFrame) -> DataFrame:
+    """``df`` whose write fails where a text holds a line break, which a split read would tear apart."""
+    out = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, StringType):
+            c = F.col(f"`{f.name}`")
+            message = F.lit(f"column {f.name} holds a line break: write and read this CSV with multiLine='true'")
+            out[f.name] = F.when(c.rlike(r"[\r\n]"), F.raise_error(message).cast("string")).otherwise(c)
+    return df.withColumns(out) if out else df
+
+
 _READERS: dict[str, Reader] = {
     "csv": _reader("csv", CSV_OPTIONS, {"inferSchema": "true"}),
     "json": _reader("json", JSON_OPTIONS),
@@ -91,12 +129,47 @@ def known_formats() -> list[str]:
 def read(spark: SparkSession, path, fmt: str, schema: StructType | str | None = None, **options) -> DataFrame:
     """Read ``path`` (file, directory, glob or list) in format ``fmt``; caller options win."""
     if fmt not in _READERS:
-        raise ValueError(f"No reader registered for format '{fmt}'. Known: {sorted(_READERS)}")
+        raise ValueError(f"cannot read format {fmt!r}. Known: {known_formats()}")
     return _READERS[fmt](spark, path, schema, **options)
 
 
 def write(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", partition_by=None, **options) -> None:
     """Write ``df`` to ``path`` in format ``fmt``; caller options win."""
     if fmt not in _WRITERS:
-        raise ValueError(f"No writer registered for format '{fmt}'. Known: {sorted(_WRITERS)}")
+        raise ValueError(f"cannot write format {fmt!r}. Known: {sorted(_WRITERS)}")
     _WRITERS[fmt](df, path, mode=mode, partition_by=partition_by, **options)
+
+
+def bare_schema(spark: SparkSession, path, fmt: str, **options) -> StructType:
+    """The inferred schema of a source, without Spark's column for lines it couldn't read."""
+    fields = read(spark, path, fmt, **options).schema.fields
+    return StructType([f for f in fields if f.name != "_corrupt_record"])
+
+
+def read_checked(spark: SparkSession, path, fmt: str, schema: StructType, **options) -> DataFrame:
+    """``read`` with ``_bad`` (null, or why the line doesn't fit the schema) and ``_raw`` (such a line's text).
+
+    JSON lines are also held against the schema's names: a field that the schema doesn't have is a reason. Parquet and formats
+    registered by callers have no text lines and no bad ones.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if fmt == "json" and str(options.get("multiLine", "false")).lower() != "true":
+        return _checked_json(spark.read.text(path).withColumnRenamed("value", RAW), schema, options)
+    if fmt not in ("csv", "json", "xml"):
+        return read(spark, path, fmt, schema, **options).withColumns({BAD: F.lit(None).cast("string"), RAW: F.lit(None).cast("string")})
+    wide = StructType([*schema.fields, StructField(RAW, StringType())])
+    df = read(spark, path, fmt, wide, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW, **options)
+    return df.withColumn(BAD, F.when(F.col(RAW).isNotNull(), F.lit("malformed")))
+
+
+def _checked_json(lines: DataFrame, schema: StructType, options: Mapping[str, str]) -> DataFrame:
+    corrupt = "_corrupt"
+    wide = StructType([*schema.fields, StructField(corrupt, StringType())])
+    settings = {**JSON_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    parsed = lines.filter(F.length(F.trim(RAW)) > 0).withColumn("_row", F.from_json(RAW, wide, settings))
+    extra = F.array_except(F.json_object_keys(RAW), F.array(*[F.lit(f.name) for f in schema.fields]))
+    bad = (F.when(F.col("_row").isNull() | F.col(f"_row.{corrupt}").isNotNull(), F.lit("malformed"))
+           .when(F.size(extra) > 0, F.concat(F.lit("unknown fields: "), F.array_join(F.array_sort(extra), ","))))
+    return parsed.withColumn(BAD, bad).select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields],
+                                              F.when(F.col(BAD).isNotNull(), F.col(RAW)).alias(RAW), BAD)

@@ -7,7 +7,7 @@ every field of the base and its own fields win.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import dataclass, field, fields
 from typing import Any
 
 from sluice.context import basename
@@ -21,6 +21,7 @@ class SourceSpec:
     target: str | None = None
     technique: str | None = None
     description: str = ""
+    column_comments: Mapping[str, str] = field(default_factory=dict)
     schema: Any = None
     options: Mapping[str, str] = field(default_factory=dict)
     has_audit_columns: bool = False
@@ -40,9 +41,6 @@ class SourceSpec:
         """Folder of the target under ``root``: dotted name parts become folders."""
         return f"{root.rstrip('/')}/{(self.target or self.key).replace('.', '/')}"
 
-    def with_(self, **changes) -> SourceSpec:
-        return replace(self, **changes)
-
 
 _FIELDS = {f.name for f in fields(SourceSpec)}
 
@@ -68,13 +66,13 @@ class Registry:
 
     def get(self, key: str) -> SourceSpec:
         if key not in self._raw:
-            raise KeyError(f"No source entry for '{key}'. Known keys: {self.keys()}")
+            raise KeyError(f"source {key!r} is not registered; Known keys: {self.keys()}")
         entry = dict(self._raw[key])
         seen = {key}
         parent = entry.get("source_key")
         while parent:
             if parent not in self._raw:
-                raise KeyError(f"'{key}' references unknown source_key '{parent}'")
+                raise KeyError(f"source {key!r} inherits from unknown source_key {parent!r}")
             if parent in seen:
                 raise ValueError(f"source_key cycle at '{parent}'")
             seen.add(parent)

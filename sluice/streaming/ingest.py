@@ -1,13 +1,12 @@
 """Available-now streaming ingestion of new files.
 
-The file source remembers every file it has read in the checkpoint, so a
-re-run with the same checkpoint reads only files that arrived since. Each
-micro-batch lands as one load of the target :class:`~sluice.plans.tables.Table`
-whose id is ``<stream>-<batch_id>``: a batch replayed after a crash finds its
-load already committed and is skipped, so the sink is exactly-once.
-
-The schema is inferred once (or taken from the spec) and saved beside the
-checkpoint; later runs read it back, so a restart never re-infers.
+The file source remembers every file it has read in the checkpoint, so a re-run with the same checkpoint reads only files
+that arrived since. Each micro-batch lands as one load of the target whose id holds the stream's own id and the batch number:
+a batch replayed after a crash finds its load committed and is skipped, and a stream started anew on an
+emptied checkpoint is another stream.
+
+The schema is the spec's, or inferred once, and kept beside the checkpoint. At every start the files that came since are
+looked at for columns it lacks (JSON, XML and Parquet name theirs); those are added, and older rows read them as NULL.
 """
 from __future__ import annotations
 
@@ -15,51 +14,64 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from sluice.context import RunContext, basename, path_exists
+from sluice.context import RunContext, path_exists, read_text, write_text
 from sluice.operators.audit import add_audit_columns, strip_audit_columns
-from sluice.plans.tables import Table
+from sluice.plans.tables import Table, widen
 from sluice.sources import formats
-from sluice.sources.formats import CSV_OPTIONS, JSON_OPTIONS, XML_OPTIONS
+from sluice.sources.formats import BAD, CSV_OPTIONS, JSON_OPTIONS, RAW, XML_OPTIONS
 from sluice.sources.spec import SourceSpec
 
 _STREAM_OPTIONS = {"csv": CSV_OPTIONS, "json": JSON_OPTIONS, "xml": XML_OPTIONS, "parquet": {}}
 
 
-def checkpoint_path(source_path: str, target: str) -> str:
-    """``<folder two levels above the source file>/_checkpoints/<target table name>``.
-
-    Keyed by the target so two streams over one source folder never share state.
-    """
-    source_dir = source_path.rstrip("/").rsplit("/", 1)[0]
-    root = source_dir.rsplit("/", 1)[0]
-    return f"{root}/_checkpoints/{basename(target)}"
-
+def stream_state(target: str, source: str) -> str:
+    """Where a stream keeps its state: with its target, in a folder of its own for each source."""
+    return f"{target.rstrip('/')}/_streams/{hashlib.sha256(source.rstrip('/').encode()).hexdigest()[:20]}"
 
-def stream_options(fmt: str, schema_location: str) -> dict[str, str]:
-    return {**_STREAM_OPTIONS.get(fmt, {}), "schemaLocation": schema_location}
 
+def stream_schema(spark: SparkSession, spec: SourceSpec, location: str) -> StructType:
+    """The schema kept at ``location``, widened by the columns of files that came since it was last looked at."""
+    from sluice.plans.load import list_files, spec_schema
 
-def saved_schema(spark: SparkSession, spec: SourceSpec, location: str) -> StructType:
-    """Schema stored at ``location``; on first use take the spec's or infer it once and store it."""
-    if path_exists(spark, location):
-        text = spark.read.text(location).first()
-        if text is not None:
-            return StructType.fromJson(json.loads(text[0]))
-    schema = spec.schema if isinstance(spec.schema, StructType) else \
-        formats.read(spark, spec.path, spec.format, schema=spec.schema).schema
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
+    kept = json.loads(read_text(spark, location)) if path_exists(spark, location) else None
+    schema = StructType.fromJson(kept["schema"]) if kept else spec_schema(spark, spec)
+    looked_at = kept["upto"] if kept else -1
+    files = list_files(spark, spec.path).filter(F.col("mtime_ms") > looked_at).select("path", "mtime_ms").collect()
+    if files and spec.format in ("json", "xml", "parquet"):
+        found = formats.bare_schema(spark, [f["path"] for f in files], spec.format, **dict(spec.options))
+        have = {c.lower() for c in schema.names}
+        schema = widen(schema, StructType([f for f in found.fields if f.name.lower() not in have]))
+    upto = max([looked_at, *(f["mtime_ms"] for f in files)])
+    write_text(spark, location, json.dumps({"schema": schema.jsonValue(), "upto": upto}))
     return schema
 
 
-def stream_source(spark: SparkSession, spec: SourceSpec, schema: StructType, max_files: int | None = None) -> DataFrame:
-    """``readStream`` over the spec's folder (a directory or glob, never a single file)."""
-    reader = spark.readStream.format(spec.format).schema(schema).options(**_STREAM_OPTIONS.get(spec.format, {}))
+def stream_source(spark: SparkSession, spec: SourceSpec, schema: StructType, max_files: int | None = None,
+                  max_bytes: int | None = None) -> DataFrame:
+    """``readStream`` over the spec's folder (a directory or glob), with ``_bad`` and ``_raw`` for lines that don't fit."""
+    text = spec.format in ("csv", "json", "xml")
+    wide = StructType([*schema.fields, StructField(RAW, StringType())]) if text else schema
+    reader = spark.readStream.format(spec.format).schema(wide).options(**_STREAM_OPTIONS.get(spec.format, {}))
+    if text:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    reader = reader.options(**dict(spec.options))
-    return reader.load(spec.path)
+    elif max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    df = reader.options(**dict(spec.options)).load(spec.path)
+    if spec.format == "csv":
+        df = formats.unmark_nulls(df)
+    if not text:
+        return df.withColumns({RAW: F.lit(None).cast("string"), BAD: F.lit(None).cast("string")})
+    return df.withColumn(BAD, F.when(F.col(RAW).isNotNull(), F.lit("malformed")))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint; another one after the checkpoint is emptied."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"].replace("-", "")[:16]
 
 
 def run_available_now(stream: DataFrame, batch_fn, checkpoint: str) -> None:
@@ -73,30 +85,42 @@ def run_available_now(stream: DataFrame, batch_fn, checkpoint: str) -> None:
         raise query.exception()
 
 
-def stream_ingest(spark: SparkSession, spec: SourceSpec, target: str, ctx: RunContext | None = None,
-                  checkpoint: str | None = None, max_files: int | None = None, per_file: bool = False):
+def stream_ingest(spark: SparkSession, spec: SourceSpec, target: str, ctx: RunContext | None = None, checkpoint: str | None = None,
+                  max_files: int | None = None, max_bytes: int | None = None, per_file: bool = False, gate=None):
     """Available-now load of files not seen before into ``target``; returns a ``LoadResult``.
 
-    ``per_file`` tags each row with the name of the file it came from (scan metadata) instead of
-    the spec's source name.
+    ``max_bytes`` (or ``max_files``) bounds a micro-batch. ``per_file`` tags each row with the name of the file it came from (scan
+    metadata) instead of the spec's source name. Micro-batches that ``gate`` refuses go to quarantine; the rest of the
+    stream is drained, then ``LoadRejected`` is raised.
     """
-    from sluice.plans.load import LoadResult
+    from sluice.plans.load import LoadRejected, LoadResult, publish
 
     ctx = ctx or RunContext()
-    checkpoint = checkpoint or f"{target}/_checkpoint"
-    schema = saved_schema(spark, spec, f"{checkpoint}_schema")
-    stream = stream_source(spark, spec, schema, max_files)
+    state = stream_state(target, spec.path)
+    checkpoint = checkpoint or f"{state}/checkpoint"
+    schema = stream_schema(spark, spec, f"{state}/schema.json")
+    stream = stream_source(spark, spec, schema, max_files, max_bytes)
     if spec.has_audit_columns:
         stream = strip_audit_columns(stream)
     tagged = add_audit_columns(stream, spec.format, None if per_file else spec.source_file, ctx)
     table = Table(spark, target)
-    stream_tag = "s" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
-    loaded = {"rows": 0, "batches": 0}
+    loaded = {"rows": 0, "batches": 0, "bad": 0}
+    refused: list[str] = []
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = table.write_load(batch, f"{stream_tag}-{batch_id}", run_id=ctx.run_id)
+        load_id = f"s{stream_id(spark, checkpoint)}-{batch_id}"
+        if table.has_load(load_id):
+            return
+        try:
+            rows, bad, _ = publish(table, batch, load_id, "append", ctx, gate=gate)
+        except LoadRejected as error:
+            refused.append(str(error))
+            return
         loaded["rows"] += rows
+        loaded["bad"] += bad
         loaded["batches"] += 1
 
     run_available_now(tagged, land, checkpoint)
-    return LoadResult(spec.key, target, loaded["rows"], ctx.run_id, None, loaded["batches"])
+    if refused:
+        raise LoadRejected("; ".join(refused))
+    return LoadResult(spec.key, target, loaded["rows"], ctx.run_id, None, loaded["batches"], loaded["bad"])

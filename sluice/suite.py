@@ -12,26 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.context import FIXED_CONTEXT, RunContext, basename, list_names, new_workdir, scan_partitions
+from sluice.context import FIXED_CONTEXT, RunContext, basename, new_workdir, scan_partitions
 from sluice.functions.dates import matched_pattern, parse_first
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns
 from sluice.operators.columns import sanitize_columns
-from sluice.operators.history import reconcile, scd2_apply, upsert
+from sluice.operators.history import reconcile
 from sluice.operators.profile import entity_profile, profile_table, time_gaps
 from sluice.operators.quality import (Expectation, check_result, expect, expectation_report,
                                       key_overlap, quarantine, row_counts, sanity_check)
 from sluice.operators.rank import global_rank, slice_shares
 from sluice.plans.chunking import read_slices, run_chunking
-from sluice.plans.comments import apply_comments, comments, register_table
 from sluice.plans.eventlog import EventLog
 from sluice.plans.merge import merge_into
-from sluice.plans.load import (LoadRejected, copy_into, create_empty_like, full_refresh, ingest,
+from sluice.plans.load import (LoadRejected, copy_into, create_empty_like, full_refresh, ingest, quarantine_table,
                                refresh_with_expectations)
 from sluice.plans.model import LAYOUTS, date_span, dim_date, facts_by_date, read_layout, write_layouts
+from sluice.plans.scd2 import Scd2Table
 from sluice.plans.tables import Table
 from sluice.sources import formats
 from sluice.sources.spec import Registry, SourceSpec
-from sluice.streaming.ingest import checkpoint_path, stream_ingest
+from sluice.streaming.ingest import stream_ingest
 from sluice.streaming.upsert import stream_upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,10 +139,10 @@ def global_rank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EVENTS = "event_id, ts, user_id, event_type, value, props"
 
 
-def _roundtrip(spark: SparkSession, df: DataFrame, fmt: str) -> DataFrame:
+def _roundtrip(spark: SparkSession, df: DataFrame, fmt: str, **options) -> DataFrame:
     path = f"{new_workdir(spark, 'roundtrip')}/data.{fmt}"
-    formats.write(df, path, fmt)
-    return formats.read(spark, path, fmt, schema=df.schema)
+    formats.write(df, path, fmt, **options)
+    return formats.read(spark, path, fmt, schema=df.schema, **options)
 
 
 for _fmt in ("csv", "json", "xml"):
@@ -162,7 +162,7 @@ _DOCS = "doc_id, text, lang, source, n_chars"
 @register("roundtrip_text_csv", f"SELECT {_DOCS} FROM documents")
 def roundtrip_text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents (multi-line text, quotes, markup) through CSV and back."""
-    return _roundtrip(spark, table(spark, sf_dir, "documents"), "csv")
+    return _roundtrip(spark, table(spark, sf_dir, "documents"), "csv", multiLine="true")
 
 
 @register("roundtrip_text_xml", f"SELECT {_DOCS} FROM documents")
@@ -235,14 +235,8 @@ def land(df: DataFrame, path: str, fmt: str, files: int | None = None, mode: str
     formats.write(df.repartitionByRange(files, F.col(df.columns[0])), path, fmt, mode=mode)
 
 
-def files_per_trigger(spark: SparkSession, folder: str, batches: int) -> int:
-    """``maxFilesPerTrigger`` that drains ``folder`` in about ``batches`` micro-batches.
-
-    Counts data files through the Hadoop file system (names only, no Spark job). The batch count stays
-    fixed as the folder grows; each micro-batch reads its files with full parallelism.
-    """
-    n = sum(1 for name in list_names(spark, folder, files_only=True) if not name.startswith(("_", ".")))
-    return max(1, -(-n // batches))
+#: What a micro-batch of the streams takes in at most.
+STREAM_BYTES = 1 << 30
 
 
 def events_spec(path: str, fmt: str, schema, key: str = "events", **kw) -> SourceSpec:
@@ -266,7 +260,8 @@ def _landed_events(spark: SparkSession, sf_dir: str, fmt: str, name: str):
 @register("create_empty_like", f"SELECT {_EVENTS}, {fixed_audit('csv', 'events_landing.csv')} FROM events WHERE 1 = 0")
 def create_empty_like_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A zero-row target with exactly the load's schema (audit included); the second call is a no-op."""
-    _, work, spec = _landed_events(spark, sf_dir, "csv", "events_landing.csv")
+    work = new_workdir(spark, "landing")
+    spec = events_spec(f"{work}/incoming/events_landing.csv", "csv", table(spark, sf_dir, "events").schema)
     target = f"{work}/bronze/events"
     create_empty_like(spark, spec, target, FIXED_CONTEXT)
     create_empty_like(spark, spec, target, FIXED_CONTEXT)
@@ -320,11 +315,10 @@ _STREAMED = f"SELECT {_EVENTS}, {fixed_audit('json', 'events_landing.json')} FRO
 
 @register("stream_ingest", _STREAMED)
 def stream_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON files drained by an available-now stream in several micro-batches (a quarter of the files each)."""
+    """JSON files drained by an available-now stream in micro-batches of bounded size."""
     _, work, spec = _landed_events(spark, sf_dir, "json", "events_landing.json")
     target = f"{work}/bronze/events_stream"
-    stream_ingest(spark, spec, target, FIXED_CONTEXT, checkpoint=checkpoint_path(spec.path + "/x", target),
-                  max_files=files_per_trigger(spark, spec.path, 4))
+    stream_ingest(spark, spec, target, FIXED_CONTEXT, max_bytes=STREAM_BYTES)
     return Table(spark, target).read()
 
 
@@ -333,13 +327,53 @@ def stream_ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream re-run on the same checkpoint: nothing new, nothing added."""
     _, work, spec = _landed_events(spark, sf_dir, "json", "events_landing.json")
     target = f"{work}/bronze/events_stream"
-    ckpt = checkpoint_path(spec.path + "/x", target)
-    stream_ingest(spark, spec, target, FIXED_CONTEXT, checkpoint=ckpt)
-    again = stream_ingest(spark, spec, target, FIXED_CONTEXT, checkpoint=ckpt)
+    stream_ingest(spark, spec, target, FIXED_CONTEXT)
+    again = stream_ingest(spark, spec, target, FIXED_CONTEXT)
     assert again.rows_loaded == 0, again
     return Table(spark, target).read()
 
 
+@register("stream_schema_evolution", f"""
+SELECT event_id, ts, user_id, event_type, value, CAST(NULL AS VARCHAR) AS props, {fixed_audit('json', 'events_landing.json')} FROM events
+UNION ALL
+SELECT event_id + {_NEW_ID} AS event_id, ts, user_id, event_type, value + 1.0 AS value, props,
+       {fixed_audit('json', 'events_landing.json')} FROM events
+""")
+def stream_schema_evolution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later delivery to the streamed folder has a column more: the table widens, older rows read it as NULL."""
+    events = table(spark, sf_dir, "events")
+    work = new_workdir(spark, "landing")
+    path, target = f"{work}/incoming/events_landing.json", f"{work}/bronze/events_stream"
+    spec = events_spec(path, "json", events.drop("props").schema)
+    land(events.drop("props"), path, "json")
+    stream_ingest(spark, spec, target, FIXED_CONTEXT, max_bytes=STREAM_BYTES)
+    land(later_batch(events), path, "json", mode="append")
+    stream_ingest(spark, spec, target, FIXED_CONTEXT, max_bytes=STREAM_BYTES)
+    return Table(spark, target).read().select(*events.columns, *AUDIT_COLUMNS)
+
+
+@register("load_bad_records", """
+SELECT CASE event_type WHEN 'error' THEN 'malformed' WHEN 'click' THEN 'unknown fields: extra' ELSE 'loaded' END AS outcome,
+       count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1
+""")
+def load_bad_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with a text for a number, or a field that the schema lacks, are set aside with their reason; the rest loads."""
+    events = table(spark, sf_dir, "events")
+    work = new_workdir(spark, "landing")
+    user = F.when(F.col("event_type") == "error", F.concat(F.lit("user "), F.col("user_id"))).otherwise(F.col("user_id").cast("string"))
+    plain = F.to_json(F.struct("event_id", "ts", "event_type", "value", "props"), formats.JSON_OPTIONS)
+    field = F.when(F.col("event_type") == "error", F.concat(F.lit('"user_id":"'), user, F.lit('"'))).otherwise(F.concat(F.lit('"user_id":'), user))
+    extra = F.when(F.col("event_type") == "click", F.lit(',"extra":1')).otherwise(F.lit(""))
+    line = F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(","), field, extra, F.lit("}"))
+    events.withColumn("line", plain).select(line.alias("value")).write.text(f"{work}/incoming/events.json")
+    spec = SourceSpec(key="events", path=f"{work}/incoming/events.json", format="json", schema=events.schema)
+    target = f"{work}/bronze/events"
+    copy_into(spark, spec, target, FIXED_CONTEXT)
+    aside = quarantine_table(spark, target).read().select(F.col("reason").alias("outcome"), F.get_json_object("raw", "$.event_id").cast("long").alias("event_id"))
+    loaded = Table(spark, target).read().select(F.lit("loaded").alias("outcome"), "event_id")
+    return loaded.unionByName(aside).groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
+
+
 @register("full_refresh", f"SELECT {_EVENTS}, {fixed_audit('xml', 'events_landing.xml')} FROM events")
 def full_refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XML with a tag name that is not Parquet-safe, refreshed twice: the table holds one copy."""
@@ -441,6 +475,29 @@ def ingest_gate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Table(spark, first.target).read()
 
 
+@register("ingest_gate_stream", f"""
+SELECT {_EVENTS}, {fixed_audit('json', 'events_landing.json')} FROM events
+UNION ALL
+SELECT event_id + {2 * _NEW_ID} AS event_id, ts, user_id, event_type, value, props, {fixed_audit('json', 'events_landing.json').replace("'run-1'", "'run-3'")} FROM events
+""")
+def ingest_gate_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate on a stream: a delivery without user ids is set aside, the good one after it is loaded."""
+    events, work, spec = _landed_events(spark, sf_dir, "json", "events_landing.json")
+    reg = Registry({"raw": {"path": spec.path, "format": "json", "schema": events.schema},
+                    "bronze_events": {"source_key": "raw", "technique": "autoloader", "target": "bronze.events"}})
+    run = lambda ctx: ingest(spark, reg, "bronze_events", f"{work}/lake", ctx, not_null_columns=("user_id",))
+    first = run(FIXED_CONTEXT)
+    land(later_batch(events).withColumn("user_id", F.lit(None).cast("long")), spec.path, "json", mode="append")
+    try:
+        run(RunContext("run-2", FIXED_CONTEXT.load_dt))
+        raise AssertionError("broken delivery was published")
+    except LoadRejected:
+        pass
+    land(events.withColumn("event_id", F.col("event_id") + F.lit(2 * _NEW_ID)), spec.path, "json", mode="append")
+    run(RunContext("run-3", FIXED_CONTEXT.load_dt))
+    return Table(spark, first.target).read()
+
+
 # -------------------------------------------------------------- quality ---
 
 _ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -635,35 +692,41 @@ def _upsert_batches(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 _UPSERTED = """
 SELECT event_id, CASE WHEN event_type = 'view' THEN ts + INTERVAL 1 HOUR ELSE ts END AS ts, user_id, event_type,
-       CASE WHEN event_type = 'view' THEN value * 10.0 ELSE value END AS value, props FROM events
+       CASE event_type WHEN 'view' THEN value * 10.0 WHEN 'error' THEN -value ELSE value END AS value, props,
+       CASE WHEN event_type = 'error' THEN 'corrected' END AS note FROM events
 """
 
 
+def _corrections(events: DataFrame) -> DataFrame:
+    """Errors corrected under their own event time, with a column more."""
+    return events.filter(F.col("event_type") == "error").withColumn("value", -F.col("value")).withColumn("note", F.lit("corrected"))
+
+
 @register("upsert_latest", _UPSERTED)
 def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts into a bucketed table, each rewriting only touched buckets: newer wins, late older rows do not."""
+    """Four loads merged by (event time, load time): newer wins, late older rows do not, a later correction of equal time does."""
     events = table(spark, sf_dir, "events")
     tbl = Table(spark, f"{new_workdir(spark, 'upsert')}/silver_events")
-    for i, batch in enumerate([events, *_upsert_batches(events)], start=1):
-        merge_into(tbl, batch, ["event_id"], ["ts"], f"v{i}")
-    return tbl.read()
+    for i, batch in enumerate([events, *_upsert_batches(events), _corrections(events)], start=1):
+        ctx = RunContext(f"run-{i}", datetime.datetime(2024, 1, i))
+        merge_into(tbl, add_audit_columns(batch, "parquet", "events", ctx), ["event_id"], ["ts", "load_dt"], f"v{i}", ctx.run_id)
+    return tbl.read().select(*events.columns, "note")
 
 
 @register("stream_upsert", _UPSERTED)
 def stream_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same merge driven by a stream: base, correction and late files drained over a few micro-batches."""
+    """The same merge driven by a stream: base, newer and late files in one drain, the corrections in the next."""
     events = table(spark, sf_dir, "events")
     work = new_workdir(spark, "stream-upsert")
-    folder = f"{work}/incoming/events_cdc"
+    folder, target = f"{work}/incoming/events_cdc", f"{work}/silver/events"
+    spec = SourceSpec(key="events_cdc", path=folder, format="json", schema=events.schema)
     newer, late = _upsert_batches(events)
     for batch in (events, newer, late):
         formats.write(batch, folder, "json", mode="append")
-    spec = SourceSpec(key="events_cdc", path=folder, format="json", schema=events.schema)
-    target = f"{work}/silver/events"
-    # about three micro-batches whatever the file count; newest-wins makes the result order-free
-    stream_upsert(spark, spec, target, ["event_id"], ["ts"], FIXED_CONTEXT,
-                  max_files=files_per_trigger(spark, folder, 3))
-    return Table(spark, target).read()
+    stream_upsert(spark, spec, target, ["event_id"], ["ts"], FIXED_CONTEXT, max_bytes=STREAM_BYTES)
+    formats.write(_corrections(events), folder, "json", mode="append")
+    stream_upsert(spark, spec, target, ["event_id"], ["ts"], RunContext("run-2", datetime.datetime(2024, 1, 2)), max_bytes=STREAM_BYTES)
+    return Table(spark, target).read().select(*events.columns, "note")
 
 
 _SUPP_SNAPSHOTS = """
@@ -701,13 +764,10 @@ def scd2_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
           .filter(F.col("s_suppkey") % 7 != 3)
           .unionByName(s.filter(F.col("s_suppkey") % 10 == 0)
                        .withColumn("s_suppkey", F.col("s_suppkey") + F.lit(100000))))
-    tbl = Table(spark, f"{new_workdir(spark, 'scd2')}/dim_supplier")
-    tracked = ["s_name", "s_nationkey", "s_acctbal"]
-    for i, (snap, day) in enumerate([(s, "2024-01-01"), (s2, "2024-02-01"), (s3, "2024-03-01")], start=1):
-        history = tbl.read() if tbl.exists() else None
-        as_of = F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-        tbl.write_load(scd2_apply(history, snap, ["s_suppkey"], tracked, as_of), f"v{i}", mode="overwrite")
-    return tbl.read()
+    dim = Scd2Table(spark, f"{new_workdir(spark, 'scd2')}/dim_supplier", ["s_suppkey"], ["s_name", "s_nationkey", "s_acctbal"])
+    for i, (snap, month) in enumerate([(s, 1), (s2, 2), (s3, 3)], start=1):
+        dim.apply(snap, datetime.datetime(2024, month, 1), f"v{i}")
+    return dim.read()
 
 
 # ---------------------------------------------------------------- model ---
@@ -737,19 +797,21 @@ def dim_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("facts_by_date", f"""
 WITH {_SPAN},
-o AS (SELECT {_DAY_KEY.replace("(d)", "(o_orderdate)")} AS date_key, count(*) AS orders_n,
-             round(sum(o_totalprice), 2) AS orders_total FROM orders GROUP BY 1),
+o AS (SELECT coalesce({_DAY_KEY.replace("(d)", "(o_orderdate)")}, -1) AS date_key, count(*) AS orders_n,
+             round(sum(o_totalprice), 2) AS orders_total
+      FROM (SELECT o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS o_orderdate FROM orders) GROUP BY 1),
 l AS (SELECT {_DAY_KEY.replace("(d)", "(l_shipdate)")} AS date_key, count(*) AS lineitem_n,
              round(sum(l_extendedprice * (1 - l_discount)), 4) AS lineitem_revenue FROM lineitem GROUP BY 1)
 SELECT k.date_key, CAST(k.d AS TIMESTAMP) AS date, coalesce(o.orders_n, 0) AS orders_n, o.orders_total,
        coalesce(l.lineitem_n, 0) AS lineitem_n, l.lineitem_revenue
-FROM (SELECT {_DAY_KEY} AS date_key, d FROM days) k
+FROM (SELECT {_DAY_KEY} AS date_key, d FROM days UNION ALL SELECT -1, NULL) k
 LEFT JOIN o ON o.date_key = k.date_key LEFT JOIN l ON l.date_key = k.date_key
 WHERE o.orders_n IS NOT NULL OR l.lineitem_n IS NOT NULL
 """)
 def facts_by_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two facts bridged by the date dimension: each aggregated per day, then joined by day."""
+    """Two facts bridged by the date dimension: each aggregated per day, then joined by day; undated orders stay."""
     orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    orders = orders.withColumn("o_orderdate", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
     facts = {
         "orders": (orders, "o_orderdate", {"n": F.count(F.lit(1)), "total": F.round(F.sum("o_totalprice"), 2)}),
         "lineitem": (lineitem, "l_shipdate", {
@@ -772,7 +834,7 @@ def layout_pruning_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = write_layouts(table(spark, sf_dir, "lineitem"), "l_shipdate", new_workdir(spark, "layouts"))
     parts = []
     for layout, path in paths.items():
-        df = read_layout(spark, path, layout).where(F.expr(_LAYOUT_FILTER))
+        df = read_layout(spark, path, layout, "l_shipdate", "1997-01-01 00:00:00", "1997-04-01 00:00:00")
         parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
                             F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("revenue"))
                      .select(F.lit(layout).alias("layout"), "n_rows", "sum_qty", "revenue"))
@@ -795,16 +857,16 @@ def entity_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile_sql() -> str:
-    kinds = {"event_id": "num", "ts": "ts", "user_id": "num", "event_type": "str", "value": "num", "props": "str"}
+    kinds = {"event_id": "int", "ts": "ts", "user_id": "int", "event_type": "str", "value": "num", "props": "str"}
     parts = []
     for c, kind in kinds.items():
         def slot(k, agg):
-            target = {"num": "DOUBLE", "str": "VARCHAR", "ts": "TIMESTAMP"}[k]
+            target = {"int": "VARCHAR", "num": "DOUBLE", "str": "VARCHAR", "ts": "TIMESTAMP"}[k]
             return f"CAST({agg}({c}) AS {target})" if k == kind else f"CAST(NULL AS {target})"
 
         parts.append(
             f"SELECT count(*) AS n_rows, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
-            f"count(DISTINCT {c}) AS n_distinct, {slot('num', 'min')} AS min_num, {slot('num', 'max')} AS max_num, "
+            f"count(DISTINCT {c}) AS n_distinct, {slot('int', 'min')} AS min_int, {slot('int', 'max')} AS max_int, {slot('num', 'min')} AS min_num, {slot('num', 'max')} AS max_num, "
             f"{slot('str', 'min')} AS min_str, {slot('str', 'max')} AS max_str, "
             f"{slot('ts', 'min')} AS min_ts, {slot('ts', 'max')} AS max_ts FROM (SELECT {_NULLED} FROM events)")
     return "\nUNION ALL\n".join(parts)
@@ -817,37 +879,38 @@ def profile_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("time_gaps", """
-WITH g AS (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events)
-SELECT user_id, count(*) AS n_events, min(gap) / 1e6 AS min_gap_s, max(gap) / 1e6 AS max_gap_s FROM g GROUP BY user_id
+WITH e AS (SELECT user_id, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END AS us FROM events),
+g AS (SELECT user_id, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) AS gap FROM e WHERE us IS NOT NULL),
+p AS (SELECT user_id, min(gap) / 1e6 AS min_gap_s, max(gap) / 1e6 AS max_gap_s FROM g GROUP BY user_id)
+SELECT n.user_id, n.n_events, p.min_gap_s, p.max_gap_s
+FROM (SELECT user_id, count(*) AS n_events FROM e GROUP BY user_id) n LEFT JOIN p ON n.user_id = p.user_id
 """)
 def time_gaps_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user: smallest and largest gap between consecutive events, skew-safe."""
-    return time_gaps(table(spark, sf_dir, "events"), "user_id", "ts")
+    """Per user: smallest and largest gap between consecutive events; errors have no time here, but count."""
+    events = table(spark, sf_dir, "events")
+    return time_gaps(events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts"))), "user_id", "ts")
 
 
 # ------------------------------------------------------- log & comments ---
 
 @register("event_log_summary", """
 SELECT 'bronze_events' AS job_name, module, level, message, 'run-1' AS run_id FROM (
-  SELECT 'copy_into' AS module, 'INFO' AS level, 'loaded ' || CAST(count(*) AS VARCHAR) || ' rows from 4 files' AS message FROM events
+  SELECT 'copy_into' AS module, 'INFO' AS level, 'loaded ' || CAST(count(*) AS VARCHAR) || ' rows' AS message FROM events
   UNION ALL
   SELECT 'sanity_check', 'INFO', 'bronze.events passed with ' || CAST(count(*) AS VARCHAR) || ' rows' FROM events
   UNION ALL
-  SELECT 'copy_into', 'INFO', 'loaded 0 rows from 0 files')
+  SELECT 'copy_into', 'INFO', 'loaded 0 rows')
 """)
 def event_log_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load, its check and a no-op re-run, logged to an append-only event table in one write."""
-    _, work, spec = _landed_events(spark, sf_dir, "csv", "events_landing.csv")
-    target = f"{work}/bronze/events"
-    log = EventLog(spark, f"{work}/audit/pipeline_logs", "bronze_events", FIXED_CONTEXT)
-    first = copy_into(spark, spec, target, FIXED_CONTEXT)
-    log.info("copy_into", f"loaded {first.rows_loaded} rows from {first.new_files} files")
-    check = check_result(sanity_check(Table(spark, target).read(), "bronze.events"))
-    log.record("sanity_check", "INFO" if check["passed"] else "ERROR",
-               f"bronze.events {'passed' if check['passed'] else 'failed'} with {check['row_count']} rows")
-    again = copy_into(spark, spec, target, FIXED_CONTEXT)
-    log.info("copy_into", f"loaded {again.rows_loaded} rows from {again.new_files} files")
-    log.flush()
+    """A load, its check and a no-op re-run: the loader and the check write to the append-only event table."""
+    events, work, spec = _landed_events(spark, sf_dir, "csv", "events_landing.csv")
+    reg = events_registry(spec.path, events.schema)
+    with EventLog(spark, f"{work}/audit/pipeline_logs", "bronze_events", FIXED_CONTEXT) as log:
+        first = ingest(spark, reg, "bronze_events", f"{work}/lake", FIXED_CONTEXT, log=log)
+        check = check_result(sanity_check(Table(spark, first.target).read(), "bronze.events"))
+        log.record("sanity_check", "INFO" if check["passed"] else "ERROR",
+                   f"bronze.events {'passed' if check['passed'] else 'failed'} with {check['row_count']} rows")
+        ingest(spark, reg, "bronze_events", f"{work}/lake", FIXED_CONTEXT, log=log)
     return log.table().select("job_name", "module", "level", "message", "run_id")
 
 
@@ -864,18 +927,16 @@ EVENTS_COMMENTS = {
 SELECT object_name, comment, (SELECT count(*) FROM events) AS row_count FROM (VALUES
   ('TABLE', '{EVENTS_COMMENTS["table"].replace("'", "''")}'),
   ('event_id', '{EVENTS_COMMENTS["event_id"]}'), ('ts', '{EVENTS_COMMENTS["ts"]}'),
-  ('user_id', '{EVENTS_COMMENTS["user_id"]}'), ('event_type', NULL), ('value', NULL), ('props', NULL)
+  ('user_id', '{EVENTS_COMMENTS["user_id"]}'), ('event_type', NULL), ('value', NULL), ('props', NULL),
+  ('load_dt', NULL), ('source_format', NULL), ('source_file', NULL), ('run_id', NULL)
 ) AS t(object_name, comment)
 """)
 def table_comments_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Register events in the catalog, comment the table and three columns, read the comments back."""
-    work = new_workdir(spark, "catalog")
-    formats.write(table(spark, sf_dir, "events"), f"{work}/events", "parquet")
-    name = f"default.events_{basename(work).replace('-', '_')}"
-    register_table(spark, name, f"{work}/events")
-    cols = {k: v for k, v in EVENTS_COMMENTS.items() if k != "table"}
-    apply_comments(spark, name, EVENTS_COMMENTS["table"], cols)
-    n = spark.table(name).agg(F.count(F.lit(1)).alias("row_count"))
-    found = comments(spark, name).withColumn(
-        "object_name", F.when(F.col("object_name") == name, F.lit("TABLE")).otherwise(F.col("object_name")))
-    return found.withColumn("row_count", F.lit(n.first()[0]).cast("long"))
+    """A load keeps its source's description and column comments with the table it loads."""
+    events, work, spec = _landed_events(spark, sf_dir, "csv", "events_landing.csv")
+    columns = {k: v for k, v in EVENTS_COMMENTS.items() if k != "table"}
+    reg = Registry({"events": {"path": spec.path, "format": "csv", "schema": events.schema, "target": "bronze.events",
+                               "description": EVENTS_COMMENTS["table"], "column_comments": columns}})
+    loaded = Table(spark, ingest(spark, reg, "events", f"{work}/lake", FIXED_CONTEXT).target)
+    n = loaded.read().agg(F.count(F.lit(1)).alias("row_count"))
+    return loaded.comments().withColumn("row_count", F.lit(n.first()[0]).cast("long"))

@@ -15,6 +15,9 @@ AWKWARD = [
     (4, "line one\nline two\r\nline three", dt.datetime(1999, 12, 31, 23, 59, 59, 999999)),
     (5, "back\\slash <b>markup</b> & 'quotes'", dt.datetime(2024, 2, 29, 12, 0, 0)),
     (6, "  outer blanks  ", dt.datetime(2024, 3, 10, 2, 30, 0)),
+    (7, "\\N", None),
+    (8, "\\\\N", None),
+    (9, "N", None),
 ]
 SCHEMA = "id long, text string, ts timestamp_ntz"
 
@@ -22,11 +25,34 @@ SCHEMA = "id long, text string, ts timestamp_ntz"
 @pytest.mark.parametrize("fmt", ["csv", "json", "xml", "parquet"])
 def test_roundtrip_is_lossless(spark, workdir, fmt):
     df = spark.createDataFrame(AWKWARD, SCHEMA)
-    formats.write(df.repartition(3), f"{workdir}/{fmt}", fmt)
-    back = formats.read(spark, f"{workdir}/{fmt}", fmt, schema=df.schema)
+    options = {"multiLine": "true"} if fmt == "csv" else {}
+    formats.write(df.repartition(3), f"{workdir}/{fmt}", fmt, **options)
+    back = formats.read(spark, f"{workdir}/{fmt}", fmt, schema=df.schema, **options)
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_csv_with_line_breaks_is_refused_unless_asked_for(spark, workdir):
+    df = spark.createDataFrame(AWKWARD, SCHEMA)
+    with pytest.raises(Exception, match="line break"):
+        formats.write(df, f"{workdir}/a", "csv")
+    flat = df.filter("id <> 4")
+    formats.write(flat, f"{workdir}/b", "csv")
+    assert sorted(formats.read(spark, f"{workdir}/b", "csv", schema=df.schema).collect()) == sorted(flat.collect())
+
+
+def test_a_large_csv_file_is_read_in_splits(spark, workdir):
+    df = spark.range(60_000).selectExpr("id", "repeat('text ', 8) AS t")
+    formats.write(df.coalesce(1), f"{workdir}/one", "csv")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+        back = formats.read(spark, f"{workdir}/one", "csv", schema=df.schema)
+        assert back.rdd.getNumPartitions() >= 5
+        assert back.count() == 60_000 and back.agg({"id": "sum"}).first()[0] == sum(range(60_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 @pytest.mark.parametrize("fmt", ["csv", "json", "xml"])
 def test_events_microseconds_survive(spark, workdir, events, fmt):
     formats.write(events, f"{workdir}/{fmt}", fmt)

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.context import FIXED_CONTEXT, RunContext
-from sluice.plans.load import (LoadRejected, copy_into, create_empty_like, full_refresh, ingest,
+from sluice.plans.eventlog import EventLog
+from sluice.plans.load import (Gate, LoadRejected, copy_into, create_empty_like, full_refresh, ingest, quarantine_table,
                                refresh_with_expectations)
 from sluice.operators.quality import Expectation, ExpectationFailed
 from sluice.plans.tables import SchemaConflict, Table
@@ -111,46 +112,84 @@ def test_gate_blocks_bad_delivery(spark, workdir, events, landed):
                f"{workdir}/lake")
 
 
-def test_commit_log_checkpoints_keep_state(spark, workdir, events, monkeypatch):
-    monkeypatch.setattr(Table, "CHECKPOINT_EVERY", 3)
+def test_visible_loads_and_ledger(spark, workdir, events):
     t = Table(spark, f"{workdir}/many")
     small = events.limit(3)
     for i in range(8):
-        t.write_load(small, f"l{i}", mode="overwrite" if i == 5 else "append", files=[
-            {"path": f"/src/f{i}", "length": i, "mtime_ms": i}])
-    fresh = Table(spark, t.path)  # no cache
+        files = spark.createDataFrame([(f"/src/f{i}", i, i)], "path string, length long, mtime_ms long")
+        t.write_load(small, f"l{i}", mode="overwrite" if i == 5 else "append", files=files)
+    fresh = Table(spark, t.path)
     assert [c["seq"] for c in fresh.commits()] == list(range(1, 9))
     assert fresh.visible_loads() == ["l5", "l6", "l7"]
     assert fresh.read().count() == 9
     assert fresh.loaded_files().count() == 8
-    from sluice.context import list_names
-    assert [n for n in list_names(spark, t.log_path) if "checkpoint" in n] == [
-        "00000000000000000003.checkpoint.jsonl", "00000000000000000006.checkpoint.jsonl"]
-
-
-def test_compact_keeps_rows_and_ledger(spark, workdir, events, landed):
-    target = f"{workdir}/bronze/events"
-    copy_into(spark, landed, target, FIXED_CONTEXT)
-    land(events.withColumn("event_id", F.col("event_id") + 10**9), landed.path, mode="append", files=1)
-    copy_into(spark, landed, target, FIXED_CONTEXT)
-    t = Table(spark, target)
-    before = t.read()
-    rows_before = sorted(map(tuple, before.collect()))
-    assert len(t.visible_loads()) == 2
-    assert t.compact() == 2 * events.count()
-    assert len(t.visible_loads()) == 1
-    assert sorted(map(tuple, t.read().collect())) == rows_before
-    assert copy_into(spark, landed, target, FIXED_CONTEXT).rows_loaded == 0  # ledger survived
-
-
-def test_compact_bucketed_table(spark, workdir, events):
-    from sluice.plans.merge import merge_into
-
-    t = Table(spark, f"{workdir}/silver")
-    merge_into(t, events, ["event_id"], ["ts"], "v1", num_buckets=8)
-    merge_into(t, events.filter("event_id < 3").withColumn("value", F.lit(0.5))
-               .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND")), ["event_id"], ["ts"], "v2")
-    n = t.read().count()
-    t.compact()
-    assert t.bucketing()["num_buckets"] == 8 and len(t.visible_loads()) == 1
-    assert t.read().count() == n and t.read().filter("value = 0.5").count() == 3
+    assert t.write_load(small, "l3") == 0
+
+
+def test_a_commit_is_whole_or_not_there(spark, workdir, events):
+    """A record that was being written when the job died lies beside the log and is not read."""
+    from sluice.context import create_text
+
+    t = Table(spark, f"{workdir}/torn")
+    t.write_load(events.limit(3), "l0")
+    create_text(spark, f"{t.log_path}/00000000000000000002.json.0123.tmp", '{"seq": 2, "load')
+    assert Table(spark, t.path).read().count() == 3
+    with pytest.raises(FileExistsError):
+        create_text(spark, f"{t.log_path}/00000000000000000001.json", "{}")
+
+
+BAD_LINES = [('{"id": 1, "v": 1.5}', None), ('{"id": "one", "v": 2.0}', "malformed"), ('{"id": 3, "v": 2.0, "w": 1, "a": 2}', "unknown fields: a,w"),
+             ('{"id": 4, "v"', "malformed"), ("", None), ('{"id": 5}', None)]
+
+
+def test_json_lines_that_do_not_fit_are_set_aside(spark, workdir):
+    spark.createDataFrame([(x,) for x, _ in BAD_LINES], "value string").write.text(f"{workdir}/in.json")
+    spec = SourceSpec("x", path=f"{workdir}/in.json", format="json", schema="id long, v double")
+    res = copy_into(spark, spec, f"{workdir}/t", FIXED_CONTEXT, Gate())
+    assert (res.rows_loaded, res.quarantined) == (2, 3)
+    assert sorted((r["id"], r["v"]) for r in Table(spark, f"{workdir}/t").read().collect()) == [(1, 1.5), (5, None)]
+    aside = {(r["raw"], r["reason"]) for r in quarantine_table(spark, f"{workdir}/t").read().collect()}
+    assert aside == {(x, why) for x, why in BAD_LINES if why}
+
+
+@pytest.mark.parametrize("fmt,lines,tag", [
+    ("csv", ['id,v', '1,1.5', 'one,2.0', '3,2.0,9', '5,\\N'], None),
+    ("xml", ["<records>", "<record><id>1</id><v>1.5</v></record>", "<record><id>one</id><v>2.0</v></record>", "<record><id>5</id></record>", "</records>"], "record")])
+def test_text_rows_that_do_not_fit_are_set_aside(spark, workdir, fmt, lines, tag):
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{workdir}/in")
+    spec = SourceSpec("x", path=f"{workdir}/in", format=fmt, schema="id long, v double")
+    res = copy_into(spark, spec, f"{workdir}/t", FIXED_CONTEXT)
+    assert sorted(r["id"] for r in Table(spark, f"{workdir}/t").read().collect()) == [1, 5]
+    assert res.quarantined == (2 if fmt == "csv" else 1)
+
+
+def test_a_refused_delivery_does_not_hold_up_the_next(spark, workdir, events, landed):
+    target, gate = f"{workdir}/bronze/events", Gate(not_null_columns=("user_id",))
+    copy_into(spark, landed, target, FIXED_CONTEXT, gate)
+    land(events.limit(7).withColumn("user_id", F.lit(None).cast("long")), landed.path, mode="append", files=1)
+    with pytest.raises(LoadRejected, match="user_id has 7 null values out of 7"):
+        copy_into(spark, landed, target, FIXED_CONTEXT, gate)
+    assert quarantine_table(spark, target).read().filter("reason LIKE 'load refused: user_id%'").count() == 7
+    land(events.limit(5).withColumn("event_id", F.col("event_id") + 10**9), landed.path, mode="append", files=1)
+    assert copy_into(spark, landed, target, FIXED_CONTEXT, gate).rows_loaded == 5
+    assert Table(spark, target).read().count() == events.count() + 5
+
+
+def test_ingest_comments_and_logs_also_when_it_fails(spark, workdir, events, landed):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    reg = Registry({"e": {"path": landed.path, "format": "csv", "schema": events.schema, "target": "t.e", "description": "Events, 'raw'",
+                          "column_comments": {"ts": "wall time"}}})
+    log = EventLog(spark, f"{workdir}/log", "job", FIXED_CONTEXT)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        res = ingest(spark, reg, "e", f"{workdir}/lake", FIXED_CONTEXT, log=log)
+        with pytest.raises(LoadRejected):
+            land(events.limit(2).withColumn("user_id", F.lit(None).cast("long")), landed.path, mode="append", files=1)
+            ingest(spark, reg, "e", f"{workdir}/lake", FIXED_CONTEXT, not_null_columns=("user_id",), log=log)
+        age = log.table().select((F.unix_seconds(F.current_timestamp()) - F.unix_seconds("event_ts")).alias("s")).collect()
+        assert all(-5 < r["s"] < 600 for r in age)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    said = {r["object_name"]: r["comment"] for r in Table(spark, res.target).comments().collect()}
+    assert said["TABLE"] == "Events, 'raw'" and said["ts"] == "wall time" and said["value"] is None
+    assert sorted(r["level"] for r in log.table().collect()) == ["ERROR", "INFO"]

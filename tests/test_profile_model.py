@@ -1,11 +1,11 @@
 """Profiles, time gaps (vs brute force), date dimension, entry contract."""
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from sluice.operators.profile import entity_profile, profile_table, time_gaps
-from sluice.plans.model import date_span, dim_date
+from sluice.plans.model import (LAYOUTS, date_span, dim_date, facts_by_date, files_read, read_layout,
+                                write_layouts)
 
 
 def brute_gaps(pdf):
@@ -19,7 +19,7 @@ def brute_gaps(pdf):
 def test_time_gaps_match_brute_force_with_a_hot_user(spark, events):
     hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
     got = {r["user_id"]: (r["n_events"], r["min_gap_s"], r["max_gap_s"])
-           for r in time_gaps(hot, "user_id", "ts", time_buckets=16).collect()}
+           for r in time_gaps(hot, "user_id", "ts").collect()}
     want = brute_gaps(hot.select("user_id", "ts").toPandas())
     assert set(got) == set(want)
     for k, (n, lo, hi) in want.items():
@@ -61,7 +61,6 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     rows = {r["slice_id"]: r["n_rows"] for r in df.collect()}
     assert rows == {1: 600, 2: 450, 3: 300, 4: 150}
-    pd.DataFrame()  # pandas available for brute-force checks
 
 
 def test_epoch_micros_ignores_session_zone(spark):
@@ -78,20 +77,61 @@ def test_epoch_micros_ignores_session_zone(spark):
     assert got == [1710032400000001, 1710043200500000, -1000000]
 
 
-def test_layouts_spread_a_hot_date_and_keep_every_row(spark):
+def test_gaps_of_missing_tied_and_zoned_times(spark):
+    rows = [(1, None), (1, "2024-03-10 06:30:00"), (1, "2024-03-10 07:30:00"), (2, None), (2, None), (3, "2024-01-01 00:00:00"),
+            (3, "2024-01-01 00:00:00"), (None, "2024-01-01 00:00:00"), (None, "2024-01-01 00:00:05")]
+    df = spark.createDataFrame(rows, "e int, s string")
+    want = {1: (3, 3600.0, 3600.0), 2: (2, None, None), 3: (2, 0.0, 0.0), None: (2, 5.0, 5.0)}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone, kind in (("UTC", "timestamp_ntz"), ("UTC", "timestamp"), ("America/New_York", "timestamp")):
+            # instants written in UTC: in New York the clock is put forward between the first two
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            at = F.col("s").cast(kind) if zone == "UTC" else F.concat("s", F.lit("Z")).cast(kind)
+            got = {r["e"]: (r["n_events"], r["min_gap_s"], r["max_gap_s"]) for r in time_gaps(df.withColumn("t", at), "e", "t").collect()}
+            assert got == want, (zone, kind)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_profile_is_exact_and_covers_every_type(spark):
+    df = spark.createDataFrame([(9007199254740993, True, b"a", [1], {"k": 1}, 1.5), (2, None, b"a", None, {"k": 2}, None)],
+                               "big long, flag boolean, raw binary, list array<int>, map map<string,int>, x double")
+    got = {r["column_name"]: r for r in profile_table(df).collect()}
+    assert set(got) == set(df.columns)
+    assert (got["big"]["min_int"], got["big"]["max_int"]) == ("2", "9007199254740993")
+    assert (got["flag"]["n_nulls"], got["flag"]["max_str"]) == (1, "true")
+    assert [got[c]["n_distinct"] for c in ("big", "flag", "raw", "list", "map", "x")] == [2, 1, 1, 1, 2, 1]
+
+
+def test_facts_without_a_date_are_kept(spark):
     import datetime as dt
 
-    from sluice.context import new_workdir
-    from sluice.plans.model import LAYOUTS, read_layout, write_layouts
+    facts = spark.createDataFrame([(dt.date(2024, 1, 1), 2.0), (None, 3.0)], "d date, v double")
+    dim = dim_date(date_span([(facts, "d")]))
+    got = facts_by_date({"f": (facts, "d", {"total": F.sum("v")})}, dim).collect()
+    assert sorted((r["date_key"], r["f_total"]) for r in got) == [(-1, 3.0), (20240101, 2.0)]
+
 
-    hot = dt.date(2024, 3, 5)
-    rows = [(i, hot if i % 3 else dt.date(2024, 1, 1) + dt.timedelta(days=i % 90), float(i)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "id long, d date, v double")
-    paths = write_layouts(df, "d", new_workdir(spark, "layout-test"), num_files=6)
+def test_layouts_spread_a_hot_date_keep_every_row_and_prune(spark, workdir):
+    import datetime as dt
+
+    hot = dt.datetime(2024, 3, 5)
+    rows = [(i, hot if i % 3 else dt.datetime(2024, 1, 1) + dt.timedelta(days=i % 180), float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, d timestamp_ntz, v double").cache()
+    paths = write_layouts(df, "d", workdir, num_files=6)
     want = sorted(map(tuple, df.collect()))
+    read = {}
     for layout in LAYOUTS:
-        got = sorted(map(tuple, read_layout(spark, paths[layout], layout).select("id", "d", "v").collect()))
-        assert got == want, layout
+        everything = read_layout(spark, paths[layout], layout, "d", "2000-01-01 00:00:00", "2100-01-01 00:00:00")
+        assert sorted(map(tuple, everything.select("id", "d", "v").collect())) == want, layout
+        some = read_layout(spark, paths[layout], layout, "d", "2024-02-01 00:00:00", "2024-03-01 00:00:00")
+        assert some.count() == sum(1 for r in want if dt.datetime(2024, 2, 1) <= r[1] < dt.datetime(2024, 3, 1))
+        read[layout] = files_read(some).first()
+        if layout == "partitioned":
+            plan = some._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: []" not in plan and "ship_month" in plan.split("PartitionFilters:")[1][:200]
+    assert read["partitioned"]["n_bytes"] < read["plain"]["n_bytes"]
     # two thirds of the rows share one date: range partitioning with a row-hash tiebreak cuts it
     per_file = (spark.read.parquet(paths["range_sorted"]).where(F.col("d") == F.lit(hot))
                 .groupBy(F.input_file_name()).count().collect())
@@ -99,13 +139,29 @@ def test_layouts_spread_a_hot_date_and_keep_every_row(spark):
     assert max(r["count"] for r in per_file) < 2000
 
 
-def test_files_per_trigger_counts_data_files_only(spark):
-    from sluice.context import new_workdir
-    from sluice.suite import files_per_trigger, land
+def test_event_log_summary_does_not_depend_on_the_number_of_files(spark):
+    from sluice.suite import QUERIES
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        got = {r["message"] for r in QUERIES["event_log_summary"](spark, "/root/testdata/sf0.001").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    n = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert got == {f"loaded {n} rows", f"bronze.events passed with {n} rows", "loaded 0 rows"}
 
-    work = new_workdir(spark, "trigger-test")
-    df = spark.range(400).withColumnRenamed("id", "event_id")
-    land(df, f"{work}/in", "json", files=8)
-    assert files_per_trigger(spark, f"{work}/in", 4) == 2   # _SUCCESS and .crc files are not counted
-    assert files_per_trigger(spark, f"{work}/in", 3) == 3
-    assert files_per_trigger(spark, f"{work}/missing", 3) == 1
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from sluice.context import scratch_root
+
+    none = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=none)
+    try:
+        scratch_root(session)
+    except RuntimeError as error:
+        assert "spark.checkpoint.dir" in str(error)
+    else:
+        raise AssertionError("a temporary folder was taken")

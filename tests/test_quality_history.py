@@ -3,11 +3,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.history import latest_per_key, reconcile, scd2_apply, upsert
 from sluice.operators.quality import (Expectation, check_result, expect, expectation_report, key_overlap,
                                       quarantine, sanity_check)
+from sluice.plans.merge import merge_into
+from sluice.plans.scd2 import LateSnapshot, Scd2Table
+from sluice.plans.tables import Table
 
 
 def test_sanity_check_messages(spark, events):
@@ -84,8 +88,9 @@ def test_scd2_invariants(spark):
     s2 = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d")], "k int, v string")
     s3 = spark.createDataFrame([(2, "B"), (3, "c"), (4, "d")], "k int, v string")
     h = scd2_apply(None, s1, ["k"], ["v"], ts("2024-01-01"))
-    h = scd2_apply(h, s2, ["k"], ["v"], ts("2024-02-01"))
-    h = scd2_apply(h, s3, ["k"], ["v"], ts("2024-03-01"))
+    second = scd2_apply(h, s2, ["k"], ["v"], ts("2024-02-01"))
+    third = scd2_apply(second.filter("is_current"), s3, ["k"], ["v"], ts("2024-03-01"))
+    h = second.filter("NOT is_current").unionByName(third)
     key = lambda t: tuple(str(x) for x in t)
     rows = sorted(((r["k"], r["v"], r["valid_from"], r["valid_to"], r["is_current"]) for r in h.collect()), key=key)
     d = dt.datetime
@@ -100,47 +105,40 @@ def test_scd2_invariants(spark):
     assert h.groupBy("k").agg(F.sum(F.col("is_current").cast("int")).alias("c")).filter("c != 1").count() == 0
 
 
-def test_merge_into_rewrites_only_touched_buckets(spark, workdir, events):
-    from sluice.plans.merge import merge_into
-    from sluice.plans.tables import Table
+def test_upsert_ties_and_new_columns(spark):
+    t = spark.createDataFrame([(1, 10, 1, 10.0), (2, 10, 1, 7.0)], "k int, ts int, load int, v double")
+    u = spark.createDataFrame([(1, 10, 2, 5.0, "x")], "k int, ts int, load int, v double, extra string")
+    got = sorted(map(tuple, upsert(t, u, ["k"], ["ts", "load"]).collect()))
+    assert got == [(1, 10, 2, 5.0, "x"), (2, 10, 1, 7.0, None)]
 
+
+def test_merge_into_is_one_shuffle_and_replays_are_no_ops(spark, workdir, events):
     t = Table(spark, f"{workdir}/silver")
-    merge_into(t, events, ["event_id"], ["ts"], "v1", num_buckets=16)
-    assert t.bucketing() == {"keys": ["event_id"], "num_buckets": 16}
-    few = events.filter("event_id < 5").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")) \
-        .withColumn("value", F.lit(-7.0))
-    merge_into(t, few, ["event_id"], ["ts"], "v2", num_buckets=16)
-    last = t.commits()[-1]
-    assert last["mode"] == "replace_buckets" and 1 <= len(last["buckets"]) <= 5
-    got = t.read()
-    assert got.count() == events.count()
-    assert got.filter("value = -7.0").count() == 5
-    assert merge_into(t, few, ["event_id"], ["ts"], "v2") == 0  # replay is a no-op
-    late = events.filter("event_id < 5").withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY")) \
-        .withColumn("value", F.lit(1e9))
-    merge_into(t, late, ["event_id"], ["ts"], "v3")
-    assert t.read().filter("value = 1e9").count() == 0
-    assert sorted(r[0] for r in t.read(with_load_id=True).select("load_id").distinct().collect()) == ["v1", "v3"]  # v3 replaced all of v2
-
-
-def test_merge_into_dedups_versions_within_one_batch(spark, workdir, events):
-    from sluice.plans.merge import merge_into
-    from sluice.plans.tables import Table
-
-    t = Table(spark, f"{workdir}/silver_versions")
-    # the first load itself carries three versions of every key: only the newest lands
-    versions = events.unionByName(events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 HOURS"))
-                                  .withColumn("value", F.lit(2.0))) \
-        .unionByName(events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 2 HOURS")).withColumn("value", F.lit(-2.0)))
-    assert merge_into(t, versions, ["event_id"], ["ts"], "v1", num_buckets=8) == events.count()
-    got = t.read()
-    assert got.count() == events.count() and got.filter("value <> 2.0").count() == 0
-    # a later batch with two versions of a few keys, one newer and one older than the table
+    versions = events.unionByName(events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 HOURS")).withColumn("value", F.lit(2.0)))
+    assert merge_into(t, versions, ["event_id"], ["ts"], "v1") == events.count()
     few = events.filter("event_id < 4")
     batch = few.withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 HOURS")).withColumn("value", F.lit(3.0)) \
         .unionByName(few.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).withColumn("value", F.lit(1.0)))
+    plan = upsert(t.read(), batch, ["event_id"], ["ts"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
     merge_into(t, batch, ["event_id"], ["ts"], "v2")
+    assert merge_into(t, batch, ["event_id"], ["ts"], "v2") == 0
     after = t.read()
     assert after.count() == events.count()
-    assert after.filter("value = 3.0").count() == few.count()
-    assert after.filter("value = 1.0").count() == 0
+    assert after.filter("value = 3.0").count() == 4 and after.filter("value = 1.0").count() == 0
+
+
+def test_scd2_refuses_late_snapshots_and_keeps_null_keys_once(spark, workdir):
+    s1 = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    dim = Scd2Table(spark, f"{workdir}/dim", ["k"], ["v"])
+    d = dt.datetime
+    dim.apply(s1, d(2024, 2, 1), "a")
+    dim.apply(s1, d(2024, 3, 1), "b")
+    assert dim.apply(spark.createDataFrame([(1, "A")], "k int, v string"), d(2024, 4, 1), "c") == 1
+    assert dim.apply(spark.createDataFrame([(1, "B")], "k int, v string"), d(2024, 4, 1), "c") == 0
+    with pytest.raises(LateSnapshot):
+        dim.apply(s1, d(2024, 1, 1), "d")
+    rows = sorted((tuple(r) for r in dim.read().collect()), key=str)
+    assert rows == sorted([(1, "a", d(2024, 2, 1), d(2024, 4, 1), False), (1, "A", d(2024, 4, 1), None, True),
+                           (None, "n", d(2024, 2, 1), None, True)], key=str)
+    assert [c["rows"] for c in dim.closed_rows.commits()] == [0, 0, 1]
