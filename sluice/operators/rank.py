@@ -95,8 +95,9 @@ class Ranked:
 
 
 def choose_buckets(spark, n: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> int:
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, floor, math.ceil(n / max(1, rows_per_bucket)))
+    """Range buckets for ``n`` rows: the shuffle partitions, fewer where they would be nearly empty, more where they would be too large."""
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(parallel, math.ceil(n / 20_000)), math.ceil(n / max(1, rows_per_bucket)))
 
 
 def global_rank(
@@ -112,7 +113,7 @@ def global_rank(
     spark = df.sparkSession
     keys = order_keys(df, order_by, tiebreak)
     if num_buckets is None:
-        num_buckets = max(choose_buckets(spark, 0, rows_per_bucket), scan_partitions(df))
+        num_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), scan_partitions(df))
     workdir = workdir or new_workdir(spark, "rank")
     staged_path = f"{workdir}/staged"
     order = sort_columns(keys) + [F.col(_SALT).asc()]
@@ -198,8 +199,9 @@ def slice_shares(df: DataFrame, slice_col: str = "slice_id") -> DataFrame:
 # to Parquet). A lead without an integer form (text, floating point) ranks every row.
 # ----------------------------------------------------------------------------------------------
 
-# Cuts lie these shares of all rows below and above a boundary; the inner ones exceed the quantiles' error.
-CUT_SHARES = (0.0005, 0.005, 0.05)
+# The quantiles taken in the first pass, in steps of 1/QUANTILES, and how many steps below and above a boundary cuts lie.
+QUANTILES = 2_000
+CUT_STEPS = (1, 10, 100)
 QUANTILE_ACCURACY = 10_000
 _V, _LEAF, _RANK = "_sl_v", "_sl_leaf", "_sl_rank"
 
@@ -359,16 +361,14 @@ def _segment_range(lead: Column, seg: Segment, lead_type) -> Column:
     return (lead >= _raw_literal(seg.lo, lead_type)) & (lead <= _raw_literal(seg.hi - 1, lead_type))
 
 
-def _cut_points(df: DataFrame, value: Column, n: int, nn: int, bounds: list[tuple[int, int]]) -> list[int]:
-    """Lead values a little below and above each slice boundary, ascending (approximate quantiles, one pass)."""
-    shares = set()
+def _cut_points(grid: list[int], n: int, nn: int, bounds: list[tuple[int, int]]) -> list[int]:
+    """Lead values a little below and above each slice boundary, ascending; ``grid`` are the lead's quantiles."""
+    cuts = set()
     for _, end in bounds[:-1]:
-        at = (end - (n - nn)) / nn  # NULL leads come first
-        shares |= {s for d in CUT_SHARES for s in (at - d, at + d) if 0 < s < 1}
-    if not shares:
-        return []
-    found = df.agg(F.percentile_approx(value, sorted(shares), QUANTILE_ACCURACY)).first()[0]
-    return sorted({int(v) for v in found or []})
+        at = (end - (n - nn)) / nn * QUANTILES  # NULL leads come first
+        for d in CUT_STEPS:
+            cuts |= {grid[i] for i in (math.floor(at) - d, math.ceil(at) + d) if 0 <= i < len(grid)}
+    return sorted(int(c) for c in cuts)
 
 
 def plan_slices(
@@ -382,7 +382,7 @@ def plan_slices(
 ) -> SlicedFrame:
     """Exact percentage slices of ``df`` ordered by ``order_by ASC NULLS FIRST, tiebreak…``.
 
-    Jobs: count/min/max of the lead column; its quantiles beside the slice boundaries; one count per segment between them (a few
+    Jobs: count, min, max and quantiles of the lead column; one count per segment between those beside the slice boundaries (a few
     rows per slice reach the driver; with ``fingerprint`` each segment also sums its rows' hashes); an exact range rank of the rows
     in the segments that a boundary cuts through (about a thousandth of the data per boundary, or all rows of the lead value
     there), staged once in ``num_buckets`` range buckets.
@@ -400,12 +400,13 @@ def plan_slices(
     # min/max of the raw column, then its integer form: monotone, so f(min) = min(f)
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(lead).alias("nn"),
                    _integral(F.min(lead), lead_type).alias("lo"),
-                   _integral(F.max(lead), lead_type).alias("hi")).first()
+                   _integral(F.max(lead), lead_type).alias("hi"),
+                   F.percentile_approx(value, [i / QUANTILES for i in range(QUANTILES + 1)], QUANTILE_ACCURACY).alias("grid")).first()
     n, nn, lo, hi = int(stats["n"]), int(stats["nn"]), stats["lo"], stats["hi"]
     bounds = slice_bounds(n, percents)
     segments: list[Segment] = []
     if n:
-        edges = [lo, *[c for c in _cut_points(df, value, n, nn, bounds) if lo < c <= hi], hi + 1] if nn else []
+        edges = [lo, *[c for c in _cut_points(stats["grid"], n, nn, bounds) if lo < c <= hi], hi + 1] if nn else []
         base = df.select(value.alias(_V), *([row_hash(df).alias("_sl_h")] if fingerprint else []))
         inner = [F.lit(e) for e in edges[1:-1]]
         segment = F.when(F.col(_V).isNull(), F.lit(-1)).otherwise(_search(F.col(_V), inner, 0, len(inner)))
