@@ -6,12 +6,12 @@
    common passages out of the prefixes.
 3. Two sets of Jaccard similarity t or more share a shingle among their first n - ceil(t n) + 1 in that order. The
    prefix index holds those, and only keys that two classes or more share are kept.
-4. Rounds of hubs: in each key's bucket one class is the hub; every class is held against the hub it shares most keys
-   with, so a group of thousands of near copies costs one pair a member, and falls into few components.
-5. What is left: pairs of classes of different components that share a key, with the exact number of shared prefix
-   keys; the length bound and the bound from that number leave nearly only true links.
-6. A pair is verified by vertical partitioning: the order is cut into fragments, each fragment counts the overlap
-   of the two segments, and the sums over the fragments decide 100 * intersection >= threshold * union.
+4. In each key's bucket a few classes are hubs, drawn by hash; every class is held against the hubs it shares most keys
+   with. So a group of thousands of near copies costs a few pairs a member and falls into few components.
+5. All further pairs of classes of different components that share a key are met, each at its first shared key.
+6. The shared prefix keys of a pair bound its overlap; pairs that pass are verified by vertical partitioning: the order is cut into
+   fragments, each fragment counts the overlap of the two segments, and the sums over the fragments decide
+   100 * intersection >= threshold * union.
 """
 from __future__ import annotations
 
@@ -22,19 +22,20 @@ from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
 from sluice.llm.graph import components
-from sluice.llm.shared import columns, workdir, written
+from sluice.llm.shared import columns, key_filter, may_hold, workdir, written
 
 HEAVY_KEYS = 1 << 17  # most shingles in the broadcast summary: 2 MB at most, whatever the corpus
 HEAVY_WINDOW = 1 << 22  # shingles of a task counted at a time
-HEAVY_LEAST = 3
-HUB_ROUNDS = 3
+HEAVY_LEAST = 2
+HUBS = 3
+RECENT = 16
 FRAGMENTS = 8
 _HEAVY_BASE = 1 << 62
 
 
 def heavy_shingles(docs: DataFrame, k: int) -> np.ndarray:
     """The most repeated shingles, least repeated first: every task counts all its shingles in windows of fixed size
-    and passes on those it met three times or more; the largest sums win. Bounded by HEAVY_KEYS."""
+    and passes on those it met twice or more; the largest sums win. Bounded by HEAVY_KEYS."""
 
     def count(batches):
         def flush(parts):
@@ -94,7 +95,7 @@ def _ordered(heavy: np.ndarray):
 
 
 def _prefixes(docs: DataFrame, k: int, pct: int, heavy: np.ndarray) -> DataFrame:
-    """``(doc_id, cid, n, prefix)`` of every row; an empty set has no prefix."""
+    """``(doc_id, tag, cid, n, prefix)`` of every row; an empty set has no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(_ordered(heavy))
 
     def run(batches):
@@ -109,35 +110,37 @@ def _prefixes(docs: DataFrame, k: int, pct: int, heavy: np.ndarray) -> DataFrame
             ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "cid", "n", "prefix"])
+                [batch.column("doc_id"), batch.column("tag"), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "tag", "cid", "n", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, cid long, n long, prefix array<long>")
+    return docs.select("doc_id", "tag", "text").mapInArrow(run, f"doc_id {kind}, tag long, cid long, n long, prefix array<long>")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, k: int, heavy: np.ndarray) -> DataFrame:
     """``(cid, fragment, keys)``: the whole sets of the classes ``wanted(cid, rep)``, cut at the fragments' pivots.
 
     The order below the heavy shingles is uniform, so equal ranges are equal loads; the heavy ones are a fragment of
-    their own. A row whose text isn't of the class that was asked for (repeated ids) is passed over.
+    their own. Texts are read where they lie: a filter of fixed size over the representatives' ids decides which are
+    shingled, and whatever passes besides them is dropped, or counted once, by the joins that follow.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_ordered(heavy))
+    sc = docs.sparkSession.sparkContext
+    shared = sc.broadcast(_ordered(heavy))
+    held = key_filter(wanted.select(F.xxhash64("rep").alias("key")))
     pivots = np.array([_HEAVY_BASE // FRAGMENTS * i for i in range(1, FRAGMENTS)] + [_HEAVY_BASE], np.int64)
 
     def run(batches):
         values, rank = shared.value
         for batch in batches:
-            asked = batch.column("cid").to_pylist()
+            some = may_hold(held.value, batch.column("_key").to_numpy(zero_copy_only=False).astype(np.int64))
+            batch = batch.filter(pa.array(some))
             cids, frags, parts = [], [], []
-            for row, found in _sets(batch, k):
-                if _class_id(found) != asked[row]:
-                    continue
-                keys = _keys(found, values, rank)
+            for _, found in _sets(batch, k):
+                cid, keys = _class_id(found), _keys(found, values, rank)
                 cuts = [0, *np.searchsorted(keys, pivots), len(keys)]
                 for f, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     if b > a:
-                        cids.append(asked[row])
+                        cids.append(cid)
                         frags.append(f)
                         parts.append(keys[a:b])
             ends = np.cumsum([0] + [len(p) for p in parts]).astype(np.int32)
@@ -146,8 +149,8 @@ def _segments(docs: DataFrame, wanted: DataFrame, k: int, heavy: np.ndarray) ->
                 [pa.array(cids, pa.int64()), pa.array(frags, pa.int32()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["cid", "fragment", "keys"])
 
-    rows = wanted.join(docs, wanted["rep"].eqNullSafe(docs["doc_id"])).select("cid", "text")
-    return rows.mapInArrow(run, "cid long, fragment int, keys array<long>").dropDuplicates(["cid", "fragment"])
+    keyed = docs.select("text", F.xxhash64("doc_id").alias("_key"))
+    return keyed.mapInArrow(run, "cid long, fragment int, keys array<long>").join(wanted.select("cid"), "cid", "left_semi")
 
 
 def _similar(inter: Column, n_a: Column, n_b: Column, pct: int) -> Column:
@@ -155,78 +158,120 @@ def _similar(inter: Column, n_a: Column, n_b: Column, pct: int) -> Column:
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, pct: int) -> DataFrame:
-    """Links ``(u, v)`` among ``pairs(a, b, n_a, n_b)``: overlaps counted in each fragment, then summed per pair."""
+    """Links ``(u, v)`` among ``pairs(a, b, n_a, n_b)``: overlaps counted in each fragment, then summed per pair.
+
+    A segment that came twice (rows that repeat both id and text) counts once.
+    """
     left = segments.select(F.col("cid").alias("a"), "fragment", F.col("keys").alias("keys_a"))
     right = segments.select(F.col("cid").alias("b"), "fragment", F.col("keys").alias("keys_b"))
     partial = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("keys_a", "keys_b")).cast("long").alias("overlap")))
+               .select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("keys_a", "keys_b")).cast("long").alias("overlap")))
+    partial = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("overlap").alias("overlap"))
     return (partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
             .filter(_similar(F.col("overlap"), F.col("n_a"), F.col("n_b"), pct))
             .select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def ngram_components(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id``, ``n_shingles`` (set size), ``component_id`` (smallest id reachable by links).
+def _strong(pairs: DataFrame, known: DataFrame, pct: int) -> DataFrame:
+    """Of ``pairs(a, b)`` those whose overlap can be large enough, with their sizes.
 
-    Two documents link when ``100 * |A and B| >= pct * |A or B|`` over their sets of ``k``-word shingles (A-Z lower-cased,
-    words split at ASCII white space; fewer words: the whole text as one). Null and empty texts have no shingles and
-    link with nothing: they are their own component. Rows that repeat an id are separate documents; the component
-    of rows without an id is the smallest id of the others in it, or null. Other columns are ignored.
+    All shared members up to the smaller last prefix key are shared prefix keys. Past it, the class with that key has
+    ``ceil(t n) - 1`` members left, and the other one no more than past the last shared key.
+    """
+    info = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "last", "keys", "places")])
+    met = pairs.join(info("a"), "a").join(info("b"), "b").withColumn("both", F.array_intersect("keys_a", "keys_b"))
+    place = lambda x: F.element_at(f"places_{x}", F.array_position(f"keys_{x}", F.array_max("both")).cast("int"))
+    past_prefix = lambda x: -F.floor(-F.col(f"n_{x}") * pct / 100) - 1
+    past_shared = lambda x: F.col(f"n_{x}") - place(x) - 1
+    first = F.col("last_a") <= F.col("last_b")
+    most = F.size("both") + F.least(F.when(first, past_prefix("a")).otherwise(past_prefix("b")), past_shared("a"), past_shared("b"))
+    return met.filter(F.size("both") > 0).filter(_similar(most, F.col("n_a"), F.col("n_b"), pct)).select("a", "b", "n_a", "n_b")
+
+
+def _met(known: DataFrame, roots: DataFrame, pct: int) -> DataFrame:
+    """``(a, b)`` of all pairs of different roots with a shared key, sizes within the bound, and enough members from there on.
+
+    A pair is met where none of the RECENT keys before is shared, which is its first shared key, and seldom once more.
     """
-    spark = docs.sparkSession
-    base = workdir(spark, "ngram-join")
-    docs = columns(docs, doc_id=id_col, text=text_col)
+    rest = known.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    rows = rest.select("cid", "n", "root", "keys", "places", F.posexplode("keys").alias("i", "key")).select(
+        "cid", "n", "root", "key", F.element_at("places", F.col("i") + 1).alias("place"),
+        F.slice("keys", F.greatest(F.col("i") - RECENT + 1, F.lit(1)), F.least(F.col("i"), F.lit(RECENT))).alias("recent"))
+    spread = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    rows = rows.join(spread, "key")
+    one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "root", "place", "recent")]) for x in "ab")
+    ahead = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
+    return (one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+                     & (F.col("n_a") * 100 >= F.col("n_b") * pct) & (F.col("n_b") * 100 >= F.col("n_a") * pct)
+                     & _similar(ahead, F.col("n_a"), F.col("n_b"), pct) & ~F.arrays_overlap("recent_a", "recent_b"))
+            .select("a", "b").distinct())
+
+
+def _links(docs: DataFrame, pairs: DataFrame, known: DataFrame, k: int, pct: int, heavy: np.ndarray, base: str, name: str) -> DataFrame:
+    """The links among ``pairs(a, b)``: those that pass the bound are verified on their whole sets."""
+    strong = written(_strong(pairs, known, pct), base, f"{name}-pairs")
+    wanted = strong.select(F.col("a").alias("cid")).unionByName(strong.select(F.col("b").alias("cid"))).distinct()
+    wanted = written(wanted.join(known.select("cid", "rep"), "cid"), base, f"{name}-wanted")
+    segments = written(_segments(docs, wanted, k, heavy), base, f"{name}-segments")
+    return written(_verified(strong, segments, pct), base, f"{name}-links")
+
+
+def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
+    """``(doc_id, tag, cid, n, root, component_id)`` of each row of ``docs(doc_id, tag, text)``; no root without shingles."""
+    base = workdir(docs.sparkSession, "ngram-join")
     heavy = heavy_shingles(docs, k)
     rows = written(_prefixes(docs, k, pct, heavy), base, "prefixes")
     classes = written(rows.filter("n > 0").groupBy("cid", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix")),
                       base, "classes")
-    index = classes.select("cid", F.explode("prefix").alias("key")).repartition("key")
+    index = classes.select("cid", F.posexplode("prefix").alias("place", "key")).repartition("key")
     several = index.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo < hi").select("key")
     shared = written(index.join(several, "key"), base, "shared")
-    sizes = classes.select("cid", "n", F.element_at("prefix", -1).alias("last"))
-    wanted = shared.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
-    segments = written(_segments(docs, wanted, k, heavy), base, "segments")
-
-    links, roots = None, None
-    for step in range(HUB_ROUNDS + 1):
-        if roots is None:
-            rest = shared.withColumn("root", F.col("cid"))
-        else:
-            rest = shared.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left") \
-                .withColumn("root", F.coalesce("root", "cid"))
-        spread = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                         F.min(F.struct(F.xxhash64(F.col("root"), F.lit(step)).alias("by"), "cid", "root")).alias("hub"))
-        open_keys = written(rest.join(spread.filter("lo < hi").select("key", F.col("hub.cid").alias("hub"), F.col("hub.root").alias("hub_root")), "key"),
-                            base, f"open-{step}")
-        if step < HUB_ROUNDS:
-            best = (open_keys.filter("root != hub_root").groupBy("cid", "hub").agg(F.count(F.lit(1)).alias("c"))
-                    .groupBy("cid").agg(F.max(F.struct("c", "hub")).alias("best")))
-            pairs = best.select(F.col("cid").alias("a"), F.col("best.hub").alias("b"))
-        else:
-            one = open_keys.select("key", F.col("cid").alias("a"), F.col("root").alias("root_a"))
-            two = open_keys.select("key", F.col("cid").alias("b"), F.col("root").alias("root_b"))
-            sized = lambda d, x: d.join(sizes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}")), x)
-            met = (sized(one, "a").join(sized(two, "b"), "key")
-                   .filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-                           & (F.col("n_a") * 100 >= F.col("n_b") * pct) & (F.col("n_b") * 100 >= F.col("n_a") * pct)))
-            pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-        info_a = sizes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("last").alias("last_a"))
-        info_b = sizes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("last").alias("last_b"))
-        pairs = pairs.join(info_a, "a").join(info_b, "b")
-        if step == HUB_ROUNDS:
-            # Shared members up to the smaller last prefix key are the c counted; past it the class with that key has n - p left.
-            left = lambda n: F.floor(-F.floor(-F.col(n) * pct / 100)) - 1
-            most = F.col("c") + F.when(F.col("last_a") <= F.col("last_b"), left("n_a")).otherwise(left("n_b"))
-            pairs = pairs.filter(_similar(most, F.col("n_a"), F.col("n_b"), pct))
-        pairs = written(pairs.select("a", "b", "n_a", "n_b"), base, f"pairs-{step}")
-        found = written(_verified(pairs, segments, pct), base, f"links-{step}")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links, base, f"roots-{step}")
+    # Of every class its shared keys in order, with their places in the whole set.
+    known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"))
+             .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"))
+             .join(classes.select("cid", "n", F.element_at("prefix", -1).alias("last"), "rep"), "cid"))
+    known = written(known, base, "known")
+    by = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid")).getField("cid").alias(f"h{salt}") for salt in range(HUBS)]
+    hubs = shared.groupBy("key").agg(*by).select("key", F.posexplode(F.array(*[f"h{salt}" for salt in range(HUBS)])).alias("salt", "hub"))
+    best = (shared.select("key", "cid").join(hubs, "key").filter("cid != hub").groupBy("cid", "salt", "hub").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("cid", "salt").agg(F.max(F.struct("c", "hub")).getField("hub").alias("hub")))
+    tried = best.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+    links = _links(docs, tried, known, k, pct, heavy, base, "near")
+    roots = components(links, base, "roots")
+    links = links.unionByName(_links(docs, _met(known, roots, pct), known, k, pct, heavy, base, "far"))
+    roots = components(links, base, "roots-all")
 
     of_class = classes.select("cid", "n", "rep").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     least = of_class.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = of_class.join(least, "root").select("cid", "n", "component_id")
-    out = rows.select("doc_id", "cid", "n").join(named, ["cid", "n"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = of_class.join(least, "root").select("cid", "n", "root", "component_id")
+    return rows.select("doc_id", "tag", "cid", "n").join(named, ["cid", "n"], "left")
+
+
+def ngram_components(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``doc_id``, ``n_shingles`` (set size), ``component_id`` (smallest id reachable by links).
+
+    Two documents link when ``100 * |A and B| >= pct * |A or B|`` over their sets of ``k``-word shingles (A-Z lower-cased,
+    words split at ASCII white space; fewer words: the whole text as one). Null and empty texts have no shingles and
+    link with nothing: they are their own component. Rows that repeat an id are separate documents; the component
+    of rows without an id is the smallest id of the others in it, or null. Other columns are ignored.
+    """
+    found = _rows_with_roots(columns(docs, doc_id=id_col, text=text_col).withColumn("tag", F.lit(0).cast("long")), k, pct)
+    return found.select("doc_id", F.col("n").alias("n_shingles"),
+                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest id (then text hash) stays.
+
+    All columns stay; texts without words are nobody's duplicate and stay. Of rows that repeat id and text one stays.
+    """
+    mine = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in mine.items()], F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rows = rows.withColumn("tag", F.xxhash64("text"))
+    found = _rows_with_roots(rows.select("doc_id", "tag", "text"), k, pct).filter("n > 0")
+    stay = found.groupBy("root").agg(F.min(F.struct("doc_id", "tag")).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.tag").alias("_tag"))
+    wordy = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    chosen = rows.filter(wordy).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")))
+    chosen = chosen.dropDuplicates(["doc_id", "tag"])
+    return chosen.select(*rows.columns).unionByName(rows.filter(~wordy)).select(*[F.col(a).alias(c) for c, a in mine.items()])

@@ -77,12 +77,11 @@ def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def scan_filtered(df: DataFrame, key: str, held: Broadcast, wanted: bool = True) -> DataFrame:
-    """The rows of ``df`` whose key the filter may hold (or, not ``wanted``, those that it surely doesn't)."""
+def scan_filtered(df: DataFrame, key: str, held: Broadcast) -> DataFrame:
+    """The rows of ``df`` whose key the filter may hold."""
 
     def run(batches):
         for batch in batches:
-            some = may_hold(held.value, batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64))
-            yield batch.filter(pa.array(some if wanted else ~some))
+            yield batch.filter(pa.array(may_hold(held.value, batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64))))
 
     return df.mapInArrow(run, df.schema)
