@@ -181,23 +181,21 @@ def _concentrated(vectors: DataFrame, fits: DataFrame, last: bool) -> DataFrame:
     return moments.groupBy("g").applyInPandas(fit, _FIT)
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  source_col: str = "source", cutoff: float = CUTOFF, passthrough: list[str] | None = None) -> DataFrame:
-    """Every row with its counts, ``base_failed``, Mahalanobis distance ``d2`` (null if not estimated) and ``kept``.
+def _named(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, dict[str, str]]:
+    """All columns under names that can't clash, with ``text``, ``lang`` and ``source`` beside them."""
+    mine = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    same = {"text": text_col, "lang": lang_col, "source": source_col}
+    return docs.select(*[F.col(f"`{c}`").alias(a) for c, a in mine.items()], *[F.col(f"`{c}`").alias(a) for a, c in same.items()]), mine
 
-    Base rules: fewer than 20 words, or over 30 % of words in repeated 8-word windows, fails. The others are judged
-    in their (language, source) group; groups under MIN_ROWS rows are pooled per language, and pools still under it
-    in one last group, which is judged when it has MIN_ROWS rows and kept otherwise. Null languages and sources
-    are groups of their own; null and empty texts fail. Repeated rows each get their own result.
-    ``passthrough`` names further input columns to carry.
-    """
-    spark = docs.sparkSession
-    base = workdir(spark, "quality")
-    carried = {f"_c{i}": c for i, c in enumerate(passthrough or [])}
-    rows = text_statistics(columns(docs, doc_id=id_col, text=text_col, lang=lang_col, source=source_col, **carried))
-    rows = rows.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
+
+def _based(rows: DataFrame) -> DataFrame:
     key = lambda *c: F.to_json(F.struct(*c))
-    rows = written(rows.withColumn("own", key("lang", "source")).withColumn("pool", key("lang")), base, "counts")
+    return (rows.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
+            .withColumn("own", key("lang", "source")).withColumn("pool", key("lang")))
+
+
+def _fitted(rows: DataFrame, base: str) -> DataFrame:
+    """``(own, mu, prec)``: the estimate by which each (language, source) is judged."""
     passed = rows.filter("not base_failed")
     sizes = passed.groupBy("own", "pool").agg(F.count(F.lit(1)).alias("n"))
     pools = sizes.filter(F.col("n") < MIN_ROWS).groupBy("pool").agg(F.sum("n").alias("pooled"))
@@ -211,11 +209,40 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fits = written(_starts(vectors), base, "fit-0")
     for step in range(1, STEPS + 1):
         fits = written(_concentrated(vectors, fits, last=step == STEPS), base, f"fit-{step}")
-    of_group = groups.select("own", "g").join(fits, "g").select("own", "mu", "prec")
+    return groups.select("own", "g").join(fits, "g").select("own", "mu", "prec")
+
+
+def _judged(rows: DataFrame, estimates: DataFrame, cutoff: float) -> DataFrame:
     k = range(len(FEATURES))
-    out = rows.join(of_group, "own", "left").withColumn("z", F.zip_with(F.array(*_vector()), "mu", lambda a, b: a - b))
+    out = rows.join(estimates, "own", "left").withColumn("z", F.zip_with(F.array(*_vector()), "mu", lambda a, b: a - b))
     d2 = sum((F.col("z")[i] * F.col("z")[j] * F.col("prec")[i * len(FEATURES) + j] for i in k for j in k), F.lit(0.0))
-    limit = chi2_quantile(cutoff, len(FEATURES))
     out = out.withColumn("d2", F.when(~F.col("base_failed"), F.greatest(d2, F.lit(0.0))))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(True))
-    return out.select("doc_id", *STATS[:5], "base_failed", kept.alias("kept"), "d2", *[F.col(a).alias(c) for a, c in carried.items()])
+    limit = chi2_quantile(cutoff, len(FEATURES))
+    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(True)))
+
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                  source_col: str = "source", cutoff: float = CUTOFF) -> DataFrame:
+    """Every row with its counts, ``base_failed``, Mahalanobis distance ``d2`` (null if not estimated) and ``kept``.
+
+    Base rules: fewer than 20 words, or over 30 % of words in repeated 8-word windows, fails. The others are judged
+    in their (language, source) group; groups under MIN_ROWS rows are pooled per language, and pools still under it
+    in one last group, which is judged when it has MIN_ROWS rows and kept otherwise. Null languages and sources
+    are groups of their own; null and empty texts fail. Repeated rows each get their own result. Other columns are ignored.
+    """
+    base = workdir(docs.sparkSession, "quality")
+    rows = text_statistics(columns(docs, doc_id=id_col, text=text_col, lang=lang_col, source=source_col))
+    rows = written(_based(rows), base, "counts")
+    return _judged(rows, _fitted(rows, base), cutoff).select("doc_id", *STATS[:5], "base_failed", "kept", "d2")
+
+
+def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.
+
+    The estimates are fitted on written counts; texts are then judged where they are read, not sent to a join.
+    """
+    base = workdir(docs.sparkSession, "quality")
+    named, mine = _named(docs, text_col, lang_col, source_col)
+    counts = written(_based(text_statistics(named.select("text", "lang", "source"))), base, "counts")
+    rows = _based(text_statistics(named))
+    return _judged(rows, _fitted(counts, base), cutoff).filter("kept").select(*[F.col(a).alias(c) for c, a in mine.items()])

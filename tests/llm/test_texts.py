@@ -1,0 +1,332 @@
+"""Quality rules, sketches, surrogates, toxicity and language scores against plain Python."""
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm.conftest import frame
+from sluice.llm import paragraph_sketch, pii_surrogates, pitman_yor, quality_rules, toxicity
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+# ------------------------------------------------------------ quality rules ---
+
+def base_stats(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dups = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dups += line in seen
+            seen.add(line)
+    windows = Counter(tuple(words[i: i + 8]) for i in range(len(words) - 7))
+    cover = {j for i in range(len(words) - 7) if windows[tuple(words[i: i + 8])] > 1 for j in range(i, i + 8)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dups, len(cover)
+
+
+def test_base_rules(docs, rows):
+    got = quality_rules.quality_rules(docs).collect()
+    want = Counter()
+    for i, t, *_ in rows:
+        s = base_stats(t)
+        want[(i, *s, s[0] < 20 or 100 * s[4] > 30 * s[0])] += 1
+    assert Counter(tuple(r)[:7] for r in got) == want
+    assert all(not r["kept"] for r in got if r["base_failed"])
+
+
+def brute_mcd(x):
+    """Concentration steps over one group, straight from the definition (subset closed to whole distance bins)."""
+    k, floors = x.shape[1], np.array(quality_rules.FLOORS)
+    half = lambda v: np.sort(v)[math.ceil(len(v) / 2) - 1]
+    q = (np.floor(x * 64) + 0.5) / 64
+    mu = np.array([half(q[:, i]) for i in range(k)])
+    prec = np.diag(1 / ((1.4826 * np.array([half(np.abs(q[:, i] - mu[i])) for i in range(k)])) ** 2 + floors ** 2))
+    d2 = lambda: np.maximum(np.einsum("ni,ij,nj->n", x - mu, prec, x - mu), 0)
+    for step in range(1, quality_rules.STEPS + 1):
+        d = d2()
+        if step == quality_rules.STEPS:
+            use, share = d <= quality_rules.chi2_quantile(quality_rules.REWEIGHT, k), quality_rules.REWEIGHT
+        else:
+            bins = np.floor(np.log2(d + 1e-6) * 8)
+            order = np.sort(bins)
+            use = bins <= order[math.ceil(quality_rules.SUBSET * len(x)) - 1]
+            share = use.mean()
+        mu, cov = x[use].mean(0), np.cov(x[use].T, bias=True)
+        prec = np.linalg.inv(cov * quality_rules.consistency(share, k) + np.diag(floors ** 2))
+    return d2()
+
+
+def test_outliers_match_estimates_over_whole_groups(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(260):
+        body = [rng.choice(["alpha", "beta", "gamma", "delta", "of", "the"]) + "," * (rng.random() < 0.1) for _ in range(rng.randint(40, 160))]
+        if i % 20 == 7:
+            body = [w.upper() + "!!" for w in body]
+        if i % 20 == 13:
+            body = [w + "###" for w in body]
+        rows.append((i, "\n".join(" ".join(body[j: j + 30]) for j in range(0, len(body), 30)), "en" if i < 200 else "de", "a" if i < 200 else f"s{i % 7}"))
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(frame(spark, rows)).collect()}
+    stats = {i: (t, base_stats(t)) for i, t, *_ in rows}
+    groups = defaultdict(list)
+    for i, _, lang, _ in rows:
+        if not got[i]["base_failed"]:
+            groups[lang].append(i)  # German sources are too small and pooled
+    for ids in groups.values():
+        x = []
+        for i in ids:
+            t, (n, chars, symbols, dups, repeats) = stats[i]
+            lines = sum(bool(WORD.search(line)) for line in t.split("\n"))
+            share = lambda a, b: math.log1p(100 * a / max(b, 1))
+            punct = sum(c in "!\"'(),-./:;?@[\\]^_`{}~+=" for c in t)
+            x.append([math.log(chars / n), share(symbols, chars), share(sum("A" <= c <= "Z" for c in t), chars), share(punct, chars), share(dups, lines), share(repeats, n)])
+        want = brute_mcd(np.array(x))
+        assert np.allclose([got[i]["d2"] for i in ids], want, rtol=1e-6, atol=1e-6)
+        limit = quality_rules.chi2_quantile(quality_rules.CUTOFF, 6)
+        assert [got[i]["kept"] for i in ids] == list(want <= limit)
+    assert not any(got[i]["kept"] for i in got if i % 20 in (7, 13))
+    assert all(got[i]["kept"] for i in got if i % 20 not in (7, 13) and not got[i]["base_failed"])
+
+
+def test_keep_quality_keeps_all_columns(docs, empty):
+    verdict = Counter((r["doc_id"], r["n_words"]) for r in quality_rules.quality_rules(docs).filter("kept").collect())
+    kept = quality_rules.keep_quality(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], len(WORD.findall(r["text"] or ""))) for r in kept.collect()) == verdict
+    assert quality_rules.keep_quality(empty).count() == 0
+    assert quality_rules.quality_rules(empty).count() == 0
+
+
+def test_chi_squared():
+    assert quality_rules.chi2_quantile(0.95, 2) == pytest.approx(5.991465, abs=1e-5)
+    assert quality_rules.chi2_quantile(0.975, 6) == pytest.approx(14.44938, abs=1e-4)
+
+
+# ---------------------------------------------------------------- sketches ---
+
+def test_fingerprints_follow_the_next_document(docs, rows):
+    got = [tuple(r) for r in paragraph_sketch.fingerprints(docs).collect()]
+    order = sorted(rows, key=lambda r: (r[0] if r[0] is not None else -(1 << 63), r[1] or ""))
+    want, texts = Counter(), [r[1] or "" for r in order]
+    for i, r in enumerate(order):
+        t, nxt = texts[i], texts[(i + 1) % len(texts)]
+        half = len(t) // 2
+        want[(r[0], len(t), hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest())] += 1
+    assert Counter(g[:3] for g in got) == want
+    assert all(0 <= g[5] <= 1 and 0 <= g[6] <= 1 for g in got)
+    # Equal texts have equal fingerprints, different ones different: as many pairs of id and print as of id and text.
+    assert len({(g[0], g[3]) for g in got}) == len({(r[0], r[1] or "") for r in rows})
+    assert len({g[3] for g in got}) == len({r[1] or "" for r in rows})
+
+
+def test_likeness_is_that_of_the_piece_sets():
+    rng = random.Random(1)
+    for size in (0, 1, 3, 40, 700):
+        words = [f"word{rng.randrange(300)}" for _ in range(size)]
+        one, two = " ".join(words), " ".join(words[: size // 2] + [f"other{rng.randrange(300)}" for _ in range(size // 3)])
+        a, b = paragraph_sketch.piece_digests([one.encode(), two.encode()])
+        only_a, only_b = paragraph_sketch.difference(a, b)
+        assert set(only_a.tolist()) == set(a.tolist()) - set(b.tolist())
+        assert set(only_b.tolist()) == set(b.tolist()) - set(a.tolist())
+        union = len(set(a.tolist()) | set(b.tolist()))
+        assert paragraph_sketch.likeness(a, b) == pytest.approx(len(set(a.tolist()) & set(b.tolist())) / union if union else 1)
+
+
+def test_pieces_tile_and_repeat():
+    texts = [b"", b"   ", b"a", b"same line here\nsame line here\nsame line here", "é\n😀 x".encode(), b"w" * 5000]
+    digests = paragraph_sketch.piece_digests(texts)
+    assert [len(d) > 0 for d in digests] == [False, True, True, True, True, True]
+    assert all(len(set(d.tolist())) == len(d) for d in digests)
+    assert [paragraph_sketch.piece_digests([t])[0].tolist() for t in texts] == [d.tolist() for d in digests]
+    changed = paragraph_sketch.piece_digests([b"same line here\nsame line here\nsame line  here"])[0]
+    assert changed.tolist() != digests[3].tolist()
+
+
+def test_small_sketch_tables(spark, empty):
+    one = paragraph_sketch.fingerprints(frame(spark, [(7, "abcd", "en", "s")])).collect()
+    assert [(r["doc_id"], r["n_chars"], r["near_next"], r["edited_sha256"]) for r in one] == [(7, 4, 1.0, hashlib.sha256(b"abab").hexdigest())]
+    assert paragraph_sketch.fingerprints(empty).count() == 0
+
+
+# --------------------------------------------------------------- surrogates ---
+
+PII_ROWS = [
+    (1, "Mail jo.doe@mail.example.com or JO.DOE@MAIL.EXAMPLE.COM, not jodoe@mail.example.com.", "en", "s"),
+    (2, "Call +1 (017) 555-7713 or +1-017-555-7713; IP 97.51.17.173, card 4111111111111111 and 4111-1111-1111-1111.", "en", "s"),
+    (3, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" TOKEN = "04DBEBAB91AB85687D33EEAAF9AC699E1188F962"!!', "en", "s"),
+    (4, "Mr. Smith met Mrs. Miller and Herr Müller; г-жа Иванова и г-н Петров. Mr. Smith again. jo.doe@mail.example.com", "en", "s"),
+    (5, "7536784127813050 4845168114407329 and 123-45-6789, DE44 5001 0517 5407 3249 31, sk_abcdefghijklmnop1234", "en", "s"),
+    (6, "Nothing here, only v1.2.3, 2024-01-02, 12345 and a@b.", "en", "s"),
+    (7, None, "en", "s"), (8, "", None, None), (None, "97.51.17.173", "en", "s"), (None, "97.51.17.173", "en", "s"),
+    (9, "x" * 100_000 + " a1@b2.example.org " + "@" * 5000, "en", "s"),
+]
+
+
+def test_surrogates(spark):
+    docs = frame(spark, PII_ROWS)
+    out = pii_surrogates.surrogate_pii(docs)
+    assert out.columns == [*docs.columns, "n_entities"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    text = {i: r["text"] for i, r in got.items()}
+    assert {i: r["n_entities"] for i, r in got.items()} == {1: 3, 2: 5, 3: 2, 4: 7, 5: 5, 6: 0, 7: 0, 8: 0, None: 1, 9: 1}
+    assert out.filter("doc_id IS NULL").count() == 2
+    assert text[6] == PII_ROWS[5][1] and text[7] is None and text[8] == ""
+    for secret in ("jo.doe", "JO.DOE", "jodoe@", "555-7713", "97.51.17.173", "411111", "04dbeb", "Smith", "Miller", "Müller", "Иванова", "Петров", "75367841", "123-45", "5001 0517", "abcdefghijkl"):
+        assert not any(secret in (t or "") for t in text.values())
+    mails = re.findall(r"[\w.]+@[\w.]+\w", text[1])
+    assert mails[1] == mails[0].upper() and mails[2].replace(".", "") == mails[0].replace(".", "") and mails[0] in text[4]
+    assert re.fullmatch(r"[a-z]{2}\.[a-z]{3}@[a-z]{4}\.[a-z]{7}\.com", mails[0])
+    phones = re.search(r"(\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1-\d{3}-\d{3}-\d{4});", text[2])
+    assert re.sub(r"\D", "", phones[1]) == re.sub(r"\D", "", phones[2])
+    ip = re.search(r"IP (\S+),", text[2])[1]
+    assert all(0 < int(x) < 255 for x in ip.split(".")) and ip == text[None]
+    cards = re.findall(r"\d{16}|\d{4}-\d{4}-\d{4}-\d{4}", text[2])
+    assert cards[1].replace("-", "") == cards[0] and luhn(cards[0])
+    hexes = re.findall(r'"([0-9a-fA-F]{40})"', text[3])
+    assert hexes[1] == hexes[0].upper()
+    names = re.search(r"Mr\. (\w+) met Mrs\. (\w+) and Herr (\w+); г-жа (\w+) и г-н (\w+)\. Mr\. (\w+) again", text[4])
+    assert names[1] == names[6] and names[1].endswith("no") and names[2].endswith("na") and names[4].endswith("на") and names[5].endswith("но")
+    assert re.search(r"\d{3}-\d{2}-\d{4}, DE\d{2} \d{4} \d{4} \d{4} \d{4} \d{2}, sk_[a-z]{16}\d{4}", text[5])
+
+
+def luhn(digits):
+    total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits)))
+    return total % 10 == 0
+
+
+def test_surrogates_stay_distinct_where_they_collide(spark, monkeypatch):
+    # Only two digits are drawn, so surrogates meet each other, and entities, again and again.
+    rows = [(i, f"({i:03d}) 555-0000", "en", "s") for i in range(100, 500, 3)]
+    drawn = pii_surrogates._drawn
+    monkeypatch.setattr(pii_surrogates, "_drawn", lambda e, key: drawn(e.withColumn("tail", e["tail"] * 0 + 7), key))
+    got = [r["text"] for r in pii_surrogates.surrogate_pii(frame(spark, rows)).collect()]
+    assert len(set(got)) == len(rows) and not set(got) & {r[1] for r in rows}
+
+
+def test_surrogates_run_without_python(docs, empty):
+    plan = pii_surrogates.surrogate_pii(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert pii_surrogates.surrogate_pii(empty).count() == 0
+
+
+# ----------------------------------------------------------------- toxicity ---
+
+def toxic_rows(n=1200):
+    rng = random.Random(9)
+    words = [f"{a}{b}" for a in "abcdefghijklmnop" for b in ("lor", "mep", "tis", "vanu", "qor")]
+    bad = ["grobnik", "zurkel", "idiot", "grobnikest"]
+    rows, labels = [], []
+    for i in range(n):
+        toxic = rng.random() < 0.15
+        body = [rng.choice(words) for _ in range(rng.randint(10, 80))]
+        if toxic:
+            for _ in range(rng.randint(1, 3)):
+                body.insert(rng.randrange(len(body)), rng.choice(bad) + rng.choice(["", "!!", "er"]))
+        rows.append((i, " ".join(body), rng.choice(["en", None]), "s"))
+        if rng.random() < 0.7:
+            labels.append((i, 1, int(toxic)))
+    return rows, labels, {i: any(b in t for b in bad) for i, t, *_ in rows}
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rows, labels, truth = toxic_rows()
+    label_df = spark.createDataFrame(labels + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows + [(None, "idiot", "en", "s"), (5000, None, None, None), (5001, "", "en", "s")])
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, label_df).collect()}
+    assert len(got) == len(rows) + 3
+    for i, r in got.items():
+        assert r["held_out"] == (i is None or zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    held = [i for i in truth if got[i]["held_out"]]
+    right = [got[i]["predicted"] == truth[i] for i in held]
+    assert sum(right) / len(right) > 0.97
+    assert got[5000]["score"] == got[5001]["score"] < 0.5
+    # Labels of the held-out fold are never read: turning them round changes nothing.
+    turned = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
+    again = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, spark.createDataFrame(turned, "doc_id long, quality int, toxic int")).collect()}
+    assert all(abs(again[i] - got[i]["score"]) < 1e-9 for i in got)
+
+
+def test_toxicity_without_labels(docs, rows, empty, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(docs, none).count() == len(rows)
+    assert toxicity.toxicity(empty, none).count() == 0
+
+
+def test_label_model_finds_accuracies():
+    rng = np.random.default_rng(0)
+    y = rng.random(20_000) < 0.2
+    fires = np.array([[0.02, 0.8], [0.05, 0.6], [0.1, 0.4], [0.3, 0.3]])
+    votes = [rng.random(len(y)) < np.where(y, p1, p0) for p0, p1 in fires]
+    masks = sum(v.astype(np.int64) << j for j, v in enumerate(votes))
+    known = np.arange(500)
+    u, at = np.unique(masks[known], return_inverse=True)
+    counts = np.stack([np.bincount(at, weights=y[known] == c, minlength=len(u)) for c in (0, 1)], axis=1)
+    m, n = np.unique(masks[500:], return_counts=True)
+    model = toxicity.LabelModel(m, n.astype(float), u, counts)
+    assert np.abs(model.fires[:, :4].T - fires).max() < 0.06
+    assert abs(model.prior - 0.2) < 0.05
+
+
+# ------------------------------------------------------------- language model ---
+
+def test_language_scores(docs, rows):
+    got = [tuple(r) for r in pitman_yor.language_scores(docs).collect()]
+    tokens = [WORD.findall((t or "").translate(LOWER)) + [None] for _, t, *_ in rows]
+    held = [i is None or zlib.crc32(str(i).encode()) % 10 == 0 for i, *_ in rows]
+    count = Counter(w for t, h in zip(tokens, held, strict=True) if not h for w in t)
+    n, v = sum(count.values()), len(count)
+    want = Counter()
+    for (i, *_), t, h in zip(rows, tokens, held, strict=True):
+        base = sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        want[(i, h, len(t), sum(count[w] > 0 for w in t), n, round(base, 6))] += 1
+    assert Counter((*g[:5], round(g[5], 6)) for g in got) == want
+    assert all(g[6] < 0 for g in got)
+    seen = [g for g in got if not g[1]]
+    assert sum(g[6] for g in seen) > sum(g[5] for g in seen)
+
+
+def test_language_model_is_a_distribution(spark):
+    """The probabilities of all words and one unknown word sum to 1 after any context; and rows may come in any order."""
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10][:60]
+    held = [i for i in range(400, 2000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["a", "b", "b", "c", "d", f"u{i}"]) for _ in range(30)), "en", "s") for i in train]
+    vocabulary = sorted({w for _, t, *_ in rows for w in t.split()})
+    # "w" alone scores P(w | start) P(end | w); the empty text P(end | start); so the sum over first words needs P(end | w).
+    probe = [(held[0], "", "en", "s")] + [(held[1 + j], w, "en", "s") for j, w in enumerate(vocabulary + ["unknownword"])]
+    twice = [(held[100 + j], f"{w} {w}", "en", "s") for j, w in enumerate(["a", "b"])]
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.language_scores(frame(spark, rows + probe + twice)).collect()}
+    again = {r["doc_id"]: r["score"] for r in pitman_yor.language_scores(frame(spark, (rows + probe + twice)[::-1], 3)).collect()}
+    assert all(abs(got[i] - again[i]) < 1e-6 for i in got)
+    assert all(s < 0 for s in got.values())
+    assert sum(10 ** got[held[1 + j]] for j in range(len(vocabulary) + 1)) < 1
+
+
+def test_seating():
+    rng = np.random.default_rng(1)
+    customers = np.array([0, 1, 2, 50, 100_000], float)
+    tables = np.mean([pitman_yor.seated(customers, np.full(5, 2.0), 0.5, rng) for _ in range(200)], axis=0)
+    assert tables[0] == 0 and tables[1] == 1 and 1 < tables[2] < 2
+    # The second customer opens a table with probability a / (a + 1 - d).
+    assert tables[2] - 1 == pytest.approx(2 / 2.5, abs=0.1)
+    one_by_one = []
+    for _ in range(400):
+        t = 1
+        for i in range(1, 50):
+            t += rng.random() < 2 / (2 + i - 0.5 * t)
+        one_by_one.append(t)
+    assert tables[3] == pytest.approx(np.mean(one_by_one), rel=0.06)
+
+
+def test_language_scores_of_no_rows(empty):
+    assert pitman_yor.language_scores(empty).count() == 0
