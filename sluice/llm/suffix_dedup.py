@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
-from sluice.llm.shared import columns, key_filter, scan_filtered, workdir, written
+from sluice.llm.shared import columns, key_filter, may_hold, scan_filtered, workdir, written
 
 WIDTH = 200
-GRAM = 40
+GRAM = 80
 STEPS = WIDTH - GRAM + 1  # strings of GRAM bytes in a window
 RUN = 128  # windows in a run at most
 HOT = 4096  # different runs of one anchor, from which on its windows are dealt out by digest
@@ -112,6 +112,7 @@ def _cut_out(batches):
         yield pa.RecordBatch.from_pylist([dict(zip(SEGMENT.names, r, strict=True)) for r in rows], schema=SEGMENT)
 
 
+_RANGES = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 SEGMENT = pa.schema([("lead", pa.int64()), ("anchor", pa.int64()), ("digest", pa.int64()), ("tid", pa.int64()), ("first", pa.int32()),
                      ("many", pa.bool_()), ("hot", pa.bool_()), ("part", pa.binary())])
 _SEGMENT_SQL = "lead long, anchor long, digest long, tid long, first int, many boolean, hot boolean, part binary"
@@ -211,8 +212,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # A text's ranges are found by its hash, not by an id that may be null or repeat.
     rows = columns(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("tid", F.xxhash64("text"))
     runs = rows.select("tid", "text").mapInArrow(_scan, "anchor long, digest long, tid long, first int, last int, again boolean").repartition("anchor")
-    met = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("again").alias("any"))
-    met = met.filter("n > 1 OR any").select("anchor", (F.expr("lo < hi OR any")).alias("mixed"))
+    # Every column takes part, so that both uses read the same shuffle.
+    met = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("again").alias("any"),
+                                     F.min(F.struct("tid", "first", "last")).alias("_least"))
+    met = met.filter("n > 1 OR any").filter("_least IS NOT NULL").select("anchor", (F.expr("lo < hi OR any")).alias("mixed"))
     found = written(runs.join(met, "anchor"), base, "runs")
 
     classes = (found.filter("mixed").groupBy("anchor", "digest")
@@ -222,7 +225,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ids = rows.groupBy("tid").agg(F.min("doc_id").alias("rep_id"))
     wanted = classes.join(hot, "anchor").groupBy("tid").agg(F.collect_list(F.struct("anchor", "digest", "tid", "first", "last", "many", "hot")).alias("runs"))
     wanted = wanted.join(ids, "tid")
-    texts = scan_filtered(rows, "tid", key_filter(classes.select("tid")))
+    # Written in between, so that no task runs two Python stages at a time.
+    texts = written(scan_filtered(rows, "tid", key_filter(classes.select("tid"))), base, "texts")
     texts = texts.join(wanted, (texts["tid"] == wanted["tid"]) & texts["doc_id"].eqNullSafe(wanted["rep_id"])).select("text", "runs")
     parts = written(texts.mapInArrow(_cut_out, _SEGMENT_SQL), base, "parts")
     ordered = parts.filter("NOT hot").repartitionByRange("lead", "anchor").sortWithinPartitions("lead", "anchor")
@@ -236,8 +240,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .groupBy("tid").agg(F.collect_set(F.struct("a", "b")).alias("ranges")))
     ranges = written(ranges, base, "ranges")
     held = key_filter(ranges.select("tid"))
-    touched = scan_filtered(rows, "tid", held).join(ranges, "tid", "left").select("doc_id", "text", "ranges")
-    others = scan_filtered(rows, "tid", held, wanted=False).select("doc_id", "text", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
+    touched = written(scan_filtered(rows, "tid", held), base, "touched").join(ranges, "tid", "left").select("doc_id", "text", "ranges")
+
+    def untouched(batches):
+        """Texts that surely have no range are hashed where they are read."""
+        for batch in batches:
+            some = may_hold(held.value, batch.column("tid").to_numpy(zero_copy_only=False).astype(np.int64))
+            rest = batch.filter(pa.array(~some))
+            yield from _kept([pa.RecordBatch.from_arrays([rest.column("doc_id"), rest.column("text"), pa.nulls(rest.num_rows, _RANGES)],
+                                                         names=["doc_id", "text", "ranges"])])
+
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return touched.mapInArrow(_kept, schema).unionByName(others.mapInArrow(_kept, schema))
+    return touched.mapInArrow(_kept, schema).unionByName(rows.mapInArrow(untouched, schema))
