@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType, StructField,
                                StructType)
 
+from sluice.functions.dates import parse_first
 from sluice.operators.audit import AUDIT_COLUMNS
 
 CHECK_SCHEMA = StructType([
@@ -139,6 +140,14 @@ def quarantine(df: DataFrame, rules: dict[str, str | Column], reasons_col: str =
     return valid, rejected
 
 
+def split_dates(df: DataFrame, column: str, patterns: list[str], out: str = "parsed_date"):
+    """``(valid, rejected)``: date text read by the first pattern that fits; text that none fits is rejected with
+    its reason instead of turning into a NULL. Rows without text are valid, with a NULL date."""
+    parsed = df.withColumn(out, parse_first(F.col(f"`{column}`"), patterns))
+    valid, rejected = quarantine(parsed, {f"unparsed_{column}": F.col(f"`{column}`").isNotNull() & F.col(f"`{out}`").isNull()})
+    return valid, rejected.drop(out)
+
+
 def key_overlap(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, relation: str) -> DataFrame:
     """Referential coverage of distinct child keys: matched, orphans and the matched percentage.
 

@@ -1,7 +1,7 @@
-"""Table and column comments through the session catalog (plain SQL, quotes escaped)."""
+"""A loaded table in the session catalog: a view over its visible loads that carries its comments (plain SQL, quotes escaped)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from sluice.plans.tables import Table
 
 
 def quote_text(text: str) -> str:
@@ -12,31 +12,19 @@ def quote_name(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
-def comment_statements(table: str, table_comment: str, column_comments: dict[str, str] | None = None) -> list[str]:
-    out = [f"COMMENT ON TABLE {quote_name(table)} IS {quote_text(table_comment)}"]
-    for column, text in (column_comments or {}).items():
-        out.append(f"ALTER TABLE {quote_name(table)} ALTER COLUMN {quote_name(column)} COMMENT {quote_text(text)}")
-    return out
-
-
-def apply_comments(spark: SparkSession, table: str, table_comment: str,
-                   column_comments: dict[str, str] | None = None) -> None:
-    for statement in comment_statements(table, table_comment, column_comments):
-        spark.sql(statement)
-
-
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Expose files at ``path`` as catalog table ``name`` (external: dropping it keeps the files)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_name(name)} USING {fmt} LOCATION {quote_text(path)}")
-
-
-def comments(spark: SparkSession, table: str) -> DataFrame:
-    """``(object_name, comment)``: the table's comment and every column's."""
-    from pyspark.sql import functions as F
-
-    tbl = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}")
-    table_row = tbl.where(F.col("col_name") == "Comment").select(
-        F.lit(table).alias("object_name"), F.col("data_type").alias("comment"))
-    cols = [(c.name, c.description) for c in spark.catalog.listColumns(table)]
-    col_df = spark.createDataFrame(cols, "object_name string, comment string")
-    return table_row.unionByName(col_df)
+def expose(table: Table, name: str) -> None:
+    """Create or replace the catalog view ``name`` of what ``table`` shows now, with the comments of table and columns.
+
+    Only committed loads are in it (a staged or refused one never is); columns that an older load lacks are NULL there. To be
+    called again after each load.
+    """
+    spark, schema, said = table.spark, table.schema(), table.described()
+    columns = [quote_name(f"{f.name}") + (f" COMMENT {quote_text(said['columns'][f.name])}" if f.name in said["columns"] else "") for f in schema.fields]
+    parts = []
+    for load in table.visible_loads():
+        path = table.load_path(load)
+        have = {c.lower() for c in spark.read.parquet(path).columns}
+        cells = [(quote_name(f.name) if f.name.lower() in have else f"CAST(NULL AS {f.dataType.simpleString()})") + f" AS {quote_name(f.name)}" for f in schema.fields]
+        parts.append(f"SELECT {', '.join(cells)} FROM parquet.{'`' + path.replace('`', '``') + '`'}")
+    comment = f" COMMENT {quote_text(said['table'])}" if said["table"] else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {quote_name(name)} ({', '.join(columns)}){comment} AS {' UNION ALL '.join(parts)}")

@@ -19,7 +19,7 @@ from sluice.operators.columns import sanitize_columns
 from sluice.operators.history import reconcile
 from sluice.operators.profile import entity_profile, profile_table, time_gaps
 from sluice.operators.quality import (Expectation, check_result, expect, expectation_report,
-                                      key_overlap, quarantine, row_counts, sanity_check)
+                                      key_overlap, quarantine, row_counts, sanity_check, split_dates)
 from sluice.operators.rank import global_rank, slice_shares
 from sluice.plans.chunking import read_slices, run_chunking
 from sluice.plans.eventlog import EventLog
@@ -654,6 +654,15 @@ def normalize_dates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.coalesce(matched_pattern(F.col("date_text"), DATE_PATTERNS), F.lit(0)).alias("pattern_no"))
 
 
+@register("normalize_dates_rejected", """
+SELECT o_orderkey, 'unknown-' || CAST(o_orderkey AS VARCHAR) AS date_text, 'unparsed_date_text' AS reasons FROM orders WHERE o_orderkey % 4 = 3
+""")
+def normalize_dates_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose date text no pattern fits, with the reason: quarantined, not turned into NULL dates."""
+    _, rejected = split_dates(render_dates(table(spark, sf_dir, "orders")), "date_text", DATE_PATTERNS)
+    return rejected.withColumn("reasons", F.array_join("reasons", ","))
+
+
 # -------------------------------------------------------------- history ---
 
 def _events_with(ts_shift: str, value: str) -> str:

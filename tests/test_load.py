@@ -193,3 +193,22 @@ def test_ingest_comments_and_logs_also_when_it_fails(spark, workdir, events, lan
     said = {r["object_name"]: r["comment"] for r in Table(spark, res.target).comments().collect()}
     assert said["TABLE"] == "Events, 'raw'" and said["ts"] == "wall time" and said["value"] is None
     assert sorted(r["level"] for r in log.table().collect()) == ["ERROR", "INFO"]
+
+
+def test_a_loaded_table_in_the_catalog(spark, workdir, events):
+    """The view shows committed loads only, widened, with comments; a staged load stays out."""
+    from sluice.context import basename
+    from sluice.plans.comments import expose
+
+    t = Table(spark, f"{workdir}/t")
+    t.write_load(events.select("event_id", "ts").limit(3), "l1")
+    t.write_load(events.select("event_id", "ts", "value").limit(2), "l2")
+    t.stage_load(events.select("event_id").limit(9), "l3")
+    t.comment("it's \\ quoted", {"ts": "wall 'time'"})
+    name = f"default.v_{basename(workdir).replace('-', '_')}"
+    expose(t, name)
+    view = spark.table(name)
+    assert view.count() == 5 and view.filter("value IS NULL").count() == 3
+    described = {r["col_name"]: r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert described["ts"]["comment"] == "wall 'time'" and described["Comment"]["data_type"] == "it's \\ quoted"
+    spark.sql(f"DROP VIEW {name}")
