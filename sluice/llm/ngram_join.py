@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
 from sluice.llm.graph import components
-from sluice.llm.shared import columns, key_filter, may_hold, workdir, written
+from sluice.llm.shared import columns, key_filter, may_hold, scan_filtered, workdir, written
 
 HEAVY_KEYS = 1 << 17  # most shingles in the broadcast summary: 2 MB at most, whatever the corpus
 HEAVY_WINDOW = 1 << 22  # shingles of a task counted at a time
@@ -269,9 +269,17 @@ def one_per_component(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str =
     mine = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in mine.items()], F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.withColumn("tag", F.xxhash64("text"))
-    found = _rows_with_roots(rows.select("doc_id", "tag", "text"), k, pct).filter("n > 0")
-    stay = found.groupBy("root").agg(F.min(F.struct("doc_id", "tag")).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.tag").alias("_tag"))
+    base = workdir(docs.sparkSession, "one-per-component")
+    found = written(_rows_with_roots(rows.select("doc_id", "tag", "text"), k, pct).filter("n > 0").groupBy("root", "doc_id", "tag")
+                    .agg(F.count(F.lit(1)).alias("rows")), base, "found")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "tag")).alias("first"))
+    named = written(found.join(first, "root").select("doc_id", "tag", "rows", (F.struct("doc_id", "tag").eqNullSafe(F.col("first"))).alias("stays")), base, "named")
+    # Only rows that may have to go are joined; all others stay where they are read.
+    key = F.xxhash64("doc_id", "tag")
+    held = key_filter(named.filter("NOT stays OR rows > 1").select(key.alias("key")))
     wordy = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    chosen = rows.filter(wordy).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")))
-    chosen = chosen.dropDuplicates(["doc_id", "tag"])
-    return chosen.select(*rows.columns).unionByName(rows.filter(~wordy)).select(*[F.col(a).alias(c) for c, a in mine.items()])
+    keyed = rows.withColumn("_key", F.when(wordy, key))
+    stay = named.filter("stays").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"))
+    asked = scan_filtered(keyed, "_key", held).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")))
+    chosen = asked.dropDuplicates(["doc_id", "tag"]).select(*keyed.columns)
+    return chosen.unionByName(scan_filtered(keyed, "_key", held, wanted=False)).select(*[F.col(a).alias(c) for c, a in mine.items()])

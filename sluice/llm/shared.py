@@ -77,11 +77,14 @@ def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def scan_filtered(df: DataFrame, key: str, held: Broadcast) -> DataFrame:
-    """The rows of ``df`` whose key the filter may hold."""
+def scan_filtered(df: DataFrame, key: str, held: Broadcast, wanted: bool = True) -> DataFrame:
+    """The rows of ``df`` whose key the filter may hold (or, not ``wanted``, all others; a null key is held by none)."""
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(may_hold(held.value, batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64))))
+            column = batch.column(key)
+            some = may_hold(held.value, column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            some &= column.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(some if wanted else ~some))
 
     return df.mapInArrow(run, df.schema)
