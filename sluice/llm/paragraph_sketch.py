@@ -72,12 +72,10 @@ class Sketch:
         """Adds the digests (``sign`` 1) or takes them away (-1, or one sign each)."""
         if not len(digests):
             return
-        check, sign = B.mix(digests + _CHECK), np.broadcast_to(np.asarray(sign, np.int64), digests.shape)
-        for part in range(PARTS):
-            at = (B.mix(digests ^ _SEEDS[part]) % B.U64(self.width)).astype(np.int64) + part * self.width
-            np.add.at(self.count, at, sign)
-            np.bitwise_xor.at(self.key, at, digests)
-            np.bitwise_xor.at(self.check, at, check)
+        at = ((B.mix(digests ^ _SEEDS[:, None]) % B.U64(self.width)).astype(np.int64) + np.arange(PARTS)[:, None] * self.width).ravel()
+        np.add.at(self.count, at, np.tile(np.broadcast_to(np.asarray(sign, np.int64), digests.shape), PARTS))
+        np.bitwise_xor.at(self.key, at, np.tile(digests, PARTS))
+        np.bitwise_xor.at(self.check, at, np.tile(B.mix(digests + _CHECK), PARTS))
 
     def minus(self, other: "Sketch") -> "Sketch":
         out = Sketch(np.zeros(0, B.U64), self.width)
@@ -114,9 +112,12 @@ def difference(a: np.ndarray, b: np.ndarray, small: tuple[Sketch, Sketch] | None
     less = one.minus(two)
     # A sketch without an empty cell is overfull: go on with one that has room for all digests of both.
     found = less.peeled() if (less.count == 0).any() else None
-    width = max(2 * WIDTH, (len(a) + len(b)) // 2 + WIDTH)
+    width = max(2 * WIDTH, len(a) + len(b))
     while found is None:
-        found = Sketch(a, width).minus(Sketch(b, width)).peeled()
+        # The difference of the two larger sketches, cell by cell: what is added for one and taken away for the other.
+        less = Sketch(a, width)
+        less.toggle(b, -1)
+        found = less.peeled()
         width *= 2
     return found
 
