@@ -104,19 +104,29 @@ class Voters:
         return out
 
 
-def drawn_lexicons(docs: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
-    """Words whose document frequency speaks most for the label, dealt in turn to DRAWN lexicons."""
-    if not len(docs) or not toxic.any() or toxic.all():
-        return [np.zeros(0, B.U64)] * DRAWN
-    words, at = np.unique(np.concatenate(docs), return_inverse=True)
-    of = np.repeat(toxic, [len(d) for d in docs])
-    pos, all_ = np.bincount(at, weights=of, minlength=len(words)), np.bincount(at, minlength=len(words))
+def frequent_terms(docs: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(terms, toxic documents, all documents)`` of the terms that five documents of the sample or more hold."""
+    terms, all_ = np.unique(np.concatenate(docs), return_counts=True)
+    terms, all_ = terms[all_ >= 5], all_[all_ >= 5]
+    bad = [d for d, t in zip(docs, toxic, strict=True) if t]
+    held, counts = np.unique(np.concatenate(bad), return_counts=True)
+    at = np.searchsorted(terms, held)
+    at[at == len(terms)] = 0
+    known = terms[at] == held if len(terms) else np.zeros(len(held), bool)
+    pos = np.zeros(len(terms), np.int64)
+    pos[at[known]] = counts[known]
+    return terms, pos, all_
+
+
+def drawn_lexicons(found: tuple, toxic: np.ndarray) -> list[np.ndarray]:
+    """Terms whose document frequency speaks most for the label, dealt in turn to DRAWN lexicons."""
+    terms, pos, all_ = found
     n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
     odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((all_ - pos + 0.5) / (n0 + 1))
-    # A word has to be frequent enough that its odds aren't chance: three standard errors above 1.
+    # A term has to be frequent enough that its odds aren't chance: three standard errors above 1.
     error = np.sqrt(1 / (pos + 0.5) + 1 / (all_ - pos + 0.5))
     sure = np.flatnonzero((odds - 1 > 3 * error) & (pos >= 5))
-    best = words[sure[np.lexsort((words[sure], -pos[sure]))][:DRAWN_WORDS]]
+    best = terms[sure[np.lexsort((terms[sure], -pos[sure]))][:DRAWN_WORDS]]
     return [best[i::DRAWN] for i in range(DRAWN)]
 
 
@@ -159,16 +169,12 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def telling_terms(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+def telling_terms(found: tuple, toxic: np.ndarray) -> np.ndarray:
     """Terms of the sample whose document frequencies differ surely between the labels; at most TERMS."""
-    if not len(docs) or not toxic.any() or toxic.all():
-        return np.zeros(0, B.U64)
-    terms, at = np.unique(np.concatenate(docs), return_inverse=True)
-    of = np.repeat(toxic, [len(d) for d in docs])
-    pos, all_ = np.bincount(at, weights=of, minlength=len(terms)), np.bincount(at, minlength=len(terms))
+    terms, pos, all_ = found
     odds = np.log((pos + 0.5) / (toxic.sum() + 1)) - np.log((all_ - pos + 0.5) / (len(toxic) - toxic.sum() + 1))
     sure = np.abs(odds) / np.sqrt(1 / (pos + 0.5) + 1 / (all_ - pos + 0.5))
-    some = np.flatnonzero((all_ >= 5) & (sure > 2.5))
+    some = np.flatnonzero(sure > 2.5)
     return terms[some[np.lexsort((terms[some], -sure[some]))][:TERMS]]
 
 
@@ -245,7 +251,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sample = rows.join(F.broadcast(gold), "doc_id").select("toxic", "text").mapInArrow(features, "toxic int, mask long, terms binary").toPandas()
     held = [np.frombuffer(w, B.U64) for w in sample["terms"]]
     toxic = sample["toxic"].to_numpy(np.int64)
-    drawn = drawn_lexicons(held, toxic)
+    none = np.zeros(0, np.int64)
+    found = frequent_terms(held, toxic) if len(held) and toxic.any() and not toxic.all() else (np.zeros(0, B.U64), none, none)
+    drawn = drawn_lexicons(found, toxic)
     masks = sample["mask"].to_numpy(np.int64).copy()
     for i, lexicon in enumerate(drawn):
         if len(lexicon):
@@ -267,7 +275,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     p = model.posterior(masks)
     said = np.where(toxic == 1, GOLD, 1 - GOLD)
     target = p * said / (p * said + (1 - p) * (1 - said))
-    linear = Linear(telling_terms(held, toxic))
+    linear = Linear(telling_terms(found, toxic))
     if len(held):
         linear.train(held, masks, target)
     else:  # without labels the label model's own log-odds are the linear classifier
