@@ -6,8 +6,8 @@
    common passages out of the prefixes.
 3. Two sets of Jaccard similarity t or more share a shingle among their first n - ceil(t n) + 1 in that order. The
    prefix index holds those, and only keys that two classes or more share are kept.
-4. In each key's bucket a few classes are hubs, drawn by hash; every class is held against the hubs it shares most keys
-   with. So a group of thousands of near copies costs a few pairs a member and falls into few components.
+4. In each key's bucket the least and the greatest class id (hashes both) are hubs; every class is held against the two hubs
+   it meets most often. So a group of thousands of near copies costs a few pairs a member and falls into few components.
 5. All further pairs of classes of different components that share a key are met, each at its first shared key.
 6. The shared prefix keys of a pair bound its overlap; pairs that pass are verified by vertical partitioning: the order is cut into
    fragments, each fragment counts the overlap of the two segments, and the sums over the fragments decide
@@ -27,8 +27,7 @@ from sluice.llm.shared import columns, key_filter, may_hold, scan_filtered, work
 HEAVY_KEYS = 1 << 17  # most shingles in the broadcast summary: 2 MB at most, whatever the corpus
 HEAVY_WINDOW = 1 << 22  # shingles of a task counted at a time
 HEAVY_LEAST = 2
-HUBS = 3
-RECENT = 16
+RECENT = 4
 FRAGMENTS = 8
 _HEAVY_BASE = 1 << 62
 
@@ -193,8 +192,7 @@ def _met(known: DataFrame, roots: DataFrame, pct: int) -> DataFrame:
 
     A pair is met where none of the RECENT keys before is shared, which is its first shared key, and seldom once more.
     """
-    rest = known.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    rows = rest.select("cid", "n", "root", "keys", "places", F.posexplode("keys").alias("i", "key")).select(
+    rows = _with_roots(known, roots).select("cid", "n", "root", "keys", "places", F.posexplode("keys").alias("i", "key")).select(
         "cid", "n", "root", "key", F.element_at("places", F.col("i") + 1).alias("place"),
         F.slice("keys", F.greatest(F.col("i") - RECENT + 1, F.lit(1)), F.least(F.col("i"), F.lit(RECENT))).alias("recent"))
     spread = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
@@ -207,6 +205,20 @@ def _met(known: DataFrame, roots: DataFrame, pct: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def _with_roots(known: DataFrame, roots: DataFrame) -> DataFrame:
+    return known.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+
+
+def _hubs_of_others(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(a, b)``: every class with the hubs of other components that it meets most often; hubs are drawn anew in each key's bucket."""
+    rows = _with_roots(known, roots).select("cid", "root", F.explode("keys").alias("key"))
+    drawn = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid", "root")).alias(f"h{salt}") for salt in (1, 2)]
+    hubs = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *drawn).filter("lo < hi").select("key", "h1", "h2")
+    other = lambda h: F.mode(F.when(F.col(f"{h}.root") != F.col("root"), F.col(f"{h}.cid")), deterministic=True).alias(h)
+    met = rows.join(hubs, "key").groupBy("cid").agg(other("h1"), other("h2")).select("cid", F.explode(F.array("h1", "h2")).alias("hub"))
+    return met.filter("hub IS NOT NULL").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+
+
 def _links(docs: DataFrame, pairs: DataFrame, known: DataFrame, k: int, pct: int, heavy: np.ndarray, base: str, name: str) -> DataFrame:
     """The links among ``pairs(a, b)``: those that pass the bound are verified on their whole sets."""
     strong = written(_strong(pairs, known, pct), base, f"{name}-pairs")
@@ -224,20 +236,22 @@ def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     classes = written(rows.filter("n > 0").groupBy("cid", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix")),
                       base, "classes")
     index = classes.select("cid", F.posexplode("prefix").alias("place", "key")).repartition("key")
-    several = index.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo < hi").select("key")
-    shared = written(index.join(several, "key"), base, "shared")
-    # Of every class its shared keys in order, with their places in the whole set.
-    known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"))
-             .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"))
+    # The place takes part, so that both uses of the index read the same shuffle.
+    several = index.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"), F.max("place").alias("_far")).filter("lo < hi AND _far >= 0")
+    # Keys of one class alone are dropped; of the others the least and the greatest class are the hubs.
+    shared = written(index.join(several.select("key", "lo", "hi"), "key"), base, "shared")
+    # Of every class its shared keys in order, with their places in the whole set, and the hubs it meets most often.
+    other = lambda c: F.mode(F.when(F.col(c) != F.col("cid"), F.col(c)), deterministic=True)
+    known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"), other("lo").alias("low"), other("hi").alias("high"))
+             .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"), "low", "high")
              .join(classes.select("cid", "n", F.element_at("prefix", -1).alias("last"), "rep"), "cid"))
     known = written(known, base, "known")
-    by = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid")).getField("cid").alias(f"h{salt}") for salt in range(HUBS)]
-    hubs = shared.groupBy("key").agg(*by).select("key", F.posexplode(F.array(*[f"h{salt}" for salt in range(HUBS)])).alias("salt", "hub"))
-    best = (shared.select("key", "cid").join(hubs, "key").filter("cid != hub").groupBy("cid", "salt", "hub").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("cid", "salt").agg(F.max(F.struct("c", "hub")).getField("hub").alias("hub")))
-    tried = best.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+    hubs = known.select("cid", F.explode(F.array("low", "high")).alias("hub")).filter("hub IS NOT NULL")
+    tried = hubs.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
     links = _links(docs, tried, known, k, pct, heavy, base, "near")
     roots = components(links, base, "roots")
+    links = links.unionByName(_links(docs, _hubs_of_others(known, roots), known, k, pct, heavy, base, "next"))
+    roots = components(links, base, "roots-next")
     links = links.unionByName(_links(docs, _met(known, roots, pct), known, k, pct, heavy, base, "far"))
     roots = components(links, base, "roots-all")
 
