@@ -25,8 +25,8 @@ SIZE = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 RANK_BUCKETS = 1024
-CACHED_UNITS = 1_500_000  # about 60 MB a worker
-BLOCK = 1 << 22
+CACHED_UNITS = 500_000  # about 20 MB a worker
+BLOCK = 1 << 20
 
 
 @lru_cache(maxsize=2)

@@ -22,6 +22,9 @@ def written(df: DataFrame, workdir: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Texts are long: so many rows go to a Python worker at a time, unless the session says otherwise.
+BATCH_ROWS = 2_000
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 _shipped: set[str] = set()
 
 
@@ -42,8 +45,10 @@ def ship_package(sc: SparkContext) -> None:
 
 
 def workdir(spark: SparkSession, tag: str) -> str:
-    """A fresh folder of the shared scratch space; the package's sources are with the executors afterwards."""
+    """A fresh folder of the shared scratch space; the package's sources are with the executors afterwards, and batches are small."""
     ship_package(spark.sparkContext)
+    if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
     return new_workdir(spark, f"llm-{tag}")
 
 
