@@ -1,11 +1,13 @@
 """Quality rules: robust multivariate outliers by minimum-covariance-determinant estimates per language and source.
 
 Every whole text becomes a vector of six transformed statistics. For each (language, source) the minimum covariance
-determinant is found by concentration steps: distances under the present estimate, the three quarters of rows with the
-least distances, mean and covariance of those. A step is one grouped aggregation over all rows: rows are counted and
-their moments summed per distance bin, so a hot source is combined before the shuffle and no group is ever gathered;
-the subset is closed to whole bins, which makes it independent of how rows are partitioned. A last step
-reweights by the 97.5 % bound, and rows beyond ``cutoff`` of the chi-squared law are rejected.
+determinant is found by concentration steps: distances under the present estimate, the half of the rows with the
+least distances, mean and covariance of those. Four starts (medians, shortest halves, lower and upper quartiles) take STEPS steps
+each; the one with the least determinant goes on until its determinant no longer falls. A step is one grouped aggregation over all rows:
+rows are counted and their moments summed per start and distance bin, so a hot source is combined before the shuffle and no group is
+ever gathered. The last bin of a subset enters with the weight that fills the half exactly, so it doesn't matter how rows
+are partitioned, and equal copies don't all come in at once. A last step reweights by the 97.5 % bound, and rows beyond ``cutoff`` of the
+chi-squared law are rejected.
 """
 from __future__ import annotations
 
@@ -23,8 +25,9 @@ from sluice.llm.shared import columns, workdir, written
 FEATURES = ("word_length", "symbols", "capitals", "punctuation", "dup_lines", "repeats")
 #: Least standard deviation of each feature: what a clean text may differ by where its group hardly varies.
 FLOORS = (0.08, 0.30, 0.30, 0.20, 0.80, 0.80)
-SUBSET = 0.75
-STEPS = 5
+SUBSET = 0.5
+STEPS = 5  # of every start, before only the best goes on
+FALL = 1e-6  # in the logarithm of the determinant: less is no fall
 MIN_ROWS = 50
 CUTOFF = 1 - 1e-7
 REWEIGHT = 0.975
@@ -121,21 +124,29 @@ def consistency(share: float, d: int) -> float:
     return 1.0 if share >= 1 else share / chi2_cdf(chi2_quantile(share, d), d + 2)
 
 
-_FIT = "g string, mu array<double>, prec array<double>"
+_FIT = "g string, start int, mu array<double>, prec array<double>, det double, fell boolean"
 
 
 def _starts(vectors: DataFrame) -> DataFrame:
-    """Per group, medians and median deviations, from exact histograms of the features."""
+    """Per group four centres with their spreads, from exact histograms of the features."""
     floors = np.array(FLOORS)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        mu, var = np.zeros(len(floors)), np.ones(len(floors))
+        mu, var = np.zeros((4, len(floors))), np.ones((4, len(floors)))
         for i, one in pdf.groupby("feature"):
+            one = one.sort_values("bin")
             values, counts = (one["bin"].to_numpy() + 0.5) / _HALF, one["count"].to_numpy()
-            half = lambda v: v[np.argsort(v, kind="stable")][np.searchsorted(np.cumsum(counts[np.argsort(v, kind="stable")]), counts.sum() / 2)]  # noqa: B023, E731
-            mu[i] = half(values)
-            var[i] = (1.4826 * half(np.abs(values - mu[i]))) ** 2 + floors[i] ** 2
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "mu": [mu.tolist()], "prec": [np.diag(1 / var).ravel().tolist()]})
+            at = lambda v, share: v[np.argsort(v, kind="stable")][np.searchsorted(np.cumsum(counts[np.argsort(v, kind="stable")]), counts.sum() * share)]  # noqa: B023, E731
+            upto = np.cumsum(counts)
+            ends = np.searchsorted(upto, upto - counts + counts.sum() / 2)
+            fits = np.flatnonzero(ends < len(values))
+            low = fits[np.argmin(values[ends[fits]] - values[fits])]
+            short = (values[low], values[ends[low]])
+            mu[:, i] = at(values, 0.5), sum(short) / 2, at(values, 0.25), at(values, 0.75)
+            var[:, i] = (1.4826 * at(np.abs(values - mu[0, i]), 0.5)) ** 2 + floors[i] ** 2
+            var[1, i] = (1.4826 * (short[1] - short[0]) / 2) ** 2 + floors[i] ** 2
+        return pd.DataFrame({"g": pdf["g"].iloc[0], "start": range(4), "mu": mu.tolist(), "prec": [np.diag(1 / v).ravel().tolist() for v in var],
+                             "det": np.inf, "fell": True})
 
     bins = F.posexplode(F.transform("x", lambda v: F.floor(v * _HALF)))
     return vectors.select("g", bins.alias("feature", "bin")).groupBy("g", "feature", "bin").count().groupBy("g").applyInPandas(fit, _FIT)
@@ -149,7 +160,10 @@ def _with_distance(vectors: DataFrame, fits: DataFrame) -> DataFrame:
 
 
 def _concentrated(vectors: DataFrame, fits: DataFrame, last: bool) -> DataFrame:
-    """The next estimate of every group: moments per distance bin, then the least bins that hold the subset."""
+    """The next estimate of every group and start: moments per distance bin, then the least bins that hold the subset.
+
+    Where the determinant does not fall the estimate stays, with ``fell`` false; the last step reweights.
+    """
     k, floors = len(FEATURES), np.array(FLOORS)
     upper = chi2_quantile(REWEIGHT, k)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
@@ -157,28 +171,38 @@ def _concentrated(vectors: DataFrame, fits: DataFrame, last: bool) -> DataFrame:
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bin")
         counts = pdf["n"].to_numpy()
-        if last:
-            use = counts > 0
-            share = REWEIGHT
-        else:
-            use = np.cumsum(counts) - counts < math.ceil(SUBSET * counts.sum())
-            share = counts[use].sum() / counts.sum()
-        n = counts[use].sum()
-        mean = np.array([pdf[f"s{i}"].to_numpy()[use].sum() / n for i in range(k)])
+        n = counts.sum() if last else math.ceil(SUBSET * counts.sum())
+        share = REWEIGHT if last else n / counts.sum()
+        use = np.clip((n - np.cumsum(counts) + counts) / counts, 0, 1)
+        mean = np.array([(pdf[f"s{i}"].to_numpy() * use).sum() / n for i in range(k)])
         cov = np.zeros((k, k))
         for i, j in pairs:
-            cov[i, j] = cov[j, i] = pdf[f"s{i}_{j}"].to_numpy()[use].sum() / n - mean[i] * mean[j]
-        prec = np.linalg.inv(cov * consistency(share, k) + np.diag(floors ** 2))
-        mu = np.array(pdf["mu"].iloc[0]) + mean
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "mu": [mu.tolist()], "prec": [prec.ravel().tolist()]})
+            cov[i, j] = cov[j, i] = (pdf[f"s{i}_{j}"].to_numpy() * use).sum() / n - mean[i] * mean[j]
+        cov = cov * consistency(share, k) + np.diag(floors ** 2)
+        old, det = pdf.iloc[0], np.linalg.slogdet(cov)[1]
+        fell = last or det < old["det"] - FALL
+        mu, prec = (np.array(old["mu"]) + mean, np.linalg.inv(cov).ravel()) if fell else (np.array(old["mu"]), np.array(old["prec"]))
+        return pd.DataFrame({"g": [old["g"]], "start": [old["start"]], "mu": [mu.tolist()], "prec": [prec.tolist()],
+                             "det": [det if fell else old["det"]], "fell": [fell]})
 
     rows = _with_distance(vectors, fits)
     if last:
         rows = rows.filter(F.col("d2") <= upper)
-    moments = rows.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * _OCTAVE)).groupBy("g", "bin").agg(
-        F.count(F.lit(1)).alias("n"), F.min("mu").alias("mu"), *[F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(k)],
+    moments = rows.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * _OCTAVE)).groupBy("g", "start", "bin").agg(
+        F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in ("mu", "prec", "det")], *[F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(k)],
         *[F.sum(F.col("z")[i] * F.col("z")[j]).alias(f"s{i}_{j}") for i, j in pairs])
-    return moments.groupBy("g").applyInPandas(fit, _FIT)
+    return moments.groupBy("g", "start").applyInPandas(fit, _FIT)
+
+
+def _least(vectors: DataFrame, base: str) -> DataFrame:
+    """Per group the estimate with the least determinant, reweighted."""
+    best = lambda f: f.groupBy("g").agg(F.min_by(F.struct(*f.columns), F.struct("det", "start")).alias("f")).select("f.*")
+    fits, step = written(_starts(vectors), base, "fit-0"), 0
+    while fits.filter("fell").limit(1).count():
+        step += 1
+        fits = _concentrated(vectors, fits.filter("fell"), last=False).unionByName(fits.filter("not fell"))
+        fits = written(best(fits) if step == STEPS else fits, base, f"fit-{step}")
+    return written(_concentrated(vectors, best(fits), last=True), base, "fit-last")
 
 
 def _named(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, dict[str, str]]:
@@ -206,9 +230,7 @@ def _fitted(rows: DataFrame, base: str) -> DataFrame:
     enough = groups.groupBy("g").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_ROWS).select("g")
     vectors = written(passed.withColumn("x", F.array(*_vector())).select("own", "x")
                       .join(groups.join(enough, "g").select("own", "g"), "own").select("g", "x"), base, "vectors")
-    fits = written(_starts(vectors), base, "fit-0")
-    for step in range(1, STEPS + 1):
-        fits = written(_concentrated(vectors, fits, last=step == STEPS), base, f"fit-{step}")
+    fits = _least(vectors, base)
     return groups.select("own", "g").join(fits, "g").select("own", "mu", "prec")
 
 

@@ -97,6 +97,18 @@ def test_outliers_match_estimates_over_whole_groups(spark):
     assert all(got[i]["kept"] for i in got if i % 20 not in (7, 13) and not got[i]["base_failed"])
 
 
+def test_junk_of_less_than_half_a_group_is_rejected(spark):
+    rng = random.Random(8)
+    body = lambda: [rng.choice(["alpha", "beta", "gamma", "delta", "of", "the"]) + "," * (rng.random() < 0.1) for _ in range(rng.randint(60, 160))]
+    one, rows = " ".join(body()), []
+    for i in range(150):  # two in five are junk
+        rows.append((i, " ".join(w + "##" * (i % 5 < 2) for w in body()), "en", "junk"))
+        # a third are copies of one text, and two in fifteen junk
+        rows.append((1000 + i, one if i % 3 == 0 else " ".join(w + "##" * (i % 15 in (1, 2)) for w in body()), "en", "copies"))
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(frame(spark, rows)).collect()}
+    assert {i for i, kept in got.items() if not kept} == {i for i in got if (i % 5 < 2 if i < 1000 else (i - 1000) % 15 in (1, 2))}
+
+
 def test_keep_quality_keeps_all_columns(docs, empty):
     verdict = Counter((r["doc_id"], r["n_words"]) for r in quality_rules.quality_rules(docs).filter("kept").collect())
     kept = quality_rules.keep_quality(docs)
