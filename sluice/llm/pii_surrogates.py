@@ -3,7 +3,9 @@
 DataFrame and SQL functions only. One pattern finds the entities of a text; every distinct entity gets a canonical form
 (case and separators aside), and one surrogate per canonical form: keyed digests of it, character for
 character (digits stay digits, letters letters of the same case, hexadecimal stays hexadecimal, card numbers that pass the Luhn test
-still pass it, addresses stay addresses, names follow the gender of the title and the script). Surrogates of
+still pass it, addresses stay addresses, names follow the gender of the title and the script). Names are found by their titles and
+drawn word for word, so a person's last name alone agrees with the full name; in a text that has the titled name, its untitled full and last
+names are replaced too (first names alone, inflected forms and names that have no title anywhere in the text are not found). Surrogates of
 one kind that meet, or that are some entity of the corpus, are drawn again with the next attempt number
 until none is left, so distinct entities stay distinct; equal ones agree over the whole corpus.
 """
@@ -21,18 +23,21 @@ MAX_ATTEMPTS = 64
 EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)+"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|(?:sk|pk|ghp|gho|xoxb)[_\-][0-9A-Za-z_\-]{16,}+|AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"
-PHONE = r"(?:\+[0-9]{1,3}(?:[ .\-|!#$%&*]{0,5}\(?[0-9]{2,4}\)?){2,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4})(?![0-9])"
+PHONE = (r"(?:\+[0-9]{1,3}(?:[ .\-|!#$%&*]{0,5}\(?[0-9]{2,4}\)?){2,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|"
+         r"(?<![0-9A-Za-z]|[0-9][ ./\-])(?:[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3} )[0-9]{4}|"
+         r"0[0-9]{2,4}(?:[ /\-][0-9]{5,8}|[ \-][0-9]{3,4}[ \-][0-9]{3,4}))(?![A-Za-z]|[ ./\-]?[0-9]))(?![0-9])")
 SSN = r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 CARD = (r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7})"
         r"(?![0-9A-Za-z])")
 MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Don|г-н|господин|Κύριος|κ"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Doña|г-жа|госпожа|Κυρία|κα"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE})\.? \p{{Lu}}[\p{{L}}'\-]+(?: \p{{Lu}}[\p{{L}}'\-]+)?"
+WORD = r"\p{Lu}(?:['\-]?(?!(?<=')s(?!\p{L}))\p{L})+"
+NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE})\.? {WORD}(?: {WORD})?"
 KINDS = {"email": EMAIL, "secret": SECRET, "iban": IBAN, "phone": PHONE, "ssn": SSN, "ip": IP, "card": CARD, "name": NAME}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: No entity without one of these: a cheap test before the pattern.
-LIKELY = rf"[0-9@]|(?:{FEMALE}|{MALE})\.? \p{{Lu}}|(?:sk|pk|ghp|gho|xoxb)[_\-]|[a-fA-F]{{32}}"
+LIKELY = rf"[0-9@]|(?:{FEMALE}|{MALE})\.? \p{{Lu}}|(?:sk|pk|ghp|gho|xoxb)[_\-]|AKIA|[a-fA-F]{{32}}"
 SYLLABLES = ("ba", "be", "bi", "da", "de", "do", "fa", "fe", "ga", "ka", "ki", "la", "le", "li", "lo", "ma", "me", "mi", "mo", "na",
              "ne", "ni", "no", "pa", "pe", "ra", "re", "ri", "ro", "sa", "se", "si", "ta", "te", "ti", "va", "vi", "za", "ze", "zo")
 LATIN = "abdefgiklmnoprstvz"
@@ -50,7 +55,7 @@ def _kind(entity: Column) -> Column:
 
 
 def _entities(found: DataFrame) -> DataFrame:
-    """``(entity, kind, canon, head, tail)``: head and tail are the letters and digits kept at either end."""
+    """``(entity, kind, canon, head, tail, at)``: head and tail are the letters and digits kept at either end; a name has a row for each word."""
     e = found.withColumn("kind", _kind(F.col("entity")))
     plain = F.lower(F.regexp_replace("entity", r"[^\p{L}\p{N}]", ""))
     name = F.regexp_extract("entity", rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1)
@@ -62,6 +67,7 @@ def _entities(found: DataFrame) -> DataFrame:
     return (e.withColumn("canon", canon)
             .withColumn("kind", F.when(F.col("kind") == "name", F.concat_ws("_", F.lit("name"), F.when(female, "f").otherwise("m"), script))
                         .when((F.col("kind") == "secret") & hexa, "hex").otherwise(F.col("kind")))
+            .select("entity", "kind", F.posexplode(F.when(F.col("kind").startswith("name"), F.split("canon", " ")).otherwise(F.array("canon"))).alias("at", "canon"))
             .withColumn("head", F.expr("CASE kind WHEN 'phone' THEN 1 WHEN 'card' THEN 1 WHEN 'iban' THEN 2 WHEN 'secret' THEN 2 ELSE 0 END"))
             .withColumn("tail", F.when(F.col("kind") == "email", F.length(F.regexp_extract("entity", r"\.([A-Za-z0-9\-]+)$", 1))).otherwise(0)))
 
@@ -113,6 +119,22 @@ def _distinct_surrogates(entities: DataFrame, key: str, base: str) -> DataFrame:
     raise ValueError(f"no distinct surrogates in {MAX_ATTEMPTS} attempts: a kind has more entities than its format has values")
 
 
+def _joined(words: DataFrame) -> DataFrame:
+    """One row per entity from its words' surrogates: ``last`` is that of the last word of a name."""
+    names = words.filter("kind LIKE 'name%'").groupBy("entity", "kind").agg(F.sort_array(F.collect_list(F.struct("at", "sur"))).alias("all"))
+    names = names.select("entity", "kind", F.array_join(F.col("all.sur"), " ").alias("sur"), F.element_at("all.sur", -1).alias("last"))
+    return words.filter("kind NOT LIKE 'name%'").select("entity", "kind", "sur", F.lit(None).cast("string").alias("last")).unionByName(names)
+
+
+def _entries() -> Column:
+    """What a text with the entity has replaced: the entity itself and, for a name, its untitled full and last name."""
+    name = F.regexp_extract("entity", rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1)
+    entry = lambda e, s, mention: F.struct(e.alias("entity"), s.alias("surrogate"), F.lit(mention).alias("mention"))
+    own = entry(F.col("entity"), _laid_out(), False)
+    return F.when(F.col("last").isNull(), F.array(own)).otherwise(F.array(
+        own, entry(name, F.initcap("sur"), True), entry(F.substring_index(name, " ", -1), F.initcap("last"), True)))
+
+
 def _laid_out() -> Column:
     """The surrogate in the entity's own format: separators, case, title and kept ends as they were."""
     at = r"length(regexp_replace(substr(entity, 1, i + 1), '[^\\p{L}\\p{N}]', ''))"
@@ -138,12 +160,19 @@ def surrogate_pii(docs: DataFrame, key: str = KEY, text_col: str = "text") -> Da
     found = held.select(F.xxhash64("text").alias("rid"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))).alias("entity"))
     found = written(found.distinct(), base, "found")
     entities = written(_entities(found.select("entity").distinct()), base, "entities")
-    named = entities.join(_distinct_surrogates(entities, key, base), ["kind", "canon"]).select("entity", _laid_out().alias("surrogate"))
+    named = entities.join(_distinct_surrogates(entities, key, base), ["kind", "canon"])
+    named = _joined(named).select("entity", _entries().alias("entries"))
     named = written(named, base, "named")
-    maps = found.join(named, "entity").groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("names"))
+    # Persons of one last name in a text: its bare mentions get the first of their surrogates.
+    maps = found.join(named, "entity").groupBy("rid").agg(F.sort_array(F.flatten(F.collect_list("entries"))).alias("all"))
+    maps = maps.select("rid", F.filter("all", lambda e, i: (i == 0) | (e["entity"] != F.col("all")[F.greatest(i - 1, F.lit(0))]["entity"])).alias("all"))
+    mentions = F.array_join(F.reverse(F.filter("all", lambda e: e["mention"])["entity"]), "|")
+    maps = maps.select("rid", F.map_from_entries(F.transform("all", lambda e: F.struct(e["entity"], e["surrogate"]))).alias("names"),
+                       F.when(mentions != "", F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), mentions, F.lit(r")(?![\p{L}\p{N}])")))
+                       .otherwise(F.lit(PATTERN)).alias("pattern"))
     joined = held.withColumn("rid", F.xxhash64("text")).join(maps, "rid", "left")
-    ents = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    pieces = F.zip_with(F.split("text", PATTERN, -1), F.col("ents"), lambda p, e: F.concat(p, F.coalesce(F.col("names")[e], e, F.lit(""))))
+    ents = F.regexp_extract_all("text", F.col("pattern"), F.lit(0))
+    pieces = F.zip_with(F.split("text", F.col("pattern"), -1), F.col("ents"), lambda p, e: F.concat(p, F.coalesce(F.col("names")[e], e, F.lit(""))))
     joined = (joined.withColumn("ents", F.when(F.col("names").isNotNull(), ents))
               .withColumn("new_text", F.when(F.col("names").isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text")))
               .withColumn("n_entities", F.coalesce(F.array_size("ents"), F.lit(0)).cast("long")))
