@@ -7,20 +7,25 @@ still pass it, addresses stay addresses, names follow the gender of the title an
 drawn word for word, so a person's last name alone agrees with the full name; in a text that has the titled name, its untitled full and last
 names are replaced too (first names alone, inflected forms and names that have no title anywhere in the text are not found). Surrogates of
 one kind that meet, or that are some entity of the corpus, are drawn again with the next attempt number
-until none is left, so distinct entities stay distinct; equal ones agree over the whole corpus.
+until none is left, so distinct entities stay distinct; equal ones agree over the whole corpus. What still meets after
+PLAIN_ATTEMPTS, because the short forms of a kind run out, gets a digit (a name a syllable) more with every further attempt, before the kept tail; an
+address's numbers then go up to 999.
 """
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.shared import columns, workdir, written
 
 KEY = "sluice-pii-1"
-MAX_ATTEMPTS = 64
+#: Attempts at the entity's own length; later ones are longer, so there is always room.
+PLAIN_ATTEMPTS = 16
 
 # What the entities look like, and the titles that mark names.
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)+"
+EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[A-Za-z0-9\-]++\.)+[0-9\-]*+[A-Za-z][A-Za-z0-9\-]*+"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|(?:sk|pk|ghp|gho|xoxb)[_\-][0-9A-Za-z_\-]{16,}+|AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"
 PHONE = (r"(?:\+[0-9]{1,3}(?:[ .\-|!#$%&*]{0,5}\(?[0-9]{2,4}\)?){2,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|"
@@ -79,18 +84,19 @@ def _luhn(digits: str) -> str:
 
 
 def _drawn(entities: DataFrame, key: str) -> DataFrame:
-    """Adds ``sur``: the surrogate of each canonical form at its ``attempt``."""
+    """Adds ``sur``: the surrogate of each canonical form at its ``attempt``, and ``extra``: by how much it is longer."""
+    longer = "concat(substr(canon, 1, length(canon) - tail), repeat('0', extra), right(canon, tail))"
     byte = "CAST(conv(substr(d, 1 + 2 * (i % 64), 2), 16, 10) AS INT)"
-    chars = (f"array_join(transform(split(canon, ''), (c, i) -> CASE WHEN i < head OR i >= length(canon) - tail THEN c "
+    chars = (f"array_join(transform(split({longer}, ''), (c, i) -> CASE WHEN i < head OR i >= length(canon) + extra - tail THEN c "
              f"WHEN c RLIKE '[0-9]' THEN CAST({byte} % 10 AS STRING) "
              f"WHEN kind = 'hex' THEN substr('abcdef', 1 + {byte} % 6, 1) "
              f"WHEN c = '' THEN c ELSE substr('abcdefghijklmnopqrstuvwxyz', 1 + {byte} % 26, 1) END), '')")
-    ip = "concat_ws('.', transform(sequence(0, 3), i -> CAST(1 + CAST(conv(substr(d, 1 + 4 * i, 4), 16, 10) AS INT) % 254 AS STRING)))"
+    ip = "concat_ws('.', transform(sequence(0, 3), i -> CAST(1 + CAST(conv(substr(d, 1 + 4 * i, 4), 16, 10) AS INT) % IF(extra > 0, 999, 254) AS STRING)))"
     syllables = "array(" + ", ".join(f"'{s}'" for s in SYLLABLES) + ")"
-    stem = (f"array_join(transform(sequence(0, 2 + least(attempt, 4)), i -> element_at({syllables}, "
+    stem = (f"array_join(transform(sequence(0, 2 + least(attempt, 4) + least(extra, 20)), i -> element_at({syllables}, "
             f"1 + CAST(conv(substr(d, 1 + 4 * i, 4), 16, 10) AS INT) % {len(SYLLABLES)})), '')")
     ending = "CASE WHEN kind LIKE 'name_f%' THEN 'na' ELSE 'no' END"
-    out = (entities.withColumn("d", F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 512))
+    out = (entities.withColumn("extra", F.greatest(F.col("attempt") - PLAIN_ATTEMPTS, F.lit(0))).withColumn("d", F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 512))
            .withColumn("sur", F.expr(f"CASE WHEN kind = 'ip' THEN {ip} WHEN kind LIKE 'name%' THEN concat({stem}, {ending}) ELSE {chars} END")))
     check = "CAST((10 - " + _luhn("concat(substr(sur, 1, length(sur) - 1), '0')") + " % 10) % 10 AS STRING)"
     return out.withColumn("sur", F.expr(
@@ -105,25 +111,25 @@ def _distinct_surrogates(entities: DataFrame, key: str, base: str) -> DataFrame:
                     .withColumn("attempt", F.lit(0)), base, "forms")
     real = forms.select("kind", F.col("canon").alias("sur"), F.lit(True).alias("taken"))
     drawn = written(_drawn(forms, key), base, "drawn-0")
-    for attempt in range(1, MAX_ATTEMPTS + 1):
+    for attempt in count(1):
         keeper = drawn.groupBy("kind", "sur").agg(F.min(F.struct("attempt", "canon")).alias("keeper"), F.count(F.lit(1)).alias("n"))
         marks = keeper.join(real, ["kind", "sur"], "left").filter((F.col("n") > 1) | F.col("taken"))
         clash = (drawn.join(marks, ["kind", "sur"])
                  .filter(F.col("taken") | (F.col("keeper.canon") != F.col("canon"))).select("kind", "canon", F.lit(True).alias("again")))
         clash = written(clash, base, f"clash-{attempt}")
         if not clash.limit(1).count():
-            return drawn.select("kind", "canon", "sur")
+            return drawn.select("kind", "canon", "sur", "tail", "extra")
         both = drawn.join(clash, ["kind", "canon"], "left")
         redrawn = _drawn(both.filter("again").select("kind", "canon", "head", "tail", F.lit(attempt).alias("attempt")), key)
         drawn = written(both.filter("again IS NULL").select(*drawn.columns).unionByName(redrawn.select(*drawn.columns)), base, f"drawn-{attempt}")
-    raise ValueError(f"no distinct surrogates in {MAX_ATTEMPTS} attempts: a kind has more entities than its format has values")
 
 
 def _joined(words: DataFrame) -> DataFrame:
     """One row per entity from its words' surrogates: ``last`` is that of the last word of a name."""
     names = words.filter("kind LIKE 'name%'").groupBy("entity", "kind").agg(F.sort_array(F.collect_list(F.struct("at", "sur"))).alias("all"))
-    names = names.select("entity", "kind", F.array_join(F.col("all.sur"), " ").alias("sur"), F.element_at("all.sur", -1).alias("last"))
-    return words.filter("kind NOT LIKE 'name%'").select("entity", "kind", "sur", F.lit(None).cast("string").alias("last")).unionByName(names)
+    names = names.select("entity", "kind", F.array_join(F.col("all.sur"), " ").alias("sur"), F.element_at("all.sur", -1).alias("last"),
+                         F.lit(0).alias("tail"), F.lit(0).alias("extra"))
+    return words.filter("kind NOT LIKE 'name%'").select("entity", "kind", "sur", F.lit(None).cast("string").alias("last"), "tail", "extra").unionByName(names)
 
 
 def _entries() -> Column:
@@ -138,7 +144,9 @@ def _entries() -> Column:
 def _laid_out() -> Column:
     """The surrogate in the entity's own format: separators, case, title and kept ends as they were."""
     at = r"length(regexp_replace(substr(entity, 1, i + 1), '[^\\p{L}\\p{N}]', ''))"
-    cased = f"CASE WHEN c <> lower(c) THEN upper(substr(sur, {at}, 1)) ELSE substr(sur, {at}, 1) END"
+    own = f"{at} + IF({at} > length(sur) - extra - tail, extra, 0)"
+    more = f"IF({at} = length(sur) - extra - tail, substr(sur, {at} + 1, extra), '')"
+    cased = f"concat(CASE WHEN c <> lower(c) THEN upper(substr(sur, {own}, 1)) ELSE substr(sur, {own}, 1) END, {more})"
     title = rf"regexp_extract(entity, '^((?:{FEMALE}|{MALE})\\.? )', 1)"
     return F.expr(
         f"CASE WHEN kind = 'ip' THEN sur WHEN kind LIKE 'name%' THEN concat({title}, initcap(sur)) "
@@ -160,7 +168,7 @@ def surrogate_pii(docs: DataFrame, key: str = KEY, text_col: str = "text") -> Da
     found = held.select(F.xxhash64("text").alias("rid"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))).alias("entity"))
     found = written(found.distinct(), base, "found")
     entities = written(_entities(found.select("entity").distinct()), base, "entities")
-    named = entities.join(_distinct_surrogates(entities, key, base), ["kind", "canon"])
+    named = entities.drop("tail").join(_distinct_surrogates(entities, key, base), ["kind", "canon"])
     named = _joined(named).select("entity", _entries().alias("entries"))
     named = written(named, base, "named")
     # Persons of one last name in a text: its bare mentions get the first of their surrogates.

@@ -240,6 +240,16 @@ def test_surrogates_stay_distinct_where_they_collide(spark, monkeypatch):
     assert len(set(got)) == len(rows) and not set(got) & {r[1] for r in rows}
 
 
+def test_surrogates_of_crowded_forms_are_longer(spark, monkeypatch):
+    # Every value of one local digit is there, so none of the same length is left; prices are no addresses.
+    monkeypatch.setattr(pii_surrogates, "PLAIN_ATTEMPTS", 1, raising=False)
+    rows = [(i, f"{i}@3.de", "en", "s") for i in range(10)] + [(10 + i, f"{i}@{j}.de", "en", "s") for i in range(10) for j in range(10)]
+    rows += [(200, "5@3.5 a piece", "en", "s")]
+    got = [r["text"] for r in pii_surrogates.surrogate_pii(frame(spark, rows)).collect()]
+    assert "5@3.5 a piece" in got and len(set(got)) == 101 and not {r[1] for r in rows[:-1]} & set(got)
+    assert all(re.fullmatch(r"\d@\d{2,}\.de", t) for t in got if "piece" not in t)
+
+
 def test_surrogates_run_without_python(docs, empty):
     plan = pii_surrogates.surrogate_pii(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
