@@ -63,6 +63,12 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: n
     return mix(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def rolling(data: np.ndarray, width: int) -> np.ndarray:
+    """Rolling hash of every window of ``width`` bytes: its polynomial brought to the same power, as adding and dropping a byte keeps it."""
+    sums = running_sums(data)
+    return (sums[width:] - sums[:-width]) * _grown(len(data) + 1)[1][: max(len(data) - width + 1, 0)]
+
+
 def word_spans(data: np.ndarray, bounds: np.ndarray, seps: np.ndarray = SPACES):
     """``(starts, ends, first)``: byte ranges of all words, and the number of words before each document.
 
