@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.fill_in_middle import fill_in_middle, restored
 from sluice.llm.mixing import mix_sources
+from sluice.llm.nb_svm import quality_scores
 from sluice.llm.ngram_join import ngram_components
 from sluice.llm.packing import pack_documents
 from sluice.llm.paragraph_sketch import fingerprints
@@ -14,6 +16,7 @@ from sluice.llm.pii_surrogates import surrogate_pii
 from sluice.llm.pitman_yor import language_scores
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.suffix_dedup import remove_repeats
+from sluice.llm.target_resampling import resample
 from sluice.llm.toxicity import toxicity
 from sluice.llm.url_lists import filter_urls, host_of
 
@@ -200,3 +203,50 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_pitman_yor")
 def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_scores(table(spark, sf_dir, "documents"))
+
+
+@register("op11_fill_in_middle", r"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+tok AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t, CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4 FROM doc),
+cut AS (SELECT *, CAST(len(t) AS BIGINT) AS n, least(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS a, greatest(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+       WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM tok),
+part AS (SELECT doc_id, text, n, form, array_to_string(t[1:a], '') AS pre, array_to_string(t[a + 1:b], '') AS mid, array_to_string(t[b + 1:], '') AS suf FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM part
+""")
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@register("op12_target_resampling", r"""
+WITH crc_table AS (SELECT list(c ORDER BY i) AS entries FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+    lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+words AS (SELECT 'own' AS side, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL SELECT 'target', NULL, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+bucketed AS (SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(CAST(length(hex(word)) / 2 AS BIGINT)),
+    lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT))), lambda c, byte: xor(c >> 8, entries[(xor(c, byte) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM words), crc_table),
+counts AS (SELECT bucket, count(*) FILTER (WHERE side = 'own') AS s, count(*) FILTER (WHERE side = 'target') AS t FROM words JOIN bucketed USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000.0::DOUBLE) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000.0::DOUBLE)))) AS BIGINT) AS gain FROM counts),
+weighed AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM words JOIN bucketed USING (word) JOIN gain USING (bucket) WHERE side = 'own' GROUP BY doc_id),
+scored AS (SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents d LEFT JOIN weighed w ON d.doc_id = w.doc_id),
+places AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN p.rank <= p.n * 10 // 100 THEN p.rank END AS rank FROM scored s LEFT JOIN places p USING (doc_id)
+""")
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_nb_svm")
+def op13_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
