@@ -7,7 +7,7 @@ window partition.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -95,3 +95,49 @@ def scd2_apply(
     opened = row("_s_", as_of.cast("timestamp_ntz"), none, True)
     results = F.when(changed, F.array(closed, opened)).when(in_current, F.array(kept)).otherwise(F.array(opened))
     return j.select(F.inline(results))
+
+
+SEEN = "_seen"  # when the snapshots were taken in which a run's attributes were met
+
+
+def splice_snapshot(runs: DataFrame | None, snapshot: DataFrame, keys: list[str], as_of: Column) -> DataFrame:
+    """Runs of equal attributes per key after one more snapshot, wherever in time it lies.
+
+    A run is a key's attributes with the sorted times (``_seen``) of the snapshots that showed them one after the other. The run that the new time falls into is cut there,
+    the snapshot's rows become runs of one time, and a sweep over each key's runs in time order puts neighbours with equal attributes
+    together. So the runs are the same in whatever order snapshots come. NULL is a key and a value like any other; of rows
+    that repeat a key within the snapshot the greatest counts; attributes that one side lacks are NULL there.
+    """
+    attrs = [c for c in snapshot.columns if c not in keys]
+    named = lambda cols: [F.col(f"`{c}`") for c in cols]
+    one = snapshot.groupBy(*named(keys)).agg(F.max(F.struct(*named(attrs))).alias("_row"))
+    new = one.select(*named(keys), *[F.col("_row").getField(c).alias(c) for c in attrs], F.array(as_of).alias(SEEN))
+    if runs is None:
+        return new
+    schema = widen(runs.drop(SEEN).schema, snapshot.schema)
+    attrs = [c for c in schema.names if c not in keys]
+    parts = F.array(F.filter(SEEN, lambda t: t < as_of), F.filter(SEEN, lambda t: t > as_of))
+    cut = runs.select(*[F.col(f"`{c}`") for c in runs.columns if c != SEEN], F.explode(F.filter(parts, lambda p: F.size(p) > 0)).alias(SEEN))
+    whole = StructType([*schema.fields, runs.schema[SEEN]])
+    both = align(cut, whole).unionByName(align(new, whole))
+    in_time = Window.partitionBy(*named(keys)).orderBy(F.element_at(SEEN, 1))
+    values = F.struct(*named(attrs))
+    begins = (~F.lag(values).over(in_time).eqNullSafe(values)).cast("int")
+    numbered = both.withColumn("_begins", begins).withColumn("_run", F.sum("_begins").over(in_time))
+    merged = numbered.groupBy(*named(keys), "_run").agg(F.first(values).alias("_row"), F.array_sort(F.flatten(F.collect_list(SEEN))).alias(SEEN))
+    return merged.select(*named(keys), *[F.col("_row").getField(c).alias(c) for c in attrs], SEEN)
+
+
+def run_versions(runs: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
+    """Every run with its version's end: ``valid_from, valid_to, is_current`` and ``_version`` (the run is the first of a version).
+
+    Neighbouring runs with equal ``tracked`` attributes are one version; its other attributes are those first seen. A tracked column that no
+    snapshot had so far counts as NULL.
+    """
+    in_time = Window.partitionBy(*[F.col(f"`{c}`") for c in keys]).orderBy(F.element_at(SEEN, 1))
+    values = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in tracked if c in runs.columns])
+    since = F.element_at(SEEN, 1)
+    first = runs.withColumn("_version", ~F.lag(values).over(in_time).eqNullSafe(values))
+    ends = F.min(F.when(F.col("_version"), since)).over(in_time.rowsBetween(1, Window.unboundedFollowing))
+    return (first.withColumn("valid_to", ends).withColumns({"valid_from": since, "is_current": F.col("valid_to").isNull()})
+            .select(*runs.columns, "_version", *SCD_COLUMNS))

@@ -779,6 +779,32 @@ def scd2_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.read()
 
 
+@register("scd2_out_of_order", """
+WITH s AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier),
+a AS (SELECT *, CAST(NULL AS VARCHAR) AS grade, 1 AS m FROM s
+  UNION ALL SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_suppkey % 3 = 1 THEN round(s_acctbal + 100, 2) ELSE s_acctbal END, NULL, 2 FROM s
+  UNION ALL SELECT *, NULL, 3 FROM s WHERE s_suppkey % 4 <> 1
+  UNION ALL SELECT *, CASE WHEN s_acctbal < 0 THEN 'low' END, 4 FROM s WHERE s_suppkey % 5 <> 0
+  UNION ALL SELECT *, CASE WHEN s_acctbal < 0 THEN 'low' END, 5 FROM s),
+t AS (SELECT * EXCLUDE m, make_timestamp(2024, m, 1, 0, 0, 0.0) AS snap FROM a),
+c AS (SELECT *, lag(s_acctbal) OVER w AS pb, lag(grade) OVER w AS pg, row_number() OVER w AS k FROM t WINDOW w AS (PARTITION BY s_suppkey ORDER BY snap)),
+v AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal, grade, snap AS valid_from FROM c WHERE k = 1 OR pb IS DISTINCT FROM s_acctbal OR pg IS DISTINCT FROM grade)
+SELECT *, lead(valid_from) OVER (PARTITION BY s_suppkey ORDER BY valid_from) AS valid_to,
+       lead(valid_from) OVER (PARTITION BY s_suppkey ORDER BY valid_from) IS NULL AS is_current
+FROM v
+""")
+def scd2_out_of_order_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five monthly supplier snapshots that come as March, May, January, April, February; April and May bring an attribute more, some lack suppliers."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    graded = s.withColumn("grade", F.when(F.col("s_acctbal") < 0, F.lit("low")))
+    raised = F.when(F.col("s_suppkey") % 3 == 1, F.round(F.col("s_acctbal") + 100, 2)).otherwise(F.col("s_acctbal"))
+    months = {1: s, 2: s.withColumn("s_acctbal", raised), 3: s.filter(F.col("s_suppkey") % 4 != 1), 4: graded.filter(F.col("s_suppkey") % 5 != 0), 5: graded}
+    dim = Scd2Table(spark, f"{new_workdir(spark, 'scd2')}/dim_supplier", ["s_suppkey"], ["s_name", "s_nationkey", "s_acctbal", "grade"])
+    for m in (3, 5, 1, 4, 2):
+        dim.apply(months[m], datetime.datetime(2024, m, 1), f"m{m}")
+    return dim.read()
+
+
 # ---------------------------------------------------------------- model ---
 
 _SPAN = """span AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders

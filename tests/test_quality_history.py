@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from sluice.operators.history import latest_per_key, reconcile, scd2_apply, upse
 from sluice.operators.quality import (Expectation, check_result, expect, expectation_report, key_overlap,
                                       quarantine, sanity_check)
 from sluice.plans.merge import merge_into
-from sluice.plans.scd2 import LateSnapshot, Scd2Table
+from sluice.plans.scd2 import RepeatedSnapshot, Scd2Table
 from sluice.plans.tables import Table
 
 
@@ -128,7 +129,7 @@ def test_merge_into_is_one_shuffle_and_replays_are_no_ops(spark, workdir, events
     assert after.filter("value = 3.0").count() == 4 and after.filter("value = 1.0").count() == 0
 
 
-def test_scd2_refuses_late_snapshots_and_keeps_null_keys_once(spark, workdir):
+def test_scd2_refuses_repeated_times_and_keeps_null_keys_once(spark, workdir):
     s1 = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
     dim = Scd2Table(spark, f"{workdir}/dim", ["k"], ["v"])
     d = dt.datetime
@@ -136,9 +137,71 @@ def test_scd2_refuses_late_snapshots_and_keeps_null_keys_once(spark, workdir):
     dim.apply(s1, d(2024, 3, 1), "b")
     assert dim.apply(spark.createDataFrame([(1, "A")], "k int, v string"), d(2024, 4, 1), "c") == 1
     assert dim.apply(spark.createDataFrame([(1, "B")], "k int, v string"), d(2024, 4, 1), "c") == 0
-    with pytest.raises(LateSnapshot):
-        dim.apply(s1, d(2024, 1, 1), "d")
+    with pytest.raises(RepeatedSnapshot):
+        dim.apply(s1, d(2024, 3, 1), "d")
     rows = sorted((tuple(r) for r in dim.read().collect()), key=str)
     assert rows == sorted([(1, "a", d(2024, 2, 1), d(2024, 4, 1), False), (1, "A", d(2024, 4, 1), None, True),
                            (None, "n", d(2024, 2, 1), None, True)], key=str)
     assert [c["rows"] for c in dim.closed_rows.commits()] == [0, 0, 1]
+
+
+def _history(observed, tracked):
+    """Versions by plain Python: ``observed`` is ``{as_of: {key: attributes}}``."""
+    out = []
+    for key in {k for snap in observed.values() for k in snap}:
+        mine = [(t, snap[key]) for t, snap in sorted(observed.items()) if key in snap]
+        kept = [x for i, x in enumerate(mine) if i == 0 or x[1][:tracked] != mine[i - 1][1][:tracked]]
+        ends = [t for t, _ in kept[1:]] + [None]
+        out += [(key, *v, t, e, e is None) for (t, v), e in zip(kept, ends, strict=True)]
+    return sorted(out, key=str)
+
+
+def test_scd2_is_the_same_in_all_six_orders(spark, workdir):
+    d = dt.datetime
+    snaps = {d(2024, 1, 1): {1: ("a", "x"), 2: ("b", None), None: ("n", "x")},
+             d(2024, 2, 1): {1: ("B", "y"), 2: ("b", "z"), 3: (None, "x")},
+             d(2024, 3, 1): {1: ("a", "x"), 3: (None, "w"), None: ("n", "x")}}
+    want = _history(snaps, 1)
+    for i, order in enumerate(itertools.permutations(sorted(snaps))):
+        dim = Scd2Table(spark, f"{workdir}/dim{i}", ["k"], ["v"])
+        for t in order:
+            dim.apply(spark.createDataFrame([(k, *v) for k, v in snaps[t].items()], "k int, v string, w string"), t, f"{t:%m}")
+        assert sorted((tuple(r) for r in dim.read().collect()), key=str) == want, order
+        assert dim.applied() == sorted(snaps)
+
+
+def test_scd2_unchanged_snapshots_count(spark, workdir):
+    """January a, March a, then February b: March's snapshot moved nothing, but it ends b."""
+    d, row = dt.datetime, lambda v: spark.createDataFrame([(1, v)], "k int, v string")
+    dim = Scd2Table(spark, f"{workdir}/dim", ["k"], ["v"])
+    assert [dim.apply(row(v), d(2024, m, 1), f"m{m}") for v, m in (("a", 1), ("a", 3), ("b", 2))] == [0, 0, 1]
+    assert [tuple(r) for r in dim.read().orderBy("valid_from").collect()] == [
+        (1, "a", d(2024, 1, 1), d(2024, 2, 1), False), (1, "b", d(2024, 2, 1), d(2024, 3, 1), False), (1, "a", d(2024, 3, 1), None, True)]
+    dim.apply(row("a"), d(2024, 2, 15), "mid")  # ends b earlier
+    dim.apply(row("a"), d(2024, 1, 15), "more")  # changes nothing
+    assert [r["valid_from"] for r in dim.read().orderBy("valid_from").collect()] == [d(2024, 1, 1), d(2024, 2, 1), d(2024, 2, 15)]
+
+
+def test_scd2_new_attributes_and_repeated_keys(spark, workdir):
+    d = dt.datetime
+    dim = Scd2Table(spark, f"{workdir}/dim", ["k"], ["v", "extra"])
+    dim.apply(spark.createDataFrame([(1, "a")], "k int, v string"), d(2024, 2, 1), "b")
+    dim.apply(spark.createDataFrame([(1, "a", 5), (1, "a", 4)], "k int, v string, extra int"), d(2024, 3, 1), "c")
+    dim.apply(spark.createDataFrame([(1, "a", 5)], "k int, v string, extra int"), d(2024, 1, 1), "a")
+    assert [tuple(r) for r in dim.read().orderBy("valid_from").collect()] == [
+        (1, "a", 5, d(2024, 1, 1), d(2024, 2, 1), False), (1, "a", None, d(2024, 2, 1), d(2024, 3, 1), False), (1, "a", 5, d(2024, 3, 1), None, True)]
+
+
+def test_scd2_survives_a_stop_between_its_tables(spark, workdir, monkeypatch):
+    d, row = dt.datetime, lambda v: spark.createDataFrame([(1, v)], "k int, v string")
+    dim = Scd2Table(spark, f"{workdir}/dim", ["k"], ["v"])
+    dim.apply(row("a"), d(2024, 1, 1), "a")
+    before = dim.read().collect()
+    with monkeypatch.context() as m:
+        m.setattr(dim.open_rows, "write_load", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            dim.apply(row("b"), d(2024, 3, 1), "b")
+    assert dim.read().collect() == before
+    dim.apply(row("c"), d(2024, 2, 1), "c")
+    dim.apply(row("b"), d(2024, 3, 1), "b")
+    assert [(r["v"], r["valid_to"]) for r in dim.read().orderBy("valid_from").collect()] == [("a", d(2024, 2, 1)), ("c", d(2024, 3, 1)), ("b", None)]
