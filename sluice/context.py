@@ -12,9 +12,11 @@ stand in for it; on a cluster an unset folder is an error.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, SparkSession
@@ -66,6 +68,24 @@ def new_workdir(spark: SparkSession, tag: str) -> str:
     return path
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(sc) -> None:
+    """Send this package's sources to the executors' Python workers, once per application (as ``--py-files`` would)."""
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="sluice-core-"), "sluice_core.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)  # Spark's own file service hands it out: no executor reads the driver's folder
+    _shipped.add(sc.applicationId)
+
+
 def scan_partitions(df) -> int:
     """How many scan partitions the files under ``df`` fill, by the sizes Spark plans with (no job).
 

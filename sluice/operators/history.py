@@ -11,18 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluice.plans.tables import widen
+from sluice.functions.types import conform_frame, widen
 
 
 def align(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` onto ``schema`` by name: cast present columns, NULL for missing ones."""
-    cols = []
-    for f in schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return conform_frame(df, schema)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

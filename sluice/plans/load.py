@@ -23,6 +23,8 @@ from sluice.plans.eventlog import EventLog
 from sluice.plans.tables import Table
 from sluice.sources import formats
 from sluice.sources.formats import BAD, RAW
+from sluice.sources.records import input_files
+from sluice.sources.rescue import csv_by_header, read_rescued
 from sluice.sources.spec import Registry, SourceSpec
 
 
@@ -69,14 +71,30 @@ def spec_schema(spark: SparkSession, spec: SourceSpec, paths=None) -> StructType
     return spec.schema or formats.bare_schema(spark, paths or spec.path, spec.format, **dict(spec.options))
 
 
-def read_spec(spark: SparkSession, spec: SourceSpec, paths=None) -> DataFrame:
-    """The rows of a source, with ``_bad`` and ``_raw`` (see ``formats.read_checked``)."""
-    df = formats.read_checked(spark, paths or spec.path, spec.format, spec_schema(spark, spec, paths), **dict(spec.options))
+_FILE = "_file"
+
+
+def read_spec(spark: SparkSession, spec: SourceSpec, paths=None, per_file: bool = False) -> DataFrame:
+    """The rows of a source, with ``_bad`` and ``_raw`` (see ``formats.read_checked``); with the spec's ``rescue`` what doesn't fit stays with its row.
+
+    CSV files may differ in their headers (see ``csv_by_header``). ``per_file`` adds each row's file name where the scan itself won't tell it later.
+    """
+    options, where = dict(spec.options), paths or spec.path
+    by_header = spec.format == "csv" and str(options.get("header", "true")).lower() == "true" and str(options.get("multiLine", "false")).lower() != "true"
+    if by_header:
+        schema = spec_schema(spark, spec, paths) if spec.schema or spec.rescue else None
+        df = csv_by_header(spark, input_files(spark, where), schema, spec.rescue, _FILE if per_file else None, **options)
+    elif spec.rescue:
+        df = read_rescued(spark, where, spec.format, spec_schema(spark, spec, paths), spec.rescue, **options)
+    else:
+        df = formats.read_checked(spark, where, spec.format, spec_schema(spark, spec, paths), **options)
     return strip_audit_columns(df) if spec.has_audit_columns else df
 
 
-def tag(df: DataFrame, spec: SourceSpec, ctx: RunContext) -> DataFrame:
-    return add_audit_columns(df, spec.format, spec.source_file, ctx)
+def tag(df: DataFrame, spec: SourceSpec, ctx: RunContext, per_file: bool = False) -> DataFrame:
+    if _FILE in df.columns:
+        return add_audit_columns(df, spec.format, F.coalesce(F.col(_FILE), F.lit(spec.source_file)), ctx).drop(_FILE)
+    return add_audit_columns(df, spec.format, None if per_file else spec.source_file, ctx)
 
 
 def quarantine_table(spark: SparkSession, target: str) -> Table:

@@ -10,9 +10,9 @@ Layout under the table path::
 A load becomes visible only when its commit record is written, so a crash between the data write and
 the commit leaves nothing visible and the retry (same ``load_id``) overwrites the orphan. An
 ``overwrite`` commit hides every earlier load; a ``reject`` commit is never visible, but its source
-files count as seen. The schema is kept in the records, widened additively per load; a type change is
-refused. Data is read with that schema, so columns missing in older loads read as NULL. One writer per
-table is assumed.
+files count as seen. The schema is kept in the records, widened per load: columns are added, types widened
+(see ``functions.types``); a type with nothing in common is refused. Loads are read with the types they were written with and cast, columns missing in older
+loads are NULL. One writer per table is assumed.
 """
 from __future__ import annotations
 
@@ -21,33 +21,14 @@ import json
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from sluice.context import create_text, list_names, path_exists, read_text, write_text
+from sluice.functions.types import SchemaConflict, conform, conform_frame, widen
 
 FILE_SCHEMA = "path string, length long, mtime_ms long"
 
 
-class SchemaConflict(ValueError):
-    pass
-
-
-def widen(current: StructType | None, incoming: StructType) -> StructType:
-    """Additive merge: new columns are appended; a changed type raises."""
-    if current is None:
-        return incoming
-    fields = list(current.fields)
-    index = {f.name.lower(): f for f in fields}
-    for f in incoming.fields:
-        old = index.get(f.name.lower())
-        if old is None:
-            fields.append(StructField(f.name, f.dataType, True, f.metadata))
-        elif old.dataType != f.dataType:
-            raise SchemaConflict(f"column {f.name}: table has {old.dataType.simpleString()}, "
-                                 f"load has {f.dataType.simpleString()}")
-    return StructType(fields)
-
-
 class Table:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -104,6 +85,9 @@ class Table:
             if extra:
                 raise SchemaConflict(f"new columns without evolution: {extra}")
         merged = widen(current, df.schema)
+        kinds = {f.name.lower(): f.dataType for f in merged.fields}
+        if any(kinds[f.name.lower()] != f.dataType for f in df.schema.fields):  # a load is written with the table's types
+            df = df.select(*[conform(F.col(f"`{f.name}`"), f.dataType, kinds[f.name.lower()]).alias(f.name) for f in df.schema.fields])
         obs = Observation(f"load_{load_id}")
         counters = {"rows": F.count(F.lit(1)), **(observed or {})}
         df.observe(obs, *[c.alias(k) for k, c in counters.items()]).write.mode("overwrite").parquet(self.load_path(load_id))
@@ -144,9 +128,23 @@ class Table:
         schema = self.schema()
         if schema is None:
             raise FileNotFoundError(f"table {self.path} has no commits")
-        paths = [self.load_path(lid) for lid in self.visible_loads()]
-        df = self.spark.read.schema(schema).option("basePath", self.data_path).parquet(*paths)
-        return df if with_load_id else df.select(*[F.col(f"`{c}`") for c in schema.names])
+        now = {f.name.lower(): f.dataType for f in schema.fields}
+        # One scan for all loads of the same types: as many as there were changes of a type, and one more.
+        groups: dict[str, tuple[StructType, list[str]]] = {}
+        schemas = {c["load_id"]: c["schema"] for c in self.commits()}
+        for load_id in self.visible_loads():
+            wrote = StructType.fromJson(schemas[load_id])
+            other = StructType([f for f in wrote.fields if now[f.name.lower()] != f.dataType])
+            groups.setdefault(other.json(), (other, []))[1].append(self.load_path(load_id))
+        out = None
+        for other, paths in groups.values():
+            then = {f.name.lower(): f for f in other.fields}
+            written = StructType([then.get(f.name.lower(), f) for f in schema.fields])
+            df = self.spark.read.schema(written).option("basePath", self.data_path).parquet(*paths)
+            if other.fields:
+                df = conform_frame(df, StructType([*schema.fields, df.schema["load_id"]]))
+            out = df if out is None else out.unionByName(df)
+        return out if with_load_id else out.select(*[F.col(f"`{c}`") for c in schema.names])
 
     def loaded_files(self) -> DataFrame:
         """``(path, length, mtime_ms)`` of every source file of the committed loads, read by Spark."""

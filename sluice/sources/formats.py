@@ -4,8 +4,9 @@ Text formats are configured so that a write followed by a read with the same sch
 nulls stay nulls, empty strings stay empty, quotes survive, and timestamps keep their microseconds.
 Type inference is an opt-in (``schema=None``); at scale always pass the schema — inference is an extra full pass.
 
-CSV files are read in parallel splits, so a value must not hold a line break unless both sides pass ``multiLine="true"``
-(``write`` refuses such values otherwise). Null is written as ``\\N``; a text that looks like that marker gets one more
+Files are read in parallel splits: XML at its row tags (``rowSplit="false"`` goes back to Spark's own scanner, one task a file), CSV at line
+ends. A CSV value must not hold a line break (``write`` refuses it) unless both sides pass ``quotedLines="true"``, which finds out by the quotes which line
+ends are inside values, or ``multiLine="true"``, which reads a file in one task. Null is written as ``\\N``; a text that looks like that marker gets one more
 backslash on the way out and loses it on the way in. ``read_checked`` also tells which lines do not fit the schema.
 """
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sluice.sources.records import RECORD, csv_headers, csv_records, cut_inside, input_files, xml_records
+
 # Timestamp patterns that keep microseconds and the zone offset.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -62,8 +65,41 @@ def unmark_nulls(df: DataFrame) -> DataFrame:
     return _marked(df, r"^\\(\\+N)$", "$1")
 
 
+def _on(options: Mapping[str, str], name: str, default: str = "false") -> bool:
+    return str(options.get(name, default)).lower() == "true"
+
+
+def _in_records(fmt: str, options: Mapping[str, str]) -> bool:
+    """Whether the source is read record by record in splits."""
+    if str(options.get("mode", "PERMISSIVE")).upper() == "DROPMALFORMED":
+        return False
+    return _on(options, "rowSplit", "true") if fmt == "xml" else fmt == "csv" and _on(options, "quotedLines")
+
+
+def parse_records(spark: SparkSession, path, fmt: str, schema: StructType, options: Mapping[str, str]) -> DataFrame:
+    """The parsed records of XML or CSV files, read in splits."""
+    settings = {k: str(v) for k, v in {**(XML_OPTIONS if fmt == "xml" else CSV_OPTIONS), **options}.items() if k not in ("rowSplit", "quotedLines", "header", "enforceSchema")}
+    if fmt == "xml":
+        records, parsed = xml_records(spark, path, settings["rowTag"]), F.from_xml(RECORD, schema, settings)
+        if "columnNameOfCorruptRecord" not in settings:  # where bad records aren't asked for, none may turn into nulls unseen
+            message = "a CDATA section or comment holds the row's end tag: read this XML with rowSplit='false'"
+            records = records.select(F.when(cut_inside(), F.raise_error(F.lit(message)).cast("string")).otherwise(F.col(RECORD)).alias(RECORD))
+    else:
+        wanted = tuple(f.name for f in schema.fields if f.name != RAW)
+        for file, header in csv_headers(spark, input_files(spark, path), options).items():
+            if header and header != wanted:
+                raise ValueError(f"the header of {file} is {header}, the schema has {wanted}")
+        records, parsed = csv_records(spark, path), F.from_csv(F.col(RECORD), F.lit(schema.toDDL()), {**settings, "multiLine": "true"})
+    return records.select(parsed.alias("_row")).select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
+
+
 def _reader(fmt: str, base: Mapping[str, str], infer: Mapping[str, str] | None = None) -> Reader:
     def read_fmt(spark: SparkSession, path, schema: StructType | str | None = None, **options) -> DataFrame:
+        if schema is not None and _in_records(fmt, options):
+            df = parse_records(spark, path, fmt, StructType.fromDDL(schema) if isinstance(schema, str) else schema, options)
+            return unmark_nulls(df) if fmt == "csv" else df
+        if fmt == "csv" and _on(options, "quotedLines"):
+            options = {**options, "multiLine": "true"}  # the types are looked for file by file
         r = spark.read.format(fmt).options(**base)
         if schema is None:
             r = r.options(**(infer or {}))
@@ -79,9 +115,9 @@ def _writer(fmt: str, base: Mapping[str, str], write_only: Mapping[str, str] | N
     def write_fmt(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None, **options) -> None:
         if fmt == "csv":
             df = mark_nulls(df)
-            if str(options.get("multiLine", "false")).lower() != "true":
+            if not (_on(options, "multiLine") or _on(options, "quotedLines")):
                 df = _one_line(df)
-            options.pop("multiLine", None)
+            options = {k: v for k, v in options.items() if k not in ("multiLine", "quotedLines")}
         w = df.write.format(fmt).mode(mode).options(**base).options(**(write_only or {})).options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -96,7 +132,7 @@ def _one_line(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, StringType):
             c = F.col(f"`{f.name}`")
-            message = F.lit(f"column {f.name} holds a line break: write and read this CSV with multiLine='true'")
+            message = F.lit(f"column {f.name} holds a line break: write and read this CSV with quotedLines='true'")
             out[f.name] = F.when(c.rlike(r"[\r\n]"), F.raise_error(message).cast("string")).otherwise(c)
     return df.withColumns(out) if out else df
 
@@ -154,7 +190,7 @@ def read_checked(spark: SparkSession, path, fmt: str, schema: StructType, **opti
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    if fmt == "json" and str(options.get("multiLine", "false")).lower() != "true":
+    if fmt == "json" and not _on(options, "multiLine"):
         return _checked_json(spark.read.text(path).withColumnRenamed("value", RAW), schema, options)
     if fmt not in ("csv", "json", "xml"):
         return read(spark, path, fmt, schema, **options).withColumns({BAD: F.lit(None).cast("string"), RAW: F.lit(None).cast("string")})

@@ -25,6 +25,7 @@ class SourceSpec:
     schema: Any = None
     options: Mapping[str, str] = field(default_factory=dict)
     has_audit_columns: bool = False
+    rescue: str | None = None  # column for fields that the schema lacks and values that don't fit it
     source_key: str | None = None
 
     @property

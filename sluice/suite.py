@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sluice.context import FIXED_CONTEXT, RunContext, basename, new_workdir, scan_partitions
 from sluice.functions.dates import matched_pattern, parse_first
@@ -27,6 +29,7 @@ from sluice.plans.merge import merge_into
 from sluice.plans.load import (LoadRejected, copy_into, create_empty_like, full_refresh, ingest, quarantine_table,
                                refresh_with_expectations)
 from sluice.plans.model import LAYOUTS, date_span, dim_date, facts_by_date, read_layout, write_layouts
+from sluice.plans.promote import promote_rescued
 from sluice.plans.scd2 import Scd2Table
 from sluice.plans.tables import Table
 from sluice.sources import formats
@@ -162,7 +165,7 @@ _DOCS = "doc_id, text, lang, source, n_chars"
 @register("roundtrip_text_csv", f"SELECT {_DOCS} FROM documents")
 def roundtrip_text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents (multi-line text, quotes, markup) through CSV and back."""
-    return _roundtrip(spark, table(spark, sf_dir, "documents"), "csv", multiLine="true")
+    return _roundtrip(spark, table(spark, sf_dir, "documents"), "csv", quotedLines="true")
 
 
 @register("roundtrip_text_xml", f"SELECT {_DOCS} FROM documents")
@@ -374,6 +377,67 @@ def load_bad_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.unionByName(aside).groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
 
 
+@register("rescue_and_promote", f"""
+SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN user_id END AS user_id, event_type,
+  CASE WHEN event_type = 'view' THEN value + 0.5 ELSE floor(value) END AS value, props,
+  CASE WHEN event_type = 'click' THEN event_id % 7 END AS extra, CASE WHEN event_type = 'click' THEN 'n' || CAST(user_id AS VARCHAR) END AS nested_name,
+  CASE WHEN event_type = 'error' THEN '{{"user_id":"user ' || CAST(user_id AS VARCHAR) || '"}}' END AS _rescued,
+  {fixed_audit('json', 'events.json')} FROM events
+""")
+def rescue_and_promote_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with a text for a number, halves for whole numbers, and fields that the schema lacks: every row loads, what doesn't fit is
+    rescued, and the second phase makes typed columns of it. A text for a number stays rescued."""
+    events = table(spark, sf_dir, "events")
+    work = new_workdir(spark, "landing")
+    kind = F.col("event_type")
+    user = F.when(kind == "error", F.concat(F.lit('"user '), F.col("user_id"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    value = F.when(kind == "view", F.to_json(F.struct((F.col("value") + 0.5).alias("value")))).otherwise(
+        F.to_json(F.struct(F.floor("value").alias("value"))))
+    extra = F.when(kind == "click", F.concat(F.lit(',"extra":'), (F.col("event_id") % 7).cast("string"), F.lit(',"nested":{"name":"n'), F.col("user_id"), F.lit('"}'))).otherwise(F.lit(""))
+    line = F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(',"user_id":'), user, F.lit(","), F.expr("substring(value_json, 2, length(value_json) - 2)"), extra, F.lit("}"))
+    plain = F.to_json(F.struct("event_id", "ts", "event_type", "props"), formats.JSON_OPTIONS)
+    events.withColumns({"line": plain, "value_json": value}).select(line.alias("value")).write.text(f"{work}/incoming/events.json")
+    narrow = StructType([StructField("value", LongType()) if f.name == "value" else f for f in events.schema.fields])
+    spec = SourceSpec(key="events", path=f"{work}/incoming/events.json", format="json", schema=narrow, rescue="_rescued")
+    target = f"{work}/bronze/events"
+    copy_into(spark, spec, target, FIXED_CONTEXT)
+    promote_rescued(spark, target, ctx=FIXED_CONTEXT)
+    got = Table(spark, target).read().withColumn("value", F.col("value").cast("double"))  # whole numbers and halves: a decimal
+    return got.select(*events.columns, "extra", F.col("nested.name").alias("nested_name"), "_rescued", *AUDIT_COLUMNS)
+
+
+@register("csv_header_evolution", """
+WITH e AS (SELECT event_id, user_id, event_type, value FROM events)
+SELECT event_id, user_id, event_type, value, CAST(NULL AS VARCHAR) AS note, 1 AS delivery FROM e
+UNION ALL SELECT event_id, user_id, event_type, value, event_type || '!', 2 FROM e
+UNION ALL SELECT event_id, NULL, event_type, CAST(event_id AS DOUBLE), NULL, 3 FROM e
+UNION ALL SELECT event_id, user_id, event_type, CAST(event_id AS DOUBLE) + 0.25, 'late', 4 FROM e
+""")
+def csv_header_evolution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV deliveries to one folder: as first agreed; a column more and another order; a column fewer with whole numbers; all of it once more in a later load.
+    Columns go by their names and types widen to hold every delivery; a file of another kind is set aside and holds nothing up."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    work = new_workdir(spark, "landing")
+    path, target = f"{work}/incoming/events.csv", f"{work}/bronze/events"
+    spec = SourceSpec(key="events", path=path, format="csv")  # no schema: each header's types are looked for
+    formats.write(events.withColumn("delivery", F.lit(1)), path, "csv")
+    formats.write(events.select(F.concat("event_type", F.lit("!")).alias("note"), "value", "event_type", F.lit(2).alias("delivery"), "user_id", "event_id"), path, "csv", mode="append")
+    copy_into(spark, spec, target, FIXED_CONTEXT)
+    formats.write(events.select("event_id", F.lit(3).alias("delivery"), "event_type", F.col("event_id").alias("value")), path, "csv", mode="append")
+    copy_into(spark, spec, target, FIXED_CONTEXT)
+    whole = Table(spark, target).schema()
+    formats.write(events.select(F.lit("late").alias("note"), F.lit(4).alias("delivery"), (F.col("event_id") + 0.25).alias("value"), "event_type", "event_id", "user_id"), path, "csv", mode="append")
+    formats.write(table(spark, sf_dir, "region"), path, "csv", mode="append")
+    known = StructType([f for f in whole.fields if f.name not in AUDIT_COLUMNS])
+    copy_into(spark, replace(spec, schema=known), target, FIXED_CONTEXT)
+    aside = quarantine_table(spark, target).read().filter("reason LIKE 'file refused%'").count()
+    if aside != 1:
+        raise AssertionError(f"{aside} files set aside")
+    kinds = {"event_id": "long", "user_id": "long", "value": "double", "delivery": "int"}
+    got = Table(spark, target).read()
+    return got.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in ("event_id", "user_id", "event_type", "value", "note", "delivery")])
+
+
 @register("full_refresh", f"SELECT {_EVENTS}, {fixed_audit('xml', 'events_landing.xml')} FROM events")
 def full_refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XML with a tag name that is not Parquet-safe, refreshed twice: the table holds one copy."""

@@ -25,7 +25,7 @@ SCHEMA = "id long, text string, ts timestamp_ntz"
 @pytest.mark.parametrize("fmt", ["csv", "json", "xml", "parquet"])
 def test_roundtrip_is_lossless(spark, workdir, fmt):
     df = spark.createDataFrame(AWKWARD, SCHEMA)
-    options = {"multiLine": "true"} if fmt == "csv" else {}
+    options = {"quotedLines": "true"} if fmt == "csv" else {}
     formats.write(df.repartition(3), f"{workdir}/{fmt}", fmt, **options)
     back = formats.read(spark, f"{workdir}/{fmt}", fmt, schema=df.schema, **options)
     assert sorted(back.collect()) == sorted(df.collect())
