@@ -18,12 +18,14 @@ from sluice.context import FIXED_CONTEXT, RunContext, basename, new_workdir, sca
 from sluice.functions.dates import matched_pattern, parse_first
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns
 from sluice.operators.columns import sanitize_columns
+from sluice.operators.dependencies import inclusion_dependencies
 from sluice.operators.history import reconcile
 from sluice.operators.profile import entity_profile, profile_table, time_gaps
 from sluice.operators.quality import (Expectation, check_result, expect, expectation_report,
                                       key_overlap, quarantine, row_counts, sanity_check, split_dates)
 from sluice.operators.rank import global_rank, slice_shares
 from sluice.plans.chunking import read_slices, run_chunking
+from sluice.plans.clustering import files_met, write_clustered
 from sluice.plans.eventlog import EventLog
 from sluice.plans.merge import merge_into
 from sluice.plans.load import (LoadRejected, copy_into, create_empty_like, full_refresh, ingest, quarantine_table,
@@ -943,8 +945,93 @@ def layout_pruning_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+_CLUSTER_FILTERS = {
+    "date": {"l_shipdate": ("1997-01-01 00:00:00", "1997-04-01 00:00:00")},
+    "part": {"l_partkey": (10, 40)},
+    "date and part": {"l_shipdate": ("1997-01-01 00:00:00", "1998-01-01 00:00:00"), "l_partkey": (10, 200)},
+}
+_CLUSTER_FILES = 64
+
+
+def _cluster_layouts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    lineitem, work = table(spark, sf_dir, "lineitem"), new_workdir(spark, "clusters")
+    paths = {"date_sorted": f"{work}/date_sorted", "clustered": f"{work}/clustered"}
+    write_clustered(lineitem, ["l_shipdate"], paths["date_sorted"], _CLUSTER_FILES)
+    write_clustered(lineitem, ["l_shipdate", "l_partkey"], paths["clustered"], _CLUSTER_FILES)
+    return paths
+
+
+def _in_ranges(df: DataFrame, ranges: dict) -> DataFrame:
+    for c, (low, high) in ranges.items():
+        df = df.filter((F.col(c) >= F.lit(low).cast(df.schema[c].dataType)) & (F.col(c) < F.lit(high).cast(df.schema[c].dataType)))
+    return df
+
+
+@register("cluster_files")
+def cluster_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and bytes that filters on one and on two columns of lineitem meet, sorted by date and clustered on date and part."""
+    out = None
+    for layout, path in _cluster_layouts(spark, sf_dir).items():
+        for name, ranges in _CLUSTER_FILTERS.items():
+            row = files_met(spark, path, ranges).select(F.lit(layout).alias("layout"), F.lit(name).alias("filter"), "*")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("cluster_pruning", """
+SELECT 'date' AS filter, count(*) AS n_rows, round(sum(l_quantity), 2) AS sum_qty, FALSE AS clustering_meets_less FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-04-01'
+UNION ALL SELECT 'part', count(*), round(sum(l_quantity), 2), TRUE FROM lineitem WHERE l_partkey >= 10 AND l_partkey < 40
+UNION ALL SELECT 'date and part', count(*), round(sum(l_quantity), 2), TRUE FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01' AND l_partkey >= 10 AND l_partkey < 200
+""")
+def cluster_pruning_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filters' answers from the clustered table, and whether it meets fewer bytes than the one sorted by date: on the second column it does."""
+    paths = _cluster_layouts(spark, sf_dir)
+    out = None
+    for name, ranges in _CLUSTER_FILTERS.items():
+        answer = _in_ranges(spark.read.parquet(paths["clustered"]), ranges).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"))
+        less = files_met(spark, paths["clustered"], ranges).select(F.col("n_bytes").alias("a")).crossJoin(  # two single rows
+            files_met(spark, paths["date_sorted"], ranges).select(F.col("n_bytes").alias("b"))).select((F.col("a") < F.col("b")).alias("clustering_meets_less"))
+        row = answer.crossJoin(less).select(F.lit(name).alias("filter"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ------------------------------------------------------------ profiling ---
 
+_KEY_TABLES = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey", "customer": "c_custkey c_name c_nationkey c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey", "part": "p_partkey p_name p_brand p_type p_size",
+    "orders": "o_orderkey o_custkey o_orderstatus o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type props", "documents": "doc_id text lang source n_chars", "labels": "doc_id quality toxic",
+    "pages": "page_id url html", "benchmark": "item_id text", "conversations": "conv_id turn role text",
+}
+_KEY_TIMES = {"o_orderdate", "l_shipdate", "ts"}
+_KEY_TEXTS = set("r_name n_name c_name c_mktsegment s_name p_name p_brand p_type o_orderstatus o_orderpriority l_returnflag l_linestatus event_type props "
+                 "text lang source url html role".split())
+
+
+def _key_sql() -> str:
+    value = lambda c: f"'t' || epoch_us({c})" if c in _KEY_TIMES else f"'s' || {c}" if c in _KEY_TEXTS else f"'i' || {c}"
+    cols = " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, {value(c)} AS v FROM {t}" for t, cs in _KEY_TABLES.items() for c in cs.split())
+    return f"""
+WITH cols AS ({cols}),
+keys AS (SELECT t, c, count(*) AS n FROM cols GROUP BY t, c HAVING count(*) = count(DISTINCT v)),
+held AS (SELECT DISTINCT t, c, v FROM cols WHERE v IS NOT NULL),
+sizes AS (SELECT t, c, count(*) AS n FROM held GROUP BY t, c),
+pairs AS (SELECT a.t AS ct, a.c AS cc, b.t AS pt, b.c AS pc, count(*) AS n FROM held a JOIN (SELECT held.* FROM held JOIN keys USING (t, c)) b ON a.v = b.v AND (a.t, a.c) <> (b.t, b.c) GROUP BY ALL)
+SELECT ct AS child_table, cc AS child_column, pt AS parent_table, pc AS parent_column, CAST(p.n AS BIGINT) AS n_values, CAST(k.n AS BIGINT) AS parent_values
+FROM pairs p JOIN sizes s ON p.ct = s.t AND p.cc = s.c AND p.n = s.n JOIN keys k ON p.pt = k.t AND p.pc = k.c"""
+
+
+@register("key_discovery", _key_sql())
+def key_discovery_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All inclusions of a column in a key, over whole numbers, texts and times of all tables, from one pass over each."""
+    return inclusion_dependencies({t: table(spark, sf_dir, t).select(*cs.split()) for t, cs in _KEY_TABLES.items()})
+
+
 @register("entity_profile", """
 SELECT user_id, count(*) AS n_events, min(ts) AS first_seen, max(ts) AS last_seen,
        count(DISTINCT event_type) AS n_places, count(*) > 1 AS is_recurring, count(DISTINCT event_type) > 1 AS is_moving
