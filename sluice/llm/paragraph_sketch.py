@@ -1,10 +1,14 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut at line breaks, and lines at content-defined words (one in four), into pieces that tile it; every piece
-has a 64-bit digest, the n-th repeat of a piece one of its own. The sketch adds each digest to three cells (count, digests xored,
-checks xored). Sketches of two versions subtract cell by cell, and peeling cells that hold one digest recovers the
-digests in which they differ; where that fails, both are sketched anew with more cells until it succeeds. The printed
-fingerprint is the smallest sketch.
+A text is cut at line breaks, and lines at content-defined words (one in eight), into pieces that tile it; every piece
+has a 64-bit digest, the n-th repeat of a piece one of its own. The sketch adds each digest to one cell in each of three parts (count, digests xored,
+checks xored). A part has a power of two of cells, at least one for two digests, doubled until peeling the sketch gives
+back all its digests; that sketch is the fingerprint. A wide sketch folds to a narrow one by adding its halves, so sketches of any two
+versions subtract, cell by cell, at the narrower width, and peeling cells that hold one digest recovers the digests in which they
+differ. Where that fails, both are sketched anew, twice as wide as the wider one, until it succeeds: their digests are at hand, since each
+fingerprint gives back its own. So the likeness follows from the two fingerprints alone (``likeness_of``).
+
+All sketches of a block of texts are built, folded, subtracted and peeled together, as one array of cells.
 """
 from __future__ import annotations
 
@@ -20,9 +24,11 @@ from sluice.context import scan_partitions
 from sluice.llm import bytetext as B
 from sluice.llm.shared import columns, workdir
 
-WIDTH = 5  # cells in each of the three parts of the printed sketch
+WIDTH = 4  # least cells in each of the three parts of a sketch
 PARTS = 3
-_MARK = B.U64(3)  # a word with these hash bits zero ends a piece
+CELL = 14  # bytes of a printed cell: two for the count, eight and four for the xored digests and checks
+ROUNDS = 500  # of peeling; checks that meet by chance would go round for ever
+_MARK = B.U64(7)  # a word with these hash bits zero ends a piece
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], B.U64)
 _CHECK = B.U64(0x452821E638D01377)
 BLOCK = 1 << 20
@@ -60,73 +66,170 @@ def piece_digests(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-class Sketch:
-    """Counts, xored digests and xored checks of ``PARTS * width`` cells."""
+def _sums(at: np.ndarray, counts: np.ndarray, keys: np.ndarray, checks: np.ndarray):
+    """What falls into each cell: ``(cells, counts added, keys xored, checks xored)``."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[first], np.add.reduceat(counts[order], first), np.bitwise_xor.reduceat(keys[order], first), np.bitwise_xor.reduceat(checks[order], first)
+
+
+class Sketches:
+    """The sketches of several texts, one behind the other, each with a power of two of cells in its parts."""
+
+    def __init__(self, widths: np.ndarray):
+        self.widths = np.asarray(widths, np.int64)
+        self.base = np.concatenate([[0], np.cumsum(PARTS * self.widths)])
+        self.text = np.repeat(np.arange(len(self.widths)), PARTS * self.widths)
+        self.count, self.key, self.check = np.zeros(self.base[-1], np.int64), np.zeros(self.base[-1], B.U64), np.zeros(self.base[-1], np.uint32)
 
-    def __init__(self, digests: np.ndarray, width: int):
-        self.width = width
-        self.count, self.key, self.check = np.zeros(PARTS * width, np.int64), np.zeros(PARTS * width, B.U64), np.zeros(PARTS * width, B.U64)
-        self.toggle(digests, 1)
+    def _add(self, at: np.ndarray, counts: np.ndarray, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        if not len(at):
+            return at
+        cells, n, k, c = _sums(at, counts, keys, checks)
+        self.count[cells] += n
+        self.key[cells] ^= k
+        self.check[cells] ^= c
+        return cells
 
-    def toggle(self, digests: np.ndarray, sign) -> None:
-        """Adds the digests (``sign`` 1) or takes them away (-1, or one sign each)."""
-        if not len(digests):
-            return
-        at = ((B.mix(digests ^ _SEEDS[:, None]) % B.U64(self.width)).astype(np.int64) + np.arange(PARTS)[:, None] * self.width).ravel()
-        np.add.at(self.count, at, np.tile(np.broadcast_to(np.asarray(sign, np.int64), digests.shape), PARTS))
-        np.bitwise_xor.at(self.key, at, np.tile(digests, PARTS))
-        np.bitwise_xor.at(self.check, at, np.tile(B.mix(digests + _CHECK), PARTS))
+    def toggle(self, text: np.ndarray, digests: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """Adds digests to their texts' sketches (sign 1) or takes them away (-1); gives the cells met."""
+        width = self.widths[text]
+        at = [self.base[text] + j * width + (B.mix(digests ^ _SEEDS[j]).astype(np.int64) & (width - 1)) for j in range(PARTS)]
+        return self._add(np.concatenate(at), np.tile(sign, PARTS), np.tile(digests, PARTS), np.tile(_checks(digests), PARTS))
+
+    def folded(self, widths: np.ndarray) -> "Sketches":
+        """The same sketches in fewer cells (or as many)."""
+        out = Sketches(widths)
+        inside = np.arange(len(self.count)) - self.base[self.text]
+        part, place = inside // self.widths[self.text], inside % self.widths[self.text]
+        out._add(out.base[self.text] + part * out.widths[self.text] + (place & (out.widths[self.text] - 1)), self.count, self.key, self.check)
+        return out
+
+    def chosen(self, texts: np.ndarray) -> "Sketches":
+        """The sketches of some texts, in that order."""
+        out = Sketches(self.widths[texts])
+        cells = self.base[texts][out.text] + np.arange(len(out.count)) - out.base[out.text]
+        out.count, out.key, out.check = self.count[cells], self.key[cells], self.check[cells]
+        return out
 
-    def minus(self, other: "Sketch") -> "Sketch":
-        out = Sketch(np.zeros(0, B.U64), self.width)
+    def minus(self, other: "Sketches") -> "Sketches":
+        out = Sketches(self.widths)
         out.count, out.key, out.check = self.count - other.count, self.key ^ other.key, self.check ^ other.check
         return out
 
-    def peeled(self) -> tuple[np.ndarray, np.ndarray] | None:
-        """Digests on the first side only and on the second only; None where cells are left that hold several."""
-        mine, theirs = [], []
-        while True:
-            pure = np.flatnonzero((np.abs(self.count) == 1) & (self.check == B.mix(self.key + _CHECK)))
-            if not len(pure):
+    def peeled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(whole, text, digest, sign)``: which sketches came apart entirely, and the digests recovered, with sign 1 for the first side's.
+
+        Empties the sketches. Only cells that the last round changed can have become pure.
+        """
+        found: list[tuple] = []
+        cells = np.arange(len(self.count))
+        for _ in range(ROUNDS):
+            cells = cells[np.abs(self.count[cells]) == 1]
+            cells = cells[self.check[cells] == _checks(self.key[cells])]
+            if not len(cells):
                 break
-            keys, at = np.unique(self.key[pure], return_index=True)
-            sign = self.count[pure][at]
-            mine.append(keys[sign > 0])
-            theirs.append(keys[sign < 0])
-            self.toggle(keys, -sign)
-            if sum(map(len, mine)) + sum(map(len, theirs)) > 4 * len(self.count):
-                return None  # checks that meet by chance would go round for ever
-        if self.count.any() or self.key.any() or self.check.any():
-            return None
-        none = [np.zeros(0, B.U64)]
-        return np.concatenate(none + mine), np.concatenate(none + theirs)
-
-    def text(self) -> str:
-        raw = self.count.astype("<i4").tobytes() + self.key.astype("<u8").tobytes() + self.check.astype("<u8").tobytes()
-        return base64.b64encode(raw).decode()
-
-
-def difference(a: np.ndarray, b: np.ndarray, small: tuple[Sketch, Sketch] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Digests only in ``a`` and only in ``b``, recovered by peeling sketches of growing size."""
-    one, two = small or (Sketch(a, WIDTH), Sketch(b, WIDTH))
-    less = one.minus(two)
-    # A sketch without an empty cell is overfull: go on with one that has room for all digests of both.
-    found = less.peeled() if (less.count == 0).any() else None
-    width = max(2 * WIDTH, len(a) + len(b))
-    while found is None:
-        # The difference of the two larger sketches, cell by cell: what is added for one and taken away for the other.
-        less = Sketch(a, width)
-        less.toggle(b, -1)
-        found = less.peeled()
+            text, key, sign = self.text[cells], self.key[cells], self.count[cells]
+            order = np.lexsort((key, text))
+            text, key, sign = text[order], key[order], sign[order]
+            once = np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])
+            text, key, sign = text[once], key[once], sign[once]
+            found.append((text, key, sign))
+            cells = self.toggle(text, key, -sign)
+        left = (self.count != 0) | (self.key != 0) | (self.check != 0)
+        whole = np.bincount(self.text[left], minlength=len(self.widths)) == 0
+        none = (np.zeros(0, np.int64), np.zeros(0, B.U64), np.zeros(0, np.int64))
+        return (whole, *(np.concatenate(c) for c in zip(none, *found, strict=True)))
+
+    def printed(self) -> list[str]:
+        raw = np.zeros((len(self.count), CELL), np.uint8)
+        raw[:, :2] = self.count.astype("<i2").view(np.uint8).reshape(-1, 2)
+        raw[:, 2:10] = self.key.astype("<u8").view(np.uint8).reshape(-1, 8)
+        raw[:, 10:] = self.check.astype("<u4").view(np.uint8).reshape(-1, 4)
+        return [base64.b64encode(raw[a:b].tobytes()).decode() for a, b in zip(self.base[:-1].tolist(), self.base[1:].tolist(), strict=True)]
+
+
+def _checks(digests: np.ndarray) -> np.ndarray:
+    return (B.mix(digests + _CHECK) >> B.U64(32)).astype(np.uint32)
+
+
+def _flat(digests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.repeat(np.arange(len(digests)), [len(d) for d in digests]), np.concatenate([np.zeros(0, B.U64), *digests])
+
+
+def _sketched(digests: list[np.ndarray], widths: np.ndarray) -> Sketches:
+    out = Sketches(widths)
+    text, flat = _flat(digests)
+    out.toggle(text, flat, np.ones(len(flat), np.int64))
+    return out
+
+
+def sketches(digests: list[np.ndarray]) -> Sketches:
+    """A sketch for each text, wide enough to give back all its digests."""
+    widths = np.maximum(WIDTH, 1 << np.ceil(np.log2(np.maximum([len(d) for d in digests], 1) / 2)).clip(0).astype(np.int64))
+    open_ = np.arange(len(digests))
+    while len(open_):
+        whole = _sketched([digests[i] for i in open_], widths[open_]).peeled()[0]
+        open_ = open_[~whole]
+        widths[open_] *= 2
+    return _sketched(digests, widths)
+
+
+def differences(digests: list[np.ndarray], own: Sketches, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(pair, digest, sign)``: the digests in which the texts ``one[i]`` and ``two[i]`` differ (sign 1: only the first has it)."""
+    width = np.minimum(own.widths[one], own.widths[two])
+    whole, pair, key, sign = own.chosen(one).folded(width).minus(own.chosen(two).folded(width)).peeled()
+    sure = whole[pair]
+    found = [(pair[sure], key[sure], sign[sure])]
+    open_, width = np.flatnonzero(~whole), 2 * np.maximum(own.widths[one], own.widths[two])
+    while len(open_):
+        wide = Sketches(width[open_])
+        for side, s in ((one, 1), (two, -1)):
+            at, flat = _flat([digests[i] for i in side[open_]])
+            wide.toggle(at, flat, np.full(len(flat), s))
+        whole, pair, key, sign = wide.peeled()
+        sure = whole[pair]
+        found.append((open_[pair[sure]], key[sure], sign[sure]))
+        open_ = open_[~whole]
         width *= 2
-    return found
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def likenesses(digests: list[np.ndarray], own: Sketches, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Shared share of two digest sets each: shared over all different; two empty texts are alike."""
+    differ = np.bincount(differences(digests, own, one, two)[0], minlength=len(one))
+    sizes = np.array([len(d) for d in digests], np.int64)
+    both = sizes[one] + sizes[two]
+    return np.where(both > 0, (both - differ) / np.maximum(both + differ, 1), 1.0)
+
+
+def difference(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digests only in ``a`` and only in ``b``, recovered from their sketches."""
+    _, key, sign = differences([a, b], sketches([a, b]), np.array([0]), np.array([1]))
+    return key[sign > 0], key[sign < 0]
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    return float(likenesses([a, b], sketches([a, b]), np.array([0]), np.array([1]))[0])
+
+
+def digests_of(fingerprint: str) -> np.ndarray:
+    """The digests that a printed sketch gives back, sorted."""
+    raw = np.frombuffer(base64.b64decode(fingerprint), np.uint8).reshape(-1, CELL)
+    held = Sketches(np.array([len(raw) // PARTS]))
+    held.count = raw[:, :2].copy().view("<i2").ravel().astype(np.int64)
+    held.key = raw[:, 2:10].copy().view("<u8").ravel().astype(B.U64)
+    held.check = raw[:, 10:].copy().view("<u4").ravel().astype(np.uint32)
+    whole, _, key, _ = held.peeled()
+    if not whole.all():
+        raise ValueError("no fingerprint of this kind")
+    return np.sort(key)
 
 
-def likeness(a: np.ndarray, b: np.ndarray, small: tuple[Sketch, Sketch] | None = None) -> float:
-    """Shared share of two digest sets: 1 - differing / all; two empty texts are alike."""
-    only_a, only_b = difference(a, b, small)
-    differ = len(only_a) + len(only_b)
-    return (len(a) + len(b) - differ) / max(1, len(a) + len(b) + differ) if len(a) + len(b) else 1.0
+def likeness_of(one: str, two: str) -> float:
+    """The likeness of two printed fingerprints, from them alone."""
+    return likeness(digests_of(one), digests_of(two))
 
 
 def edited(text: str, following: str) -> str:
@@ -171,20 +274,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def told(batches):
         """Each row with its successor, which is the next row of its range or the range's guest."""
         def finish(block):
-            own = piece_digests([r[2].encode() for r in block] + [block[-1][3].encode()])
-            changed = [edited(r[2], r[3]) for r in block]
-            other = piece_digests([t.encode() for t in changed])
-            small = [Sketch(d, WIDTH) for d in own]
-            out = []
-            for i, (doc_id, _, text, _) in enumerate(block):
-                # The next row's digests are at hand where it is the next of the block.
-                after, its = (own[i + 1], small[i + 1]) if i + 1 == len(block) or block[i + 1][2] == block[i][3] else (None, None)
-                if after is None:
-                    after = piece_digests([block[i][3].encode()])[0]
-                    its = Sketch(after, WIDTH)
-                theirs = Sketch(other[i], WIDTH)
-                out.append((doc_id, len(text), hashlib.sha256(changed[i].encode()).hexdigest(), small[i].text(), theirs.text(),
-                            likeness(own[i], other[i], (small[i], theirs)), likeness(own[i], after, (small[i], its))))
+            m = len(block)
+            changed = [edited(text, after) for _, _, text, after in block]
+            # The next row's text is at hand where it is the next of the block.
+            alone = [i for i in range(m) if i + 1 == m or block[i + 1][2] != block[i][3]]
+            texts = [*(r[2] for r in block), *changed, *(block[i][3] for i in alone)]
+            follows = np.arange(1, m + 1)
+            follows[alone] = 2 * m + np.arange(len(alone))
+            digests = piece_digests([t.encode() for t in texts])
+            held = sketches(digests)
+            prints = held.chosen(np.arange(2 * m)).printed()
+            near = [likenesses(digests, held, np.arange(m), other).tolist() for other in (np.arange(m, 2 * m), follows)]
+            out = [(doc_id, len(text), hashlib.sha256(changed[i].encode()).hexdigest(), prints[i], prints[m + i], near[0][i], near[1][i])
+                   for i, (doc_id, _, text, _) in enumerate(block)]
             cols = list(zip(*out, strict=True))
             kinds = [ids, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)

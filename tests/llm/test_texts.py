@@ -153,6 +153,43 @@ def test_likeness_is_that_of_the_piece_sets():
         assert paragraph_sketch.likeness(a, b) == pytest.approx(len(set(a.tolist()) & set(b.tolist())) / union if union else 1)
 
 
+def test_near_follows_from_the_two_prints(docs):
+    got = paragraph_sketch.fingerprints(docs).collect()
+    print_of = {}
+    for r in got:
+        assert r["near_edited"] == paragraph_sketch.likeness_of(r["fingerprint"], r["edited_fingerprint"])
+        print_of.setdefault(r["doc_id"], r["fingerprint"])
+    ids = sorted(i for i in print_of if i is not None)
+    rows = {r["doc_id"]: r for r in got}
+    for one, two in zip(ids, ids[1:], strict=False):
+        if one not in (714, 715) and two != 715:
+            assert rows[one]["near_next"] == paragraph_sketch.likeness_of(print_of[one], print_of[two])
+
+
+def test_sketches_give_back_their_digests_and_fold():
+    rng = np.random.RandomState(5)
+    digests = [np.sort(rng.randint(1, 1 << 62, n).astype(np.uint64)) for n in (0, 1, 2, 7, 60, 61, 4000)]
+    held = paragraph_sketch.sketches(digests)
+    for d, text in zip(digests, held.printed(), strict=True):
+        assert paragraph_sketch.digests_of(text).tolist() == d.tolist()
+    narrow = np.full(len(digests), paragraph_sketch.WIDTH)
+    folded, straight = held.folded(narrow), paragraph_sketch._sketched(digests, narrow)
+    assert (folded.count == straight.count).all() and (folded.key == straight.key).all() and (folded.check == straight.check).all()
+    with pytest.raises(ValueError):
+        paragraph_sketch.digests_of(folded.chosen(np.array([6])).printed()[0])
+
+
+def test_larger_sketches_are_tried_where_the_first_fails(monkeypatch):
+    a, b = (np.sort(np.random.RandomState(i).randint(1, 1 << 62, n).astype(np.uint64)) for i, n in ((1, 3000), (2, 5)))
+    tried = []
+    peeled = paragraph_sketch.Sketches.peeled
+    monkeypatch.setattr(paragraph_sketch.Sketches, "peeled", lambda self: tried.append(self.widths.tolist()) or peeled(self))
+    held = paragraph_sketch.sketches([a, b])
+    tried.clear()
+    assert paragraph_sketch.likenesses([a, b], held, np.array([0]), np.array([1]))[0] == 0.0
+    assert len(tried) >= 2 and tried[1][0] > tried[0][0]
+
+
 def test_pieces_tile_and_repeat():
     texts = [b"", b"   ", b"a", b"same line here\nsame line here\nsame line here", "é\n😀 x".encode(), b"w" * 5000]
     digests = paragraph_sketch.piece_digests(texts)
