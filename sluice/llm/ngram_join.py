@@ -8,8 +8,11 @@
    prefix index holds those, and only keys that two classes or more share are kept.
 4. In each key's bucket the least and the greatest class id (hashes both) are hubs; every class is held against the two hubs
    it meets most often. So a group of thousands of near copies costs a few pairs a member and falls into few components.
-5. All further pairs of classes of different components that share a key are met, each at its first shared key.
-6. The shared prefix keys of a pair bound its overlap; pairs that pass are verified by vertical partitioning: the order is cut into
+5. All further pairs of classes of different components that share a key are met, each at its first shared key: first those of one class in 64 (by
+   hash) with all others, then of one in 16, one in four and the rest, with components between. So a group whose members link
+   with each other only now and then costs a few pairs a member too: those that have fallen into one component are not met.
+6. The shared prefix keys of a pair bound its overlap, and so do the sets' bit signatures: a shingle whose bit the other set lacks is not shared.
+   Pairs that pass both bounds are verified by vertical partitioning: the order is cut into
    fragments, each fragment counts the overlap of the two segments, and the sums over the fragments decide
    100 * intersection >= threshold * union.
 """
@@ -28,7 +31,9 @@ HEAVY_KEYS = 1 << 17  # most shingles in the broadcast summary: 2 MB at most, wh
 HEAVY_WINDOW = 1 << 22  # shingles of a task counted at a time
 HEAVY_LEAST = 2
 RECENT = 4
-FRAGMENTS = 8
+FRAGMENTS = 4
+SIGNATURE = 16  # words of 64 bits in a set's signature
+SLICES = (64, 16, 4, 1)  # one class in so many, by hash, is held against all others that haven't been
 _HEAVY_BASE = 1 << 62
 
 
@@ -80,6 +85,13 @@ def _class_id(found: np.ndarray) -> int:
     return int(B.mix((total * B.U64(3) + B.U64(len(found))) ^ B.mix(folded + B.U64(1)))[0].view(np.int64))
 
 
+def _signature(found: np.ndarray) -> np.ndarray:
+    """A bit for each member, by the hash's upper bits."""
+    bits = np.zeros(SIGNATURE * 64, np.uint8)
+    bits[(found >> B.U64(33)).astype(np.int64) % (SIGNATURE * 64)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def _sets(batch: pa.RecordBatch, k: int):
     """``(row, sorted unique shingles)`` of each row of a batch."""
     for lo, hi, data, bounds in B.text_chunks(batch.column("text")):
@@ -94,26 +106,29 @@ def _ordered(heavy: np.ndarray):
 
 
 def _prefixes(docs: DataFrame, k: int, pct: int, heavy: np.ndarray) -> DataFrame:
-    """``(doc_id, tag, cid, n, prefix)`` of every row; an empty set has no prefix."""
+    """``(doc_id, tag, cid, n, prefix, bits)`` of every row; an empty set has no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(_ordered(heavy))
 
     def run(batches):
         values, rank = shared.value
         for batch in batches:
-            cids, sizes, prefixes = [], [], []
+            cids, sizes, prefixes, signatures = [], [], [], [np.zeros(0, np.int64)]
             for _, found in _sets(batch, k):
                 n = len(found)
                 cids.append(_class_id(found))
                 sizes.append(n)
                 prefixes.append(_keys(found, values, rank)[: n - -(-pct * n // 100) + 1] if n else found.astype(np.int64))
+                signatures.append(_signature(found))
             ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tag"), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "tag", "cid", "n", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * SIGNATURE), pa.array(np.concatenate(signatures)))],
+                names=["doc_id", "tag", "cid", "n", "prefix", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "tag", "text").mapInArrow(run, f"doc_id {kind}, tag long, cid long, n long, prefix array<long>")
+    return docs.select("doc_id", "tag", "text").mapInArrow(run, f"doc_id {kind}, tag long, cid long, n long, prefix array<long>, bits array<long>")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, k: int, heavy: np.ndarray) -> DataFrame:
@@ -177,32 +192,42 @@ def _strong(pairs: DataFrame, known: DataFrame, pct: int) -> DataFrame:
     All shared members up to the smaller last prefix key are shared prefix keys. Past it, the class with that key has
     ``ceil(t n) - 1`` members left, and the other one no more than past the last shared key.
     """
-    info = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "last", "keys", "places")])
+    info = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "last", "keys", "places", "bits")])
     met = pairs.join(info("a"), "a").join(info("b"), "b").withColumn("both", F.array_intersect("keys_a", "keys_b"))
     place = lambda x: F.element_at(f"places_{x}", F.array_position(f"keys_{x}", F.array_max("both")).cast("int"))
     past_prefix = lambda x: -F.floor(-F.col(f"n_{x}") * pct / 100) - 1
     past_shared = lambda x: F.col(f"n_{x}") - place(x) - 1
     first = F.col("last_a") <= F.col("last_b")
     most = F.size("both") + F.least(F.when(first, past_prefix("a")).otherwise(past_prefix("b")), past_shared("a"), past_shared("b"))
+    # Members of one set whose bit the other lacks: as many at least as there are such bits.
+    lone = lambda x, y: sum((F.bit_count(F.col(f"bits_{x}")[i].bitwiseAND(F.bitwise_not(F.col(f"bits_{y}")[i]))) for i in range(SIGNATURE)), F.lit(0))
+    most = F.least(most, F.col("n_a") - lone("a", "b"), F.col("n_b") - lone("b", "a"))
     return met.filter(F.size("both") > 0).filter(_similar(most, F.col("n_a"), F.col("n_b"), pct)).select("a", "b", "n_a", "n_b")
 
 
-def _met(known: DataFrame, roots: DataFrame, pct: int) -> DataFrame:
-    """``(a, b)`` of all pairs of different roots with a shared key, sizes within the bound, and enough members from there on.
+def _met(known: DataFrame, roots: DataFrame, pct: int, turn: int) -> DataFrame:
+    """``(a, b)`` of all pairs of different roots with a shared key, sizes within the bound, and enough members from there on, that have
+    one class of this turn (see ``SLICES``) and none of an earlier one.
 
     A pair is met where none of the RECENT keys before is shared, which is its first shared key, and seldom once more.
     """
-    rows = _with_roots(known, roots).select("cid", "n", "root", "keys", "places", F.posexplode("keys").alias("i", "key")).select(
-        "cid", "n", "root", "key", F.element_at("places", F.col("i") + 1).alias("place"),
+    hashed = F.xxhash64("cid", F.lit(3))
+    slot = F.lit(len(SLICES) - 1)
+    for i in reversed(range(len(SLICES) - 1)):
+        slot = F.when(F.pmod(hashed, F.lit(SLICES[i])) == 0, i).otherwise(slot)
+    left = _with_roots(known, roots).withColumn("slot", slot).filter(F.col("slot") >= turn)
+    rows = left.select("cid", "n", "root", "slot", "keys", "places", F.posexplode("keys").alias("i", "key")).select(
+        "cid", "n", "root", "slot", "key", F.element_at("places", F.col("i") + 1).alias("place"),
         F.slice("keys", F.greatest(F.col("i") - RECENT + 1, F.lit(1)), F.least(F.col("i"), F.lit(RECENT))).alias("recent"))
-    spread = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    spread = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("slot").alias("slot")).filter(f"lo < hi AND slot = {turn}").select("key")
     rows = rows.join(spread, "key")
-    one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "root", "place", "recent")]) for x in "ab")
+    one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "root", "slot", "place", "recent")]) for x in "ab")
     ahead = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
-    return (one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    later = (F.col("slot_b") > turn) | (F.col("a") < F.col("b"))
+    return (one.filter(F.col("slot_a") == turn).join(two, (one["key"] == two["key"]) & later & (F.col("root_a") != F.col("root_b"))
                      & (F.col("n_a") * 100 >= F.col("n_b") * pct) & (F.col("n_b") * 100 >= F.col("n_a") * pct)
                      & _similar(ahead, F.col("n_a"), F.col("n_b"), pct) & ~F.arrays_overlap("recent_a", "recent_b"))
-            .select("a", "b").distinct())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def _with_roots(known: DataFrame, roots: DataFrame) -> DataFrame:
@@ -222,6 +247,8 @@ def _hubs_of_others(known: DataFrame, roots: DataFrame) -> DataFrame:
 def _links(docs: DataFrame, pairs: DataFrame, known: DataFrame, k: int, pct: int, heavy: np.ndarray, base: str, name: str) -> DataFrame:
     """The links among ``pairs(a, b)``: those that pass the bound are verified on their whole sets."""
     strong = written(_strong(pairs, known, pct), base, f"{name}-pairs")
+    if strong.isEmpty():
+        return strong.select(F.col("a").alias("u"), F.col("b").alias("v"))
     wanted = strong.select(F.col("a").alias("cid")).unionByName(strong.select(F.col("b").alias("cid"))).distinct()
     wanted = written(wanted.join(known.select("cid", "rep"), "cid"), base, f"{name}-wanted")
     segments = written(_segments(docs, wanted, k, heavy), base, f"{name}-segments")
@@ -233,7 +260,7 @@ def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     base = workdir(docs.sparkSession, "ngram-join")
     heavy = heavy_shingles(docs, k)
     rows = written(_prefixes(docs, k, pct, heavy), base, "prefixes")
-    classes = written(rows.filter("n > 0").groupBy("cid", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix")),
+    classes = written(rows.filter("n > 0").groupBy("cid", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits")),
                       base, "classes")
     index = classes.select("cid", F.posexplode("prefix").alias("place", "key")).repartition("key")
     # The place takes part, so that both uses of the index read the same shuffle.
@@ -244,7 +271,7 @@ def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     other = lambda c: F.mode(F.when(F.col(c) != F.col("cid"), F.col(c)), deterministic=True)
     known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"), other("lo").alias("low"), other("hi").alias("high"))
              .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"), "low", "high")
-             .join(classes.select("cid", "n", F.element_at("prefix", -1).alias("last"), "rep"), "cid"))
+             .join(classes.select("cid", "n", F.element_at("prefix", -1).alias("last"), "rep", "bits"), "cid"))
     known = written(known, base, "known")
     hubs = known.select("cid", F.explode(F.array("low", "high")).alias("hub")).filter("hub IS NOT NULL")
     tried = hubs.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
@@ -252,8 +279,11 @@ def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     roots = components(links, base, "roots")
     links = links.unionByName(_links(docs, _hubs_of_others(known, roots), known, k, pct, heavy, base, "next"))
     roots = components(links, base, "roots-next")
-    links = links.unionByName(_links(docs, _met(known, roots, pct), known, k, pct, heavy, base, "far"))
-    roots = components(links, base, "roots-all")
+    for turn in range(len(SLICES)):
+        more = _links(docs, _met(known, roots, pct, turn), known, k, pct, heavy, base, f"far{turn}")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = components(links, base, f"roots-far{turn}")
 
     of_class = classes.select("cid", "n", "rep").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))

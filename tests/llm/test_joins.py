@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -139,3 +140,39 @@ def test_url_lists_match_a_scan_of_all_entries(spark):
     assert Counter(tuple(r) for r in got) == want
     none = spark.createDataFrame([], "page_id long, url string, fetched date")
     assert filter_urls(none, spark.createDataFrame([], "list string, pattern string, action string, since date")).count() == 0
+
+
+def test_a_group_that_mostly_does_not_link_costs_a_few_pairs_a_member(spark, monkeypatch):
+    """600 near copies, most pairs just under the bound: links as by brute force, few pairs verified."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    base = [rng.choice(words) for _ in range(160)]
+    rows = []
+    for i in range(600):
+        text = list(base)
+        for at in rng.sample(range(160), rng.choice([2, 3, 3, 4])):
+            text[at] = rng.choice(words)
+        rows.append((i, " ".join(text), "en", "s"))
+    verified = []
+    inner = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, segments, pct: verified.append(pairs.count()) or inner(pairs, segments, pct))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(frame(spark, rows), k=5, pct=80).collect()}
+    sets = [{tuple(t.split()[j: j + 5]) for j in range(156)} for _, t, *_ in rows]
+    root = list(range(600))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    n_links = 0
+    for a in range(600):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                n_links += 1
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert got == {i: find(i) for i in range(600)}
+    assert n_links < 0.25 * 600 * 599 / 2 and sum(verified) < 20 * 600
