@@ -6,10 +6,10 @@
    common passages out of the prefixes.
 3. Two sets of Jaccard similarity t or more share a shingle among their first n - ceil(t n) + 1 in that order. The
    prefix index holds those, and only keys that two classes or more share are kept.
-4. In each key's bucket the least and the greatest class id (hashes both) are hubs; every class is held against the two hubs
-   it meets most often. So a group of thousands of near copies costs a few pairs a member and falls into few components.
+4. In each key's bucket the classes least by a few keyed hashes are leaders, nearly the same ones in all buckets of a group; every class is held against
+   those it meets. So a group of thousands of near copies costs a few pairs a member and falls into few components.
 5. All further pairs of classes of different components that share a key are met, each at its first shared key: first those of one class in 64 (by
-   hash) with all others, then of one in 16, one in four and the rest, with components between. So a group whose members link
+   hash) with all others, then of one in eight and the rest, with components between. So a group whose members link
    with each other only now and then costs a few pairs a member too: those that have fallen into one component are not met.
 6. The shared prefix keys of a pair bound its overlap, and so do the sets' bit signatures: a shingle whose bit the other set lacks is not shared.
    Pairs that pass both bounds are verified by vertical partitioning: the order is cut into
@@ -33,7 +33,8 @@ HEAVY_LEAST = 2
 RECENT = 4
 FRAGMENTS = 4
 SIGNATURE = 16  # words of 64 bits in a set's signature
-SLICES = (64, 16, 4, 1)  # one class in so many, by hash, is held against all others that haven't been
+LEADERS = 4  # of each key's bucket
+SLICES = (64, 8, 1)  # one class in so many, by hash, is held against all others that haven't been
 _HEAVY_BASE = 1 << 62
 
 
@@ -234,14 +235,23 @@ def _with_roots(known: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
-def _hubs_of_others(known: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(a, b)``: every class with the hubs of other components that it meets most often; hubs are drawn anew in each key's bucket."""
-    rows = _with_roots(known, roots).select("cid", "root", F.explode("keys").alias("key"))
-    drawn = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid", "root")).alias(f"h{salt}") for salt in (1, 2)]
-    hubs = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *drawn).filter("lo < hi").select("key", "h1", "h2")
-    other = lambda h: F.mode(F.when(F.col(f"{h}.root") != F.col("root"), F.col(f"{h}.cid")), deterministic=True).alias(h)
-    met = rows.join(hubs, "key").groupBy("cid").agg(other("h1"), other("h2")).select("cid", F.explode(F.array("h1", "h2")).alias("hub"))
-    return met.filter("hub IS NOT NULL").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+def _led(known: DataFrame) -> DataFrame:
+    """``(a, b)``: every class with the leaders of the buckets that it is in."""
+    rows = known.select("cid", F.explode("keys").alias("key"))
+    drawn = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid")).alias(f"h{salt}") for salt in range(1, LEADERS + 1)]
+    leaders = rows.groupBy("key").agg(*drawn).select("key", F.array_distinct(F.array(*[F.col(f"h{salt}.cid") for salt in range(1, LEADERS + 1)])).alias("leaders"))
+    met = rows.join(leaders, "key").select("cid", F.explode("leaders").alias("leader")).filter("cid <> leader")
+    return met.select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
+
+
+def _joined(links: DataFrame, roots: DataFrame, base: str, name: str) -> DataFrame:
+    """``roots`` after more links: components of the few roots that they connect, put in where those were."""
+    of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    edges = (links.join(of("u"), "u", "left").join(of("v"), "v", "left")
+             .select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v")).filter("u <> v").distinct())
+    moved = components(edges, base, name)
+    new = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left").select("node", F.coalesce("far", "root").alias("root"))
+    return written(new.unionByName(moved.join(roots.select("node"), "node", "left_anti").select("node", "root")), base, f"{name}-all")
 
 
 def _links(docs: DataFrame, pairs: DataFrame, known: DataFrame, k: int, pct: int, heavy: np.ndarray, base: str, name: str) -> DataFrame:
@@ -265,25 +275,17 @@ def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     index = classes.select("cid", F.posexplode("prefix").alias("place", "key")).repartition("key")
     # The place takes part, so that both uses of the index read the same shuffle.
     several = index.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"), F.max("place").alias("_far")).filter("lo < hi AND _far >= 0")
-    # Keys of one class alone are dropped; of the others the least and the greatest class are the hubs.
-    shared = written(index.join(several.select("key", "lo", "hi"), "key"), base, "shared")
-    # Of every class its shared keys in order, with their places in the whole set, and the hubs it meets most often.
-    other = lambda c: F.mode(F.when(F.col(c) != F.col("cid"), F.col(c)), deterministic=True)
-    known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"), other("lo").alias("low"), other("hi").alias("high"))
-             .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"), "low", "high")
+    shared = index.join(several.select("key"), "key")  # keys of one class alone are dropped
+    # Of every class its shared keys in order, with their places in the whole set.
+    known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"))
+             .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"))
              .join(classes.select("cid", "n", F.element_at("prefix", -1).alias("last"), "rep", "bits"), "cid"))
     known = written(known, base, "known")
-    hubs = known.select("cid", F.explode(F.array("low", "high")).alias("hub")).filter("hub IS NOT NULL")
-    tried = hubs.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-    links = _links(docs, tried, known, k, pct, heavy, base, "near")
-    roots = components(links, base, "roots")
-    links = links.unionByName(_links(docs, _hubs_of_others(known, roots), known, k, pct, heavy, base, "next"))
-    roots = components(links, base, "roots-next")
+    roots = components(_links(docs, _led(known), known, k, pct, heavy, base, "led"), base, "roots")
     for turn in range(len(SLICES)):
-        more = _links(docs, _met(known, roots, pct, turn), known, k, pct, heavy, base, f"far{turn}")
+        more = _links(docs, _met(known, roots, pct, turn), known, k, pct, heavy, base, f"met{turn}")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = components(links, base, f"roots-far{turn}")
+            roots = _joined(more, roots, base, f"roots{turn}")
 
     of_class = classes.select("cid", "n", "rep").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
