@@ -18,8 +18,10 @@ from sluice.context import FIXED_CONTEXT, RunContext, basename, new_workdir, sca
 from sluice.functions.dates import matched_pattern, parse_first
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns
 from sluice.operators.columns import sanitize_columns
+from sluice.operators.datevote import vote_dates
 from sluice.operators.dependencies import inclusion_dependencies
 from sluice.operators.history import reconcile
+from sluice.operators.movement import entity_stays, transitions
 from sluice.operators.profile import entity_profile, profile_table, time_gaps
 from sluice.operators.quality import (Expectation, check_result, expect, expectation_report,
                                       key_overlap, quarantine, row_counts, sanity_check, split_dates)
@@ -729,6 +731,42 @@ def normalize_dates_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.withColumn("reasons", F.array_join("reasons", ","))
 
 
+# The date patterns of reports whose day and month may stand either way.
+VOTE_PATTERNS = ["yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy"]
+
+
+def render_reports(orders: DataFrame) -> DataFrame:
+    """Order dates as five sources write them: day first, month first, both mixed, day first beside ISO, and so that nothing tells."""
+    d = F.col("o_orderdate")
+    iso, day_first, month_first = (F.date_format(d, p) for p in VOTE_PATTERNS)
+    src = F.substring("o_orderpriority", 1, 1)
+    even = F.col("o_orderkey") % 2 == 0
+    text = (F.when(src == "1", day_first).when(src == "2", month_first).when(src == "3", F.when(even, day_first).otherwise(month_first))
+            .when(src == "4", F.when(even, iso).otherwise(day_first))
+            .otherwise(F.when(F.dayofmonth(d) <= 12, day_first).otherwise(F.concat(F.lit("day "), iso))))
+    return orders.select("o_orderkey", F.col("o_orderpriority").alias("report"), text.alias("date_text"))
+
+
+@register("date_votes", """
+WITH t AS (SELECT o_orderkey, o_orderpriority AS report, CASE substr(o_orderpriority, 1, 1)
+    WHEN '1' THEN strftime(o_orderdate, '%d/%m/%Y') WHEN '2' THEN strftime(o_orderdate, '%m/%d/%Y')
+    WHEN '3' THEN CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%m/%d/%Y') END
+    WHEN '4' THEN CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(o_orderdate, '%d/%m/%Y') END
+    ELSE CASE WHEN day(o_orderdate) <= 12 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE 'day ' || strftime(o_orderdate, '%Y-%m-%d') END END AS date_text FROM orders),
+r AS (SELECT *, try_strptime(date_text, '%Y-%m-%d') AS i, try_strptime(date_text, '%d/%m/%Y') AS d, try_strptime(date_text, '%m/%d/%Y') AS m FROM t),
+v AS (SELECT report, bool_or(d <> m) AS rivals, bool_or(d IS NOT NULL AND m IS NULL) AS d_more, bool_or(m IS NOT NULL AND d IS NULL) AS m_more FROM r GROUP BY report),
+c AS (SELECT r.*, CASE WHEN rivals AND m_more AND NOT d_more THEN NULL ELSE d END AS dd, CASE WHEN rivals AND d_more AND NOT m_more THEN NULL ELSE m END AS mm
+  FROM r JOIN v ON r.report IS NOT DISTINCT FROM v.report)
+SELECT o_orderkey, report, date_text, CASE WHEN dd <> mm THEN NULL ELSE coalesce(i, dd, mm) END AS parsed_date,
+  CASE WHEN dd <> mm THEN 'ambiguous_date_text' WHEN coalesce(i, dd, mm) IS NULL THEN 'unparsed_date_text' ELSE '' END AS reason FROM c
+""")
+def date_votes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports whose layout each source's own dates settle; what stays open is set aside with its reason, not guessed."""
+    valid, rejected = vote_dates(render_reports(table(spark, sf_dir, "orders")), "report", "date_text", VOTE_PATTERNS)
+    return valid.withColumn("reason", F.lit("")).unionByName(
+        rejected.withColumn("parsed_date", F.lit(None).cast("timestamp_ntz")).withColumn("reason", F.array_join("reasons", ",")).drop("reasons"))
+
+
 # -------------------------------------------------------------- history ---
 
 def _events_with(ts_shift: str, value: str) -> str:
@@ -1042,6 +1080,36 @@ def entity_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity_profile(table(spark, sf_dir, "events"), "user_id", "ts", "event_type")
 
 
+# Errors have no place here, which is a place of its own.
+_STAYS = """
+WITH e AS (SELECT user_id, ts, nullif(event_type, 'error') AS place, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+f AS (SELECT *, row_number() OVER w AS rn, lag(place) OVER w AS prev FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, place NULLS FIRST)),
+g AS (SELECT *, sum(CASE WHEN rn > 1 AND place IS NOT DISTINCT FROM prev THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY rn) AS stay_no FROM f),
+s AS (SELECT user_id, CAST(stay_no AS BIGINT) AS stay_no, max(place) AS place, CAST(sum(n) AS BIGINT) AS n_events, min(ts) AS arrived, max(ts) AS last_seen
+  FROM g GROUP BY user_id, stay_no),
+stays AS (SELECT *, lead(place) OVER w AS next_place, epoch_us(last_seen) - epoch_us(arrived) AS stay_us,
+  lead(epoch_us(arrived)) OVER w - epoch_us(arrived) AS dwell_us FROM s WINDOW w AS (PARTITION BY user_id ORDER BY stay_no))
+"""
+
+
+def _stays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("place", F.nullif("event_type", F.lit("error")))
+    return entity_stays(events, "user_id", "ts", "place")
+
+
+@register("entity_stays", _STAYS + "SELECT * FROM stays")
+def entity_stays_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: every stay at one kind of event, with its length and the time until the next."""
+    return _stays(spark, sf_dir)
+
+
+@register("entity_transitions", _STAYS + """SELECT place, next_place, count(*) AS n_moves, CAST(sum(dwell_us) AS BIGINT) AS dwell_us,
+  min(dwell_us) AS min_dwell_us, max(dwell_us) AS max_dwell_us FROM stays WHERE dwell_us IS NOT NULL GROUP BY ALL""")
+def entity_transitions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often and how fast users move from one kind of event to another."""
+    return transitions(_stays(spark, sf_dir))
+
+
 def _profile_sql() -> str:
     kinds = {"event_id": "int", "ts": "ts", "user_id": "int", "event_type": "str", "value": "num", "props": "str"}
     parts = []
