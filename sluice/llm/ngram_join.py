@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
@@ -193,16 +193,19 @@ def _strong(pairs: DataFrame, known: DataFrame, pct: int) -> DataFrame:
     All shared members up to the smaller last prefix key are shared prefix keys. Past it, the class with that key has
     ``ceil(t n) - 1`` members left, and the other one no more than past the last shared key.
     """
-    info = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "n", "last", "keys", "places", "bits")])
-    met = pairs.join(info("a"), "a").join(info("b"), "b").withColumn("both", F.array_intersect("keys_a", "keys_b"))
+    info = lambda x, *cols: known.select(*[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", *cols)])
+    # Members of one set whose bit the other lacks: as many at least as there are such bits.
+    lone = lambda x, y: sum((F.bit_count(F.col(f"bits_{x}")[i].bitwiseAND(F.bitwise_not(F.col(f"bits_{y}")[i]))) for i in range(SIGNATURE)), F.lit(0))
+    most = F.least(F.col("n_a") - lone("a", "b"), F.col("n_b") - lone("b", "a"))
+    # Signatures are a quarter of what the keys are, and leave few pairs: keys travel for those alone.
+    near = (pairs.join(info("a", "n", "bits"), "a").join(info("b", "n", "bits"), "b")
+            .filter(_similar(most, F.col("n_a"), F.col("n_b"), pct)).select("a", "b", "n_a", "n_b"))
+    met = near.join(info("a", "last", "keys", "places"), "a").join(info("b", "last", "keys", "places"), "b").withColumn("both", F.array_intersect("keys_a", "keys_b"))
     place = lambda x: F.element_at(f"places_{x}", F.array_position(f"keys_{x}", F.array_max("both")).cast("int"))
     past_prefix = lambda x: -F.floor(-F.col(f"n_{x}") * pct / 100) - 1
     past_shared = lambda x: F.col(f"n_{x}") - place(x) - 1
     first = F.col("last_a") <= F.col("last_b")
     most = F.size("both") + F.least(F.when(first, past_prefix("a")).otherwise(past_prefix("b")), past_shared("a"), past_shared("b"))
-    # Members of one set whose bit the other lacks: as many at least as there are such bits.
-    lone = lambda x, y: sum((F.bit_count(F.col(f"bits_{x}")[i].bitwiseAND(F.bitwise_not(F.col(f"bits_{y}")[i]))) for i in range(SIGNATURE)), F.lit(0))
-    most = F.least(most, F.col("n_a") - lone("a", "b"), F.col("n_b") - lone("b", "a"))
     return met.filter(F.size("both") > 0).filter(_similar(most, F.col("n_a"), F.col("n_b"), pct)).select("a", "b", "n_a", "n_b")
 
 
@@ -235,12 +238,14 @@ def _with_roots(known: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
-def _led(known: DataFrame) -> DataFrame:
-    """``(a, b)``: every class with the leaders of the buckets that it is in."""
-    rows = known.select("cid", F.explode("keys").alias("key"))
-    drawn = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid")).alias(f"h{salt}") for salt in range(1, LEADERS + 1)]
-    leaders = rows.groupBy("key").agg(*drawn).select("key", F.array_distinct(F.array(*[F.col(f"h{salt}.cid") for salt in range(1, LEADERS + 1)])).alias("leaders"))
-    met = rows.join(leaders, "key").select("cid", F.explode("leaders").alias("leader")).filter("cid <> leader")
+def _led(known: DataFrame, pct: int) -> DataFrame:
+    """``(a, b)``: every class with those leaders of the buckets that it is in whose size is within the bound."""
+    rows = known.select("cid", "n", F.explode("keys").alias("key"))
+    drawn = [F.min(F.struct(F.xxhash64("cid", F.lit(salt)).alias("by"), "cid", "n")).alias(f"h{salt}") for salt in range(1, LEADERS + 1)]
+    of = lambda salt: F.struct(F.col(f"h{salt}.cid").alias("leader"), F.col(f"h{salt}.n").alias("size"))
+    leaders = rows.groupBy("key").agg(*drawn).select("key", F.array_distinct(F.array(*[of(salt) for salt in range(1, LEADERS + 1)])).alias("leaders"))
+    met = rows.join(leaders, "key").select("cid", "n", F.inline("leaders")).filter("cid <> leader").filter(
+        (F.col("n") * 100 >= F.col("size") * pct) & (F.col("size") * 100 >= F.col("n") * pct))
     return met.select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
 
 
@@ -272,16 +277,16 @@ def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     rows = written(_prefixes(docs, k, pct, heavy), base, "prefixes")
     classes = written(rows.filter("n > 0").groupBy("cid", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits")),
                       base, "classes")
-    index = classes.select("cid", F.posexplode("prefix").alias("place", "key")).repartition("key")
-    # The place takes part, so that both uses of the index read the same shuffle.
-    several = index.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"), F.max("place").alias("_far")).filter("lo < hi AND _far >= 0")
-    shared = index.join(several.select("key"), "key")  # keys of one class alone are dropped
+    # One shuffle of the index: whether a key is of one class alone is seen where its rows lie, which spill if they are many.
+    of_key = Window.partitionBy("key")
+    shared = (classes.select("cid", F.posexplode("prefix").alias("place", "key"))
+              .withColumn("lo", F.min("cid").over(of_key)).withColumn("hi", F.max("cid").over(of_key)).filter("lo < hi").drop("lo", "hi"))
     # Of every class its shared keys in order, with their places in the whole set.
     known = (shared.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "place"))).alias("own"))
              .select("cid", F.col("own.key").alias("keys"), F.col("own.place").alias("places"))
              .join(classes.select("cid", "n", F.element_at("prefix", -1).alias("last"), "rep", "bits"), "cid"))
     known = written(known, base, "known")
-    roots = components(_links(docs, _led(known), known, k, pct, heavy, base, "led"), base, "roots")
+    roots = components(_links(docs, _led(known, pct), known, k, pct, heavy, base, "led"), base, "roots")
     for turn in range(len(SLICES)):
         more = _links(docs, _met(known, roots, pct, turn), known, k, pct, heavy, base, f"met{turn}")
         if not more.isEmpty():
