@@ -28,13 +28,14 @@ def segment_of(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """``(list, pattern, valid_from, valid_to)`` of the log ``entries(list, pattern, action, since)``; an open end is null.
 
-    Of several entries of one list and pattern on one date the greatest action counts (``remove`` over ``add``); entries with a
+    Patterns are compared in lower case. Of several entries of one list and pattern on one date the greatest action counts (``remove`` over ``add``); entries with a
     null anywhere are passed over.
     """
-    dated = entries.dropna().groupBy("list", "pattern", "since").agg(F.max("action").alias("action"))
+    lower = entries.dropna().withColumn("pattern", F.lower("pattern"))  # before the window: case doesn't keep entries apart
+    dated = lower.groupBy("list", "pattern", "since").agg(F.max("action").alias("action"))
     following = F.lead("since").over(Window.partitionBy("list", "pattern").orderBy("since"))
     return (dated.withColumn("valid_to", following).filter(F.col("action") == "add")
-            .select("list", F.lower("pattern").alias("pattern"), F.col("since").alias("valid_from"), "valid_to"))
+            .select("list", "pattern", F.col("since").alias("valid_from"), "valid_to"))
 
 
 def _keys() -> Column:

@@ -111,6 +111,15 @@ def test_substrings_of_no_rows(empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_url_list_entries_of_any_case_are_one_log(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    entries = [("ads", "Net.org", "add", day(1)), ("ads", "net.org", "remove", day(5)), ("ads", "NET.org", "add", day(9))]
+    pages = [(i, "http://a.net.org/x", day(d)) for i, d in enumerate((2, 6, 10))]
+    out = filter_urls(spark.createDataFrame(pages, "page_id long, url string, fetched date"),
+                      spark.createDataFrame(entries, "list string, pattern string, action string, since date"))
+    assert {r["page_id"]: (r["blocked"], r["n_entries"]) for r in out.collect()} == {0: (True, 1), 1: (False, 0), 2: (True, 1)}
+
+
 def test_url_lists_match_a_scan_of_all_entries(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
     entries = [("ads", "example.com", "add", day(3)), ("ads", "example.com", "remove", day(9)), ("ads", "example.com", "add", day(20)),
