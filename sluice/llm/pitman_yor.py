@@ -1,14 +1,17 @@
 """Language-model scores from a hierarchical Pitman-Yor model with sampled seating.
 
-Two levels of restaurants: one for each context (the preceding word, hashed to 65,536 restaurants), all sharing one root restaurant over
+Two levels of restaurants: one for each context (the preceding word, by its whole 64-bit hash), all sharing one root restaurant over
 words, whose base is uniform over the vocabulary and one unknown word. The customers of a context are its training tokens, and
 its tables are the customers of the root. Seating is sampled by Gibbs sweeps: a dish's customers are seated again one after the
 other (where there are very many, by blocks of an eighth of those seated) given all other tables, whose totals are exchanged between
 sweeps. Predictive probabilities are averaged over the kept sweeps, and a text's score is the sum of their log10.
 
-Tokens are shuffled once, packed by word hash, and every sweep runs over those shuffle files; a task seats all dishes of
-its words. Words with more than a thousandth of all tokens (a thousand at most) are dealt out by word and context instead, their
-totals summed with the rest. What reaches the driver is the totals: 65,536 numbers and those words, whatever the corpus.
+Pairs of context and word are counted per chunk of texts and shuffled by word hash to buckets, which seat all dishes of their words.
+A bucket's seating is a row of a written table, and each sweep is one pass over it, joined with the totals of the contexts that the
+bucket meets: a sum per context over the buckets' own totals, so that a context is one row a bucket however many tokens it has.
+Words with more than a thousandth of all tokens (a thousand at most) are dealt out by word and context instead, their
+totals summed with the rest; nothing else reaches the driver. Random numbers are hashes of word, context and sweep: seatings
+are the same whatever the number of buckets, partitions or attempts.
 """
 from __future__ import annotations
 
@@ -18,13 +21,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
 from sluice.llm.shared import columns, workdir, written
 
-CONTEXTS = 1 << 16
 SWEEPS = 3
 BURN_IN = 1
 STRENGTH = (1.0, 4.0)  # root, contexts
@@ -50,7 +52,7 @@ def _tokens(batch_text, held: np.ndarray):
         before = np.empty_like(words)
         before[1:] = words[:-1]
         before[np.append(0, ends[:-1] + 1)] = START
-        yield words, (B.mix(before) >> B.U64(48)).astype(np.uint16), np.repeat(np.arange(n), np.diff(first) + 1), held[lo:hi], lo
+        yield words, before, np.repeat(np.arange(n), np.diff(first) + 1), held[lo:hi], lo
 
 
 def heavy_words(docs: DataFrame) -> np.ndarray:
@@ -83,12 +85,12 @@ def heavy_words(docs: DataFrame) -> np.ndarray:
     return np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
 
 
-def _packed(docs: DataFrame, heavy, n: int) -> DataFrame:
-    """``(bucket, chunk, n_train, blob, ids, n_tokens)``: a row per chunk of documents and bucket of words, and one with the chunk's ids.
+def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
+    """``(bucket, chunk, n_train, blob, ids, n_tokens)``: a row per chunk of documents and bucket of words. A blob holds the pairs of word and
+    context of the chunk with their training tokens; with ``tokens`` also the documents of all tokens, and each chunk has a row with its ids.
 
     Documents of a chunk are numbered, training documents first. A chunk's name is its task and number, the same in every attempt.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["bucket", "chunk", "n_train", "blob", "ids", "n_tokens"]
 
     def run(batches):
@@ -102,197 +104,255 @@ def _packed(docs: DataFrame, heavy, n: int) -> DataFrame:
             rank[place] = np.arange(len(held))
             words, ctx, doc = (np.concatenate([p[i] for p in parts]) for i in range(3))
             doc = rank[doc]
-            ids = pa.concat_arrays(ids).take(pa.array(place))
-            n_tokens = np.bincount(doc, minlength=len(held))
+            chunk, n_train = own << 32 | number, int((~held).sum())
             unique, at = np.unique(words, return_inverse=True)
-            bucket = (B.mix(unique) % B.U64(n)).astype(np.int64)[at]
+            before, of = np.unique(ctx, return_inverse=True)
+            key = at * len(before) + of
+            order = np.argsort(key, kind="stable")
+            key, doc = key[order], doc[order]
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            total = np.diff(np.append(starts, len(key)))
+            train = np.add.reduceat((doc < n_train).astype(np.int64), starts)
+            word, context = key[starts] // len(before), key[starts] % len(before)
+            bucket = (B.mix(unique) % B.U64(n)).astype(np.int64)[word]
             if len(dealt):
-                wide = np.isin(unique, dealt)[at]
-                bucket[wide] = (B.mix(words[wide] ^ B.mix(ctx[wide].astype(B.U64) + START)) % B.U64(n)).astype(np.int64)
-            order = np.argsort(bucket << 24 | at, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(n + 1))
-            chunk, n_train = own << 32 | number, int((~held).sum())
-            blobs, of = [], []
+                wide = np.isin(unique, dealt)[word]
+                bucket[wide] = (pair_keys(unique[word[wide]], before[context[wide]], 0) % B.U64(n)).astype(np.int64)
+            by_bucket = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[by_bucket], np.arange(n + 1))
+            token_bucket = np.repeat(bucket, total)
+            doc = doc[np.argsort(token_bucket, kind="stable")].astype(np.uint16) if tokens else doc[:0]
+            token_cuts = np.append(0, np.cumsum(np.bincount(token_bucket, minlength=n))) if tokens else np.zeros(n + 1, np.int64)
+            rows = []
             for b in np.flatnonzero(np.diff(cuts)):
-                some = order[cuts[b]: cuts[b + 1]]
-                w, counts = np.unique(at[some], return_counts=True)
-                blobs.append(np.array([len(w), len(some)], np.uint32).tobytes() + unique[w].tobytes() + counts.astype(np.uint32).tobytes()
-                             + ctx[some].tobytes() + doc[some].astype(np.uint16).tobytes())
-                of.append(int(b))
-            none = len(of)
-            return pa.RecordBatch.from_arrays([
-                pa.array([chunk % n, *of], pa.int32()), pa.array([chunk] * (none + 1), pa.int64()), pa.array([n_train] * (none + 1), pa.int32()),
-                pa.array([None, *blobs], pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(ids)] + [None] * none if none else [0, len(ids)], pa.int32()), ids) if not none
-                else pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.nulls(none, pa.list_(ids.type))]),
-                pa.array([n_tokens.tolist()] + [None] * none, pa.list_(pa.int64()))], names=names)
-
-        parts, ids, helds, tokens, rows = [], [], [], 0, 0
+                some = by_bucket[cuts[b]: cuts[b + 1]]
+                w, wi = np.unique(word[some], return_inverse=True)
+                c, ci = np.unique(context[some], return_inverse=True)
+                docs_of = doc[token_cuts[b]: token_cuts[b + 1]]
+                counts = total if tokens else train
+                blob = b"".join([np.array([len(w), len(c), len(some), len(docs_of)], np.uint32).tobytes(), unique[w].tobytes(), before[c].tobytes(),
+                                 wi.astype(np.uint32).tobytes(), ci.astype(np.uint32).tobytes(), counts[some].astype(np.uint32).tobytes(), docs_of.tobytes()])
+                rows.append((int(b), chunk, n_train, blob, None, None))
+            if tokens:
+                n_tokens = np.bincount(np.concatenate([p[2] for p in parts]), minlength=len(held))[place]
+                rows.append((chunk % n, chunk, n_train, None, pa.concat_arrays(ids).take(pa.array(place)).to_pylist(), n_tokens.tolist()))
+            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+        parts, ids, helds, size, rows = [], [], [], 0, 0
         for batch in batches:
             flags = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             for words, ctx, doc, held, lo in _tokens(batch.column("text"), flags):
-                if rows and (tokens + len(words) > CHUNK_TOKENS or rows + len(held) > CHUNK_DOCS):
+                if rows and (size + len(words) > CHUNK_TOKENS or rows + len(held) > CHUNK_DOCS):
                     yield flush(parts, ids, helds)
-                    number, parts, ids, helds, tokens, rows = number + 1, [], [], [], 0, 0
+                    number, parts, ids, helds, size, rows = number + 1, [], [], [], 0, 0
                 parts.append((words, ctx, doc + rows))
                 ids.append(batch.column("doc_id").slice(lo, len(held)))
                 helds.append(held)
-                tokens, rows = tokens + len(words), rows + len(held)
+                size, rows = size + len(words), rows + len(held)
         if rows:
             yield flush(parts, ids, helds)
 
-    return docs.mapInArrow(run, f"bucket int, chunk long, n_train int, blob binary, ids array<{kind}>, n_tokens array<long>")
+    return docs.mapInArrow(run, "bucket int, chunk long, n_train int, blob binary, ids array<string>, n_tokens array<long>")
 
 
-@dataclass
-class Totals:
-    """Sums over all buckets: of a seating (tables per context, root customers and tables), or of the counts beneath."""
+def _unpacked(raw) -> tuple[np.ndarray, ...]:
+    """``(words, contexts, word, context, counts, docs)`` of a blob."""
+    raw, at, out = bytes(raw), 16, []
+    nw, nc, np_, nt = (int(x) for x in np.frombuffer(raw, np.uint32, 4))
+    for kind, size in ((B.U64, nw), (B.U64, nc), (np.uint32, np_), (np.uint32, np_), (np.uint32, np_), (np.uint16, nt)):
+        out.append(np.frombuffer(raw, kind, size, at))
+        at += out[-1].nbytes
+    return tuple(out)
 
-    tables: np.ndarray
-    heavy: np.ndarray
-    root: np.ndarray  # root customers, root tables
 
-    def __add__(self, other: "Totals") -> "Totals":
-        return Totals(self.tables + other.tables, self.heavy + other.heavy, self.root + other.root)
+def pair_keys(words: np.ndarray, contexts: np.ndarray, sweep: int) -> np.ndarray:
+    """What random numbers of dishes hang on: the word, the context and the sweep."""
+    return B.mix(words ^ B.mix(contexts + START)) + B.U64((SEED + 1000 * sweep) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
 
 
-@dataclass
-class Model:
-    """What all tasks know: corpus counts, discounts, and the totals after each sweep so far."""
+def root_keys(words: np.ndarray, sweep: int) -> np.ndarray:
+    return pair_keys(words, np.zeros(1, B.U64), sweep)
 
-    heavy: np.ndarray
-    customers: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))
-    heavy_counts: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    n_tokens: float = 0
-    n_words: float = 0
-    discount: tuple[float, float] = (0.5, 0.5)  # root, contexts
-    sweeps: list[Totals] = field(default_factory=list)
-    heavy_tables: list[np.ndarray] = field(default_factory=list)
+
+def uniform(keys: np.ndarray, turn: int) -> np.ndarray:
+    """A number in (0, 1) for each key, another at every turn."""
+    step = B.U64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return ((B.mix(B.mix(keys + step)) >> B.U64(11)).astype(float) + 0.5) * 2.0 ** -53
 
 
-def seated(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+def poisson(mean: np.ndarray, keys: np.ndarray, turn: int) -> np.ndarray:
+    """Poisson numbers by inversion; from a mean of 30 on, the rounded normal ones."""
+    u = uniform(keys, turn)
+    wide = mean >= 30
+    normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * uniform(~keys, turn))
+    out = np.where(wide, np.maximum(np.rint(mean + np.sqrt(mean) * normal), 0), 0)
+    some = np.flatnonzero(~wide)
+    term = np.exp(-mean[some])
+    reached, k = term.copy(), 0
+    while len(some):
+        go = (u[some] > reached) & ((term > 1e-18) | (k < mean[some]))
+        some, term, reached, k = some[go], term[go], reached[go], k + 1
+        out[some] = k
+        term = term * mean[some] / k
+        reached = reached + term
+    return out
+
+
+def seated(customers: np.ndarray, new: np.ndarray, discount: float, keys: np.ndarray) -> np.ndarray:
     """Tables of dishes with so many customers, seated one after the other where a new table weighs ``new``."""
     tables = (customers > 0).astype(float)
     some = np.flatnonzero(customers > 1)
-    c, a, t = customers[some], new[some], tables[some]
-    done = np.ones(len(some))
+    c, a, t, k = customers[some], new[some], tables[some], keys[some]
+    done, turn = np.ones(len(some)), 0
     while len(some):
+        turn += 1
         step = np.minimum(np.maximum(done // 8, 1), c - done)
         expected = step * a / (a + done + step / 2 - 0.5 - discount * t)
-        opened = np.where(step == 1, rng.random(len(some)) < expected, np.minimum(rng.poisson(np.minimum(expected, 1e12)), step))
+        opened = np.asarray(uniform(k, turn) < expected, float)
+        block = np.flatnonzero(step > 1)
+        opened[block] = np.minimum(poisson(expected[block], k[block], turn), step[block])
         t, done = t + opened, done + step
         tables[some] = t
         go = done < c
-        some, c, a, t, done = some[go], c[go], a[go], t[go], done[go]
+        some, c, a, t, k, done = some[go], c[go], a[go], t[go], k[go], done[go]
     return tables
 
 
+@dataclass
+class Model:
+    """What all tasks know: corpus counts, discounts, and the totals of the seating at hand."""
+
+    heavy: np.ndarray
+    heavy_counts: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    n_tokens: float = 0
+    n_words: float = 0
+    discount: tuple[float, float] = (0.5, 0.5)  # root, contexts
+    root: tuple[float, float] = (0, 0)  # customers and tables of words that are not heavy
+    heavy_customers: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    heavy_tables: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def spare(self) -> float:
+        """What the root gives to the base, for each word of the vocabulary and the unknown one."""
+        return (STRENGTH[0] + self.discount[0] * (self.root[1] + self.heavy_tables.sum())) / (self.n_words + 1)
+
+
+#: A bucket's row: its words and contexts (ascending hashes), its pairs of them with training tokens and tables; tables of its words at the root; customers
+#: of its contexts in the whole corpus; tables of its contexts here; probabilities summed so far; corpus sums, then customers of heavy words.
+STATE = ("bucket int, words binary, contexts binary, word binary, context binary, count binary, tables binary, root_tables binary, customers binary, "
+         "context_count binary, context_tables binary, p binary, sums array<double>")
+_KINDS = {"words": B.U64, "contexts": B.U64, "word": np.uint32, "context": np.uint32, "count": np.uint32, "tables": np.uint32, "root_tables": np.uint32,
+          "customers": np.int64, "context_count": np.int64, "context_tables": np.int64, "p": np.float64}
+SUMS = 6
+
+
 class Bucket:
-    """The packed tokens of one bucket and the seating of its dishes."""
-
-    def __init__(self, rows, model: Model):
-        self.model, self.heads, self.chunks = model, [], []
-        words, counts, ctx, doc, of, n_train = [], [], [], [], [], []
-        self.bucket = 0
-        for r in rows:
-            if r["blob"] is None:
-                self.heads.append(r)
-                continue
-            raw, self.bucket = bytes(r["blob"]), r["bucket"]
-            nw, nt = np.frombuffer(raw, np.uint32, 2)
-            words.append(np.frombuffer(raw, B.U64, nw, 8))
-            counts.append(np.frombuffer(raw, np.uint32, nw, 8 + 8 * nw))
-            ctx.append(np.frombuffer(raw, np.uint16, nt, 8 + 12 * nw))
-            doc.append(np.frombuffer(raw, np.uint16, nt, 8 + 12 * int(nw) + 2 * int(nt)))
-            of.append(np.full(nt, len(self.chunks), np.int32))
-            n_train.append(r["n_train"])
-            self.chunks.append(r["chunk"])
-        cat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        self.words, at = np.unique(cat(words, B.U64), return_inverse=True)
-        self.ctx, self.doc, self.of = cat(ctx, np.uint16), cat(doc, np.uint16), cat(of, np.int32)
-        key = np.repeat(at, cat(counts, np.uint32)) << 16 | self.ctx
-        self.pairs, self.at = np.unique(key, return_inverse=True)
-        self.at = self.at.astype(np.int32)
-        del key
-        train = self.doc < np.array(n_train, np.int64)[self.of] if len(self.of) else np.zeros(0, bool)
-        self.count = np.bincount(self.at[train], minlength=len(self.pairs)).astype(float)
-        self.word, self.context = self.pairs >> 16, self.pairs & 0xFFFF
-        self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words))
-        place = np.searchsorted(model.heavy, self.words)
-        place[place == len(model.heavy)] = 0
-        self.is_heavy = model.heavy[place] == self.words if len(model.heavy) else np.zeros(len(self.words), bool)
-        self.heavy_at = place[self.is_heavy]
-
-    def _heavy_sums(self, by_word: np.ndarray) -> np.ndarray:
-        return np.bincount(self.heavy_at, weights=by_word[self.is_heavy], minlength=len(self.model.heavy))
-
-    def counts(self):
-        """Corpus sums: training tokens per context and per heavy word, other known words, dishes with one and two customers,
-        and the same of the root when every dish has one table."""
-        contexts = np.bincount(self.word[self.count > 0], minlength=len(self.words))
-        light = contexts[~self.is_heavy]
-        return (np.bincount(self.context, weights=self.count, minlength=CONTEXTS), self._heavy_sums(self.word_count),
-                np.array([(self.word_count[~self.is_heavy] > 0).sum(), (self.count == 1).sum(), (self.count == 2).sum(), (light == 1).sum(), (light == 2).sum()], float))
-
-    def start(self):
-        return (self.count > 0).astype(float), None
-
-    def totals(self, tables: np.ndarray, root_tables: np.ndarray | None) -> Totals:
-        by_word = np.bincount(self.word, weights=tables, minlength=len(self.words))
-        root = np.minimum(by_word, 1) if root_tables is None else root_tables
-        return Totals(np.bincount(self.context, weights=tables, minlength=CONTEXTS), self._heavy_sums(by_word),
-                      np.array([by_word[~self.is_heavy].sum(), root[~self.is_heavy].sum()]))
-
-    def word_probabilities(self, tables: np.ndarray, root_tables: np.ndarray | None, sweep: int) -> np.ndarray:
-        """The root's predictive probability of each word of the bucket, after the sweep."""
-        m, totals = self.model, self.model.sweeps[sweep]
-        customers = np.bincount(self.word, weights=tables, minlength=len(self.words))
-        own = np.minimum(customers, 1) if root_tables is None else root_tables.copy()
-        customers[self.is_heavy], own[self.is_heavy] = totals.heavy[self.heavy_at], m.heavy_tables[sweep][self.heavy_at]
-        all_customers, all_tables = totals.root[0] + totals.heavy.sum(), totals.root[1] + m.heavy_tables[sweep].sum()
-        spare = (STRENGTH[0] + m.discount[0] * all_tables) / (m.n_words + 1)
-        return (customers - m.discount[0] * own + spare) / (STRENGTH[0] + all_customers)
-
-    def sweep(self, tables: np.ndarray, root_tables: np.ndarray | None, sweep: int):
-        """The seating of the given sweep (1, 2, ...) from the one before."""
-        m, before = self.model, self.model.sweeps[sweep - 1]
-        rng = np.random.default_rng([SEED, self.bucket, sweep])
-        p = self.word_probabilities(tables, root_tables, sweep - 1)
-        new = (STRENGTH[1] + m.discount[1] * np.maximum(before.tables[self.context] - tables, 0)) * p[self.word]
-        tables = seated(self.count, new, m.discount[1], rng)
-        by_word = np.bincount(self.word, weights=tables, minlength=len(self.words))
-        spare = (STRENGTH[0] + m.discount[0] * (before.root[1] + m.heavy_tables[sweep - 1].sum())) / (m.n_words + 1)
-        return tables, seated(by_word, np.full(len(by_word), spare), m.discount[0], rng)
-
-    def seatings(self, upto: int):
-        state = self.start()
-        yield 0, state
-        for s in range(1, upto + 1):
-            state = self.sweep(*state, s)
-            yield s, state
-
-    def scores(self):
-        """Per chunk the documents' sums over this bucket's tokens: score, base score, known tokens."""
-        m, p = self.model, np.zeros(len(self.pairs))
-        kept = range(BURN_IN + 1, SWEEPS + 1)
-        for s, (tables, root_tables) in self.seatings(SWEEPS):
-            if s not in kept:
-                continue
-            word_p, totals = self.word_probabilities(tables, root_tables, s), m.sweeps[s]
-            n = m.customers[self.context]
-            seat = self.count - m.discount[1] * tables + (STRENGTH[1] + m.discount[1] * totals.tables[self.context]) * word_p[self.word]
-            p += np.where(n > 0, seat / (STRENGTH[1] + n), word_p[self.word]) / len(kept)
-        counts = self.word_count.copy()
+    """The pairs of one bucket and the seating of its dishes."""
+
+    def __init__(self, heavy: np.ndarray, **arrays):
+        self.__dict__.update(arrays)
+        place = np.searchsorted(heavy, self.words)
+        place[place == len(heavy)] = 0
+        self.is_heavy = heavy[place] == self.words if len(heavy) else np.zeros(len(self.words), bool)
+        self.heavy_at, self.n_heavy = place[self.is_heavy], len(heavy)
+
+    @classmethod
+    def opened(cls, heavy: np.ndarray, blobs) -> "Bucket":
+        """All pairs of the blobs, with one table a dish."""
+        parts = [_unpacked(b) for b in blobs]
+        words, w = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        contexts, c = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        keys, w_from, c_from = [], 0, 0
+        for p in parts:
+            keys.append(w[w_from: w_from + len(p[0])][p[2]] * len(contexts) + c[c_from: c_from + len(p[1])][p[3]])
+            w_from, c_from = w_from + len(p[0]), c_from + len(p[1])
+        pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(at, weights=np.concatenate([p[4] for p in parts]), minlength=len(pairs))
+        out = cls(heavy, words=words, contexts=contexts, word=pairs // len(contexts), context=pairs % len(contexts), count=count, tables=(count > 0).astype(float),
+                  customers=np.zeros(0), p=np.zeros(len(pairs)))
+        out.root_tables = np.minimum(out.by_word(out.tables), 1)
+        return out
+
+    @classmethod
+    def of_row(cls, heavy: np.ndarray, row) -> "Bucket":
+        arrays = {name: np.frombuffer(bytes(row[name]), kind) for name, kind in _KINDS.items() if name in row and row[name] is not None}
+        return cls(heavy, **{k: v.astype(np.int64) if k in ("word", "context") else v.astype(float) if v.dtype.kind != "u" or v.itemsize < 8 else v for k, v in arrays.items()})
+
+    def by_word(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=values, minlength=len(self.words))
+
+    def by_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, weights=values, minlength=len(self.contexts))
+
+    def row(self, bucket: int) -> pd.DataFrame:
+        """The written row. Sums: training tokens, known words, dishes with one and two customers, customers and tables of the root (of
+        all words but the heavy), its words with one and two customers at the start; then tokens and tables of each heavy word."""
+        counts, customers = self.by_word(self.count), self.by_word(self.tables)
+        light = ~self.is_heavy
+        heavy = lambda v: np.bincount(self.heavy_at, weights=v[self.is_heavy], minlength=self.n_heavy)
+        sums = [self.count.sum(), (counts[light] > 0).sum(), (self.count == 1).sum(), (self.count == 2).sum(), customers[light].sum(), self.root_tables[light].sum()]
+        opened = self.by_word(self.count > 0)[light]
+        first = [(opened == 1).sum(), (opened == 2).sum()]
+        values = {"words": self.words, "contexts": self.contexts, "word": self.word, "context": self.context, "count": self.count, "tables": self.tables,
+                  "root_tables": self.root_tables, "customers": self.customers, "context_count": self.by_context(self.count),
+                  "context_tables": self.by_context(self.tables), "p": self.p}
+        row = {k: [np.asarray(v).astype(_KINDS[k]).tobytes()] for k, v in values.items()}
+        return pd.DataFrame({"bucket": [bucket], **row, "sums": [np.concatenate([sums, first, heavy(counts), heavy(customers)])]})
+
+    def word_probabilities(self, m: Model) -> np.ndarray:
+        """The root's predictive probability of each word of the bucket."""
+        customers, own = self.by_word(self.tables), self.root_tables.copy()
+        customers[self.is_heavy], own[self.is_heavy] = m.heavy_customers[self.heavy_at], m.heavy_tables[self.heavy_at]
+        return (customers - m.discount[0] * own + m.spare()) / (STRENGTH[0] + m.root[0] + m.heavy_customers.sum())
+
+    def add_probabilities(self, m: Model, context_tables: np.ndarray, kept: int) -> None:
+        """The predictive probabilities of the seating at hand join the average over ``kept`` of them."""
+        word_p, n = self.word_probabilities(m)[self.word], self.customers[self.context]
+        seat = self.count - m.discount[1] * self.tables + (STRENGTH[1] + m.discount[1] * context_tables[self.context]) * word_p
+        self.p = self.p + np.where(n > 0, seat / (STRENGTH[1] + n), word_p) / kept
+
+    def seat(self, m: Model, context_tables: np.ndarray, sweep: int) -> None:
+        """All dishes seated anew, given the tables of all others in the seating at hand."""
+        p = self.word_probabilities(m)
+        new = (STRENGTH[1] + m.discount[1] * np.maximum(context_tables[self.context] - self.tables, 0)) * p[self.word]
+        self.tables = seated(self.count, new, m.discount[1], pair_keys(self.words[self.word], self.contexts[self.context], sweep))
+        self.root_tables = seated(self.by_word(self.tables), np.full(len(self.words), m.spare()), m.discount[0], root_keys(self.words, sweep))
+
+    def scores(self, m: Model, blobs):
+        """For each blob its documents' sums over this bucket's tokens: score, base score, known tokens."""
+        counts = self.by_word(self.count)
         counts[self.is_heavy] = m.heavy_counts[self.heavy_at]
-        log_p = np.log10(p)
-        base = np.log10((counts + ADD) / (m.n_tokens + ADD * (m.n_words + 1)))[self.word]
-        known = (counts > 0)[self.word]
-        limits = np.searchsorted(self.of, np.arange(len(self.chunks) + 1))
-        for i, chunk in enumerate(self.chunks):
-            at, doc = self.at[limits[i]: limits[i + 1]], self.doc[limits[i]: limits[i + 1]]
+        log_p, known = np.log10(self.p), counts > 0
+        base = np.log10((counts + ADD) / (m.n_tokens + ADD * (m.n_words + 1)))
+        pairs = self.word * len(self.contexts) + self.context
+        for blob in blobs:
+            words, contexts, word, context, total, doc = _unpacked(blob)
+            word = np.searchsorted(self.words, words)[word]
+            at = np.searchsorted(pairs, word * len(self.contexts) + np.searchsorted(self.contexts, contexts)[context])
             n = int(doc.max()) + 1
-            yield chunk, (np.bincount(doc, weights=log_p[at], minlength=n).tobytes() + np.bincount(doc, weights=base[at], minlength=n).tobytes()
-                          + np.bincount(doc, weights=known[at], minlength=n).astype(np.uint32).tobytes())
+            yield b"".join([np.bincount(doc, weights=np.repeat(log_p[at], total), minlength=n).tobytes(), np.bincount(doc, weights=np.repeat(base[word], total), minlength=n).tobytes(),
+                            np.bincount(doc, weights=np.repeat(known[word], total), minlength=n).astype(np.uint32).tobytes()])
+
+
+def _context_totals(state: DataFrame, column: str) -> DataFrame:
+    """``(bucket, ctx, total)``: for every context of each bucket the sum of ``column`` over all buckets."""
+
+    def run(batches):
+        for batch in batches:
+            for bucket, contexts, values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                contexts, values = np.frombuffer(contexts, np.int64), np.frombuffer(values, np.int64)
+                for lo in range(0, len(contexts), 1 << 16):
+                    some = slice(lo, lo + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(contexts[some]), bucket, np.int32)), pa.array(contexts[some]), pa.array(values[some])],
+                                                     names=["bucket", "ctx", "n"])
+
+    own = state.select("bucket", "contexts", column).mapInArrow(run, "bucket int, ctx long, n long")
+    return own.select("bucket", "ctx", F.sum("n").over(Window.partitionBy("ctx")).alias("total"))
+
+
+def _aligned(totals: pd.DataFrame) -> np.ndarray:
+    """Totals in the order of the bucket's contexts."""
+    return totals["total"].to_numpy(np.float64)[np.argsort(totals["ctx"].to_numpy(np.int64).view(np.uint64), kind="stable")]
 
 
 def _finished(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -314,6 +374,64 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def fitted(rows: DataFrame, n: int, base: str) -> tuple[DataFrame, Model]:
+    """The buckets' table (see ``STATE``) with the averaged probability of every pair of context and word in ``rows``, and the corpus totals.
+
+    Each pass reads the table written by the one before and the totals of its contexts. ``rows``: doc_id, held_out, text.
+    """
+    heavy = heavy_words(rows)
+    model = Model(heavy)
+
+    def totals(state: DataFrame, sweep: int) -> None:
+        sums = state.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("col")).toPandas().set_index("pos")["col"].sort_index().to_numpy(float)
+        if not len(sums):
+            sums = np.zeros(SUMS + 2 + 2 * len(heavy))
+        by_heavy = sums[SUMS + 2:].reshape(2, len(heavy))
+        if sweep == 0:
+            (one, two), (root_one, root_two) = sums[2:4], sums[SUMS: SUMS + 2]
+            model.heavy_counts, model.n_tokens, model.n_words = by_heavy[0], float(sums[0]), float(sums[1] + (by_heavy[0] > 0).sum())
+            discount = lambda a, b: float(np.clip(a / max(a + 2 * b, 1), 0.05, 0.95))
+            model.discount = (discount(root_one, root_two), discount(one, two))
+            model.heavy_tables = np.minimum(by_heavy[1], 1)
+        else:
+            model.heavy_tables = seated(by_heavy[1], np.full(len(heavy), model.spare()), model.discount[0], root_keys(heavy, sweep))
+        model.heavy_customers, model.root = by_heavy[1], (float(sums[4]), float(sums[5]))
+
+    def opened(pdf: pd.DataFrame) -> pd.DataFrame:
+        return Bucket.opened(heavy, pdf["blob"]).row(int(pdf["bucket"].iloc[0]))
+
+    counts = _packed(rows, rows.sparkSession.sparkContext.broadcast(heavy), n, tokens=False).select("bucket", "blob")
+    state = written(counts.groupBy("bucket").applyInPandas(opened, STATE), base, "seating0")
+    totals(state, 0)
+    customers = written(_context_totals(state, "context_count"), base, "customers")
+
+    def entered(states: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        bucket = Bucket.of_row(heavy, states.iloc[0])
+        bucket.customers = _aligned(found)
+        return bucket.row(int(states["bucket"].iloc[0]))
+
+    seats = lambda df: df.drop("context_count", "context_tables", "sums").groupBy("bucket")
+    state = written(seats(state).cogroup(customers.groupBy("bucket")).applyInPandas(entered, STATE), base, "entered")
+
+    def turn(sweep: int):
+        # The last pass only adds the probabilities of the last seating, whose totals are known by then.
+        def run(states: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+            bucket, context_tables = Bucket.of_row(heavy, states.iloc[0]), _aligned(found)
+            if sweep - 1 > BURN_IN:
+                bucket.add_probabilities(model, context_tables, SWEEPS - BURN_IN)
+            if sweep <= SWEEPS:
+                bucket.seat(model, context_tables, sweep)
+            return bucket.row(int(states["bucket"].iloc[0]))
+
+        return run
+
+    for sweep in range(1, SWEEPS + 2):
+        state = written(seats(state).cogroup(_context_totals(state, "context_tables").groupBy("bucket")).applyInPandas(turn(sweep), STATE), base, f"seating{sweep}")
+        if sweep <= SWEEPS:
+            totals(state, sweep)
+    return state, model
+
+
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -322,47 +440,24 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     probabilities are those of the base. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    sc, base = spark.sparkContext, workdir(spark, "pitman-yor")
-    rows = columns(docs, doc_id=id_col, text=text_col).select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    base = workdir(spark, "pitman-yor")
+    kind = columns(docs, doc_id=id_col).schema["doc_id"].dataType.simpleString()
+    rows = columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("string").alias("doc_id"), (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
     n = max(1, (rows.agg(F.sum(F.length("text"))).first()[0] or 0) // BUCKET_CHARS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    heavy = heavy_words(rows)
-    packed = _packed(rows, sc.broadcast(heavy), n).repartitionById(n, F.col("bucket")).rdd
-    model = Model(heavy)
-
-    def summed(task):
-        """The sum of ``task(bucket)`` over all buckets; buckets are read from the one shuffle each time."""
-        shared = sc.broadcast(model)
-        add = lambda x, y: tuple(a + b for a, b in zip(x, y, strict=True)) if isinstance(x, tuple) else x + y
-        return packed.mapPartitions(lambda part: [task(Bucket(part, shared.value))]).treeReduce(add, depth=2)
-
-    def added(totals: Totals, sweep: int) -> None:
-        rng = np.random.default_rng([SEED, 1 << 20, sweep])
-        tables = np.minimum(totals.heavy, 1)
-        if sweep:
-            spare = (STRENGTH[0] + model.discount[0] * (model.sweeps[-1].root[1] + model.heavy_tables[-1].sum())) / (model.n_words + 1)
-            tables = seated(np.floor(totals.heavy), np.full(len(heavy), spare), model.discount[0], rng)
-        model.sweeps.append(totals)
-        model.heavy_tables.append(tables)
-
-    model.customers, model.heavy_counts, (light, one, two, root_one, root_two) = summed(Bucket.counts)
-    model.n_tokens, model.n_words = float(model.customers.sum()), float(light + (model.heavy_counts > 0).sum())
-    discount = lambda a, b: float(np.clip(a / max(a + 2 * b, 1), 0.05, 0.95))
-    model.discount = (discount(root_one, root_two), discount(one, two))
-    added(summed(lambda b: b.totals(*b.start())), 0)
-    for sweep in range(1, SWEEPS + 1):
-        added(summed(lambda b, s=sweep: b.totals(*[state for _, state in b.seatings(s)][-1])), sweep)
-
-    shared = sc.broadcast(model)
-
-    def score(part):
-        bucket = Bucket(part, shared.value)
-        for r in bucket.heads:
-            yield r["chunk"], None, r["n_train"], r["ids"], r["n_tokens"]
-        for chunk, sums in bucket.scores():
-            yield chunk, bytearray(sums), None, None, None
-
-    parts = spark.createDataFrame(packed.mapPartitions(score), f"chunk long, part binary, n_train int, ids array<{kind}>, n_tokens array<long>", verifySchema=False)
-    out = parts.groupBy("chunk").applyInPandas(_finished, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    state, model = fitted(rows, n, base)
+    heavy = model.heavy
+
+    def score(tokens: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        parts = tokens[tokens["blob"].notna()]
+        out = tokens[tokens["blob"].isna()].drop(columns=["bucket", "blob"]).assign(part=None)
+        if len(parts):
+            sums = list(Bucket.of_row(heavy, states.iloc[0]).scores(model, parts["blob"]))
+            out = pd.concat([out, pd.DataFrame({"chunk": parts["chunk"].to_numpy(), "part": sums, "n_train": None, "ids": None, "n_tokens": None})])
+        return out[["chunk", "part", "n_train", "ids", "n_tokens"]]
+
+    tokens = _packed(rows, spark.sparkContext.broadcast(heavy), n, tokens=True)
+    parts = (tokens.groupBy("bucket").cogroup(state.select("bucket", "words", "contexts", "word", "context", "count", "p").groupBy("bucket"))
+             .applyInPandas(score, "chunk long, part binary, n_train int, ids array<string>, n_tokens array<long>"))
+    out = parts.groupBy("chunk").applyInPandas(_finished, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     out = written(out, base, "scores")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(model.n_tokens)).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(int(model.n_tokens)).cast("long").alias("train_tokens"), "base_score", "score")

@@ -10,9 +10,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm.conftest import frame
-from sluice.llm import paragraph_sketch, pii_surrogates, pitman_yor, quality_rules, toxicity
+from sluice.llm import paragraph_sketch, pii_surrogates, pitman_yor, quality_rules, shared, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -379,18 +380,84 @@ def test_language_model_is_a_distribution(spark):
     vocabulary = sorted({w for _, t, *_ in rows for w in t.split()})
     # "w" alone scores P(w | start) P(end | w); the empty text P(end | start); so the sum over first words needs P(end | w).
     probe = [(held[0], "", "en", "s")] + [(held[1 + j], w, "en", "s") for j, w in enumerate(vocabulary + ["unknownword"])]
-    twice = [(held[100 + j], f"{w} {w}", "en", "s") for j, w in enumerate(["a", "b"])]
-    got = {r["doc_id"]: r["score"] for r in pitman_yor.language_scores(frame(spark, rows + probe + twice)).collect()}
-    again = {r["doc_id"]: r["score"] for r in pitman_yor.language_scores(frame(spark, (rows + probe + twice)[::-1], 3)).collect()}
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.language_scores(frame(spark, rows + probe)).collect()}
+    again = {r["doc_id"]: r["score"] for r in pitman_yor.language_scores(frame(spark, (rows + probe)[::-1], 3)).collect()}
     assert all(abs(got[i] - again[i]) < 1e-6 for i in got)
     assert all(s < 0 for s in got.values())
-    assert sum(10 ** got[held[1 + j]] for j in range(len(vocabulary) + 1)) < 1
+    docs = frame(spark, rows + probe).withColumn("held_out", F.col("doc_id").isin(held)).select("doc_id", "held_out", "text")
+    state, model = pitman_yor.fitted(docs, 3, shared.workdir(spark, "test"))
+    start = {}
+    for r in state.collect():
+        bucket = pitman_yor.Bucket.of_row(model.heavy, r.asDict())
+        start |= {bucket.words[w]: p for w, c, p in zip(bucket.word, bucket.context, bucket.p, strict=True) if bucket.contexts[c] == pitman_yor.START}
+    assert len(start) == len(vocabulary) + 2
+    assert sum(start.values()) == pytest.approx(1, abs=1e-9)
+
+
+def test_language_scores_do_not_hang_on_settings(docs, rows, spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("3", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in pitman_yor.language_scores(docs.repartition(int(n))).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [g[:2] for g in got[0]] == [g[:2] for g in got[1]]
+    assert all(abs(a[2] - b[2]) < 1e-6 for a, b in zip(*got, strict=True))
+
+
+def gibbs(sentences, sweeps, burn, rng, m):
+    """Customers of both levels seated one at a time, each table's dish drawn from the root; predictive probabilities after each context."""
+    vocabulary = sorted({w for s in sentences for w in s})
+    d0, d1 = m.discount
+    count = Counter((a, b) for s in sentences for a, b in zip([None, *s], s, strict=False))
+    tables = {k: 1 for k in count}
+    root = {w: 1 for w in vocabulary}
+    total = Counter()
+    for sweep in range(1, sweeps + 1):
+        for k in rng.sample(sorted(count, key=str), len(count)):
+            tables[k] = 1
+            served = sum(t for (a, _), t in tables.items() if a == k[0]) - 1
+            n_word = {w: sum(t for (_, b), t in tables.items() if b == w) for w in vocabulary}
+            p = (n_word[k[1]] - d0 * root[k[1]] + (1.0 + d0 * sum(root.values())) / (len(vocabulary) + 1)) / (1.0 + sum(n_word.values()))
+            new = (4.0 + d1 * served) * p
+            for i in range(1, count[k]):
+                tables[k] += rng.random() < new / (new + i - d1 * tables[k])
+        for w in vocabulary:
+            n, root[w] = sum(t for (_, b), t in tables.items() if b == w), 1
+            others = (1.0 + d0 * (sum(root.values()) - 1)) / (len(vocabulary) + 1)
+            for i in range(1, n):
+                root[w] += rng.random() < others / (others + i - d0 * root[w])
+        if sweep > burn:
+            n_word = {w: sum(t for (_, b), t in tables.items() if b == w) for w in vocabulary}
+            for (a, w), c in count.items():
+                p = (n_word[w] - d0 * root[w] + (1.0 + d0 * sum(root.values())) / (len(vocabulary) + 1)) / (1.0 + sum(n_word.values()))
+                all_c, all_t = sum(v for (x, _), v in count.items() if x == a), sum(v for (x, _), v in tables.items() if x == a)
+                total[(a, w)] += (c - d1 * tables[(a, w)] + (4.0 + d1 * all_t) * p) / (4.0 + all_c) / (sweeps - burn)
+    return total
+
+
+def test_language_scores_against_a_sequential_sampler(spark):
+    """Scores of training texts against a plain sampler that seats one dish at a time given all others, with many more sweeps."""
+    rng = random.Random(5)
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10][:40]
+    rows = [(i, " ".join(rng.choice("aaabbcdefgh") for _ in range(25)), "en", "s") for i in ids]
+    docs = frame(spark, rows).withColumn("held_out", F.lit(False)).select("doc_id", "held_out", "text")
+    _, model = pitman_yor.fitted(docs, 2, shared.workdir(spark, "test"))
+    sentences = [[*t.split(), "END"] for _, t, *_ in rows]
+    p = gibbs(sentences, 40, 10, rng, model)
+    for r in pitman_yor.language_scores(frame(spark, rows)).collect():
+        s = sentences[ids.index(r["doc_id"])]
+        want = sum(math.log10(p[(a, b)]) for a, b in zip([None, *s], s, strict=False))
+        assert r["score"] == pytest.approx(want, abs=0.02 * len(s))
 
 
 def test_seating():
     rng = np.random.default_rng(1)
     customers = np.array([0, 1, 2, 50, 100_000], float)
-    tables = np.mean([pitman_yor.seated(customers, np.full(5, 2.0), 0.5, rng) for _ in range(200)], axis=0)
+    keys = lambda: rng.integers(0, 1 << 63, 5).astype(np.uint64)
+    tables = np.mean([pitman_yor.seated(customers, np.full(5, 2.0), 0.5, keys()) for _ in range(200)], axis=0)
     assert tables[0] == 0 and tables[1] == 1 and 1 < tables[2] < 2
     # The second customer opens a table with probability a / (a + 1 - d).
     assert tables[2] - 1 == pytest.approx(2 / 2.5, abs=0.1)
