@@ -34,7 +34,7 @@ ADD = 0.1
 HEAVY_SHARE = 1000
 CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 60_000
-BUCKET_CHARS = 16_000_000
+BUCKET_CHARS = 4_000_000
 SEED = 11
 START, END = B.U64(0x51ED270B7F4A7C15), B.U64(0x2545F4914F6CDD1D)
 
@@ -130,8 +130,8 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
                 c, ci = np.unique(context[some], return_inverse=True)
                 docs_of = doc[token_cuts[b]: token_cuts[b + 1]]
                 counts = total if tokens else train
-                blob = b"".join([np.array([len(w), len(c), len(some), len(docs_of)], np.uint32).tobytes(), unique[w].tobytes(), before[c].tobytes(),
-                                 wi.astype(np.uint32).tobytes(), ci.astype(np.uint32).tobytes(), counts[some].astype(np.uint32).tobytes(), docs_of.tobytes()])
+                arrays = [narrow(a) for a in (unique[w], before[c], np.bincount(wi), ci, counts[some], docs_of)]
+                blob = np.array([len(a) for a in arrays], np.uint32).tobytes() + b"".join(arrays)
                 rows.append((int(b), chunk, n_train, blob, None, None))
             if tokens:
                 n_tokens = np.bincount(np.concatenate([p[2] for p in parts]), minlength=len(held))[place]
@@ -156,14 +156,24 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, chunk long, n_train int, blob binary, ids array<string>, n_tokens array<long>")
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, and that number of bytes before them."""
+    kind = np.min_scalar_type(int(values.max())) if len(values) else np.dtype(np.uint8)
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def widened(raw: bytes) -> np.ndarray:
+    """The numbers that :func:`narrow` packed, as int64, or uint64 where they take all eight bytes."""
+    values = np.frombuffer(raw, f"u{raw[0]}", offset=1)
+    return values if raw[0] == 8 else values.astype(np.int64)
+
+
 def _unpacked(raw) -> tuple[np.ndarray, ...]:
-    """``(words, contexts, word, context, counts, docs)`` of a blob."""
-    raw, at, out = bytes(raw), 16, []
-    nw, nc, np_, nt = (int(x) for x in np.frombuffer(raw, np.uint32, 4))
-    for kind, size in ((B.U64, nw), (B.U64, nc), (np.uint32, np_), (np.uint32, np_), (np.uint32, np_), (np.uint16, nt)):
-        out.append(np.frombuffer(raw, kind, size, at))
-        at += out[-1].nbytes
-    return tuple(out)
+    """``(words, contexts, word, context, counts, docs)`` of a blob; pairs are sorted by word, whose numbers of pairs are kept."""
+    raw = bytes(raw)
+    ends = 24 + np.append(0, np.cumsum(np.frombuffer(raw, np.uint32, 6).astype(np.int64)))
+    words, contexts, pairs, context, counts, docs = (widened(raw[lo:hi]) for lo, hi in zip(ends, ends[1:], strict=False))
+    return words.astype(B.U64), contexts.astype(B.U64), np.repeat(np.arange(len(words)), pairs), context, counts, docs
 
 
 def pair_keys(words: np.ndarray, contexts: np.ndarray, sweep: int) -> np.ndarray:
@@ -237,12 +247,12 @@ class Model:
         return (STRENGTH[0] + self.discount[0] * (self.root[1] + self.heavy_tables.sum())) / (self.n_words + 1)
 
 
-#: A bucket's row: its words and contexts (ascending hashes), its pairs of them with training tokens and tables; tables of its words at the root; customers
-#: of its contexts in the whole corpus; tables of its contexts here; probabilities summed so far; corpus sums, then customers of heavy words.
-STATE = ("bucket int, words binary, contexts binary, word binary, context binary, count binary, tables binary, root_tables binary, customers binary, "
-         "context_count binary, context_tables binary, p binary, sums array<double>")
-_KINDS = {"words": B.U64, "contexts": B.U64, "word": np.uint32, "context": np.uint32, "count": np.uint32, "tables": np.uint32, "root_tables": np.uint32,
-          "customers": np.int64, "context_count": np.int64, "context_tables": np.int64, "p": np.float64}
+#: A bucket's row: its words and contexts (ascending hashes); pairs of each word, their contexts, training tokens and tables; tables of its words at the
+#: root; customers of its contexts in the whole corpus; tokens and tables of its contexts here; probabilities summed so far; corpus sums, then
+#: tokens and tables of heavy words.
+ARRAYS = ("words", "contexts", "pairs", "context", "count", "tables", "root_tables", "customers", "context_count", "context_tables")
+STATE = "bucket int, " + "".join(f"{name} binary, " for name in ARRAYS) + "p binary, sums array<double>"
+SCORED = "bucket int, words binary, contexts binary, pairs binary, context binary, count binary, p binary"
 SUMS = 6
 
 
@@ -269,14 +279,16 @@ class Bucket:
         pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
         count = np.bincount(at, weights=np.concatenate([p[4] for p in parts]), minlength=len(pairs))
         out = cls(heavy, words=words, contexts=contexts, word=pairs // len(contexts), context=pairs % len(contexts), count=count, tables=(count > 0).astype(float),
-                  customers=np.zeros(0), p=np.zeros(len(pairs)))
+                  customers=np.zeros(0), p=np.zeros(0))
         out.root_tables = np.minimum(out.by_word(out.tables), 1)
         return out
 
     @classmethod
     def of_row(cls, heavy: np.ndarray, row) -> "Bucket":
-        arrays = {name: np.frombuffer(bytes(row[name]), kind) for name, kind in _KINDS.items() if name in row and row[name] is not None}
-        return cls(heavy, **{k: v.astype(np.int64) if k in ("word", "context") else v.astype(float) if v.dtype.kind != "u" or v.itemsize < 8 else v for k, v in arrays.items()})
+        arrays = {name: widened(bytes(row[name])) for name in ARRAYS if name in row}
+        words, contexts, pairs, context = (arrays.pop(name) for name in ("words", "contexts", "pairs", "context"))
+        return cls(heavy, words=words.astype(B.U64), contexts=contexts.astype(B.U64), word=np.repeat(np.arange(len(words)), pairs), context=context,
+                   p=np.frombuffer(bytes(row["p"]), np.float64), **{name: v.astype(float) for name, v in arrays.items()})
 
     def by_word(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.word, weights=values, minlength=len(self.words))
@@ -293,10 +305,9 @@ class Bucket:
         sums = [self.count.sum(), (counts[light] > 0).sum(), (self.count == 1).sum(), (self.count == 2).sum(), customers[light].sum(), self.root_tables[light].sum()]
         opened = self.by_word(self.count > 0)[light]
         first = [(opened == 1).sum(), (opened == 2).sum()]
-        values = {"words": self.words, "contexts": self.contexts, "word": self.word, "context": self.context, "count": self.count, "tables": self.tables,
-                  "root_tables": self.root_tables, "customers": self.customers, "context_count": self.by_context(self.count),
-                  "context_tables": self.by_context(self.tables), "p": self.p}
-        row = {k: [np.asarray(v).astype(_KINDS[k]).tobytes()] for k, v in values.items()}
+        values = (self.words, self.contexts, np.bincount(self.word, minlength=len(self.words)), self.context, self.count, self.tables, self.root_tables,
+                  self.customers, self.by_context(self.count), self.by_context(self.tables))
+        row = {name: [narrow(v)] for name, v in zip(ARRAYS, values, strict=True)} | {"p": [self.p.tobytes()]}
         return pd.DataFrame({"bucket": [bucket], **row, "sums": [np.concatenate([sums, first, heavy(counts), heavy(customers)])]})
 
     def word_probabilities(self, m: Model) -> np.ndarray:
@@ -309,7 +320,7 @@ class Bucket:
         """The predictive probabilities of the seating at hand join the average over ``kept`` of them."""
         word_p, n = self.word_probabilities(m)[self.word], self.customers[self.context]
         seat = self.count - m.discount[1] * self.tables + (STRENGTH[1] + m.discount[1] * context_tables[self.context]) * word_p
-        self.p = self.p + np.where(n > 0, seat / (STRENGTH[1] + n), word_p) / kept
+        self.p = (self.p if len(self.p) else 0) + np.where(n > 0, seat / (STRENGTH[1] + n), word_p) / kept
 
     def seat(self, m: Model, context_tables: np.ndarray, sweep: int) -> None:
         """All dishes seated anew, given the tables of all others in the seating at hand."""
@@ -334,25 +345,25 @@ class Bucket:
                             np.bincount(doc, weights=np.repeat(known[word], total), minlength=n).astype(np.uint32).tobytes()])
 
 
-def _context_totals(state: DataFrame, column: str) -> DataFrame:
-    """``(bucket, ctx, total)``: for every context of each bucket the sum of ``column`` over all buckets."""
+def _context_totals(state: DataFrame, *names: str) -> DataFrame:
+    """``(bucket, ctx, *names)``: for every context of each bucket the sums of the columns over all buckets."""
 
     def run(batches):
         for batch in batches:
-            for bucket, contexts, values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                contexts, values = np.frombuffer(contexts, np.int64), np.frombuffer(values, np.int64)
-                for lo in range(0, len(contexts), 1 << 16):
-                    some = slice(lo, lo + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(contexts[some]), bucket, np.int32)), pa.array(contexts[some]), pa.array(values[some])],
-                                                     names=["bucket", "ctx", "n"])
+            for bucket, contexts, *values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                arrays = [widened(contexts).astype(B.U64).view(np.int64), *[widened(v).astype(np.int64) for v in values]]
+                for lo in range(0, len(arrays[0]), 1 << 16):
+                    some = [a[lo: lo + (1 << 16)] for a in arrays]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some[0]), bucket, np.int32)), *map(pa.array, some)], names=["bucket", "ctx", *names])
 
-    own = state.select("bucket", "contexts", column).mapInArrow(run, "bucket int, ctx long, n long")
-    return own.select("bucket", "ctx", F.sum("n").over(Window.partitionBy("ctx")).alias("total"))
+    own = state.select("bucket", "contexts", *names).mapInArrow(run, "bucket int, ctx long, " + ", ".join(f"{n} long" for n in names))
+    same = Window.partitionBy("ctx")
+    return own.select("bucket", "ctx", *[F.sum(n).over(same).alias(n) for n in names])
 
 
-def _aligned(totals: pd.DataFrame) -> np.ndarray:
+def _aligned(totals: pd.DataFrame, name: str) -> np.ndarray:
     """Totals in the order of the bucket's contexts."""
-    return totals["total"].to_numpy(np.float64)[np.argsort(totals["ctx"].to_numpy(np.int64).view(np.uint64), kind="stable")]
+    return totals[name].to_numpy(np.float64)[np.argsort(totals["ctx"].to_numpy(np.int64).view(np.uint64), kind="stable")]
 
 
 def _finished(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -403,30 +414,26 @@ def fitted(rows: DataFrame, n: int, base: str) -> tuple[DataFrame, Model]:
     counts = _packed(rows, rows.sparkSession.sparkContext.broadcast(heavy), n, tokens=False).select("bucket", "blob")
     state = written(counts.groupBy("bucket").applyInPandas(opened, STATE), base, "seating0")
     totals(state, 0)
-    customers = written(_context_totals(state, "context_count"), base, "customers")
-
-    def entered(states: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        bucket = Bucket.of_row(heavy, states.iloc[0])
-        bucket.customers = _aligned(found)
-        return bucket.row(int(states["bucket"].iloc[0]))
-
-    seats = lambda df: df.drop("context_count", "context_tables", "sums").groupBy("bucket")
-    state = written(seats(state).cogroup(customers.groupBy("bucket")).applyInPandas(entered, STATE), base, "entered")
 
     def turn(sweep: int):
         # The last pass only adds the probabilities of the last seating, whose totals are known by then.
         def run(states: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-            bucket, context_tables = Bucket.of_row(heavy, states.iloc[0]), _aligned(found)
+            bucket, context_tables = Bucket.of_row(heavy, states.iloc[0]), _aligned(found, "context_tables")
+            if sweep == 1:
+                bucket.customers = _aligned(found, "context_count")
             if sweep - 1 > BURN_IN:
                 bucket.add_probabilities(model, context_tables, SWEEPS - BURN_IN)
             if sweep <= SWEEPS:
                 bucket.seat(model, context_tables, sweep)
-            return bucket.row(int(states["bucket"].iloc[0]))
+            return bucket.row(int(states["bucket"].iloc[0]))[names]
 
+        names = [part.split()[0] for part in (STATE if sweep <= SWEEPS else SCORED).split(", ")]
         return run
 
     for sweep in range(1, SWEEPS + 2):
-        state = written(seats(state).cogroup(_context_totals(state, "context_tables").groupBy("bucket")).applyInPandas(turn(sweep), STATE), base, f"seating{sweep}")
+        found = _context_totals(state, "context_tables", *["context_count"][: sweep == 1]).groupBy("bucket")
+        seats = state.drop("context_count", "context_tables", "sums").groupBy("bucket")
+        state = written(seats.cogroup(found).applyInPandas(turn(sweep), STATE if sweep <= SWEEPS else SCORED), base, f"seating{sweep}")
         if sweep <= SWEEPS:
             totals(state, sweep)
     return state, model
@@ -456,7 +463,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out[["chunk", "part", "n_train", "ids", "n_tokens"]]
 
     tokens = _packed(rows, spark.sparkContext.broadcast(heavy), n, tokens=True)
-    parts = (tokens.groupBy("bucket").cogroup(state.select("bucket", "words", "contexts", "word", "context", "count", "p").groupBy("bucket"))
+    parts = (tokens.groupBy("bucket").cogroup(state.groupBy("bucket"))
              .applyInPandas(score, "chunk long, part binary, n_train int, ids array<string>, n_tokens array<long>"))
     out = parts.groupBy("chunk").applyInPandas(_finished, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     out = written(out, base, "scores")
