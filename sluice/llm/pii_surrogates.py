@@ -3,9 +3,11 @@
 DataFrame and SQL functions only. One pattern finds the entities of a text; every distinct entity gets a canonical form
 (case and separators aside), and one surrogate per canonical form: keyed digests of it, character for
 character (digits stay digits, letters letters of the same case, hexadecimal stays hexadecimal, card numbers that pass the Luhn test
-still pass it, addresses stay addresses, names follow the gender of the title and the script). Names are found by their titles and
+still pass it, account numbers with right check digits get right ones, addresses stay addresses, names follow the gender of the title and the script).
+Names, of any number of words, are found by their titles and
 drawn word for word, so a person's last name alone agrees with the full name; in a text that has the titled name, its untitled full and last
-names are replaced too (first names alone, inflected forms and names that have no title anywhere in the text are not found). Surrogates of
+names are replaced too (first names alone, inflected forms and names that have no title anywhere in the text are not found). A last name that is also a common
+word (COMMON) is left where it begins a sentence untitled. Surrogates of
 one kind that meet, or that are some entity of the corpus, are drawn again with the next attempt number
 until none is left, so distinct entities stay distinct; equal ones agree over the whole corpus. What still meets after
 PLAIN_ATTEMPTS, because the short forms of a kind run out, gets a digit (a name a syllable) more with every further attempt, before the kept tail; an
@@ -33,16 +35,23 @@ PHONE = (r"(?:\+[0-9]{1,3}(?:[ .\-|!#$%&*]{0,5}\(?[0-9]{2,4}\)?){2,4}|\([0-9]{3}
          r"0[0-9]{2,4}(?:[ /\-][0-9]{5,8}|[ \-][0-9]{3,4}[ \-][0-9]{3,4}))(?![A-Za-z]|[ ./\-]?[0-9]))(?![0-9])")
 SSN = r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+IP6 = (r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|"
+       r"(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|(?:[0-9A-Fa-f]{1,4}:){1,7}:)(?![0-9A-Za-z:])")
 CARD = (r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7})"
         r"(?![0-9A-Za-z])")
-MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Don|г-н|господин|Κύριος|κ"
-FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Doña|г-жа|госпожа|Κυρία|κα"
+MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Don|Dott|г-н|господин|Κύριος|κ"
+FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Doña|Dra|Dottoressa|г-жа|госпожа|Κυρία|κα"
 WORD = r"\p{Lu}(?:['\-]?(?!(?<=')s(?!\p{L}))\p{L})+"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE})\.? {WORD}(?: {WORD})?"
-KINDS = {"email": EMAIL, "secret": SECRET, "iban": IBAN, "phone": PHONE, "ssn": SSN, "ip": IP, "card": CARD, "name": NAME}
+EITHER = "Dr|Doctor|Prof|Professor|Rev|Hon|д-р|проф|Δρ"
+#: Words that sentences begin with, and that are also last names.
+COMMON = ("Will", "May", "Long", "Young", "Rich", "Mark", "Bill", "Rose", "Hope", "Grace", "Day", "Price", "Small", "Little", "Sharp", "Best", "Early", "Love",
+          "King", "Cook", "Brown", "Black", "White", "Green", "Gray", "Stone", "Field", "Hill", "Wood", "Brook", "Spring", "Winter", "Summer", "Frank", "Grant")
+TITLE = rf"(?:(?:{FEMALE}|{MALE}|{EITHER})\.? )+"
+NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}{WORD}(?: {WORD})*+"
+KINDS = {"email": EMAIL, "ip6": IP6, "secret": SECRET, "iban": IBAN, "phone": PHONE, "ssn": SSN, "ip": IP, "card": CARD, "name": NAME}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: No entity without one of these: a cheap test before the pattern.
-LIKELY = rf"[0-9@]|(?:{FEMALE}|{MALE})\.? \p{{Lu}}|(?:sk|pk|ghp|gho|xoxb)[_\-]|AKIA|[a-fA-F]{{32}}"
+LIKELY = rf"[0-9@]|(?:{FEMALE}|{MALE}|{EITHER})\.? \p{{Lu}}|(?:sk|pk|ghp|gho|xoxb)[_\-]|AKIA|[a-fA-F]{{32}}"
 SYLLABLES = ("ba", "be", "bi", "da", "de", "do", "fa", "fe", "ga", "ka", "ki", "la", "le", "li", "lo", "ma", "me", "mi", "mo", "na",
              "ne", "ni", "no", "pa", "pe", "ra", "re", "ri", "ro", "sa", "se", "si", "ta", "te", "ti", "va", "vi", "za", "ze", "zo")
 LATIN = "abdefgiklmnoprstvz"
@@ -63,20 +72,33 @@ def _entities(found: DataFrame) -> DataFrame:
     """``(entity, kind, canon, head, tail, at)``: head and tail are the letters and digits kept at either end; a name has a row for each word."""
     e = found.withColumn("kind", _kind(F.col("entity")))
     plain = F.lower(F.regexp_replace("entity", r"[^\p{L}\p{N}]", ""))
-    name = F.regexp_extract("entity", rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1)
-    canon = (F.when(F.col("kind") == "ip", F.regexp_replace("entity", r"(^|\.)0+(?=[0-9])", "$1"))
+    name = F.regexp_extract("entity", rf"^{TITLE}(.*)$", 1)
+    canon = (F.when(F.col("kind") == "ip6", F.expr(_IP6_GROUPS)).when(F.col("kind") == "ip", F.regexp_replace("entity", r"(^|\.)0+(?=[0-9])", "$1"))
              .when(F.col("kind") == "name", F.lower(name)).otherwise(plain))
-    female = F.col("entity").rlike(rf"^(?:{FEMALE})\.? ")
+    title = F.regexp_extract("entity", rf"^({TITLE})", 1)
+    gender = F.when(title.rlike(rf"(?:^| )(?:{FEMALE})\.? "), "f").when(title.rlike(rf"(?:^| )(?:{MALE})\.? "), "m").otherwise("e")
     script = F.when(name.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
     hexa = F.col("canon").rlike("^[0-9a-f]{32,}$")
     return (e.withColumn("canon", canon)
-            .withColumn("kind", F.when(F.col("kind") == "name", F.concat_ws("_", F.lit("name"), F.when(female, "f").otherwise("m"), script))
+            .withColumn("kind", F.when(F.col("kind") == "name", F.concat_ws("_", F.lit("name"), gender, script))
                         .when((F.col("kind") == "secret") & hexa, "hex").otherwise(F.col("kind")))
             .select("entity", "kind", F.posexplode(F.when(F.col("kind").startswith("name"), F.split("canon", " ")).otherwise(F.array("canon"))).alias("at", "canon"))
             .withColumn("head", F.expr("CASE kind WHEN 'phone' THEN 1 WHEN 'card' THEN 1 WHEN 'iban' THEN 2 WHEN 'secret' THEN 2 ELSE 0 END"))
             .withColumn("tail", F.when(F.col("kind") == "email", F.length(F.regexp_extract("entity", r"\.([A-Za-z0-9\-]+)$", 1))).otherwise(0)))
 
 
+#: SQL: an IPv6 address with all its eight groups, without leading zeros.
+_IP6_GROUPS = (r"array_join(transform(split(CASE WHEN entity LIKE '%::%' THEN concat(trim(BOTH ':' FROM concat(substring_index(entity, '::', 1), "
+               r"repeat(':0', 8 - size(filter(split(entity, ':'), g -> g <> ''))), ':', substr(entity, instr(entity, '::') + 2)))) ELSE entity END, ':'), "
+               r"g -> regexp_replace(lower(g), '^0+(?=.)', '')), ':')")
+
+
+def _mod97(number: str) -> str:
+    """SQL: the remainder by 97 of a string of digits and small letters, a letter being its two digits from 10 on."""
+    return (f"aggregate(split({number}, ''), 0, (s, c) -> CASE WHEN c = '' THEN s WHEN c RLIKE '[a-z]' THEN (s * 100 + ascii(c) - 87) % 97 "
+            f"ELSE (s * 10 + CAST(c AS INT)) % 97 END)")
+
+
 def _luhn(digits: str) -> str:
     """SQL: the Luhn sum of a string of digits whose last one is not doubled."""
     return (f"aggregate(transform(split(reverse({digits}), ''), (c, i) -> CASE WHEN c = '' THEN 0 WHEN i % 2 = 0 THEN CAST(c AS INT) "
@@ -95,12 +117,16 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
     syllables = "array(" + ", ".join(f"'{s}'" for s in SYLLABLES) + ")"
     stem = (f"array_join(transform(sequence(0, 2 + least(attempt, 4) + least(extra, 20)), i -> element_at({syllables}, "
             f"1 + CAST(conv(substr(d, 1 + 4 * i, 4), 16, 10) AS INT) % {len(SYLLABLES)})), '')")
-    ending = "CASE WHEN kind LIKE 'name_f%' THEN 'na' ELSE 'no' END"
+    ip6 = "concat_ws(':', transform(sequence(0, 7), i -> substr(d, 1 + 4 * i, 4)))"
+    ending = "CASE WHEN kind LIKE 'name_f%' THEN 'na' WHEN kind LIKE 'name_m%' THEN 'no' ELSE 'ne' END"
     out = (entities.withColumn("extra", F.greatest(F.col("attempt") - PLAIN_ATTEMPTS, F.lit(0))).withColumn("d", F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 512))
-           .withColumn("sur", F.expr(f"CASE WHEN kind = 'ip' THEN {ip} WHEN kind LIKE 'name%' THEN concat({stem}, {ending}) ELSE {chars} END")))
+           .withColumn("sur", F.expr(f"CASE WHEN kind = 'ip' THEN {ip} WHEN kind = 'ip6' THEN {ip6} WHEN kind LIKE 'name%' THEN concat({stem}, {ending}) ELSE {chars} END")))
+    rest = "concat(substr(sur, 5), substr(sur, 1, 2), '00')"
     check = "CAST((10 - " + _luhn("concat(substr(sur, 1, length(sur) - 1), '0')") + " % 10) % 10 AS STRING)"
     return out.withColumn("sur", F.expr(
         f"CASE WHEN kind = 'card' AND {_luhn('canon')} % 10 = 0 THEN concat(substr(sur, 1, length(sur) - 1), {check}) "
+        f"WHEN kind = 'iban' AND {_mod97('concat(substr(canon, 5), substr(canon, 1, 4))')} = 1 "
+        f"THEN concat(substr(sur, 1, 2), lpad(CAST(98 - {_mod97(rest)} AS STRING), 2, '0'), substr(sur, 5)) "
         f"WHEN kind LIKE 'name%cyrillic' THEN translate(sur, '{LATIN}', '{CYRILLIC}') "
         f"WHEN kind LIKE 'name%greek' THEN translate(sur, '{LATIN}', '{GREEK}') ELSE sur END")).drop("d")
 
@@ -134,7 +160,7 @@ def _joined(words: DataFrame) -> DataFrame:
 
 def _entries() -> Column:
     """What a text with the entity has replaced: the entity itself and, for a name, its untitled full and last name."""
-    name = F.regexp_extract("entity", rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1)
+    name = F.regexp_extract("entity", rf"^{TITLE}(.*)$", 1)
     entry = lambda e, s, mention: F.struct(e.alias("entity"), s.alias("surrogate"), F.lit(mention).alias("mention"))
     own = entry(F.col("entity"), _laid_out(), False)
     return F.when(F.col("last").isNull(), F.array(own)).otherwise(F.array(
@@ -147,14 +173,16 @@ def _laid_out() -> Column:
     own = f"{at} + IF({at} > length(sur) - extra - tail, extra, 0)"
     more = f"IF({at} = length(sur) - extra - tail, substr(sur, {at} + 1, extra), '')"
     cased = f"concat(CASE WHEN c <> lower(c) THEN upper(substr(sur, {own}, 1)) ELSE substr(sur, {own}, 1) END, {more})"
-    title = rf"regexp_extract(entity, '^((?:{FEMALE}|{MALE})\\.? )', 1)"
+    title = "regexp_extract(entity, '^(" + TITLE.replace("\\", "\\\\") + ")', 1)"
     return F.expr(
-        f"CASE WHEN kind = 'ip' THEN sur WHEN kind LIKE 'name%' THEN concat({title}, initcap(sur)) "
+        f"CASE WHEN kind IN ('ip', 'ip6') THEN sur WHEN kind LIKE 'name%' THEN concat({title}, initcap(sur)) "
         rf"ELSE array_join(transform(split(entity, ''), (c, i) -> CASE WHEN c RLIKE '[\\p{{L}}\\p{{N}}]' THEN {cased} ELSE c END), '') END")
 
 
-def surrogate_pii(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
-    """``docs`` with every entity in its text column replaced, and ``n_entities`` (replaced occurrences) added.
+def surrogate_pii(docs: DataFrame, key: str = KEY, text_col: str = "text", count_col: str | None = "n_entities") -> DataFrame:
+    """``docs`` with every entity in its text column replaced, and ``count_col`` (replaced occurrences; None: not wanted) as the last column.
+
+    A column of that name in ``docs`` gives way to it.
 
     All other columns and all rows stay as they are, whatever they hold; null texts stay null, empty ones empty, both with
     0 entities. Equal texts get equal results, and so do equal entities of one kind wherever they occur.
@@ -174,7 +202,9 @@ def surrogate_pii(docs: DataFrame, key: str = KEY, text_col: str = "text") -> Da
     # Persons of one last name in a text: its bare mentions get the first of their surrogates.
     maps = found.join(named, "entity").groupBy("rid").agg(F.sort_array(F.flatten(F.collect_list("entries"))).alias("all"))
     maps = maps.select("rid", F.filter("all", lambda e, i: (i == 0) | (e["entity"] != F.col("all")[F.greatest(i - 1, F.lit(0))]["entity"])).alias("all"))
-    mentions = F.array_join(F.reverse(F.filter("all", lambda e: e["mention"])["entity"]), "|")
+    begins = F.lit(r"(?<!(?:^|[.!?:\n]\s{0,2}))")
+    mentions = F.array_join(F.transform(F.reverse(F.filter("all", lambda e: e["mention"])["entity"]),
+                                        lambda e: F.when(e.isin(*COMMON), F.concat(begins, e)).otherwise(e)), "|")
     maps = maps.select("rid", F.map_from_entries(F.transform("all", lambda e: F.struct(e["entity"], e["surrogate"]))).alias("names"),
                        F.when(mentions != "", F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), mentions, F.lit(r")(?![\p{L}\p{N}])")))
                        .otherwise(F.lit(PATTERN)).alias("pattern"))
@@ -186,4 +216,5 @@ def surrogate_pii(docs: DataFrame, key: str = KEY, text_col: str = "text") -> Da
               .withColumn("n_entities", F.coalesce(F.array_size("ents"), F.lit(0)).cast("long")))
     others = rows.filter(~F.coalesce(likely, F.lit(False))).select("*", F.col("text").alias("new_text"), F.lit(0).cast("long").alias("n_entities"))
     both = joined.select(*others.columns).unionByName(others)
-    return both.select(*[(F.col("new_text") if c == text_col else F.col(a)).alias(c) for c, a in mine.items()], "n_entities")
+    return both.select(*[(F.col("new_text") if c == text_col else F.col(a)).alias(c) for c, a in mine.items() if c != count_col],
+                       *[F.col("n_entities").alias(c) for c in [count_col] if c])

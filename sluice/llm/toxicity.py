@@ -248,7 +248,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                                               pa.array(terms_out, pa.binary())], names=["toxic", "mask", "terms"])
 
     # At most SAMPLE ids: a broadcast of proven size, so no text is shuffled.
-    sample = rows.join(F.broadcast(gold), "doc_id").select("toxic", "text").mapInArrow(features, "toxic int, mask long, terms binary").toPandas()
+    # An id may be that of many rows, so rows are bounded too: the SAMPLE least hashes of id and text, equal rows once.
+    labelled = rows.join(F.broadcast(gold), "doc_id").select("toxic", "text", F.xxhash64("doc_id", "text").alias("row"))
+    last = labelled.select("row").distinct().orderBy("row").limit(SAMPLE).agg(F.max("row")).first()[0]
+    drawn_rows = labelled.filter(F.col("row") <= F.lit(last)).groupBy("row").agg(F.first("toxic").alias("toxic"), F.first("text").alias("text"))
+    sample = drawn_rows.orderBy("row").select("toxic", "text").mapInArrow(features, "toxic int, mask long, terms binary").toPandas()
     held = [np.frombuffer(w, B.U64) for w in sample["terms"]]
     toxic = sample["toxic"].to_numpy(np.int64)
     none = np.zeros(0, np.int64)

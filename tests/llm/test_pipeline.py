@@ -202,3 +202,13 @@ def test_pipeline_of_no_rows(spark, tmp_path):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     none.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_leave_extra_columns_alone(docs, spark):
+    names = ["epochs", "last", "domain", "epoch", "n_entities", "row", "left", "at"]
+    extra = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"my {c}").alias(c) for c in names])
+    for stage in (corpus_pipeline.pii, corpus_pipeline.mix):
+        out = stage(spark, extra, "")
+        assert out.columns == extra.columns
+        got = out.select(*names).distinct().collect()
+        assert [tuple(r) for r in got] == [tuple(f"my {c}" for c in names)]

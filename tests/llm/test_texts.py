@@ -264,6 +264,35 @@ def test_surrogates_without_plain_marks_and_of_persons(spark):
     assert both[1] == said[1] != both[2] and both[3] in (both[1], both[2])
 
 
+def mod97(number):
+    return int("".join(str(int(c, 36)) for c in (number[4:] + number[:4]).replace(" ", ""))) % 97
+
+
+def test_surrogates_of_long_names_other_titles_accounts_and_addresses(spark):
+    rows = [(1, "Mr John Paul Smith came. Smith left.", "en", "s"), (2, "Dr Jane Miller and Prof. Dr. Weber", "en", "s"), (3, "Herr Dr. Weber, Sra Ruiz", "en", "s"),
+            (4, "Mr Will spoke. Will you come? I saw Will.", "en", "s"), (5, "DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432", "en", "s"),
+            (6, "2001:db8::1 or 2001:0DB8:0:0:0:0:0:1, fe80::1:2, not std::vector or 12:30:45", "en", "s")]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in pii_surrogates.surrogate_pii(frame(spark, rows)).collect()}
+    name = re.fullmatch(r"Mr (\w+) (\w+) (\w+) came\. (\w+) left\.", got[1][0])
+    assert got[1][1] == 2 and name[3] == name[4] and not re.search("John|Paul|Smith", got[1][0])
+    doctors = re.fullmatch(r"Dr (\w+ne) (\w+ne) and Prof\. Dr\. (\w+ne)", got[2][0])
+    others = re.fullmatch(r"Herr Dr\. (\w+no), Sra (\w+na)", got[3][0])
+    assert doctors and others and "Weber" not in got[2][0] + got[3][0]
+    will = re.fullmatch(r"Mr (\w+) spoke\. Will you come\? I saw (\w+)\.", got[4][0])
+    assert got[4][1] == 2 and will[1] == will[2] != "Will"
+    accounts = re.fullmatch(r"(DE\d{2} \d{4} \d{4} \d{4} \d{4} \d{2}) and (GB\d{2}[A-Z]{4}\d{14})", got[5][0])
+    assert all(mod97(a) == 1 for a in accounts.groups()) and "3704" not in got[5][0] and "WEST" not in got[5][0]
+    group = "(?:[0-9a-f]{4}:){7}[0-9a-f]{4}"
+    addresses = re.fullmatch(f"({group}) or ({group}), ({group}), not std::vector or 12:30:45", got[6][0])
+    assert got[6][1] == 3 and addresses[1] == addresses[2] != addresses[3]
+
+
+def test_count_column_gives_way_or_is_not_wanted(spark):
+    docs = frame(spark, [(1, "a@b.de", "en", "s")]).withColumn("n_entities", F.lit("mine"))
+    assert pii_surrogates.surrogate_pii(docs).select("n_entities").first()[0] == 1
+    assert pii_surrogates.surrogate_pii(docs, count_col=None).select("n_entities").first()[0] == "mine"
+
+
 def luhn(digits):
     total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits)))
     return total % 10 == 0
@@ -338,6 +367,17 @@ def test_toxicity_without_labels(docs, rows, empty, spark):
     assert toxicity.toxicity(empty, none).count() == 0
 
 
+def test_toxicity_sample_bounds_rows(spark, monkeypatch):
+    """One labelled id may be that of very many rows: what is collected is still bounded, and repeated rows count once."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    held = []
+    monkeypatch.setattr(toxicity, "frequent_terms", lambda terms, toxic, f=toxicity.frequent_terms: held.append(len(terms)) or f(terms, toxic))
+    rows = [(i % 20, f"idiot word{i} more" if i % 2 else f"kind word{i} more", "en", "s") for i in range(600)] + [(1, "same", "en", "s")] * 300
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(frame(spark, rows), labels).count() == len(rows)
+    assert held == [40]
+
+
 def test_label_model_finds_accuracies():
     rng = np.random.default_rng(0)
     y = rng.random(20_000) < 0.2
