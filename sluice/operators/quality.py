@@ -22,6 +22,11 @@ CHECK_SCHEMA = StructType([
     StructField("failures", ArrayType(StringType(), False), False),
 ])
 
+# The texts of failed checks.
+EMPTY_TABLE = "row_count is 0"
+NULL_VALUES = "{column} has {n} null values out of {rows}"
+MISSING_COLUMN = "missing required column {column}"
+
 
 def _as_column(rule: str | Column) -> Column:
     return F.expr(rule) if isinstance(rule, str) else rule
@@ -51,11 +56,11 @@ def sanity_check(
     ]
     stats = df.agg(*aggs)
     n = F.col("_n")
-    messages = [F.when(n == 0, F.lit("row_count is 0"))]
+    messages = [F.when(n == 0, F.lit(EMPTY_TABLE))]
     for i, c in enumerate(present):
         k = F.col(f"_null_{i}")
-        messages.append(F.when(k > 0, F.format_string(f"{c} has %d null values out of %d", k, n)))
-    messages += [F.lit(f"missing required column {c}") for c in missing]
+        messages.append(F.when(k > 0, F.format_string(NULL_VALUES.format(column=c.replace("%", "%%"), n="%d", rows="%d"), k, n)))
+    messages += [F.lit(MISSING_COLUMN.format(column=c)) for c in missing]
     failures = F.filter(F.array(*messages), lambda m: m.isNotNull())
     return stats.select(
         F.lit(table).alias("table"),

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from sluice.context import RunContext
 from sluice.operators.audit import AUDIT_COLUMNS, add_audit_columns, strip_audit_columns
 from sluice.operators.columns import sanitize_columns
-from sluice.operators.quality import Expectation, enforce, expect
+from sluice.operators.quality import EMPTY_TABLE, MISSING_COLUMN, NULL_VALUES, Expectation, enforce, expect
 from sluice.plans.eventlog import EventLog
 from sluice.plans.tables import Table
 from sluice.sources import formats
@@ -45,9 +45,9 @@ class Gate:
         return {f"null:{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in dict.fromkeys(held)}
 
     def failures(self, df: DataFrame, got: dict[str, int]) -> list[str]:
-        out = [] if got["rows"] or self.allow_empty else ["row_count is 0"]
-        out += [f"{k[5:]} has {n} null values out of {got['rows']}" for k, n in got.items() if k.startswith("null:") and n]
-        return out + [f"missing required column {c}" for c in dict.fromkeys((*self.required_columns, *self.not_null_columns)) if c not in df.columns]
+        out = [] if got["rows"] or self.allow_empty else [EMPTY_TABLE]
+        out += [NULL_VALUES.format(column=k[5:], n=n, rows=got["rows"]) for k, n in got.items() if k.startswith("null:") and n]
+        return out + [MISSING_COLUMN.format(column=c) for c in dict.fromkeys((*self.required_columns, *self.not_null_columns)) if c not in df.columns]
 
 
 @dataclass
@@ -207,6 +207,7 @@ def refresh_with_expectations(spark: SparkSession, spec: SourceSpec, target: str
     return LoadResult(spec.key, target, rows, ctx.run_id, load_id, quarantined=bad, metrics=counted["metrics"])
 
 
+# The names of loading techniques in source specs.
 TECHNIQUES = ("copy_into", "full_refresh", "pyspark_read_write", "autoloader", "stream", "expectations", "delta_live_tables", "materialized_view")
 
 

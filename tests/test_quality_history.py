@@ -23,6 +23,8 @@ def test_sanity_check_messages(spark, events):
     broken = events.withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id")))
     res = check_result(sanity_check(broken, "t", columns=("user_id", "load_dt"), required_columns=("zz",)))
     assert res["failures"] == [f"user_id has {k} null values out of {n}", "missing required column zz"]
+    odd = check_result(sanity_check(broken.withColumnRenamed("user_id", "100% of {n}"), "t", columns=("100% of {n}",)))
+    assert odd["failures"] == [f"100% of {{n}} has {k} null values out of {n}"]
     empty = check_result(sanity_check(events.limit(0), "t"))
     assert empty["failures"] == ["row_count is 0"] and not empty["passed"]
 
