@@ -35,6 +35,9 @@ HEAVY_SHARE = 1000
 CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 60_000
 BUCKET_CHARS = 4_000_000
+BUCKETS_PART = 8  # buckets for each part of the contexts' hashes
+ROUNDS = 4  # of scoring, each for its share of the documents
+FIXED = 2.0 ** 32  # sums of logarithms travel in whole numbers of this fraction
 SEED = 11
 START, END = B.U64(0x51ED270B7F4A7C15), B.U64(0x2545F4914F6CDD1D)
 
@@ -131,8 +134,7 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
                 docs_of = doc[token_cuts[b]: token_cuts[b + 1]]
                 counts = total if tokens else train
                 arrays = [narrow(a) for a in (unique[w], before[c], np.bincount(wi), ci, counts[some], docs_of)]
-                blob = np.array([len(a) for a in arrays], np.uint32).tobytes() + b"".join(arrays)
-                rows.append((int(b), chunk, n_train, blob, None, None))
+                rows.append((int(b), chunk, n_train, framed(arrays), None, None))
             if tokens:
                 n_tokens = np.bincount(np.concatenate([p[2] for p in parts]), minlength=len(held))[place]
                 rows.append((chunk % n, chunk, n_train, None, pa.concat_arrays(ids).take(pa.array(place)).to_pylist(), n_tokens.tolist()))
@@ -157,22 +159,34 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
 
 
 def narrow(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs, and that number of bytes before them."""
+    """Whole numbers in as few bytes each as the largest needs, first bytes first, compressed; that number of bytes and theirs before them."""
     kind = np.min_scalar_type(int(values.max())) if len(values) else np.dtype(np.uint8)
-    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()
+    return bytes([kind.itemsize]) + np.uint64(len(planes)).tobytes() + pa.compress(planes, "zstd", asbytes=True)
 
 
 def widened(raw: bytes) -> np.ndarray:
     """The numbers that :func:`narrow` packed, as int64, or uint64 where they take all eight bytes."""
-    values = np.frombuffer(raw, f"u{raw[0]}", offset=1)
+    size = int(np.frombuffer(raw, np.uint64, 1, 1)[0])
+    planes = np.frombuffer(pa.decompress(raw[9:], size, "zstd", asbytes=True), np.uint8).reshape(raw[0], -1)
+    values = np.ascontiguousarray(planes.T).view(f"u{raw[0]}").ravel()
     return values if raw[0] == 8 else values.astype(np.int64)
 
 
+def framed(parts: list[bytes]) -> bytes:
+    """Byte strings as one, their number and lengths before them."""
+    return np.array([len(parts), *map(len, parts)], np.uint64).tobytes() + b"".join(parts)
+
+
+def unframed(raw: bytes) -> list[bytes]:
+    n = int(np.frombuffer(raw, np.uint64, 1)[0])
+    ends = 8 * (n + 1) + np.append(0, np.cumsum(np.frombuffer(raw, np.uint64, n, 8).astype(np.int64)))
+    return [raw[lo:hi] for lo, hi in zip(ends, ends[1:], strict=False)]
+
+
 def _unpacked(raw) -> tuple[np.ndarray, ...]:
     """``(words, contexts, word, context, counts, docs)`` of a blob; pairs are sorted by word, whose numbers of pairs are kept."""
-    raw = bytes(raw)
-    ends = 24 + np.append(0, np.cumsum(np.frombuffer(raw, np.uint32, 6).astype(np.int64)))
-    words, contexts, pairs, context, counts, docs = (widened(raw[lo:hi]) for lo, hi in zip(ends, ends[1:], strict=False))
+    words, contexts, pairs, context, counts, docs = map(widened, unframed(bytes(raw)))
     return words.astype(B.U64), contexts.astype(B.U64), np.repeat(np.arange(len(words)), pairs), context, counts, docs
 
 
@@ -248,11 +262,11 @@ class Model:
 
 
 #: A bucket's row: its words and contexts (ascending hashes); pairs of each word, their contexts, training tokens and tables; tables of its words at the
-#: root; customers of its contexts in the whole corpus; tokens and tables of its contexts here; probabilities summed so far; corpus sums, then
-#: tokens and tables of heavy words.
+#: root; customers of its contexts in the whole corpus; tokens and tables of its contexts here; the kept seatings (see ``Bucket.keep``); corpus sums,
+#: then tokens and tables of heavy words.
 ARRAYS = ("words", "contexts", "pairs", "context", "count", "tables", "root_tables", "customers", "context_count", "context_tables")
-STATE = "bucket int, " + "".join(f"{name} binary, " for name in ARRAYS) + "p binary, sums array<double>"
-SCORED = "bucket int, words binary, contexts binary, pairs binary, context binary, count binary, p binary"
+STATE = "bucket int, " + "".join(f"{name} binary, " for name in ARRAYS) + "kept binary, sums array<double>"
+SCORED = "bucket int, words binary, contexts binary, pairs binary, context binary, count binary, customers binary, kept binary"
 SUMS = 6
 
 
@@ -279,7 +293,7 @@ class Bucket:
         pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
         count = np.bincount(at, weights=np.concatenate([p[4] for p in parts]), minlength=len(pairs))
         out = cls(heavy, words=words, contexts=contexts, word=pairs // len(contexts), context=pairs % len(contexts), count=count, tables=(count > 0).astype(float),
-                  customers=np.zeros(0), p=np.zeros(0))
+                  customers=np.zeros(0), kept=[])
         out.root_tables = np.minimum(out.by_word(out.tables), 1)
         return out
 
@@ -288,7 +302,7 @@ class Bucket:
         arrays = {name: widened(bytes(row[name])) for name in ARRAYS if name in row}
         words, contexts, pairs, context = (arrays.pop(name) for name in ("words", "contexts", "pairs", "context"))
         return cls(heavy, words=words.astype(B.U64), contexts=contexts.astype(B.U64), word=np.repeat(np.arange(len(words)), pairs), context=context,
-                   p=np.frombuffer(bytes(row["p"]), np.float64), **{name: v.astype(float) for name, v in arrays.items()})
+                   kept=unframed(bytes(row["kept"])), **{name: v.astype(float) for name, v in arrays.items()})
 
     def by_word(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.word, weights=values, minlength=len(self.words))
@@ -307,20 +321,40 @@ class Bucket:
         first = [(opened == 1).sum(), (opened == 2).sum()]
         values = (self.words, self.contexts, np.bincount(self.word, minlength=len(self.words)), self.context, self.count, self.tables, self.root_tables,
                   self.customers, self.by_context(self.count), self.by_context(self.tables))
-        row = {name: [narrow(v)] for name, v in zip(ARRAYS, values, strict=True)} | {"p": [self.p.tobytes()]}
+        row = {name: [narrow(v)] for name, v in zip(ARRAYS, values, strict=True)} | {"kept": [framed(self.kept)]}
         return pd.DataFrame({"bucket": [bucket], **row, "sums": [np.concatenate([sums, first, heavy(counts), heavy(customers)])]})
 
-    def word_probabilities(self, m: Model) -> np.ndarray:
-        """The root's predictive probability of each word of the bucket."""
+    def root_seats(self, m: Model) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of the bucket's words at the root, those of heavy words in all buckets."""
         customers, own = self.by_word(self.tables), self.root_tables.copy()
         customers[self.is_heavy], own[self.is_heavy] = m.heavy_customers[self.heavy_at], m.heavy_tables[self.heavy_at]
+        return customers, own
+
+    def word_probabilities(self, m: Model) -> np.ndarray:
+        """The root's predictive probability of each word of the bucket."""
+        customers, own = self.root_seats(m)
         return (customers - m.discount[0] * own + m.spare()) / (STRENGTH[0] + m.root[0] + m.heavy_customers.sum())
 
-    def add_probabilities(self, m: Model, context_tables: np.ndarray, kept: int) -> None:
-        """The predictive probabilities of the seating at hand join the average over ``kept`` of them."""
-        word_p, n = self.word_probabilities(m)[self.word], self.customers[self.context]
-        seat = self.count - m.discount[1] * self.tables + (STRENGTH[1] + m.discount[1] * context_tables[self.context]) * word_p
-        self.p = (self.p if len(self.p) else 0) + np.where(n > 0, seat / (STRENGTH[1] + n), word_p) / kept
+    def keep(self, m: Model, context_tables: np.ndarray) -> None:
+        """The seating at hand joins those averaged. What its probabilities hang on is far smaller than they are: tables, those of the contexts,
+        customers of heavy words at the root and tables of all, and four numbers that all buckets share."""
+        customers, own = self.root_seats(m)
+        shared = np.array([*m.discount, m.spare(), STRENGTH[0] + m.root[0] + m.heavy_customers.sum()])
+        self.kept = [*self.kept, shared.tobytes(), *map(narrow, (self.tables, context_tables, customers[self.is_heavy], own))]
+
+    @property
+    def p(self) -> np.ndarray:
+        """The predictive probability of each pair, averaged over the kept seatings."""
+        out, n = np.zeros(len(self.word)), self.customers[self.context]
+        for at in range(0, len(self.kept), 5):
+            d0, d1, spare, total = np.frombuffer(self.kept[at], np.float64)
+            tables, context_tables, heavy_customers, own = (widened(v).astype(float) for v in self.kept[at + 1: at + 5])
+            customers = self.by_word(tables)
+            customers[self.is_heavy] = heavy_customers
+            word_p = ((customers - d0 * own + spare) / total)[self.word]
+            seat = self.count - d1 * tables + (STRENGTH[1] + d1 * context_tables[self.context]) * word_p
+            out += np.where(n > 0, seat / (STRENGTH[1] + n), word_p) / (len(self.kept) // 5)
+        return out
 
     def seat(self, m: Model, context_tables: np.ndarray, sweep: int) -> None:
         """All dishes seated anew, given the tables of all others in the seating at hand."""
@@ -340,30 +374,48 @@ class Bucket:
             words, contexts, word, context, total, doc = _unpacked(blob)
             word = np.searchsorted(self.words, words)[word]
             at = np.searchsorted(pairs, word * len(self.contexts) + np.searchsorted(self.contexts, contexts)[context])
-            n = int(doc.max()) + 1
-            yield b"".join([np.bincount(doc, weights=np.repeat(log_p[at], total), minlength=n).tobytes(), np.bincount(doc, weights=np.repeat(base[word], total), minlength=n).tobytes(),
-                            np.bincount(doc, weights=np.repeat(known[word], total), minlength=n).astype(np.uint32).tobytes()])
+            tokens = np.bincount(doc)
+            present = np.flatnonzero(tokens)
+            fixed = lambda v: np.rint(np.maximum(-np.bincount(doc, weights=v)[present], 0) * FIXED).astype(B.U64)
+            yield framed([*map(narrow, (present, fixed(np.repeat(log_p[at], total)), fixed(np.repeat(base[word], total)),
+                                        np.bincount(doc, weights=np.repeat(known[word], total))[present]))])
 
 
-def _context_totals(state: DataFrame, *names: str) -> DataFrame:
-    """``(bucket, ctx, *names)``: for every context of each bucket the sums of the columns over all buckets."""
+def _context_totals(state: DataFrame, parts: int, *names: str) -> DataFrame:
+    """``(bucket, part, *names)``: for the contexts of each bucket, in their order, the sums of the columns over all buckets.
 
-    def run(batches):
+    The range of hashes is cut into parts. A bucket's contexts of one part are a row, hashes and numbers packed; their sums come back without the hashes.
+    """
+
+    def cut(batches):
         for batch in batches:
             for bucket, contexts, *values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                arrays = [widened(contexts).astype(B.U64).view(np.int64), *[widened(v).astype(np.int64) for v in values]]
-                for lo in range(0, len(arrays[0]), 1 << 16):
-                    some = [a[lo: lo + (1 << 16)] for a in arrays]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some[0]), bucket, np.int32)), *map(pa.array, some)], names=["bucket", "ctx", *names])
-
-    own = state.select("bucket", "contexts", *names).mapInArrow(run, "bucket int, ctx long, " + ", ".join(f"{n} long" for n in names))
-    same = Window.partitionBy("ctx")
-    return own.select("bucket", "ctx", *[F.sum(n).over(same).alias(n) for n in names])
+                arrays = [widened(contexts).astype(B.U64), *map(widened, values)]
+                of = (((arrays[0] >> B.U64(32)) * B.U64(parts)) >> B.U64(32)).astype(np.int64)
+                cuts = np.searchsorted(of, np.arange(parts + 1))
+                some = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), bucket, np.int32)), pa.array(some.astype(np.int32)),
+                                                  *[pa.array([narrow(a[cuts[i]: cuts[i + 1]]) for i in some], pa.binary()) for a in arrays]],
+                                                 names=["bucket", "part", "contexts", *names])
+
+    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
+        contexts = [widened(bytes(c)).astype(B.U64) for c in pdf["contexts"]]
+        cuts = np.cumsum([len(c) for c in contexts])[:-1]
+        _, at = np.unique(np.concatenate(contexts), return_inverse=True)
+        out = {"bucket": pdf["bucket"], "part": pdf["part"]}
+        for name in names:
+            totals = np.bincount(at, weights=np.concatenate([widened(bytes(v)) for v in pdf[name]]))
+            out[name] = [narrow(v) for v in np.split(totals[at], cuts)]
+        return pd.DataFrame(out)
+
+    kinds = ", ".join(f"{n} binary" for n in names)
+    own = state.select("bucket", "contexts", *names).mapInArrow(cut, f"bucket int, part int, contexts binary, {kinds}")
+    return own.groupBy("part").applyInPandas(summed, f"bucket int, part int, {kinds}")
 
 
 def _aligned(totals: pd.DataFrame, name: str) -> np.ndarray:
     """Totals in the order of the bucket's contexts."""
-    return totals[name].to_numpy(np.float64)[np.argsort(totals["ctx"].to_numpy(np.int64).view(np.uint64), kind="stable")]
+    return np.concatenate([widened(bytes(v)) for v in totals.sort_values("part")[name]]).astype(np.float64)
 
 
 def _finished(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -372,10 +424,10 @@ def _finished(pdf: pd.DataFrame) -> pd.DataFrame:
     n = len(head["n_tokens"])
     score, base, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
     for part in sorted(pdf["part"].dropna(), key=bytes):
-        k = len(part) // 20
-        score[:k] += np.frombuffer(part, np.float64, k)
-        base[:k] += np.frombuffer(part, np.float64, k, 8 * k)
-        known[:k] += np.frombuffer(part, np.uint32, k, 16 * k)
+        present, of_score, of_base, of_known = map(widened, unframed(bytes(part)))
+        score[present] -= of_score / FIXED
+        base[present] -= of_base / FIXED
+        known[present] += of_known
     return pd.DataFrame({"doc_id": list(head["ids"]), "held_out": np.arange(n) >= head["n_train"], "n_tokens": np.asarray(head["n_tokens"], np.int64),
                          "n_known": known, "base_score": base, "score": score})
 
@@ -388,7 +440,8 @@ def fold(doc_id: Column, folds: int) -> Column:
 def fitted(rows: DataFrame, n: int, base: str) -> tuple[DataFrame, Model]:
     """The buckets' table (see ``STATE``) with the averaged probability of every pair of context and word in ``rows``, and the corpus totals.
 
-    Each pass reads the table written by the one before and the totals of its contexts. ``rows``: doc_id, held_out, text.
+    Each pass reads the table written by the one before and the totals of its contexts, and overwrites the one before that. ``rows``: doc_id,
+    held_out, text.
     """
     heavy = heavy_words(rows)
     model = Model(heavy)
@@ -416,13 +469,13 @@ def fitted(rows: DataFrame, n: int, base: str) -> tuple[DataFrame, Model]:
     totals(state, 0)
 
     def turn(sweep: int):
-        # The last pass only adds the probabilities of the last seating, whose totals are known by then.
+        # The last pass only keeps the last seating, whose totals are known by then.
         def run(states: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
             bucket, context_tables = Bucket.of_row(heavy, states.iloc[0]), _aligned(found, "context_tables")
             if sweep == 1:
                 bucket.customers = _aligned(found, "context_count")
             if sweep - 1 > BURN_IN:
-                bucket.add_probabilities(model, context_tables, SWEEPS - BURN_IN)
+                bucket.keep(model, context_tables)
             if sweep <= SWEEPS:
                 bucket.seat(model, context_tables, sweep)
             return bucket.row(int(states["bucket"].iloc[0]))[names]
@@ -430,10 +483,11 @@ def fitted(rows: DataFrame, n: int, base: str) -> tuple[DataFrame, Model]:
         names = [part.split()[0] for part in (STATE if sweep <= SWEEPS else SCORED).split(", ")]
         return run
 
+    parts = max(n // BUCKETS_PART, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     for sweep in range(1, SWEEPS + 2):
-        found = _context_totals(state, "context_tables", *["context_count"][: sweep == 1]).groupBy("bucket")
+        found = _context_totals(state, parts, "context_tables", *["context_count"][: sweep == 1]).groupBy("bucket")
         seats = state.drop("context_count", "context_tables", "sums").groupBy("bucket")
-        state = written(seats.cogroup(found).applyInPandas(turn(sweep), STATE if sweep <= SWEEPS else SCORED), base, f"seating{sweep}")
+        state = written(seats.cogroup(found).applyInPandas(turn(sweep), STATE if sweep <= SWEEPS else SCORED), base, f"seating{sweep % 2}")
         if sweep <= SWEEPS:
             totals(state, sweep)
     return state, model
@@ -462,9 +516,12 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out = pd.concat([out, pd.DataFrame({"chunk": parts["chunk"].to_numpy(), "part": sums, "n_train": None, "ids": None, "n_tokens": None})])
         return out[["chunk", "part", "n_train", "ids", "n_tokens"]]
 
-    tokens = _packed(rows, spark.sparkContext.broadcast(heavy), n, tokens=True)
-    parts = (tokens.groupBy("bucket").cogroup(state.groupBy("bucket"))
-             .applyInPandas(score, "chunk long, part binary, n_train int, ids array<string>, n_tokens array<long>"))
-    out = parts.groupBy("chunk").applyInPandas(_finished, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    out = written(out, base, "scores")
+    shared, out = spark.sparkContext.broadcast(heavy), None
+    for turn in range(ROUNDS):
+        some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == turn)
+        parts = (_packed(some, shared, n, tokens=True).groupBy("bucket").cogroup(state.groupBy("bucket"))
+                 .applyInPandas(score, "chunk long, part binary, n_train int, ids array<string>, n_tokens array<long>"))
+        found = parts.groupBy("chunk").applyInPandas(_finished, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        found = written(found, base, f"scores{turn}")
+        out = found if out is None else out.unionByName(found)
     return out.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(int(model.n_tokens)).cast("long").alias("train_tokens"), "base_score", "score")

@@ -15,10 +15,19 @@ from pyspark.sql import functions as F
 from sluice.context import new_workdir
 
 
+#: Shuffle files go as soon as the query that wrote them ends, instead of when the driver's garbage collector finds them unused.
+_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, workdir: str, name: str) -> DataFrame:
-    """``df`` written as Parquet under ``workdir`` (in the shared folder) and read again: lineage ends there."""
-    path = f"{workdir}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    """``df`` written as Parquet under ``workdir`` (in the shared folder) and read again: lineage ends there, and its shuffle files are removed."""
+    path, conf = f"{workdir}/{name}", df.sparkSession.conf
+    before = conf.get(_CLEANUP_KEY, None)
+    conf.set(_CLEANUP_KEY, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.unset(_CLEANUP_KEY) if before is None else conf.set(_CLEANUP_KEY, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
