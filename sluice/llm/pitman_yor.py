@@ -32,6 +32,7 @@ BURN_IN = 1
 STRENGTH = (1.0, 4.0)  # root, contexts
 ADD = 0.1
 HEAVY_SHARE = 1000
+PIECE_BYTES = 1 << 17  # of texts hashed at a time: their running sums stay in a core's cache
 CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 60_000
 BUCKET_CHARS = 4_000_000
@@ -43,8 +44,8 @@ START, END = B.U64(0x51ED270B7F4A7C15), B.U64(0x2545F4914F6CDD1D)
 
 
 def _tokens(batch_text, held: np.ndarray):
-    """``(words, contexts, doc, held)`` of some rows at a time: all words of each text, then its end."""
-    for lo, hi, data, bounds in B.text_chunks(batch_text):
+    """``(words, doc, held, first row)`` of some rows at a time: all words of each text, then its end."""
+    for lo, hi, data, bounds in B.text_chunks(batch_text, PIECE_BYTES):
         hashes, first = B.word_hashes(data, bounds)
         n = hi - lo
         doc = np.repeat(np.arange(n), np.diff(first))
@@ -52,10 +53,33 @@ def _tokens(batch_text, held: np.ndarray):
         words = np.empty(len(hashes) + n, B.U64)
         words[np.arange(len(hashes)) + doc] = hashes
         words[ends] = END
-        before = np.empty_like(words)
-        before[1:] = words[:-1]
-        before[np.append(0, ends[:-1] + 1)] = START
-        yield words, before, np.repeat(np.arange(n), np.diff(first) + 1), held[lo:hi], lo
+        yield words, np.repeat(np.arange(n), np.diff(first) + 1), held[lo:hi], lo
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of each value among them: ``np.unique`` by a hash table, which sorts the distinct ones alone."""
+    coded = pa.array(values).dictionary_encode()
+    found = coded.dictionary.to_numpy()
+    order = np.argsort(found)
+    place = np.empty(len(found), np.int64)
+    place[order] = np.arange(len(found))
+    return found[order], place[coded.indices.to_numpy()]
+
+
+def ascending(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """The order of rows by two columns of whole numbers, equal ones as they stand; columns and row number are sorted as one number where 63 bits hold them."""
+    low = len(first).bit_length()
+    middle = int(then.max(initial=0)).bit_length()
+    if int(first.max(initial=0)).bit_length() + middle + low > 63:
+        return np.lexsort((then, first))
+    return np.sort(first << (middle + low) | then << low | np.arange(len(first))) & ((1 << low) - 1)
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """The rows at which a column has another value than in the row before, and the first."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
 
 
 def heavy_words(docs: DataFrame) -> np.ndarray:
@@ -105,38 +129,48 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
             place = np.argsort(held, kind="stable")
             rank = np.empty(len(held), np.int64)
             rank[place] = np.arange(len(held))
-            words, ctx, doc = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            doc = rank[doc]
+            words, doc = (np.concatenate([p[i] for p in parts]) for i in range(2))
             chunk, n_train = own << 32 | number, int((~held).sum())
-            unique, at = np.unique(words, return_inverse=True)
-            before, of = np.unique(ctx, return_inverse=True)
-            key = at * len(before) + of
-            order = np.argsort(key, kind="stable")
-            key, doc = key[order], doc[order]
-            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            hashes, at = distinct(np.append(words, START))
+            before = np.append(at[-1], at[:-2])
+            before[changes(doc)] = at[-1]
+            # Word, context and document as one number: at most 2^20 tokens, or one document, make a chunk, so 63 bits hold it.
+            bits, doc_bits = len(hashes).bit_length(), (len(held) - 1).bit_length()
+            key = np.sort(at[:-1] << (bits + doc_bits) | before << doc_bits | rank[doc])
+            doc, key = key & ((1 << doc_bits) - 1), key >> doc_bits
+            starts = changes(key)
             total = np.diff(np.append(starts, len(key)))
-            train = np.add.reduceat((doc < n_train).astype(np.int64), starts)
-            word, context = key[starts] // len(before), key[starts] % len(before)
-            bucket = (B.mix(unique) % B.U64(n)).astype(np.int64)[word]
+            word, context = key[starts] >> bits, key[starts] & ((1 << bits) - 1)
+            bucket = (B.mix(hashes) % B.U64(n)).astype(np.int64)[word]
             if len(dealt):
-                wide = np.isin(unique, dealt)[word]
-                bucket[wide] = (pair_keys(unique[word[wide]], before[context[wide]], 0) % B.U64(n)).astype(np.int64)
-            by_bucket = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[by_bucket], np.arange(n + 1))
-            token_bucket = np.repeat(bucket, total)
-            doc = doc[np.argsort(token_bucket, kind="stable")].astype(np.uint16) if tokens else doc[:0]
-            token_cuts = np.append(0, np.cumsum(np.bincount(token_bucket, minlength=n))) if tokens else np.zeros(n + 1, np.int64)
+                wide = np.isin(hashes, dealt)[word]
+                bucket[wide] = (pair_keys(hashes[word[wide]], hashes[context[wide]], 0) % B.U64(n)).astype(np.int64)
+            small = bucket.astype(np.min_scalar_type(n))  # sorted by digits where it has 16 bits
+            by_bucket = np.argsort(small, kind="stable")
+            if tokens:
+                counts, docs_of = total[by_bucket], doc[np.argsort(np.repeat(small, total), kind="stable")]
+            else:
+                counts, docs_of = np.add.reduceat((doc < n_train).astype(np.int64), starts)[by_bucket], doc[:0]
+            bucket, word, context = bucket[by_bucket], word[by_bucket], context[by_bucket]
+            cuts = np.searchsorted(bucket, np.arange(n + 1))
+            token_cuts = np.append(0, np.cumsum(counts))[cuts] if tokens else np.zeros(n + 1, np.int64)
+            # Each bucket's words and contexts, ascending, and the place of each pair's context among them.
+            first_word = changes(bucket, word)
+            word_cuts, n_pairs = np.searchsorted(first_word, cuts), np.diff(np.append(first_word, len(word)))
+            order = ascending(bucket, context)
+            first_context = changes(bucket, context[order])
+            context_cuts = np.searchsorted(first_context, cuts)
+            context_at = np.empty(len(context), np.int64)
+            context_at[order] = np.repeat(np.arange(len(first_context)), np.diff(np.append(first_context, len(context))))
+            context_at -= context_cuts[bucket]
+            own_words, own_contexts = hashes[word[first_word]], hashes[context[order[first_context]]]
             rows = []
             for b in np.flatnonzero(np.diff(cuts)):
-                some = by_bucket[cuts[b]: cuts[b + 1]]
-                w, wi = np.unique(word[some], return_inverse=True)
-                c, ci = np.unique(context[some], return_inverse=True)
-                docs_of = doc[token_cuts[b]: token_cuts[b + 1]]
-                counts = total if tokens else train
-                arrays = [narrow(a) for a in (unique[w], before[c], np.bincount(wi), ci, counts[some], docs_of)]
+                pairs, w, c, t = (slice(x[b], x[b + 1]) for x in (cuts, word_cuts, context_cuts, token_cuts))
+                arrays = [narrow(a) for a in (own_words[w], own_contexts[c], n_pairs[w], context_at[pairs], counts[pairs], docs_of[t])]
                 rows.append((int(b), chunk, n_train, framed(arrays), None, None))
             if tokens:
-                n_tokens = np.bincount(np.concatenate([p[2] for p in parts]), minlength=len(held))[place]
+                n_tokens = np.bincount(np.concatenate([p[1] for p in parts]), minlength=len(held))[place]
                 rows.append((chunk % n, chunk, n_train, None, pa.concat_arrays(ids).take(pa.array(place)).to_pylist(), n_tokens.tolist()))
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -144,11 +178,11 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
         parts, ids, helds, size, rows = [], [], [], 0, 0
         for batch in batches:
             flags = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for words, ctx, doc, held, lo in _tokens(batch.column("text"), flags):
+            for words, doc, held, lo in _tokens(batch.column("text"), flags):
                 if rows and (size + len(words) > CHUNK_TOKENS or rows + len(held) > CHUNK_DOCS):
                     yield flush(parts, ids, helds)
                     number, parts, ids, helds, size, rows = number + 1, [], [], [], 0, 0
-                parts.append((words, ctx, doc + rows))
+                parts.append((words, doc + rows))
                 ids.append(batch.column("doc_id").slice(lo, len(held)))
                 helds.append(held)
                 size, rows = size + len(words), rows + len(held)
@@ -161,7 +195,8 @@ def _packed(docs: DataFrame, heavy, n: int, tokens: bool) -> DataFrame:
 def narrow(values: np.ndarray) -> bytes:
     """Whole numbers in as few bytes each as the largest needs, first bytes first, compressed; that number of bytes and theirs before them."""
     kind = np.min_scalar_type(int(values.max())) if len(values) else np.dtype(np.uint8)
-    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()
+    cells = values.astype(kind).view(np.uint8).reshape(-1, kind.itemsize)
+    planes = b"".join(np.ascontiguousarray(cells[:, i]) for i in range(kind.itemsize))  # much faster than the transposed array's bytes
     return bytes([kind.itemsize]) + np.uint64(len(planes)).tobytes() + pa.compress(planes, "zstd", asbytes=True)
 
 
@@ -169,7 +204,10 @@ def widened(raw: bytes) -> np.ndarray:
     """The numbers that :func:`narrow` packed, as int64, or uint64 where they take all eight bytes."""
     size = int(np.frombuffer(raw, np.uint64, 1, 1)[0])
     planes = np.frombuffer(pa.decompress(raw[9:], size, "zstd", asbytes=True), np.uint8).reshape(raw[0], -1)
-    values = np.ascontiguousarray(planes.T).view(f"u{raw[0]}").ravel()
+    cells = np.empty(planes.shape[::-1], np.uint8)
+    for i, plane in enumerate(planes):
+        cells[:, i] = plane
+    values = cells.view(f"u{raw[0]}").ravel()
     return values if raw[0] == 8 else values.astype(np.int64)
 
 
@@ -190,6 +228,15 @@ def _unpacked(raw) -> tuple[np.ndarray, ...]:
     return words.astype(B.U64), contexts.astype(B.U64), np.repeat(np.arange(len(words)), pairs), context, counts, docs
 
 
+def _pair_numbers(parts, word: np.ndarray, context: np.ndarray, n_contexts: int) -> np.ndarray:
+    """A number for each pair of all blobs, from the numbers of the words and contexts that the blobs list."""
+    out, w_from, c_from = [], 0, 0
+    for p in parts:
+        out.append(word[w_from: w_from + len(p[0])][p[2]] * n_contexts + context[c_from: c_from + len(p[1])][p[3]])
+        w_from, c_from = w_from + len(p[0]), c_from + len(p[1])
+    return np.concatenate(out)
+
+
 def pair_keys(words: np.ndarray, contexts: np.ndarray, sweep: int) -> np.ndarray:
     """What random numbers of dishes hang on: the word, the context and the sweep."""
     return B.mix(words ^ B.mix(contexts + START)) + B.U64((SEED + 1000 * sweep) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
@@ -274,6 +321,7 @@ class Bucket:
     """The pairs of one bucket and the seating of its dishes."""
 
     def __init__(self, heavy: np.ndarray, **arrays):
+        self.as_read: dict[str, bytes] = {}  # packed arrays that no sweep changes
         self.__dict__.update(arrays)
         place = np.searchsorted(heavy, self.words)
         place[place == len(heavy)] = 0
@@ -284,13 +332,9 @@ class Bucket:
     def opened(cls, heavy: np.ndarray, blobs) -> "Bucket":
         """All pairs of the blobs, with one table a dish."""
         parts = [_unpacked(b) for b in blobs]
-        words, w = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        contexts, c = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
-        keys, w_from, c_from = [], 0, 0
-        for p in parts:
-            keys.append(w[w_from: w_from + len(p[0])][p[2]] * len(contexts) + c[c_from: c_from + len(p[1])][p[3]])
-            w_from, c_from = w_from + len(p[0]), c_from + len(p[1])
-        pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
+        words, w = distinct(np.concatenate([p[0] for p in parts]))
+        contexts, c = distinct(np.concatenate([p[1] for p in parts]))
+        pairs, at = distinct(_pair_numbers(parts, w, c, len(contexts)))
         count = np.bincount(at, weights=np.concatenate([p[4] for p in parts]), minlength=len(pairs))
         out = cls(heavy, words=words, contexts=contexts, word=pairs // len(contexts), context=pairs % len(contexts), count=count, tables=(count > 0).astype(float),
                   customers=np.zeros(0), kept=[])
@@ -302,7 +346,7 @@ class Bucket:
         arrays = {name: widened(bytes(row[name])) for name in ARRAYS if name in row}
         words, contexts, pairs, context = (arrays.pop(name) for name in ("words", "contexts", "pairs", "context"))
         return cls(heavy, words=words.astype(B.U64), contexts=contexts.astype(B.U64), word=np.repeat(np.arange(len(words)), pairs), context=context,
-                   kept=unframed(bytes(row["kept"])), **{name: v.astype(float) for name, v in arrays.items()})
+                   as_read={name: bytes(row[name]) for name in ("words", "contexts", "pairs", "context", "count")}, kept=unframed(bytes(row["kept"])), **{name: v.astype(float) for name, v in arrays.items()})
 
     def by_word(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.word, weights=values, minlength=len(self.words))
@@ -321,7 +365,7 @@ class Bucket:
         first = [(opened == 1).sum(), (opened == 2).sum()]
         values = (self.words, self.contexts, np.bincount(self.word, minlength=len(self.words)), self.context, self.count, self.tables, self.root_tables,
                   self.customers, self.by_context(self.count), self.by_context(self.tables))
-        row = {name: [narrow(v)] for name, v in zip(ARRAYS, values, strict=True)} | {"kept": [framed(self.kept)]}
+        row = {name: [self.as_read.get(name) or narrow(v)] for name, v in zip(ARRAYS, values, strict=True)} | {"kept": [framed(self.kept)]}
         return pd.DataFrame({"bucket": [bucket], **row, "sums": [np.concatenate([sums, first, heavy(counts), heavy(customers)])]})
 
     def root_seats(self, m: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -369,16 +413,24 @@ class Bucket:
         counts[self.is_heavy] = m.heavy_counts[self.heavy_at]
         log_p, known = np.log10(self.p), counts > 0
         base = np.log10((counts + ADD) / (m.n_tokens + ADD * (m.n_words + 1)))
-        pairs = self.word * len(self.contexts) + self.context
-        for blob in blobs:
-            words, contexts, word, context, total, doc = _unpacked(blob)
-            word = np.searchsorted(self.words, words)[word]
-            at = np.searchsorted(pairs, word * len(self.contexts) + np.searchsorted(self.contexts, contexts)[context])
-            tokens = np.bincount(doc)
-            present = np.flatnonzero(tokens)
-            fixed = lambda v: np.rint(np.maximum(-np.bincount(doc, weights=v)[present], 0) * FIXED).astype(B.U64)
-            yield framed([*map(narrow, (present, fixed(np.repeat(log_p[at], total)), fixed(np.repeat(base[word], total)),
-                                        np.bincount(doc, weights=np.repeat(known[word], total))[present]))])
+        parts = [_unpacked(blob) for blob in blobs]
+        if not parts:
+            return
+        words, contexts, _, _, total, doc = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        words = np.searchsorted(self.words, words)
+        numbers = _pair_numbers(parts, words, np.searchsorted(self.contexts, contexts), len(self.contexts))
+        at = np.repeat(np.searchsorted(self.word * len(self.contexts) + self.context, numbers), total)
+        # The documents of all blobs are numbered one after the other.
+        sizes = [len(p[5]) for p in parts]
+        firsts = np.append(0, np.cumsum([p[5].max() + 1 for p in parts]))
+        doc = doc + np.repeat(firsts[:-1], sizes)
+        present = np.flatnonzero(np.bincount(doc))
+        sums = lambda v: np.bincount(doc, weights=v)[present]
+        fixed = lambda v: np.rint(np.maximum(-sums(v), 0) * FIXED).astype(B.U64)
+        values = fixed(log_p[at]), fixed(base[self.word[at]]), sums(known[self.word[at]])
+        cuts = np.searchsorted(present, firsts)
+        for first, lo, hi in zip(firsts, cuts, cuts[1:], strict=False):
+            yield framed([narrow(present[lo:hi] - first), *(narrow(v[lo:hi]) for v in values)])
 
 
 def _context_totals(state: DataFrame, parts: int, *names: str) -> DataFrame:
@@ -401,7 +453,7 @@ def _context_totals(state: DataFrame, parts: int, *names: str) -> DataFrame:
     def summed(pdf: pd.DataFrame) -> pd.DataFrame:
         contexts = [widened(bytes(c)).astype(B.U64) for c in pdf["contexts"]]
         cuts = np.cumsum([len(c) for c in contexts])[:-1]
-        _, at = np.unique(np.concatenate(contexts), return_inverse=True)
+        _, at = distinct(np.concatenate(contexts))
         out = {"bucket": pdf["bucket"], "part": pdf["part"]}
         for name in names:
             totals = np.bincount(at, weights=np.concatenate([widened(bytes(v)) for v in pdf[name]]))

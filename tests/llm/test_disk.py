@@ -2,9 +2,12 @@
 from __future__ import annotations
 
 import time
+import types
+from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +82,67 @@ def test_sums_of_few_documents_of_a_chunk_are_small():
     assert present.tolist() == [0, 50_000] and known.tolist() == [3, 1]
     assert score / pitman_yor.FIXED == pytest.approx(-np.log10(bucket.p[0]) * np.array([3, 1]), abs=1e-9)
     assert base / pitman_yor.FIXED == pytest.approx(-np.log10(1.1 / 4.5) * np.array([3, 1]), abs=1e-9)
+
+
+def test_sweeps_pack_only_what_they_change(monkeypatch):
+    bucket, *_ = opened(50, [0])
+    row = bucket.row(0).iloc[0]
+    packed = []
+    monkeypatch.setattr(pitman_yor, "narrow", lambda values: packed.append(len(values)) or narrow(values))
+    again = Bucket.of_row(NONE, row).row(0).iloc[0]
+    assert all(row[name] == again[name] for name in pitman_yor.ARRAYS)
+    assert len(packed) <= 5
+
+
+@pytest.mark.parametrize("high", [40, 1 << 40])
+def test_distinct_values_and_orders(high):
+    rng = np.random.default_rng(6)
+    first, then = rng.integers(0, high, 3_000), rng.integers(0, high, 3_000)
+    found, place = pitman_yor.distinct(first.astype(np.uint64))
+    want, at = np.unique(first, return_inverse=True)
+    assert (found == want).all() and (place == at).all()
+    assert (pitman_yor.ascending(first, then) == np.lexsort((then, first))).all()
+    assert not len(pitman_yor.ascending(NONE.astype(np.int64), NONE.astype(np.int64)))
+
+
+def test_chunks_are_packed_by_few_sorts(monkeypatch):
+    """However many buckets there are, a chunk is sorted as a whole; its blobs hold all pairs and documents."""
+    rng = np.random.default_rng(7)
+    names = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(names, n)) for n in rng.integers(0, 60, 120)] + ["", None, "end " * 400]
+    held = rng.random(len(texts)) < 0.3
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(map(str, range(len(texts)))), "held_out": pa.array(held), "text": pa.array(texts)})
+    own, = (words for words, *_ in pitman_yor._tokens(pa.array(["end"]), np.zeros(1, bool)))
+    heavy = np.sort(own)
+    monkeypatch.setattr(pitman_yor, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    calls = Counter()
+    for name in ("unique", "sort", "argsort", "lexsort"):
+        monkeypatch.setattr(np, name, lambda *a, f=getattr(np, name), **k: calls.update(["sorts"]) or f(*a, **k))
+    docs = types.SimpleNamespace(mapInArrow=lambda run, schema: run)
+    want = Counter()
+    for text, h in zip(texts, held, strict=True):
+        of = [*((text or "").split()), None]
+        want.update((a, b, bool(h)) for a, b in zip([None, *of], of, strict=False))
+    sorts = []
+    for n in (3, 70):
+        for tokens in (False, True):
+            calls.clear()
+            rows = pa.Table.from_batches(pitman_yor._packed(docs, types.SimpleNamespace(value=heavy), n, tokens)(iter([batch]))).to_pylist()
+            sorts.append(calls["sorts"])
+            n_train, pairs, trained, listed = int((~held).sum()), [], 0, Counter()
+            for row in (r for r in rows if r["blob"] is not None):
+                words, contexts, word, context, counts, of_docs = pitman_yor._unpacked(row["blob"])
+                assert (np.diff(words.astype(float)) > 0).all() and (np.diff(contexts.astype(float)) > 0).all()
+                pairs += zip(words[word].tolist(), contexts[context].tolist(), strict=True)
+                trained += counts.sum()
+                if tokens:
+                    assert counts.sum() == len(of_docs)
+                    listed.update(of_docs.tolist())
+            assert len(pairs) == len(set(pairs)) == len({k[:2] for k in want})
+            if tokens:
+                ids, = ([r["ids"], r["n_tokens"]] for r in rows if r["blob"] is None)
+                assert all(n_of == len((texts[int(i)] or "").split()) + 1 == listed[at] for at, (i, n_of) in enumerate(zip(*ids, strict=True)))
+                assert sum(listed[i] for i in range(n_train)) == sum(c for (*_, h), c in want.items() if not h)
+            else:
+                assert trained == sum(c for (*_, h), c in want.items() if not h)
+    assert sorts[:2] == sorts[2:] and max(sorts) < 12
