@@ -37,7 +37,7 @@ CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 60_000
 BUCKET_CHARS = 4_000_000
 BUCKETS_PART = 8  # buckets for each part of the contexts' hashes
-ROUNDS = 4  # of scoring, each for its share of the documents
+ROUNDS = 3  # of scoring, each for its share of the documents
 FIXED = 2.0 ** 32  # sums of logarithms travel in whole numbers of this fraction
 SEED = 11
 START, END = B.U64(0x51ED270B7F4A7C15), B.U64(0x2545F4914F6CDD1D)
@@ -334,8 +334,11 @@ class Bucket:
         parts = [_unpacked(b) for b in blobs]
         words, w = distinct(np.concatenate([p[0] for p in parts]))
         contexts, c = distinct(np.concatenate([p[1] for p in parts]))
-        pairs, at = distinct(_pair_numbers(parts, w, c, len(contexts)))
-        count = np.bincount(at, weights=np.concatenate([p[4] for p in parts]), minlength=len(pairs))
+        pairs = _pair_numbers(parts, w, c, len(contexts))
+        order = ascending(pairs, np.zeros_like(pairs))
+        pairs = pairs[order]
+        starts = changes(pairs)
+        pairs, count = pairs[starts], np.add.reduceat(np.concatenate([p[4] for p in parts])[order].astype(float), starts)
         out = cls(heavy, words=words, contexts=contexts, word=pairs // len(contexts), context=pairs % len(contexts), count=count, tables=(count > 0).astype(float),
                   customers=np.zeros(0), kept=[])
         out.root_tables = np.minimum(out.by_word(out.tables), 1)
