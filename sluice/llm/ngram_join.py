@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
 from sluice.llm.graph import components
-from sluice.llm.shared import columns, key_filter, may_hold, scan_filtered, workdir, written
+from sluice.llm.shared import columns, key_filter, may_hold, rows_at_a_time, scan_filtered, workdir, written
 
 HEAVY_KEYS = 1 << 17  # most shingles in the broadcast summary: 2 MB at most, whatever the corpus
 HEAVY_WINDOW = 1 << 22  # shingles of a task counted at a time
 HEAVY_LEAST = 2
+TEXT_BYTES = 1 << 18  # of texts hashed at a time; hashing takes some 50 times as much
+TEXT_ROWS = 500  # sent to a Python worker at a time: the buffers are the executor's, beside its heap
 RECENT = 4
 FRAGMENTS = 4
 SIGNATURE = 16  # words of 64 bits in a set's signature
@@ -38,31 +40,40 @@ SLICES = (64, 8, 1)  # one class in so many, by hash, is held against all others
 _HEAVY_BASE = 1 << 62
 
 
+def repeated(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values that ``held`` has twice or more, ascending, with their counts. Sorts it in place: besides it only flags are as long."""
+    held.sort()
+    again = held[1:] == held[:-1]
+    edge = np.diff(again, prepend=False, append=False)
+    ends = np.flatnonzero(edge).reshape(-1, 2)
+    return held[ends[:, 0]], ends[:, 1] - ends[:, 0] + 1
+
+
+def _counted(batches, k: int):
+    """``(shingle, n)`` of the shingles met HEAVY_LEAST times or more in each window of a task's texts; a window is one array, filled and sorted in place."""
+    held, size = np.empty(HEAVY_WINDOW, np.uint64), 0
+
+    def flush():
+        values, counts = repeated(held[:size])
+        keep = counts >= HEAVY_LEAST
+        return pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], names=["shingle", "n"])
+    for batch in batches:
+        for _, found in _sets(batch, k):
+            if size + len(found) > len(held):
+                held = np.resize(held, size + len(found))
+            held[size: size + len(found)] = found
+            size += len(found)
+            if size >= HEAVY_WINDOW:
+                yield flush()
+                size = 0
+    if size:
+        yield flush()
+
+
 def heavy_shingles(docs: DataFrame, k: int) -> np.ndarray:
     """The most repeated shingles, least repeated first: every task counts all its shingles in windows of fixed size
     and passes on those it met twice or more; the largest sums win. Bounded by HEAVY_KEYS."""
-
-    def count(batches):
-        def flush(parts):
-            values, counts = np.unique(np.concatenate(parts), return_counts=True)
-            keep = counts >= HEAVY_LEAST
-            return pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))],
-                                              names=["shingle", "n"])
-        held, size = [], 0
-        for batch in batches:
-            for lo, hi, data, bounds in B.text_chunks(batch.column("text")):
-                words, first = B.word_hashes(data, bounds)
-                for i in range(hi - lo):
-                    s = np.unique(B.shingles(words[first[i]: first[i + 1]], k))
-                    held.append(s)
-                    size += len(s)
-                if size >= HEAVY_WINDOW:
-                    yield flush(held)
-                    held, size = [], 0
-        if held:
-            yield flush(held)
-
-    top = (docs.select("text").mapInArrow(count, "shingle long, n long")
+    top = (docs.select("text").mapInArrow(lambda batches: _counted(batches, k), "shingle long, n long")
            .groupBy("shingle").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "shingle").limit(HEAVY_KEYS).toPandas())
     return top["shingle"].to_numpy(np.int64)[::-1].view(np.uint64).copy()
@@ -95,7 +106,7 @@ def _signature(found: np.ndarray) -> np.ndarray:
 
 def _sets(batch: pa.RecordBatch, k: int):
     """``(row, sorted unique shingles)`` of each row of a batch."""
-    for lo, hi, data, bounds in B.text_chunks(batch.column("text")):
+    for lo, hi, data, bounds in B.text_chunks(batch.column("text"), TEXT_BYTES):
         words, first = B.word_hashes(data, bounds)
         for i in range(hi - lo):
             yield lo + i, np.unique(B.shingles(words[first[i]: first[i + 1]], k))
@@ -266,15 +277,17 @@ def _links(docs: DataFrame, pairs: DataFrame, known: DataFrame, k: int, pct: int
         return strong.select(F.col("a").alias("u"), F.col("b").alias("v"))
     wanted = strong.select(F.col("a").alias("cid")).unionByName(strong.select(F.col("b").alias("cid"))).distinct()
     wanted = written(wanted.join(known.select("cid", "rep"), "cid"), base, f"{name}-wanted")
-    segments = written(_segments(docs, wanted, k, heavy), base, f"{name}-segments")
+    with rows_at_a_time(docs.sparkSession, TEXT_ROWS):
+        segments = written(_segments(docs, wanted, k, heavy), base, f"{name}-segments")
     return written(_verified(strong, segments, pct), base, f"{name}-links")
 
 
 def _rows_with_roots(docs: DataFrame, k: int, pct: int) -> DataFrame:
     """``(doc_id, tag, cid, n, root, component_id)`` of each row of ``docs(doc_id, tag, text)``; no root without shingles."""
     base = workdir(docs.sparkSession, "ngram-join")
-    heavy = heavy_shingles(docs, k)
-    rows = written(_prefixes(docs, k, pct, heavy), base, "prefixes")
+    with rows_at_a_time(docs.sparkSession, TEXT_ROWS):
+        heavy = heavy_shingles(docs, k)
+        rows = written(_prefixes(docs, k, pct, heavy), base, "prefixes")
     classes = written(rows.filter("n > 0").groupBy("cid", "n").agg(F.min("doc_id").alias("rep"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits")),
                       base, "classes")
     # One shuffle of the index: whether a key is of one class alone is seen where its rows lie, which spill if they are many.

@@ -4,6 +4,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +63,20 @@ def workdir(spark: SparkSession, tag: str) -> str:
     return new_workdir(spark, f"llm-{tag}")
 
 
+@contextmanager
+def rows_at_a_time(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside sends so many rows to a Python worker at a time, unless the session says otherwise."""
+    before = spark.conf.get(_BATCH_KEY, None)
+    if before not in (None, _BATCH_DEFAULT, str(BATCH_ROWS)):
+        yield
+        return
+    spark.conf.set(_BATCH_KEY, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_KEY) if before is None else spark.conf.set(_BATCH_KEY, before)
+
+
 def columns(df: DataFrame, **cols: str) -> DataFrame:
     """Only the named columns under the operator's own names; whatever else the input carries can't clash."""
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in cols.items()])

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import time
+import tracemalloc
 import types
 from collections import Counter
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import pitman_yor, shared
+from sluice.llm import ngram_join, pitman_yor, shared
 from sluice.llm.pitman_yor import Bucket, Model, framed, narrow, unframed, widened
 
 NONE = np.zeros(0, np.uint64)
@@ -146,3 +147,70 @@ def test_chunks_are_packed_by_few_sorts(monkeypatch):
             else:
                 assert trained == sum(c for (*_, h), c in want.items() if not h)
     assert sorts[:2] == sorts[2:] and max(sorts) < 12
+
+
+def peak(f) -> int:
+    """Most bytes that ``f`` holds at a time beyond what there was."""
+    tracemalloc.start()
+    try:
+        f()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_window_of_shingles_is_counted_in_place(monkeypatch):
+    """Besides the window itself there are flags and the repeated ones; counts are those of the plain way."""
+    rng = np.random.default_rng(8)
+    names = [f"w{i}" for i in range(5_000)]
+    said = " ".join(rng.choice(names, 60))
+    texts = [" ".join(rng.choice(names, n)) + (f" {said}" if i % 7 == 0 else "") for i, n in enumerate(rng.integers(0, 400, 4_000))] + [None, ""]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[i: i + 500])}) for i in range(0, len(texts), 500)]
+    every = [found for batch in batches for _, found in ngram_join._sets(batch, 5)]
+    monkeypatch.setattr(ngram_join, "HEAVY_WINDOW", 300_000)
+    got, want = [], []
+    size, window = 0, []
+    for found in [*every, None]:
+        if found is None or size >= ngram_join.HEAVY_WINDOW:
+            values, counts = np.unique(np.concatenate(window), return_counts=True)
+            want += [*zip(values[counts > 1].view(np.int64).tolist(), counts[counts > 1].tolist(), strict=True)]
+            size, window = 0, []
+        if found is not None:
+            window.append(found)
+            size += len(found)
+    for part in ngram_join._counted(batches, 5):
+        got += zip(part.column("shingle").to_pylist(), part.column("n").to_pylist(), strict=True)
+    assert got == want and len(got) > 100
+    monkeypatch.setattr(ngram_join, "HEAVY_WINDOW", 1 << 20)
+    rest = peak(lambda: [None for batch in batches for _ in ngram_join._sets(batch, 5)])
+    assert peak(lambda: list(ngram_join._counted(batches, 5))) - rest < 2 * 8 * (1 << 20)
+
+
+@pytest.mark.parametrize("values", [[], [4], [4, 4], [7, 4, 7], [1, 1, 1, 2, 3, 3, 0], list(range(50))])
+def test_repeated_values_and_their_counts(values):
+    found, counts = ngram_join.repeated(np.array(values, np.uint64))
+    want = sorted((v, n) for v, n in Counter(values).items() if n > 1)
+    assert [*zip(found.tolist(), counts.tolist(), strict=True)] == want
+
+
+def test_texts_are_hashed_in_small_pieces():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["some words that are hashed " * 40] * 2_000)})
+    list(ngram_join._sets(batch.slice(0, 500), 5))
+    assert peak(lambda: [None for _ in ngram_join._sets(batch, 5)]) < 20e6
+
+
+def test_fewer_rows_travel_at_a_time_while_texts_are_shingled(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    shared.workdir(spark, "test")
+    before = spark.conf.get(key)
+    sizes = lambda: {r.n for r in spark.range(0, 1_200, 1, 1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()}
+    try:
+        spark.conf.set(key, str(shared.BATCH_ROWS))
+        with shared.rows_at_a_time(spark, 500):
+            assert sizes() == {500, 200}
+        assert spark.conf.get(key) == str(shared.BATCH_ROWS)
+        spark.conf.set(key, "300")
+        with shared.rows_at_a_time(spark, 500):
+            assert sizes() == {300}
+    finally:
+        spark.conf.set(key, before)
