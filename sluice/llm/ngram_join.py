@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
 from sluice.llm.graph import components
-from sluice.llm.shared import columns, key_filter, may_hold, rows_at_a_time, scan_filtered, workdir, written
+from sluice.llm.shared import columns, key_filter, may_hold, rows_at_a_time, scan_filtered, trimmed, workdir, written
 
 HEAVY_KEYS = 1 << 17  # most shingles in the broadcast summary: 2 MB at most, whatever the corpus
 HEAVY_WINDOW = 1 << 22  # shingles of a task counted at a time
@@ -57,7 +57,7 @@ def _counted(batches, k: int):
         values, counts = repeated(held[:size])
         keep = counts >= HEAVY_LEAST
         return pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], names=["shingle", "n"])
-    for batch in batches:
+    for batch in trimmed(batches):
         for _, found in _sets(batch, k):
             if size + len(found) > len(held):
                 held = np.resize(held, size + len(found))
@@ -123,7 +123,7 @@ def _prefixes(docs: DataFrame, k: int, pct: int, heavy: np.ndarray) -> DataFrame
 
     def run(batches):
         values, rank = shared.value
-        for batch in batches:
+        for batch in trimmed(batches):
             cids, sizes, prefixes, signatures = [], [], [], [np.zeros(0, np.int64)]
             for _, found in _sets(batch, k):
                 n = len(found)
@@ -157,7 +157,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, k: int, heavy: np.ndarray) ->
 
     def run(batches):
         values, rank = shared.value
-        for batch in batches:
+        for batch in trimmed(batches):
             some = may_hold(held.value, batch.column("_key").to_numpy(zero_copy_only=False).astype(np.int64))
             batch = batch.filter(pa.array(some))
             cids, frags, parts = [], [], []

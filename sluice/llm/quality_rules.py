@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import bytetext as B
-from sluice.llm.shared import columns, workdir, written
+from sluice.llm.shared import columns, trimmed, workdir, written
 
 FEATURES = ("word_length", "symbols", "capitals", "punctuation", "dup_lines", "repeats")
 #: Least standard deviation of each feature: what a clean text may differ by where its group hardly varies.
@@ -29,6 +29,7 @@ SUBSET = 0.5
 STEPS = 5  # of every start, before only the best goes on
 FALL = 1e-6  # in the logarithm of the determinant: less is no fall
 MIN_ROWS = 50
+TEXT_BYTES = 1 << 18  # of texts measured at a time; their hashes take some 50 times as much
 CUTOFF = 1 - 1e-7
 REWEIGHT = 0.975
 _HALF = 64  # histogram steps per unit for the starting medians
@@ -66,9 +67,9 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     keep = [f for f in docs.schema.fields if f.name != "text"]
 
     def run(batches):
-        for batch in batches:
+        for batch in trimmed(batches):
             out: dict[str, list[np.ndarray]] = {s: [] for s in STATS}
-            for _, _, data, bounds in B.text_chunks(batch.column("text")):
+            for _, _, data, bounds in B.text_chunks(batch.column("text"), TEXT_BYTES):
                 starts, ends, first = B.word_spans(data, bounds)
                 hashes = B.range_hashes(data, starts, ends)
                 line_from, line_to, line_first = B.word_spans(data, bounds, _BREAKS)

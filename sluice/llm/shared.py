@@ -4,7 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -36,6 +36,9 @@ def written(df: DataFrame, workdir: str, name: str) -> DataFrame:
 #: Texts are long: so many rows go to a Python worker at a time, unless the session says otherwise.
 BATCH_ROWS = 2_000
 _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+#: And so many bytes, whatever the texts' length: a batch is held several times over, by the executor beside its heap and by its worker.
+BATCH_BYTES = 1 << 20
+_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
@@ -60,6 +63,8 @@ def workdir(spark: SparkSession, tag: str) -> str:
     ship_package(spark.sparkContext)
     if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    if spark.conf.get(_BYTES_KEY, None) is None:
+        spark.conf.set(_BYTES_KEY, str(BATCH_BYTES))
     return new_workdir(spark, f"llm-{tag}")
 
 
@@ -77,6 +82,14 @@ def rows_at_a_time(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.unset(_BATCH_KEY) if before is None else spark.conf.set(_BATCH_KEY, before)
 
 
+def trimmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; after each, and after the last, the memory that Arrow holds unused goes back: idle workers keep theirs beside the next stage's."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def columns(df: DataFrame, **cols: str) -> DataFrame:
     """Only the named columns under the operator's own names; whatever else the input carries can't clash."""
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in cols.items()])
@@ -111,7 +124,7 @@ def scan_filtered(df: DataFrame, key: str, held: Broadcast, wanted: bool = True)
     """The rows of ``df`` whose key the filter may hold (or, not ``wanted``, all others; a null key is held by none)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in trimmed(batches):
             column = batch.column(key)
             some = may_hold(held.value, column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
             some &= column.is_valid().to_numpy(zero_copy_only=False)

@@ -214,3 +214,32 @@ def test_fewer_rows_travel_at_a_time_while_texts_are_shingled(spark):
             assert sizes() == {300}
     finally:
         spark.conf.set(key, before)
+
+
+def test_batches_to_workers_are_bounded_by_bytes(spark):
+    shared.workdir(spark, "test")
+    long = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("long text "), 20_000).alias("text"))
+    count = lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]}) for b in bs)
+    sizes = long.mapInArrow(count, "n long, size long").collect()
+    assert sum(r.n for r in sizes) == 60
+    assert max(r.size for r in sizes) <= shared.BATCH_BYTES + 210_000
+
+
+def test_a_session_keeps_its_own_bound_of_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "5m")
+    try:
+        shared.workdir(spark, "test")
+        assert spark.conf.get(key) == "5m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_unused_memory_goes_back_after_each_batch(monkeypatch):
+    calls = []
+    monkeypatch.setattr(shared.pa, "default_memory_pool", lambda: types.SimpleNamespace(release_unused=lambda: calls.append(1)))
+    batches = [pa.RecordBatch.from_pydict({"n": [i]}) for i in range(3)]
+    assert list(shared.trimmed(iter(batches))) == batches
+    assert len(calls) == 3
+    assert list(shared.trimmed(iter([]))) == []
